@@ -72,12 +72,17 @@ def _ts(value) -> Column:
 
 
 def time_between(df: DataFrame, t0, t1, col: str = "time_sended") -> DataFrame:
-    """Inclusive on both ends."""
+    """Inclusive on both ends.  On a stored table partitioned by ``day``
+    the derived day predicate prunes partitions."""
+    if "day" in df.columns:
+        df = df.filter(F.col("day").between(F.to_date(_ts(t0)), F.to_date(_ts(t1))))
     return df.filter(F.col(col).between(_ts(t0), _ts(t1)))
 
 
 def since(df: DataFrame, t0, col: str = "time_sended") -> DataFrame:
     """``col >= t0``."""
+    if "day" in df.columns:
+        df = df.filter(F.col("day") >= F.to_date(_ts(t0)))
     return df.filter(F.col(col) >= _ts(t0))
 
 
@@ -112,6 +117,11 @@ K1 = 1.2
 B = 0.75
 
 
+def _member_of(values: list[str]):
+    arr = _lit_array(values)
+    return lambda x: F.array_contains(arr, x)
+
+
 def explained_search(docs: DataFrame, topic: str, t0, k: int = 10, doc_id: str = "doc_id",
                      message: str = "message", synonyms: bool = True) -> DataFrame:
     """Top-``k`` documents for ``match(topic) AND time >= t0`` with a
@@ -137,7 +147,7 @@ def explained_search(docs: DataFrame, topic: str, t0, k: int = 10, doc_id: str =
     base = docs.select(doc_id, message, "time_sended",
                        text.analyze(message).alias("tokens"))
     base = base.withColumn("dl", F.size("tokens"))
-    tfs = [F.size(F.filter("tokens", lambda x, c=c: F.array_contains(_lit_array(c), x))).alias(f"tf{i}")
+    tfs = [F.size(F.filter("tokens", _member_of(c))).alias(f"tf{i}")
            for i, c in enumerate(carriers.values())]
     base = base.select("*", *tfs)
 

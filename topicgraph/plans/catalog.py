@@ -13,12 +13,15 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions import text
+from ..functions import emoji, text
 from ..operators import components as C
 from ..operators import search as S
 from ..operators import topic_graph as G
 from ..schemas import PAYMENT_COLUMNS
-from ..sources.payments import payment_lines, payments
+from ..sources import ingest
+from ..sources.payments import (PAYMENT_ID_SQL, payment_id, payment_json_lines, payment_lines,
+                                payments)
+from ..streaming import trend
 from . import oracle as O
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
@@ -238,3 +241,158 @@ def q_community_edges(spark, sf):
     comp = C.connected_components(nodes, edges)
     top = C.top_communities(C.component_sizes(comp))
     return C.community_edges(edges, C.community_nodes(comp, top, G.degrees(edges), nodes))
+
+
+# ---------------------------------------------------------------------------
+# Ingest of raw JSON lines derived from the view
+
+
+def _ingested(spark, sf):
+    lines = payment_json_lines(spark, sf)
+    return ingest.parse_payments(lines, "B", extra={"payment_id": "$.payment_id"})
+
+
+@register("ingest_payments", _with(O.payment_lines_cte()) +
+          f"SELECT {PAYMENT_ID_SQL} AS payment_id, actor_id, actor_name, target_id, target_name, "
+          "CASE WHEN l_linenumber = 5 THEN NULL ELSE message END AS message, "
+          f"{O.ts('time_sended')} AS time_sended FROM payment_lines WHERE l_linenumber IN (1, 2, 5)")
+def q_ingest_payments(spark, sf):
+    good, _ = _ingested(spark, sf)
+    return fmt_ts(good.select("payment_id", *PAYMENT_COLUMNS), "time_sended")
+
+
+@register("ingest_rejects", _with(O.payment_lines_cte()) +
+          "SELECT reason, count(*) AS n FROM (SELECT CASE "
+          "WHEN l_linenumber = 3 AND l_returnflag IN ('R', 'A') THEN 'falsy_target' "
+          "WHEN l_linenumber = 3 THEN 'no_target' WHEN l_linenumber = 4 THEN 'no_username' "
+          "WHEN l_linenumber = 6 THEN 'no_message' WHEN l_linenumber >= 7 THEN 'bad_json' END AS reason "
+          "FROM payment_lines) WHERE reason IS NOT NULL GROUP BY reason")
+def q_ingest_rejects(spark, sf):
+    _, bad = _ingested(spark, sf)
+    return bad.groupBy("reason").agg(F.count("*").alias("n"))
+
+
+# ---------------------------------------------------------------------------
+# Analyser, token table, emoji search, shortcodes
+
+
+@register("emoji_tokens", _with(
+    O.payment_lines_cte(), O.synonyms_values(),
+    f"b AS (SELECT {PAYMENT_ID_SQL} AS payment_id, {O.analyze('message')} AS toks FROM payment_lines)",
+    "t AS (SELECT payment_id, unnest(range(len(toks))) AS pos, unnest(toks) AS token FROM b)") +
+    "SELECT payment_id, CAST(pos AS INTEGER) AS pos, token, false AS synonym FROM t UNION ALL "
+    "SELECT payment_id, CAST(pos AS INTEGER), unnest(words), true FROM t JOIN syn ON syn.emoji = t.token")
+def q_emoji_tokens(spark, sf):
+    p = payment_lines(spark, sf).select(payment_id().alias("payment_id"),
+                                        text.analyze("message").alias("tokens"))
+    return text.token_table(p, ["payment_id"])
+
+
+EMOJI_TOPIC = "☕"
+
+
+@register("emoji_search", _with(O.payment_lines_cte()) +
+          f"SELECT {PAYMENT_ID_SQL} AS payment_id, message FROM payment_lines WHERE {_win()} AND "
+          f"list_has_any({O.expanded(O.analyze('message'))}, "
+          f"{O.str_list(text.expand(text.analyze_text(EMOJI_TOPIC)))})")
+def q_emoji_search(spark, sf):
+    df = payment_lines(spark, sf)
+    return (S.match_topic(df, EMOJI_TOPIC, T0, T1, synonyms=True)
+            .select(payment_id().alias("payment_id"), "message"))
+
+
+def _duck_replace_all(expr: str, pattern: str, mapping: dict) -> str:
+    m = "MAP {" + ", ".join(f"{O.q(k)}: {O.q(v)}" for k, v in mapping.items()) + "}"
+    return (f"list_reduce(list_distinct(regexp_extract_all({expr}, {O.q(pattern)})), "
+            f"lambda acc, c: replace(acc, c, coalesce({m}[c], c)), {expr})")
+
+
+_CODED = _duck_replace_all("message", text.EMOJI_CHAR_CLASS, emoji.char_to_shortcode())
+
+
+@register("shortcodes", _with(O.payment_lines_cte()) +
+          f"SELECT {PAYMENT_ID_SQL} AS payment_id, message, {_CODED} AS coded, "
+          f"{_duck_replace_all(_CODED, text.SHORTCODE.replace(chr(92) + 's', ' '), emoji.shortcode_to_char())} "
+          f"AS decoded FROM payment_lines WHERE {_win()}")
+def q_shortcodes(spark, sf):
+    df = time_between_df(payment_lines(spark, sf))
+    coded = text.emoji_to_shortcode("message")
+    return df.select(payment_id().alias("payment_id"), "message", coded.alias("coded"),
+                     text.shortcode_to_emoji(coded).alias("decoded"))
+
+
+def time_between_df(df):
+    return S.time_between(df, T0, T1)
+
+
+# ---------------------------------------------------------------------------
+# BM25 explained search
+
+R1_TOPIC = "hot"
+R1_SINCE = "1998-01-01 00:00:00"
+
+
+def _r1(spark, sf):
+    docs = payment_lines(spark, sf).withColumn("doc_id", payment_id())
+    return S.explained_search(docs, R1_TOPIC, R1_SINCE)
+
+
+def _r1_sql() -> str:
+    terms = list(dict.fromkeys(text.expand(text.analyze_text(R1_TOPIC))))
+    syn = text.synonyms()
+    carriers = [sorted({t} | {e for e, ws in syn.items() if t in ws}) for t in terms]
+    tfs = ", ".join(f"len(list_filter(tokens, lambda x: list_contains({O.str_list(c)}, x))) AS tf{i}"
+                    for i, c in enumerate(carriers))
+    dfs = ", ".join(f"sum(CASE WHEN tf{i} > 0 THEN 1 ELSE 0 END) AS df{i}" for i in range(len(terms)))
+    hit = " OR ".join(f"tf{i} > 0" for i in range(len(terms)))
+    parts = []
+    for i, t in enumerate(terms):
+        idf = f"ln(1.0 + (n_docs - df{i} + 0.5) / (df{i} + 0.5))"
+        norm = f"(tf{i} * {S.K1 + 1} / (tf{i} + {S.K1} * ({1 - S.B} + {S.B} * dl / avgdl)))"
+        parts.append((t, i, idf, norm))
+    score = " + ".join(f"CASE WHEN tf{i} > 0 THEN {idf} * {norm} ELSE 0.0 END" for _, i, idf, norm in parts)
+    terms_rows = " UNION ALL ".join(
+        f"SELECT doc_id, {O.q(t)} AS term, tf{i} AS tf, df{i} AS df, n_docs, dl, avgdl, {idf} AS idf, "
+        f"{norm} AS tf_norm FROM top WHERE tf{i} > 0" for t, i, idf, norm in parts)
+    return _with(
+        O.payment_lines_cte(),
+        f"docs AS (SELECT {PAYMENT_ID_SQL} AS doc_id, message, time_sended, {O.analyze('message')} AS tokens "
+        "FROM payment_lines)",
+        f"d AS (SELECT *, len(tokens) AS dl, {tfs} FROM docs)",
+        f"st AS (SELECT count(*) AS n_docs, avg(dl) AS avgdl, {dfs} FROM d WHERE tokens IS NOT NULL)",
+        f"c AS (SELECT * FROM d, st WHERE time_sended >= TIMESTAMP '{R1_SINCE}' AND ({hit}))",
+        f"top AS (SELECT *, round(1.0 + {score}, 6) AS score FROM c ORDER BY score DESC, doc_id LIMIT 10)",
+        f"terms AS ({terms_rows})")
+
+
+@register("explained_top10", _r1_sql() +
+          f"SELECT doc_id, message, {O.ts('time_sended')} AS time_sended, score FROM top")
+def q_explained_top10(spark, sf):
+    return fmt_ts(_r1(spark, sf).select("doc_id", "message", "time_sended", "score"), "time_sended")
+
+
+@register("explained_terms", _r1_sql() +
+          "SELECT doc_id, term, tf, df, n_docs, dl, round(avgdl, 6) AS avgdl, round(idf, 6) AS idf, "
+          "round(tf_norm, 6) AS tf_norm, round(idf * tf_norm, 6) AS score FROM terms")
+def q_explained_terms(spark, sf):
+    e = _r1(spark, sf).select("doc_id", F.explode("explanation").alias("e"))
+    return e.select("doc_id", "e.term", "e.tf", "e.df", "e.n_docs", "e.dl",
+                    *[F.round(f"e.{c}", 6).alias(c) for c in ("avgdl", "idf", "tf_norm", "score")])
+
+
+# ---------------------------------------------------------------------------
+# K2 (batch form): topic trend per tumbling window
+
+TREND_WINDOW = "7 days"
+
+
+@register("topic_trend", _with(O.payments_cte(), sql_matched(window=False)) +
+          "SELECT strftime(w, '%Y-%m-%d %H:%M:%S') AS window_start, count(*) AS payments, "
+          "(SELECT count(DISTINCT u) FROM (SELECT actor_id AS u FROM matched m2 WHERE time_bucket("
+          "INTERVAL '7 days', m2.time_sended, TIMESTAMP '1970-01-01') = w UNION ALL SELECT target_id FROM "
+          "matched m3 WHERE time_bucket(INTERVAL '7 days', m3.time_sended, TIMESTAMP '1970-01-01') = w)) "
+          "AS users FROM (SELECT time_bucket(INTERVAL '7 days', time_sended, TIMESTAMP '1970-01-01') AS w "
+          "FROM matched) GROUP BY w")
+def q_topic_trend(spark, sf):
+    m = matched(spark, sf, t0=None, t1=None)
+    return fmt_ts(trend.topic_trend(m, TREND_WINDOW).drop("window_end"), "window_start")
