@@ -17,10 +17,16 @@ from ..functions import emoji, text
 from ..operators import components as C
 from ..operators import search as S
 from ..operators import topic_graph as G
+from ..operators.centrality import hits
+from ..operators.filters import FilterChain
+from ..operators.multigraph import MultiGraph
+from ..operators.paths import shortest_paths
 from ..schemas import PAYMENT_COLUMNS
 from ..sources import ingest
 from ..sources.payments import (PAYMENT_ID_SQL, payment_id, payment_json_lines, payment_lines,
                                 payments)
+from ..sources.multigraph import NODE_SQL, payment_multigraph, supply_graph
+from ..sources.tables import table
 from ..streaming import trend
 from . import oracle as O
 
@@ -396,3 +402,250 @@ TREND_WINDOW = "7 days"
 def q_topic_trend(spark, sf):
     m = matched(spark, sf, t0=None, t1=None)
     return fmt_ts(trend.topic_trend(m, TREND_WINDOW).drop("window_end"), "window_start")
+
+
+# ---------------------------------------------------------------------------
+# directed multigraph: A4 J7 P9 P15 P16 U2 P10-P13 J4 J5 G4
+
+
+def mg_all(spark, sf) -> MultiGraph:
+    return payment_multigraph(spark, sf)
+
+
+def mg_topic(spark, sf) -> MultiGraph:
+    lines = S.match_topic(payment_lines(spark, sf), TOPIC, T0, T1)
+    return payment_multigraph(spark, sf, lines)
+
+
+def sql_mg(topic: bool = False) -> str:
+    cond = (f" WHERE {_win()} AND list_has_any({O.analyze('message')}, "
+            f"{O.str_list(text.analyze_text(TOPIC))})") if topic else ""
+    return ",\n".join([
+        O.payment_lines_cte(),
+        f"mg_nodes AS ({NODE_SQL})",
+        f"mg_edges AS (SELECT {PAYMENT_ID_SQL} AS id, actor_id AS source, target_id AS target, "
+        f"CAST(l_linenumber AS DOUBLE) AS size FROM payment_lines{cond})",
+        "mg_deg AS (SELECT n.id, coalesce(i.k, 0) AS in_degree, coalesce(o.k, 0) AS out_degree, "
+        "coalesce(i.k, 0) + coalesce(o.k, 0) AS degree FROM mg_nodes n "
+        "LEFT JOIN (SELECT target AS id, count(*) AS k FROM mg_edges GROUP BY 1) i USING (id) "
+        "LEFT JOIN (SELECT source AS id, count(*) AS k FROM mg_edges GROUP BY 1) o USING (id))",
+    ])
+
+
+@register("directed_degree", _with(sql_mg()) + "SELECT id, in_degree, out_degree, degree FROM mg_deg")
+def q_directed_degree(spark, sf):
+    return mg_all(spark, sf).degrees()
+
+
+_SUPPLY_SQL = ",\n".join([
+    "sg_nodes AS (SELECT CAST(s_suppkey AS VARCHAR) AS id, s_name AS label FROM supplier)",
+    "sg_edges AS (SELECT concat_ws('-', l_partkey, l_suppkey) AS id, CAST(l_suppkey AS VARCHAR) AS source, "
+    "'part' || CAST(l_partkey AS VARCHAR) AS target FROM lineitem)",
+    "u_nodes AS (SELECT id FROM mg_nodes UNION ALL SELECT id FROM sg_nodes)",
+    "u_edges AS (SELECT id, source, target FROM mg_edges UNION ALL SELECT id, source, target FROM sg_edges)",
+])
+
+
+@register("graph_violations", _with(sql_mg(), _SUPPLY_SQL) +
+          "SELECT 'duplicate_node' AS kind, id FROM u_nodes GROUP BY id HAVING count(*) > 1 UNION ALL "
+          "SELECT 'duplicate_edge', id FROM u_edges GROUP BY id HAVING count(*) > 1 UNION ALL "
+          "SELECT 'dangling_source', id FROM u_edges WHERE source NOT IN (SELECT id FROM u_nodes) UNION ALL "
+          "SELECT 'dangling_target', id FROM u_edges WHERE target NOT IN (SELECT id FROM u_nodes)")
+def q_graph_violations(spark, sf):
+    return mg_all(spark, sf).merge(supply_graph(spark, sf)).validate()
+
+
+@register("merge_graphs", _with(sql_mg(), _SUPPLY_SQL) +
+          "SELECT n.id, coalesce(i.k, 0) AS in_degree, coalesce(o.k, 0) AS out_degree, "
+          "coalesce(i.k, 0) + coalesce(o.k, 0) AS degree FROM u_nodes n "
+          "LEFT JOIN (SELECT target AS id, count(*) AS k FROM u_edges GROUP BY 1) i USING (id) "
+          "LEFT JOIN (SELECT source AS id, count(*) AS k FROM u_edges GROUP BY 1) o USING (id)")
+def q_merge_graphs(spark, sf):
+    return mg_all(spark, sf).merge(supply_graph(spark, sf)).degrees()
+
+
+LOOKUP_IDS = ["7", "42", "no-such-node", "7"]
+
+
+@register("nodes_lookup", _with(sql_mg()) +
+          "SELECT CAST(w.pos AS INTEGER) AS pos, n.id, n.label, n.x, n.y, n.size FROM (SELECT unnest(range("
+          f"{len(LOOKUP_IDS)})) AS pos, unnest({O.str_list(LOOKUP_IDS)}) AS want) w "
+          "LEFT JOIN mg_nodes n ON n.id = w.want")
+def q_nodes_lookup(spark, sf):
+    return mg_all(spark, sf).lookup_nodes(LOOKUP_IDS)
+
+
+@register("drop_nodes", _with(sql_mg()) +
+          "SELECT e.id, e.source, e.target FROM mg_edges e WHERE e.source NOT IN "
+          "(SELECT CAST(c_custkey AS VARCHAR) FROM customer WHERE c_nationkey = 0) AND e.target NOT IN "
+          "(SELECT CAST(c_custkey AS VARCHAR) FROM customer WHERE c_nationkey = 0)")
+def q_drop_nodes(spark, sf):
+    gone = table(spark, sf, "customer").filter("c_nationkey = 0").select(
+        F.col("c_custkey").cast("string").alias("id"))
+    return mg_all(spark, sf).drop_nodes(gone).edges.select("id", "source", "target")
+
+
+@register("drop_edges", _with(sql_mg()) +
+          f"SELECT id, source, target FROM mg_edges WHERE id NOT IN (SELECT {PAYMENT_ID_SQL} "
+          "FROM payment_lines WHERE l_returnflag = 'R')")
+def q_drop_edges(spark, sf):
+    gone = payment_lines(spark, sf).filter("l_returnflag = 'R'").select(payment_id().alias("id"))
+    return mg_all(spark, sf).drop_edges(gone).edges.select("id", "source", "target")
+
+
+def _chain(spark, sf) -> MultiGraph:
+    g = mg_all(spark, sf)
+    g = MultiGraph(g.nodes.join(g.degrees().select("id", "degree"), "id"), g.edges)
+    return (FilterChain(g).nodes_by("degree >= 80", "busy").edges_by("size <= 3", "early")
+            .apply())
+
+
+_CHAIN_SQL = ",\n".join([
+    "fn AS (SELECT n.id, NOT (d.degree >= 80) AS hidden FROM mg_nodes n JOIN mg_deg d USING (id))",
+    "fe AS (SELECT e.id, NOT (e.size <= 3) OR s.hidden OR t.hidden AS hidden FROM mg_edges e "
+    "JOIN fn s ON s.id = e.source JOIN fn t ON t.id = e.target)",
+])
+
+
+@register("filter_chain_nodes", _with(sql_mg(), _CHAIN_SQL) + "SELECT id, hidden FROM fn")
+def q_filter_chain_nodes(spark, sf):
+    return _chain(spark, sf).nodes.select("id", "hidden")
+
+
+@register("filter_chain_edges", _with(sql_mg(), _CHAIN_SQL) + "SELECT id, hidden FROM fe")
+def q_filter_chain_edges(spark, sf):
+    return _chain(spark, sf).edges.select("id", "hidden")
+
+
+CENTER = "7"
+
+
+@register("neighbors_of", _with(sql_mg()) +
+          f"SELECT id, NOT (id = '{CENTER}' OR id IN (SELECT target FROM mg_edges WHERE source = '{CENTER}') "
+          f"OR id IN (SELECT source FROM mg_edges WHERE target = '{CENTER}')) AS hidden FROM mg_nodes")
+def q_neighbors_of(spark, sf):
+    return FilterChain(mg_all(spark, sf)).neighbors_of(CENTER).apply().nodes.select("id", "hidden")
+
+
+@register("adjacent_edges", _with(sql_mg()) +
+          f"SELECT id, source, target FROM mg_edges WHERE source = '{CENTER}' UNION ALL "
+          f"SELECT id, source, target FROM mg_edges WHERE target = '{CENTER}' AND source <> '{CENTER}'")
+def q_adjacent_edges(spark, sf):
+    return mg_all(spark, sf).adjacent_edges(CENTER).select("id", "source", "target")
+
+
+_EGO_SQL = ",\n".join([
+    f"members AS (SELECT '{CENTER}' AS id UNION SELECT target FROM mg_edges WHERE source = '{CENTER}' "
+    f"UNION SELECT source FROM mg_edges WHERE target = '{CENTER}')",
+    "ego_nodes AS (SELECT m.id FROM members m WHERE m.id IN (SELECT id FROM mg_nodes))",
+])
+
+
+@register("egonet_nodes", _with(sql_mg(), _EGO_SQL) +
+          f"SELECT '{CENTER}' AS center_id, id, id = '{CENTER}' AS center FROM ego_nodes "
+          f"WHERE '{CENTER}' IN (SELECT id FROM mg_nodes)")
+def q_egonet_nodes(spark, sf):
+    return mg_all(spark, sf).neighborhood(CENTER).nodes.select("center_id", "id", "center")
+
+
+@register("egonet_edges", _with(sql_mg(), _EGO_SQL) +
+          f"SELECT '{CENTER}' AS center_id, e.id FROM mg_edges e WHERE e.source IN (SELECT id FROM ego_nodes) "
+          f"AND e.target IN (SELECT id FROM ego_nodes) AND (e.source <> e.target OR e.source = '{CENTER}')")
+def q_egonet_edges(spark, sf):
+    return mg_all(spark, sf).neighborhood(CENTER).edges.select("center_id", "id")
+
+
+# ---------------------------------------------------------------------------
+# G2 HITS (fixed number of rounds so the SQL twin is exact)
+
+HITS_ROUNDS = 12
+
+
+def _hits_sql(undirected: bool) -> str:
+    if undirected:
+        pairs = ("pairs AS (SELECT source, target FROM mg_edges WHERE source <> target UNION "
+                 "SELECT target, source FROM mg_edges WHERE source <> target)")
+        mem = "mem AS (SELECT id, true AS is_auth, true AS is_hub FROM mg_nodes)"
+    else:
+        pairs = "pairs AS (SELECT DISTINCT source, target FROM mg_edges WHERE source <> target)"
+        mem = ("mem AS (SELECT * FROM (SELECT id, id IN (SELECT target FROM mg_edges) AS is_auth, "
+               "id IN (SELECT source FROM mg_edges) AS is_hub FROM mg_nodes) WHERE is_auth OR is_hub)")
+    ctes = [sql_mg(topic=True), pairs, mem,
+            "s0 AS (SELECT id, is_auth, is_hub, 1.0::DOUBLE AS a, 1.0::DOUBLE AS h FROM mem)"]
+    for r in range(1, HITS_ROUNDS + 1):
+        p = f"s{r - 1}"
+        ctes.append(
+            f"raw{r} AS (SELECT s.id, s.is_auth, s.is_hub, "
+            f"CASE WHEN s.is_auth THEN 1.0 + coalesce(hi.sh, 0.0) ELSE 0.0 END AS ra, "
+            f"CASE WHEN s.is_hub THEN 1.0 + coalesce(ao.sa, 0.0) ELSE 0.0 END AS rh FROM {p} s "
+            f"LEFT JOIN (SELECT q.target AS id, sum(x.h) AS sh FROM pairs q JOIN {p} x ON x.id = q.source "
+            f"GROUP BY q.target) hi USING (id) "
+            f"LEFT JOIN (SELECT q.source AS id, sum(x.a) AS sa FROM pairs q JOIN {p} x ON x.id = q.target "
+            f"GROUP BY q.source) ao USING (id))")
+        ctes.append(f"s{r} AS (SELECT id, is_auth, is_hub, ra / (SELECT sum(ra) FROM raw{r}) AS a, "
+                    f"rh / (SELECT sum(rh) FROM raw{r}) AS h FROM raw{r})")
+    return _with(*ctes) + (f"SELECT id, round(a, 6) AS authority, round(h, 6) AS hub "
+                           f"FROM s{HITS_ROUNDS}")
+
+
+def _hits(spark, sf, undirected):
+    g = mg_topic(spark, sf)
+    h = hits(g.nodes, g.edges, undirected=undirected, eps=0.0, max_iter=HITS_ROUNDS)
+    return h.select("id", F.round("authority", 6).alias("authority"), F.round("hub", 6).alias("hub"))
+
+
+@register("hits_directed", _hits_sql(False))
+def q_hits_directed(spark, sf):
+    return _hits(spark, sf, False)
+
+
+@register("hits_undirected", _hits_sql(True))
+def q_hits_undirected(spark, sf):
+    return _hits(spark, sf, True)
+
+
+# ---------------------------------------------------------------------------
+# Shortest paths from the busiest node of the topic multigraph
+
+PATH_DEPTH = 40  # oracle recursion bound (>= largest topic component at sf0.01)
+
+
+def _source(g: MultiGraph) -> str | None:
+    row = g.degrees().orderBy(F.desc("degree"), F.asc("id")).select("id").first()
+    return row["id"] if row else None
+
+
+def _paths_sql(weighted: bool) -> str:
+    w = ("sqrt(pow(a.x - b.x, 2) + pow(a.y - b.y, 2))" if weighted else "1.0")
+    return _with(
+        sql_mg(topic=True),
+        "src AS (SELECT id FROM mg_deg ORDER BY degree DESC, id LIMIT 1)",
+        f"und AS (SELECT e.source AS s, e.target AS t, min({w}) AS w FROM (SELECT source, target FROM mg_edges "
+        "UNION ALL SELECT target, source FROM mg_edges) e JOIN mg_nodes a ON a.id = e.source "
+        "JOIN mg_nodes b ON b.id = e.target GROUP BY 1, 2)",
+        "walk(id, dist, path) AS (SELECT id, 0.0::DOUBLE, [id] FROM src UNION ALL "
+        "SELECT u.t, walk.dist + u.w, list_append(walk.path, u.t) FROM walk JOIN und u ON u.s = walk.id "
+        f"WHERE NOT list_contains(walk.path, u.t) AND len(walk.path) < {PATH_DEPTH})",
+        "best AS (SELECT id, min(dist) AS dist FROM walk GROUP BY id)") + (
+        "SELECT b.id, round(b.dist, 6) AS dist, CAST(len(min(w.path)) - 1 AS INTEGER) AS hops, "
+        "min(w.path) AS path FROM best b JOIN walk w ON w.id = b.id AND abs(w.dist - b.dist) < 1e-9 "
+        "GROUP BY b.id, b.dist")
+
+
+def _paths(spark, sf, weight):
+    g = mg_topic(spark, sf)
+    src = _source(g)
+    if src is None:
+        return spark.createDataFrame([], "id string, dist double, hops int, path array<string>")
+    sp = shortest_paths(g, src, weight=weight, undirected=True)
+    return sp.select("id", F.round("dist", 6).alias("dist"), "hops", "path")
+
+
+@register("shortest_hops", _paths_sql(False))
+def q_shortest_hops(spark, sf):
+    return _paths(spark, sf, None)
+
+
+@register("shortest_euclidean", _paths_sql(True))
+def q_shortest_euclidean(spark, sf):
+    return _paths(spark, sf, "euclidean")
