@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from ..functions import emoji, text
 from ..operators import components as C
 from ..operators import search as S
+from ..operators import spatial as SP
 from ..operators import topic_graph as G
 from ..operators.centrality import hits
 from ..operators.filters import FilterChain
@@ -649,3 +650,113 @@ def q_shortest_hops(spark, sf):
 @register("shortest_euclidean", _paths_sql(True))
 def q_shortest_euclidean(spark, sf):
     return _paths(spark, sf, "euclidean")
+
+
+# ---------------------------------------------------------------------------
+# Layout space
+
+
+@register("extent", _with(sql_mg()) +
+          "SELECT min(x) AS min_x, max(x) AS max_x, min(y) AS min_y, max(y) AS max_y, "
+          "CASE WHEN max(size) = 0 OR isnan(max(size)) THEN 1.0 ELSE max(size) END AS size_max, "
+          "(SELECT CASE WHEN max(size) = 0 OR isnan(max(size)) THEN 1.0 ELSE max(size) END FROM mg_edges) "
+          "AS weight_max FROM mg_nodes")
+def q_extent(spark, sf):
+    g = mg_all(spark, sf)
+    return SP.extent(g.nodes, g.edges)
+
+
+RESCALE = dict(width=800.0, height=600.0, min_node_size=1.0, max_node_size=8.0,
+               min_edge_size=0.5, max_edge_size=2.0)
+
+
+def _rescale_sql() -> str:
+    r = RESCALE
+    ex = ("ex AS (SELECT min(x) AS min_x, max(x) AS max_x, min(y) AS min_y, max(y) AS max_y, "
+          "max(size) AS size_max FROM mg_nodes)")
+    s0 = (f"least({r['width']} / greatest(max_x - min_x, 1.0), {r['height']} / greatest(max_y - min_y, 1.0))")
+    p1 = f"p1 AS (SELECT *, {r['max_node_size']} / {s0} AS m FROM ex)"
+    p2 = ("p2 AS (SELECT size_max, min_x - m AS min_x, max_x + m AS max_x, min_y - m AS min_y, "
+          "max_y + m AS max_y FROM p1)")
+    p3 = (f"p3 AS (SELECT *, {s0} AS scale, (max_x + min_x) / 2 AS cx, (max_y + min_y) / 2 AS cy FROM p2)")
+    return _with(sql_mg(), ex, p1, p2, p3)
+
+
+@register("rescale", _rescale_sql() +
+          "SELECT n.id, round((n.x - cx) * scale, 6) AS rx, round((n.y - cy) * scale, 6) AS ry, "
+          f"round(n.size * ({RESCALE['max_node_size']} - {RESCALE['min_node_size']}) / size_max + "
+          f"{RESCALE['min_node_size']}, 6) AS rsize FROM mg_nodes n, p3")
+def q_rescale(spark, sf):
+    g = SP.rescale(mg_all(spark, sf), **RESCALE)
+    return g.nodes.select("id", *[F.round(c, 6).alias(c) for c in ("rx", "ry", "rsize")])
+
+
+@register("rescale_edges", _with(sql_mg()) +
+          f"SELECT id, round(size * ({RESCALE['max_edge_size']} - {RESCALE['min_edge_size']}) / "
+          f"(SELECT max(size) FROM mg_edges) + {RESCALE['min_edge_size']}, 6) AS rsize FROM mg_edges")
+def q_rescale_edges(spark, sf):
+    g = SP.rescale(mg_all(spark, sf), **RESCALE)
+    return g.edges.select("id", F.round("rsize", 6).alias("rsize"))
+
+
+RECT = (10.0, 20.0, 30.0, 15.0)
+ROT = (10.0, 10.0, 60.0, 40.0, 20.0)
+POINT = (50.0, 50.0)
+
+
+@register("nodes_in_rect", _with(sql_mg()) +
+          f"SELECT id FROM mg_nodes WHERE x - size <= {RECT[0] + RECT[2]} AND x + size >= {RECT[0]} "
+          f"AND y - size <= {RECT[1] + RECT[3]} AND y + size >= {RECT[1]}")
+def q_nodes_in_rect(spark, sf):
+    return SP.nodes_in_rect(mg_all(spark, sf).nodes, *RECT).select("id")
+
+
+def _rot_sql() -> str:
+    x1, y1, x2, y2, h = ROT
+    import math as _m
+    ln = _m.hypot(x2 - x1, y2 - y1)
+    ux, uy = (x2 - x1) / ln, (y2 - y1) / ln
+    nx, ny = -uy, ux
+    corners = [(x1, y1), (x2, y2), (x2 + nx * h, y2 + ny * h), (x1 + nx * h, y1 + ny * h)]
+    conds = []
+    for ax, ay in [(1.0, 0.0), (0.0, 1.0), (ux, uy), (nx, ny)]:
+        proj = [cx * ax + cy * ay for cx, cy in corners]
+        c = f"(x * {ax!r} + y * {ay!r})"
+        half = f"(size * {abs(ax) + abs(ay)!r})"
+        conds.append(f"{c} - {half} <= {max(proj)!r} AND {c} + {half} >= {min(proj)!r}")
+    return " AND ".join(conds)
+
+
+@register("nodes_in_rotated_rect", _with(sql_mg()) + f"SELECT id FROM mg_nodes WHERE {_rot_sql()}")
+def q_nodes_in_rotated_rect(spark, sf):
+    return SP.nodes_in_rotated_rect(mg_all(spark, sf).nodes, *ROT).select("id")
+
+
+@register("nodes_at", _with(sql_mg()) +
+          f"SELECT id FROM mg_nodes WHERE abs(x - {POINT[0]}) <= size AND abs(y - {POINT[1]}) <= size")
+def q_nodes_at(spark, sf):
+    return SP.nodes_at(mg_all(spark, sf).nodes, *POINT).select("id")
+
+
+ERECT = (40.0, 40.0, 5.0, 5.0)
+
+
+@register("edges_in_rect", _with(sql_mg()) +
+          "SELECT e.id FROM mg_edges e JOIN mg_nodes a ON a.id = e.source JOIN mg_nodes b ON b.id = e.target "
+          f"WHERE least(a.x, b.x) - e.size <= {ERECT[0] + ERECT[2]} AND greatest(a.x, b.x) + e.size >= {ERECT[0]} "
+          f"AND least(a.y, b.y) - e.size <= {ERECT[1] + ERECT[3]} AND greatest(a.y, b.y) + e.size >= {ERECT[1]}")
+def q_edges_in_rect(spark, sf):
+    return SP.edges_in_rect(mg_all(spark, sf), *ERECT).select("id")
+
+
+@register("overlapping_nodes", _with(sql_mg()) +
+          "SELECT a.id AS id_a, b.id AS id_b FROM mg_nodes a JOIN mg_nodes b ON a.id < b.id "
+          "AND sqrt(pow(a.x - b.x, 2) + pow(a.y - b.y, 2)) < (a.size * 1.2 + 5.0) + (b.size * 1.2 + 5.0)")
+def q_overlapping_nodes(spark, sf):
+    return SP.overlapping_nodes(mg_all(spark, sf).nodes)
+
+
+@register("relative_size", _with(sql_graph()) + "SELECT id, round(2.0 * sqrt(degree), 6) AS size FROM deg")
+def q_relative_size(spark, sf):
+    deg = G.degrees(graph(spark, sf)[2])
+    return deg.select("id", F.round(text.relative_size("degree", 2.0), 6).alias("size"))
