@@ -26,6 +26,8 @@ from ..schemas import PAYMENT_COLUMNS
 from ..sources import ingest
 from ..sources.payments import (PAYMENT_ID_SQL, payment_id, payment_json_lines, payment_lines,
                                 payments)
+from ..session import scratch_path
+from ..sources import graph_files as GF
 from ..sources.multigraph import NODE_SQL, payment_multigraph, supply_graph
 from ..sources.tables import table
 from ..streaming import trend
@@ -760,3 +762,141 @@ def q_overlapping_nodes(spark, sf):
 def q_relative_size(spark, sf):
     deg = G.degrees(graph(spark, sf)[2])
     return deg.select("id", F.round(text.relative_size("degree", 2.0), 6).alias("size"))
+
+
+# ---------------------------------------------------------------------------
+# Graph files (written from the tables, read back)
+
+
+@register("node_link", _with(sql_graph(), sql_components()) +
+          "SELECT c.id, n.name, t.\"group\", d.degree AS size FROM comp c "
+          "JOIN top t USING (component) JOIN deg d USING (id) JOIN nodes n USING (id)")
+def q_node_link(spark, sf):
+    _, nodes, edges = graph(spark, sf)
+    comp = C.connected_components(nodes, edges)
+    top = C.top_communities(C.component_sizes(comp))
+    cn = C.community_nodes(comp, top, G.degrees(edges), nodes)
+    ce = C.community_edges(edges, cn)
+    path = scratch_path(spark, "node_link")
+    GF.write_node_link(cn, ce, path)
+    n, _ = GF.read_node_link(spark, path)
+    return n.select("id", "name", "group", "size")
+
+
+@register("graph_json_edges", _with(sql_mg()) + "SELECT id, source, target, size FROM mg_edges")
+def q_graph_json_edges(spark, sf):
+    path = scratch_path(spark, "graph_json")
+    GF.write_graph_json(mg_all(spark, sf), path)
+    return GF.read_graph_json(spark, path).edges.select("id", "source", "target", "size")
+
+
+def _gexf_path(spark, sf) -> str:
+    """A GEXF document written from the payment multigraph: node attributes
+    nation (integer) and segment (string, default NONE, given only for
+    segments other than BUILDING); lines of flag N carry no edge id and lines
+    of flag A no type."""
+    g = mg_all(spark, sf)
+    cust = table(spark, sf, "customer").select(F.col("c_custkey").cast("string").alias("id"),
+                                               "c_nationkey", "c_mktsegment")
+    nodes = g.nodes.join(cust, "id")
+    esc = lambda c: F.regexp_replace(F.regexp_replace(c, "&", "&amp;"), '"', "&quot;")
+    seg = F.when(F.col("c_mktsegment") != "BUILDING",
+                 F.concat(F.lit('<attvalue for="1" value="'), esc(F.col("c_mktsegment")), F.lit('"/>'))
+                 ).otherwise(F.lit(""))
+    node_xml = nodes.select(F.lit(2).alias("k"), F.col("id").alias("o"), F.concat(
+        F.lit('<node id="'), esc(F.col("id")), F.lit('" label="'), esc(F.col("label")), F.lit('">'),
+        F.lit('<attvalues><attvalue for="0" value="'), F.col("c_nationkey").cast("string"), F.lit('"/>'),
+        seg, F.lit("</attvalues>"),
+        F.lit('<viz:position x="'), F.col("x").cast("string"), F.lit('" y="'), F.col("y").cast("string"),
+        F.lit('" z="0.0"/><viz:size value="'), F.col("size").cast("string"), F.lit('"/></node>')).alias("v"))
+    lines = payment_lines(spark, sf)
+    idattr = F.when(F.col("l_returnflag") == "N", F.lit("")).otherwise(
+        F.concat(F.lit(' id="'), payment_id(), F.lit('"')))
+    typ = F.when(F.col("l_returnflag") == "A", F.lit("")).otherwise(F.lit(' type="directed"'))
+    edge_xml = lines.select(F.lit(4).alias("k"), payment_id().alias("o"), F.concat(
+        F.lit("<edge"), idattr, F.lit(' source="'), F.col("actor_id"), F.lit('" target="'),
+        F.col("target_id"), F.lit('"'), typ, F.lit(' weight="'), F.col("l_linenumber").cast("string"),
+        F.lit('"/>')).alias("v"))
+    fixed = spark.createDataFrame([
+        (0, "0", '<?xml version="1.0" encoding="UTF-8"?>'),
+        (0, "1", '<gexf xmlns="http://www.gexf.net/1.2draft" xmlns:viz="http://www.gexf.net/1.2draft/viz" '
+                 'version="1.2"><meta lastmodifieddate="2017-01-01"><creator>topicgraph</creator></meta>'),
+        (0, "2", '<graph defaultedgetype="undirected" mode="static"><attributes class="node">'
+                 '<attribute id="0" title="nation" type="integer"/>'
+                 '<attribute id="1" title="segment" type="string"><default>NONE</default></attribute>'
+                 '</attributes><nodes>'),
+        (3, "0", "</nodes><edges>"),
+        (5, "0", "</edges></graph></gexf>")], "k int, o string, v string")
+    doc = fixed.unionByName(node_xml).unionByName(edge_xml).orderBy("k", "o").coalesce(1)
+    path = scratch_path(spark, "gexf")
+    doc.select("v").write.mode("overwrite").text(path)
+    return path
+
+
+@register("gexf_nodes", _with(sql_mg()) + "SELECT id, label, x, -y AS y, size FROM mg_nodes")
+def q_gexf_nodes(spark, sf):
+    g = GF.gexf_to_graph(GF.read_gexf(spark, _gexf_path(spark, sf)))
+    return g.nodes.select("id", "label", "x", "y", "size")
+
+
+@register("gexf_node_attributes", _with(sql_mg()) +
+          "SELECT CAST(c_custkey AS VARCHAR) AS owner_id, '0' AS attr_id, 'nation' AS title, "
+          "CAST(c_nationkey AS VARCHAR) AS value, CAST(c_nationkey AS DOUBLE) AS num FROM customer UNION ALL "
+          "SELECT CAST(c_custkey AS VARCHAR), '1', 'segment', CASE WHEN c_mktsegment <> 'BUILDING' "
+          "THEN c_mktsegment ELSE 'NONE' END, NULL FROM customer")
+def q_gexf_node_attributes(spark, sf):
+    a = GF.read_gexf(spark, _gexf_path(spark, sf)).attributes("node")
+    return a.select("owner_id", "attr_id", "title", "value", "num")
+
+
+@register("gexf_edges", _with(sql_mg()) +
+          "SELECT actor_id AS source, target_id AS target, CAST(l_linenumber AS DOUBLE) AS size, "
+          "CASE WHEN l_returnflag = 'A' "
+          "THEN 'undirected' ELSE 'directed' END AS direction, l_returnflag = 'N' AS generated_id "
+          "FROM payment_lines")
+def q_gexf_edges(spark, sf):
+    gx = GF.read_gexf(spark, _gexf_path(spark, sf))
+    g = GF.gexf_to_graph(gx)
+    return g.edges.select("source", "target", "size", "direction",
+                          F.col("id").startswith("e").alias("generated_id"))
+
+
+def _cypher_path(spark, sf) -> str:
+    """A Cypher result document: one data row per payment with its two
+    customers (ids repeat across rows) and the payment relationship."""
+    p = payment_lines(spark, sf)
+    node = lambda i, n: F.struct(F.col(i).alias("id"),
+                                 F.array(F.lit("Customer")).alias("labels"),
+                                 F.create_map(F.lit("name"), F.col(n)).alias("properties"))
+    rel = F.struct(payment_id().alias("id"), F.concat(F.lit("FLAG_"), F.col("l_returnflag")).alias("type"),
+                   F.col("actor_id").alias("startNode"), F.col("target_id").alias("endNode"),
+                   F.create_map(F.lit("message"), F.col("message")).alias("properties"))
+    data = p.select(F.struct(F.struct(F.array(node("actor_id", "actor_name"), node("target_id", "target_name"))
+                                      .alias("nodes"), F.array(rel).alias("relationships"))
+                             .alias("graph")).alias("d"))
+    doc = data.agg(F.collect_list("d").alias("data")).select(
+        F.to_json(F.struct(F.array(F.struct(F.col("data").alias("data"))).alias("results"))).alias("v"))
+    path = scratch_path(spark, "cypher")
+    doc.coalesce(1).write.mode("overwrite").text(path)
+    return path
+
+
+@register("cypher_nodes", _with(sql_mg()) +
+          "SELECT DISTINCT actor_id AS id, actor_id AS label, actor_name AS name FROM payment_lines UNION "
+          "SELECT DISTINCT target_id, target_id, target_name FROM payment_lines")
+def q_cypher_nodes(spark, sf):
+    g = GF.read_cypher_result(spark, _cypher_path(spark, sf))
+    return g.nodes.select("id", "label", F.col("properties")["name"].alias("name"))
+
+
+@register("cypher_edges", _with(sql_mg()) +
+          f"SELECT {PAYMENT_ID_SQL} AS id, actor_id AS source, target_id AS target, "
+          "'FLAG_' || l_returnflag AS type FROM payment_lines")
+def q_cypher_edges(spark, sf):
+    g = GF.read_cypher_result(spark, _cypher_path(spark, sf))
+    return g.edges.select("id", "source", "target", "type")
+
+
+@register("cypher_types", _with(sql_mg()) + "SELECT DISTINCT 'FLAG_' || l_returnflag AS type FROM payment_lines")
+def q_cypher_types(spark, sf):
+    return GF.cypher_types(GF.read_cypher_result(spark, _cypher_path(spark, sf)))

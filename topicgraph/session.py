@@ -59,3 +59,11 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
             "shared checkpoint directory on a cluster")
     sc.setCheckpointDir(tempfile.mkdtemp(prefix="topicgraph-ckpt-", dir="/tmp"))
     return sc.getCheckpointDir()
+
+
+def scratch_path(spark: SparkSession, name: str) -> str:
+    """A fresh folder under the reliable checkpoint directory (shared
+    storage on a cluster) for intermediate files."""
+    import uuid
+    base = ensure_checkpoint_dir(spark).rstrip("/")
+    return f"{base}/scratch/{name}-{uuid.uuid4().hex[:12]}"
