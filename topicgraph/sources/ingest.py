@@ -41,16 +41,15 @@ def read_lines(spark: SparkSession, path: str, path_glob_filter: str | None = No
     return reader.load(path).select("value", F.col("_metadata.file_path").alias("file_path"))
 
 
-def _present(v: Column, path: str) -> Column:
-    return F.try_variant_get(v, path, "variant").isNotNull()
+_TOP = "struct<actor variant, transactions variant, message variant, updated_time variant>"
+_PARTY = "struct<id variant, username variant>"
 
 
-def _truthy(v: Column, path: str) -> Column:
-    """Python truthiness of a JSON value (null, "", 0, false, [] and {} are
-    falsy)."""
-    x = F.try_variant_get(v, path, "variant")
+def _truthy(x: Column) -> Column:
+    """Python truthiness of a JSON value held in a variant (null, "", 0,
+    false, [] and {} are falsy)."""
     typ = F.schema_of_variant(x)
-    s = F.try_variant_get(v, path, "string")
+    s = F.try_variant_get(x, "$", "string")
     return (F.when(x.isNull() | F.is_variant_null(x), F.lit(False))
             .when(typ == "STRING", s != "")
             .when(typ == "BOOLEAN", s == "true")
@@ -58,20 +57,22 @@ def _truthy(v: Column, path: str) -> Column:
             .otherwise(F.coalesce(s.try_cast("double") != 0, F.lit(True))))
 
 
-def _fields(v: Column, variant: str) -> list[tuple[str, Column]]:
-    """Ordered (reason, keep-condition) checks."""
+def _checks(variant: str) -> list[tuple[str, Column]]:
+    """Ordered (reason, keep-condition) over the staged columns ``v`` (the
+    parsed line), ``r`` (top-level fields), ``a`` (actor), ``t`` (first
+    transaction's target); a field is present when it is not SQL NULL (a
+    JSON null is a variant null, which is present)."""
     checks = [
-        ("bad_json", v.isNotNull()),
-        ("no_target", _present(v, "$.transactions[0].target.id")),
-        ("no_actor", _present(v, "$.actor.id")),
+        ("bad_json", F.col("v").isNotNull()),
+        ("no_target", F.col("t.id").isNotNull()),
+        ("no_actor", F.col("a.id").isNotNull()),
     ]
     if variant == "B":
-        checks.append(("no_username", _present(v, "$.actor.username")
-                       & _present(v, "$.transactions[0].target.username")))
+        checks.append(("no_username", F.col("a.username").isNotNull() & F.col("t.username").isNotNull()))
     checks += [
-        ("falsy_target", _truthy(v, "$.transactions[0].target.id")),
-        ("no_message", _present(v, "$.message")),
-        ("no_time", _present(v, "$.updated_time")),
+        ("falsy_target", _truthy(F.col("t.id"))),
+        ("no_message", F.col("r.message").isNotNull()),
+        ("no_time", F.col("r.updated_time").isNotNull()),
     ]
     return checks
 
@@ -82,40 +83,46 @@ def parse_payments(lines: DataFrame, variant: str = "B", extra: dict[str, str] |
 
     ``payments`` has the PAYMENT columns plus ``file_path``, ``doc_id`` and
     any ``extra`` name -> JSON path.  ``rejects`` has ``(value, file_path,
-    reason)``.  Both come from one scan when the caller persists ``lines``.
+    reason)``.  Each line is parsed once; the record is cast once into a
+    struct of sub-variants (top level, actor, first target) and every rule
+    and field reads those.
     """
     if variant not in ("A", "B"):
         raise ValueError("variant is 'A' (four fields) or 'B' (six fields)")
     v = F.try_parse_json(F.col("value"))
-    checks = _fields(F.col("v"), variant)
-    reason = F.coalesce(*[F.when(~F.coalesce(ok, F.lit(False)), F.lit(name)) for name, ok in checks])
-
-    def get(path: str) -> Column:
-        return F.try_variant_get(F.col("v"), path, "string")
-
-    names = (get("$.actor.username"), get("$.transactions[0].target.username")) if variant == "B" \
+    staged = lines.select("value", "file_path", v.alias("v"))
+    staged = staged.select("value", "file_path", "v",
+                           F.try_variant_get("v", "$", _TOP).alias("r"))
+    staged = staged.select("value", "file_path", "v", "r",
+                           F.try_variant_get("r.actor", "$", _PARTY).alias("a"),
+                           F.try_variant_get("r.transactions", "$[0].target", _PARTY).alias("t"))
+    reason = F.coalesce(*[F.when(~F.coalesce(ok, F.lit(False)), F.lit(name))
+                          for name, ok in _checks(variant)])
+
+    def text_of(c: str) -> Column:
+        return F.try_variant_get(F.col(c), "$", "string")
+
+    names = (text_of("a.username"), text_of("t.username")) if variant == "B" \
         else (F.lit(None).cast("string"), F.lit(None).cast("string"))
     named = [
-        ("actor_id", get("$.actor.id")),
+        ("actor_id", text_of("a.id")),
         ("actor_name", names[0]),
-        ("target_id", get("$.transactions[0].target.id")),
+        ("target_id", text_of("t.id")),
         ("target_name", names[1]),
-        ("message", get("$.message")),
-        ("time_sended", F.try_to_timestamp(get("$.updated_time"), F.lit(TIME_FORMAT))
+        ("message", text_of("r.message")),
+        ("time_sended", F.try_to_timestamp(text_of("r.updated_time"), F.lit(TIME_FORMAT))
          .cast("timestamp_ntz")),
         ("file_path", F.col("file_path")),
         # content hash of the source line: stable across reruns; identical
         # lines of one file share it (they are indistinguishable documents)
         ("doc_id", F.sha2(F.concat_ws("\n", "file_path", "value"), 256).substr(1, 32)),
     ]
-    named += [(n, get(p)) for n, p in (extra or {}).items()]
-    cols = [c.alias(n) for n, c in named]
+    named += [(n, F.try_variant_get(F.col("v"), p, "string")) for n, p in (extra or {}).items()]
     names_out = [n for n, _ in named]
-    parsed = lines.select("value", "file_path", v.alias("v"))
     # One-element generator as a fence: filters on its output cannot be
     # pushed beneath it, so every line is parsed once, not once per check.
-    rec = parsed.select(F.inline(F.array(F.struct(
-        F.col("value"), reason.alias("reason"), *cols))))
+    rec = staged.select(F.inline(F.array(F.struct(
+        F.col("value"), reason.alias("reason"), *[c.alias(n) for n, c in named]))))
     good = rec.filter(F.col("reason").isNull()).select(*names_out)
     bad = rec.filter(F.col("reason").isNotNull()).select("value", "file_path", "reason") \
         if keep_rejects else None

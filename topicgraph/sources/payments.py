@@ -104,8 +104,9 @@ def payment_json_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """
     p = payment_lines(spark, sf_dir)
 
-    def js(c: Column) -> Column:  # JSON string literal of a column
-        return F.regexp_extract(F.to_json(F.array(c)), r"^\[(.*)\]$", 1)
+    def js(c: Column) -> Column:  # JSON string literal of a column: strip [ ] of a 1-array
+        a = F.to_json(F.array(c))
+        return a.substr(F.lit(2), F.length(a) - 2)
 
     n, flag = F.col("l_linenumber"), F.col("l_returnflag")
     actor_id, target_id = js(F.col("actor_id")), js(F.col("target_id"))
