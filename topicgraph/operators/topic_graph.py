@@ -73,7 +73,8 @@ def histogram(values: DataFrame, col: str, start: int, cap: int = HIST_CAP) -> D
               .select(F.when(big & (F.col("v") >= cap), F.lit(cap)).otherwise(F.col("v")).alias("pos"),
                       "n")
               .groupBy("pos").agg(F.sum("n").alias("n")))
-    last = F.least(F.col("mx"), F.lit(cap))
+    # least() skips NULLs: an empty input (NULL maximum) must give no bins
+    last = F.when(F.col("mx").isNotNull(), F.least(F.col("mx"), F.lit(cap)))
     spine = mx.select("mx", F.explode(F.when(last >= start, F.sequence(F.lit(start), last))
                                       .otherwise(F.array().cast("array<bigint>"))).alias("pos"))
     spine = spine.withColumn("pos", F.col("pos").cast("long"))
