@@ -34,11 +34,16 @@ def topic_trend(matched: DataFrame, window: str = "7 days", slide: str | None =
 
 def topic_trend_stream(matched_stream: DataFrame, window: str = "7 days", slide: str | None = None,
                        watermark: str = "1 day") -> DataFrame:
-    """Streaming: same windows with a watermark; users approximate."""
-    sides = (matched_stream.withWatermark("time_sended", watermark)
-             .select(_win(window, slide).alias("w"), "actor_id", "target_id"))
+    """Streaming: same windows with a watermark; users approximate.
+
+    Watermarks need an instant (``TIMESTAMP``): the wall-clock NTZ event
+    time is read in the session time zone (UTC in our sessions) and window
+    bounds are returned as NTZ again, so they equal the batch ones."""
+    ev = matched_stream.withColumn("event_time", F.col("time_sended").cast("timestamp"))
+    w = (F.window("event_time", window, slide) if slide else F.window("event_time", window))
+    sides = ev.withWatermark("event_time", watermark).select(w.alias("w"), "actor_id", "target_id")
     return (sides.groupBy("w")
             .agg(F.count("*").alias("payments"),
                  F.approx_count_distinct(F.concat_ws("\u0000", "actor_id", "target_id")).alias("pairs"))
-            .select(F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"),
-                    "payments", "pairs"))
+            .select(F.col("w.start").cast("timestamp_ntz").alias("window_start"),
+                    F.col("w.end").cast("timestamp_ntz").alias("window_end"), "payments", "pairs"))
