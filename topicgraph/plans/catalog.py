@@ -900,3 +900,73 @@ def q_cypher_edges(spark, sf):
 @register("cypher_types", _with(sql_mg()) + "SELECT DISTINCT 'FLAG_' || l_returnflag AS type FROM payment_lines")
 def q_cypher_types(spark, sf):
     return GF.cypher_types(GF.read_cypher_result(spark, _cypher_path(spark, sf)))
+
+
+# ---------------------------------------------------------------------------
+# P5 phrase, X2 standard analyser, X8 UI time, X7 emoji dimension, X3 index, R2
+
+PHRASE = "hot gear"
+_SEP = "chr(31)"
+
+
+@register("topic_phrase", _with(O.payment_lines_cte()) +
+          f"SELECT {PAYMENT_ID_SQL} AS payment_id, message FROM payment_lines WHERE {_win()} AND "
+          f"instr({_SEP} || array_to_string({O.analyze('message')}, {_SEP}) || {_SEP}, "
+          f"{_SEP} || {' || chr(31) || '.join(O.q(t) for t in text.analyze_text(PHRASE))} || {_SEP}) > 0")
+def q_topic_phrase(spark, sf):
+    df = payment_lines(spark, sf)
+    return (S.match_topic(df, PHRASE, T0, T1, mode="match_phrase")
+            .select(payment_id().alias("payment_id"), "message"))
+
+
+@register("standard_tokens", _with(
+    O.payment_lines_cte(),
+    f"b AS (SELECT {PAYMENT_ID_SQL} AS payment_id, list_filter(string_split_regex(lower(message), "
+    f"{O.q(text.WORD_SPLIT)}), lambda t: length(t) >= 1) AS toks FROM payment_lines)") +
+    "SELECT payment_id, CAST(unnest(range(len(toks))) AS INTEGER) AS pos, unnest(toks) AS token FROM b")
+def q_standard_tokens(spark, sf):
+    p = payment_lines(spark, sf).select(payment_id().alias("payment_id"),
+                                        text.analyze_standard("message").alias("t"))
+    return p.select("payment_id", F.posexplode("t").alias("pos", "token"))
+
+
+@register("ui_time", "SELECT o_orderkey, strftime(o_orderdate + to_minutes(o_orderkey % 1440), "
+          "'%Y-%m-%d %H:%M:%S') AS parsed FROM orders")
+def q_ui_time(spark, sf):
+    o = table(spark, sf, "orders")
+    ts = F.expr("o_orderdate + make_dt_interval(0, 0, o_orderkey % 1440, 0)")
+    ui = F.date_format(ts, "M/d/yyyy h:mm a")          # the search form's format
+    return o.select("o_orderkey", F.date_format(text.parse_ui_time(ui), "yyyy-MM-dd HH:mm:ss").alias("parsed"))
+
+
+def _emoji_dim_sql() -> str:
+    rows = ", ".join(f"({O.q(c)}, {O.q(ch)}, {cat})" for c, ch, _s, cat in emoji.emoji_rows())
+    return f"dim(code, ch, category) AS (VALUES {rows})"
+
+
+@register("emoji_usage", _with(
+    O.payment_lines_cte(), _emoji_dim_sql(),
+    f"t AS (SELECT unnest({O.analyze('message')}) AS token FROM payment_lines)") +
+    "SELECT d.code, d.ch AS emoji, CAST(d.category AS INTEGER) AS category, count(*) AS n "
+    "FROM t JOIN dim d ON d.ch = t.token GROUP BY d.code, d.ch, d.category")
+def q_emoji_usage(spark, sf):
+    toks = payment_lines(spark, sf).select(F.explode(text.analyze("message")).alias("token"))
+    dim = F.broadcast(text.emoji_dim(spark).select("code", F.col("char").alias("emoji"), "category"))
+    return (toks.join(dim, toks.token == dim.emoji)
+            .groupBy("code", "emoji", "category").agg(F.count("*").alias("n")))
+
+
+@register("token_index_search", _with(O.payment_lines_cte()) +
+          f"SELECT DISTINCT {PAYMENT_ID_SQL} AS payment_id FROM payment_lines "
+          f"WHERE list_contains({O.expanded(O.analyze('message'))}, 'hot')")
+def q_token_index_search(spark, sf):
+    p = payment_lines(spark, sf).select(payment_id().alias("payment_id"),
+                                        text.analyze("message").alias("tokens"))
+    path = scratch_path(spark, "token_index")
+    S.build_token_index(text.token_table(p, ["payment_id"]), path)
+    return S.docs_with_tokens(spark.read.parquet(path), ["hot"], ["payment_id"])
+
+
+@register("explanation_json")
+def q_explanation_json(spark, sf):
+    return S.explanation_json(_r1(spark, sf))
