@@ -103,3 +103,13 @@ def test_streaming_ingest_equals_batch(spark, tmp_dir):
     assert got.count() == good.count() == 2 * sum(1 for *_, r in LINES if r is None)
     assert sorted(r[0] for r in got.select("target_id").collect()) == \
         sorted(r[0] for r in good.select("target_id").collect())
+
+
+def test_ensure_table_then_write(spark, tmp_dir):
+    loc = os.path.join(tmp_dir, "tbl")
+    ingest.ensure_table(spark, "payments_idx", loc)
+    ingest.ensure_table(spark, "payments_idx", loc)          # idempotent
+    cols = [f.name for f in spark.table("payments_idx").schema.fields]
+    assert cols[:6] == ["actor_id", "actor_name", "target_id", "target_name", "message", "time_sended"]
+    assert "day" in cols and "tokens" in cols
+    spark.sql("DROP TABLE payments_idx")
