@@ -8,6 +8,8 @@ splits skewed join partitions.  Every round's edge set is checkpointed to
 the reliable checkpoint directory, so lineage stays one round deep and a lost
 executor recomputes at most one round.  The only value returned to the
 driver per round is a boolean (is the edge set a set of stars?).
+(A round's edge set is usually far smaller than the input after the first
+contraction, so the per-round checkpoint write is cheap.)
 """
 
 from __future__ import annotations
