@@ -70,7 +70,19 @@ def analyze(message: Column | str) -> Column:
     """Message -> base tokens (array<string>, NULL for a NULL message)."""
     msg = F.col(message) if isinstance(message, str) else message
     toks = F.regexp_extract_all(F.replace(msg, F.lit("\u200d"), F.lit("")), F.lit(TOKEN_RUN), 0)
-    return F.filter(F.transform(toks, _token), lambda t: F.length(t) >= 1)
+    # array_remove is code-generated; a filter lambda would run interpreted
+    return F.array_remove(F.transform(toks, _token), "")
+
+
+def with_tokens(df, message: str = "message", out: str = "tokens", keep: list[str] | None = None):
+    """``df`` with ``out = analyze(message)`` computed once per row.
+
+    The tokens come out of a one-element generator, so later filters and
+    projections that read them cannot be rewritten to re-run the analyser
+    (filter push-down and project collapsing would otherwise inline it into
+    every use)."""
+    cols = keep if keep is not None else df.columns
+    return df.select(*cols, F.inline(F.array(F.struct(analyze(message).alias(out)))))
 
 
 def analyze_standard(message: Column | str) -> Column:

@@ -158,8 +158,7 @@ def explained_search(docs: DataFrame, topic: str, t0, k: int = 10, doc_id: str =
             s.update(e for e, ws in syn.items() if t in ws)
         carriers[t] = sorted(s)
 
-    base = docs.select(doc_id, message, "time_sended",
-                       text.analyze(message).alias("tokens"))
+    base = text.with_tokens(docs.select(doc_id, message, "time_sended"), message)
     base = base.withColumn("dl", F.size("tokens"))
     tfs = [F.size(F.filter("tokens", _member_of(c))).alias(f"tf{i}")
            for i, c in enumerate(carriers.values())]
