@@ -183,3 +183,13 @@ def test_shortest_paths(g):
     hops = {r["id"]: r["hops"] for r in shortest_paths(g, "c").collect()}   # directed, by hops
     assert hops == {"c": 0, "n1": 1, "n2": 2}
     assert shortest_path(g, "c", "iso") is None
+
+
+def test_add_method_rejects_duplicates(g):
+    MultiGraph.add_method("edge_count_for_test", lambda graph: graph.edges.count())
+    assert g.edge_count_for_test() == len(EDGES)
+    with pytest.raises(ValueError):
+        MultiGraph.add_method("edge_count_for_test", lambda graph: 0)
+    with pytest.raises(ValueError):
+        MultiGraph.add_method("degrees", lambda graph: 0)
+    assert g.pipe(lambda graph, k: graph.nodes.count() + k, 1) == len(NODES) + 1

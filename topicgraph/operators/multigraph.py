@@ -24,11 +24,31 @@ def _ids_df(spark, ids) -> DataFrame:
     return spark.createDataFrame([(str(i),) for i in ids], "id string")
 
 
+_METHODS: dict = {}
+
+
 @dataclass
 class MultiGraph:
     nodes: DataFrame
     edges: DataFrame
 
+    # E3 -----------------------------------------------------------------
+    @classmethod
+    def add_method(cls, name: str, fn) -> None:
+        """Register ``fn(graph, *args)`` as ``graph.name(*args)``; names
+        already taken (built-in or registered) are rejected."""
+        if not isinstance(name, str) or not name:
+            raise ValueError("a method name must be a non-empty string")
+        if hasattr(cls, name) or name in _METHODS:
+            raise ValueError(f"method {name!r} already exists")
+        _METHODS[name] = fn
+        setattr(cls, name, lambda self, *a, **k: fn(self, *a, **k))
+
+    def pipe(self, fn, *args, **kwargs):
+        """Apply a plain function over the graph (``DataFrame.transform`` for
+        two frames)."""
+        return fn(self, *args, **kwargs)
+
     @property
     def spark(self):
         return self.nodes.sparkSession

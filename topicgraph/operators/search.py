@@ -117,6 +117,22 @@ def docs_with_tokens(index: DataFrame, tokens: list[str], id_cols: list[str]) ->
     return index.filter(F.col("token").isin(*tokens)).select(*id_cols).distinct()
 
 
+def index_stats(token_rows: DataFrame, id_col: str = "doc_id") -> DataFrame:
+    """Per token ``df`` (documents holding it) and ``tf`` (occurrences).
+
+    One aggregate keyed by token; ``count_distinct`` is planned as a
+    two-level aggregate (dedup on ``(token, doc)`` first), so a very common
+    token is pre-reduced per task instead of landing on one reducer whole."""
+    return token_rows.groupBy("token").agg(F.count_distinct(id_col).alias("df"),
+                                           F.count("*").alias("tf"))
+
+
+def field_stats(docs: DataFrame, tokens: str = "tokens") -> DataFrame:
+    """``(n_docs, avgdl)`` over documents with an indexed field."""
+    return docs.filter(F.col(tokens).isNotNull()).agg(
+        F.count("*").alias("n_docs"), F.avg(F.size(tokens)).alias("avgdl"))
+
+
 def sample_messages(matched: DataFrame, n: int = 20) -> DataFrame:
     """The first ``n`` hits in a fixed order (top-k, not a full sort)."""
     order = ["time_sended", "actor_id", "target_id", "message"]

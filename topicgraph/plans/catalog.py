@@ -861,9 +861,13 @@ def q_gexf_edges(spark, sf):
                           F.col("id").startswith("e").alias("generated_id"))
 
 
+CYPHER_DOCS = 8
+
+
 def _cypher_path(spark, sf) -> str:
-    """A Cypher result document: one data row per payment with its two
-    customers (ids repeat across rows) and the payment relationship."""
+    """Cypher result documents, one per file (``CYPHER_DOCS`` files, split
+    by a hash of the payment id): one data row per payment with its two
+    customers (ids repeat across rows and files) and the relationship."""
     p = payment_lines(spark, sf)
     node = lambda i, n: F.struct(F.col(i).alias("id"),
                                  F.array(F.lit("Customer")).alias("labels"),
@@ -871,13 +875,14 @@ def _cypher_path(spark, sf) -> str:
     rel = F.struct(payment_id().alias("id"), F.concat(F.lit("FLAG_"), F.col("l_returnflag")).alias("type"),
                    F.col("actor_id").alias("startNode"), F.col("target_id").alias("endNode"),
                    F.create_map(F.lit("message"), F.col("message")).alias("properties"))
-    data = p.select(F.struct(F.struct(F.array(node("actor_id", "actor_name"), node("target_id", "target_name"))
+    data = p.select(F.pmod(F.xxhash64(payment_id()), F.lit(CYPHER_DOCS)).alias("b"),
+                    F.struct(F.struct(F.array(node("actor_id", "actor_name"), node("target_id", "target_name"))
                                       .alias("nodes"), F.array(rel).alias("relationships"))
                              .alias("graph")).alias("d"))
-    doc = data.agg(F.collect_list("d").alias("data")).select(
+    doc = data.groupBy("b").agg(F.collect_list("d").alias("data")).select("b",
         F.to_json(F.struct(F.array(F.struct(F.col("data").alias("data"))).alias("results"))).alias("v"))
     path = scratch_path(spark, "cypher")
-    doc.coalesce(1).write.mode("overwrite").text(path)
+    doc.write.mode("overwrite").partitionBy("b").text(path)
     return path
 
 
@@ -970,3 +975,46 @@ def q_token_index_search(spark, sf):
 @register("explanation_json")
 def q_explanation_json(spark, sf):
     return S.explanation_json(_r1(spark, sf))
+
+
+# ---------------------------------------------------------------------------
+# A14 index statistics; K1 K2 as streaming queries (checked against batch SQL)
+
+
+@register("index_stats", _with(O.payment_lines_cte(),
+          f"t AS (SELECT {PAYMENT_ID_SQL} AS doc_id, unnest({O.analyze('message')}) AS token FROM payment_lines)") +
+          "SELECT token, count(DISTINCT doc_id) AS df, count(*) AS tf FROM t GROUP BY token")
+def q_index_stats(spark, sf):
+    p = payment_lines(spark, sf).select(payment_id().alias("doc_id"), text.analyze("message").alias("tokens"))
+    return S.index_stats(text.token_table(p, ["doc_id"], with_synonyms=False))
+
+
+@register("stream_ingest_payments", ORACLES["ingest_payments"])
+def q_stream_ingest_payments(spark, sf):
+    from ..streaming import ingest_stream
+    src = scratch_path(spark, "stream_in")
+    payment_json_lines(spark, sf).select("value").write.text(src)
+    out, ck = scratch_path(spark, "stream_out"), scratch_path(spark, "stream_ck")
+    good, _ = ingest.parse_payments(ingest_stream.read_stream(spark, src), "B",
+                                    extra={"payment_id": "$.payment_id"}, keep_rejects=False)
+    q = (good.select("payment_id", *PAYMENT_COLUMNS).writeStream.format("parquet")
+         .option("path", out).option("checkpointLocation", ck).trigger(availableNow=True).start())
+    q.awaitTermination()
+    return fmt_ts(spark.read.parquet(out), "time_sended")
+
+
+@register("stream_topic_trend", _with(O.payments_cte(), sql_matched(window=False)) +
+          "SELECT strftime(w, '%Y-%m-%d %H:%M:%S') AS window_start, count(*) AS payments FROM "
+          "(SELECT time_bucket(INTERVAL '7 days', time_sended, TIMESTAMP '1970-01-01') AS w FROM matched) "
+          "GROUP BY w")
+def q_stream_topic_trend(spark, sf):
+    m = matched(spark, sf, t0=None, t1=None)
+    src = scratch_path(spark, "trend_in")
+    m.write.parquet(src)
+    name = "trend_" + src.rsplit("-", 1)[-1]
+    q = (trend.topic_trend_stream(spark.readStream.schema(m.schema).parquet(src), TREND_WINDOW,
+                                  watermark="3650 days")
+         .writeStream.outputMode("complete").format("memory").queryName(name)
+         .trigger(availableNow=True).start())
+    q.awaitTermination()
+    return fmt_ts(spark.table(name).select("window_start", "payments"), "window_start")
