@@ -790,11 +790,15 @@ def q_graph_json_edges(spark, sf):
     return GF.read_graph_json(spark, path).edges.select("id", "source", "target", "size")
 
 
+GEXF_DOCS = 8
+
+
 def _gexf_path(spark, sf) -> str:
-    """A GEXF document written from the payment multigraph: node attributes
-    nation (integer) and segment (string, default NONE, given only for
-    segments other than BUILDING); lines of flag N carry no edge id and lines
-    of flag A no type."""
+    """GEXF documents written from the payment multigraph, split by a hash of
+    the node/edge id into ``GEXF_DOCS`` complete documents (one per file,
+    each written by its own task): node attributes nation (integer) and
+    segment (string, default NONE, given only for segments other than
+    BUILDING); lines of flag N carry no edge id and lines of flag A no type."""
     g = mg_all(spark, sf)
     cust = table(spark, sf, "customer").select(F.col("c_custkey").cast("string").alias("id"),
                                                "c_nationkey", "c_mktsegment")
@@ -803,7 +807,8 @@ def _gexf_path(spark, sf) -> str:
     seg = F.when(F.col("c_mktsegment") != "BUILDING",
                  F.concat(F.lit('<attvalue for="1" value="'), esc(F.col("c_mktsegment")), F.lit('"/>'))
                  ).otherwise(F.lit(""))
-    node_xml = nodes.select(F.lit(2).alias("k"), F.col("id").alias("o"), F.concat(
+    bucket = lambda c: F.pmod(F.xxhash64(c), F.lit(GEXF_DOCS))
+    node_xml = nodes.select(bucket(F.col("id")).alias("b"), F.lit(2).alias("k"), F.col("id").alias("o"), F.concat(
         F.lit('<node id="'), esc(F.col("id")), F.lit('" label="'), esc(F.col("label")), F.lit('">'),
         F.lit('<attvalues><attvalue for="0" value="'), F.col("c_nationkey").cast("string"), F.lit('"/>'),
         seg, F.lit("</attvalues>"),
@@ -813,7 +818,7 @@ def _gexf_path(spark, sf) -> str:
     idattr = F.when(F.col("l_returnflag") == "N", F.lit("")).otherwise(
         F.concat(F.lit(' id="'), payment_id(), F.lit('"')))
     typ = F.when(F.col("l_returnflag") == "A", F.lit("")).otherwise(F.lit(' type="directed"'))
-    edge_xml = lines.select(F.lit(4).alias("k"), payment_id().alias("o"), F.concat(
+    edge_xml = lines.select(bucket(payment_id()).alias("b"), F.lit(4).alias("k"), payment_id().alias("o"), F.concat(
         F.lit("<edge"), idattr, F.lit(' source="'), F.col("actor_id"), F.lit('" target="'),
         F.col("target_id"), F.lit('"'), typ, F.lit(' weight="'), F.col("l_linenumber").cast("string"),
         F.lit('"/>')).alias("v"))
@@ -827,9 +832,11 @@ def _gexf_path(spark, sf) -> str:
                  '</attributes><nodes>'),
         (3, "0", "</nodes><edges>"),
         (5, "0", "</edges></graph></gexf>")], "k int, o string, v string")
-    doc = fixed.unionByName(node_xml).unionByName(edge_xml).orderBy("k", "o").coalesce(1)
+    fixed = fixed.crossJoin(spark.range(GEXF_DOCS).select(F.col("id").alias("b")))  # header per document
+    doc = (fixed.unionByName(node_xml).unionByName(edge_xml)
+           .repartition(GEXF_DOCS, "b").sortWithinPartitions("b", "k", "o"))
     path = scratch_path(spark, "gexf")
-    doc.select("v").write.mode("overwrite").text(path)
+    doc.select("b", "v").write.mode("overwrite").partitionBy("b").text(path)
     return path
 
 
