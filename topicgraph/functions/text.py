@@ -226,10 +226,32 @@ def emoji_to_shortcode(text: Column | str) -> Column:
     return F.aggregate(found, t, lambda acc, c: F.replace(acc, c, F.coalesce(F.element_at(lut, c), c)))
 
 
+# fixed values: the search form's time format and the ingest's ISO format
+UI_TIME = r"^\s*(\d{1,2})/(\d{1,2})/(\d{4}) (\d{1,2}):(\d{1,2}) ([AaPp][Mm])\s*$"
+ISO_TIME = r"^(\d{4})-(\d{2})-(\d{2})T(\d{2}):(\d{2}):(\d{2}(?:\.\d+)?)Z$"
+
+
+def _part(t: Column, pattern: str, i: int, typ: str = "int") -> Column:
+    return F.regexp_extract(t, pattern, i).try_cast(typ)
+
+
 def parse_ui_time(text: Column | str) -> Column:
-    """``%m/%d/%Y %I:%M %p`` -> timestamp_ntz (NULL when malformed)."""
+    """``%m/%d/%Y %I:%M %p`` -> timestamp_ntz, wall clock as written (no
+    zone conversion); NULL when malformed or not a real date/time."""
+    t = F.col(text) if isinstance(text, str) else text
+    hour12 = _part(t, UI_TIME, 4)
+    pm = F.upper(F.regexp_extract(t, UI_TIME, 6)) == "PM"
+    hour = F.when((hour12 >= 1) & (hour12 <= 12), hour12 % 12 + F.when(pm, 12).otherwise(0))
+    return F.try_make_timestamp_ntz(_part(t, UI_TIME, 3), _part(t, UI_TIME, 1), _part(t, UI_TIME, 2),
+                                    hour, _part(t, UI_TIME, 5), F.lit(0))
+
+
+def parse_iso_time(text: Column | str) -> Column:
+    """``yyyy-MM-ddTHH:mm:ss[.f]Z`` -> timestamp_ntz (the UTC wall clock)."""
     t = F.col(text) if isinstance(text, str) else text
-    return F.try_to_timestamp(F.upper(F.trim(t)), F.lit("M/d/yyyy h:mm a")).cast("timestamp_ntz")
+    return F.try_make_timestamp_ntz(_part(t, ISO_TIME, 1), _part(t, ISO_TIME, 2), _part(t, ISO_TIME, 3),
+                                    _part(t, ISO_TIME, 4), _part(t, ISO_TIME, 5),
+                                    _part(t, ISO_TIME, 6, "decimal(16,6)"))
 
 
 def relative_size(degree: Column | str, initial: float = 1.0) -> Column:

@@ -26,7 +26,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.text import analyze
+from ..functions.text import analyze, parse_iso_time
 
 TIME_FORMAT = "yyyy-MM-dd'T'HH:mm:ss'Z'"
 REASONS = ("bad_json", "no_target", "no_actor", "no_username", "falsy_target",
@@ -110,8 +110,7 @@ def parse_payments(lines: DataFrame, variant: str = "B", extra: dict[str, str] |
         ("target_id", text_of("t.id")),
         ("target_name", names[1]),
         ("message", text_of("r.message")),
-        ("time_sended", F.try_to_timestamp(text_of("r.updated_time"), F.lit(TIME_FORMAT))
-         .cast("timestamp_ntz")),
+        ("time_sended", parse_iso_time(text_of("r.updated_time"))),
         ("file_path", F.col("file_path")),
         # content hash of the source line: stable across reruns; identical
         # lines of one file share it (they are indistinguishable documents)

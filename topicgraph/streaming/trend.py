@@ -37,13 +37,21 @@ def topic_trend_stream(matched_stream: DataFrame, window: str = "7 days", slide:
     """Streaming: same windows with a watermark; users approximate.
 
     Watermarks need an instant (``TIMESTAMP``): the wall-clock NTZ event
-    time is read in the session time zone (UTC in our sessions) and window
-    bounds are returned as NTZ again, so they equal the batch ones."""
-    ev = matched_stream.withColumn("event_time", F.col("time_sended").cast("timestamp"))
+    time is taken as UTC through its epoch microseconds (independent of the
+    session time zone) and window bounds go back the same way, so they
+    equal the batch windows on the NTZ column."""
+    micros = F.expr("timestampdiff(MICROSECOND, TIMESTAMP_NTZ'1970-01-01 00:00:00', time_sended)")
+    ev = matched_stream.withColumn("event_time", F.timestamp_micros(micros))
     w = (F.window("event_time", window, slide) if slide else F.window("event_time", window))
     sides = ev.withWatermark("event_time", watermark).select(w.alias("w"), "actor_id", "target_id")
     return (sides.groupBy("w")
             .agg(F.count("*").alias("payments"),
                  F.approx_count_distinct(F.concat_ws("\u0000", "actor_id", "target_id")).alias("pairs"))
-            .select(F.col("w.start").cast("timestamp_ntz").alias("window_start"),
-                    F.col("w.end").cast("timestamp_ntz").alias("window_end"), "payments", "pairs"))
+            .select(_ntz(F.col("w.start")).alias("window_start"), _ntz(F.col("w.end")).alias("window_end"),
+                    "payments", "pairs"))
+
+
+def _ntz(instant):
+    """Instant -> NTZ wall clock in UTC, without the session time zone."""
+    return F.lit("1970-01-01 00:00:00").cast("timestamp_ntz") + F.make_dt_interval(
+        secs=(F.unix_micros(instant) / 1_000_000).cast("decimal(18,6)"))
