@@ -131,3 +131,26 @@ def test_empty_match_gives_empty_report(spark):
     assert rep.summary.first()["nodes"] == 0
     assert rep.degree_bars.count() == 0 and rep.component_bars.count() == 0
     assert rep.top_users.count() == 0 and rep.community_edges.count() == 0
+
+
+@pytest.mark.parametrize("seed", [5, 6])
+def test_one_pass_degrees_and_names_agree(spark, seed):
+    rnd = random.Random(seed)
+    ids = [f"u{i}" for i in range(40)]
+    p = payments(spark, [(rnd.choice(ids), rnd.choice(ids)) for _ in range(150)])
+    g = TopicGraph.from_payments(p)
+    two = {r["id"]: (r["name"], r["degree"]) for r in
+           G.degrees(g.edges).join(g.nodes, "id").collect()}
+    one = {r["id"]: (r["name"], r["degree"]) for r in G.degrees_and_names(p).collect()}
+    assert one == two
+    assert [tuple(r) for r in G.top_users_from_payments(p).collect()] == \
+        [tuple(r) for r in G.top_users(G.degrees(g.edges), g.nodes).collect()]
+
+
+def test_histogram_mass_equals_node_count(spark):
+    rnd = random.Random(9)
+    ids = [f"u{i}" for i in range(60)]
+    p = payments(spark, [(rnd.choice(ids[:5]), rnd.choice(ids)) for _ in range(200)])
+    deg = G.degrees(G.build_edges(p))
+    mass = sum(v for _, v in hist(G.degree_histogram(deg)) if v >= 1)
+    assert mass == deg.count()

@@ -39,6 +39,34 @@ def degrees(edges: DataFrame) -> DataFrame:
             .groupBy("id").agg(F.count("*").alias("degree")))
 
 
+def degrees_and_names(payments: DataFrame) -> DataFrame:
+    """A2+A3 in one pass over the payments: ``(id, name, degree)``.
+
+    Each payment gives two sides ``(id, partner)``; one aggregate on
+    ``(id, partner)`` makes partners distinct (map-side combined, so a hub's
+    repeated partners are reduced before the shuffle), a second on ``id``
+    counts them (a self-loop twice, as in A3) and keeps the name of the
+    earliest payment."""
+    first = F.struct("time_sended", "name")
+    sides = payments.select(F.explode(F.array(
+        F.struct(F.col("actor_id").alias("id"), F.col("target_id").alias("partner"),
+                 F.col("actor_name").alias("name"), "time_sended"),
+        F.struct(F.col("target_id").alias("id"), F.col("actor_id").alias("partner"),
+                 F.col("target_name").alias("name"), "time_sended"))).alias("s")).select("s.*")
+    pairs = sides.groupBy("id", "partner").agg(F.min(first).alias("first"))
+    return pairs.groupBy("id").agg(
+        F.min("first").getField("name").alias("name"),
+        (F.count("*") + F.sum(F.when(F.col("partner") == F.col("id"), 1).otherwise(0))).alias("degree"))
+
+
+def top_users_from_payments(payments: DataFrame, k: int = 10) -> DataFrame:
+    """T1 with J1 folded in: one scan of the matched payments."""
+    d = degrees_and_names(payments)
+    return (d.orderBy(F.desc("degree"), F.asc("id")).limit(k)
+            .select(F.col("id").alias("user_id"), F.col("name").alias("user_name"),
+                    F.col("degree").alias("degrees")))
+
+
 def graph_summary(nodes: DataFrame, edges: DataFrame) -> DataFrame:
     """One row ``(nodes, edges, density)``; density 2m/(n(n-1)),
     0 when n <= 1."""

@@ -186,8 +186,7 @@ def q_graph_summary(spark, sf):
           "SELECT d.id AS user_id, n.name AS user_name, d.degree AS degrees FROM deg d JOIN nodes n USING (id) "
           "ORDER BY d.degree DESC, d.id LIMIT 10")
 def q_top_users(spark, sf):
-    _, nodes, edges = graph(spark, sf)
-    return G.top_users(G.degrees(edges), nodes)
+    return G.top_users_from_payments(matched(spark, sf))
 
 
 @register("degree_histogram", _with(sql_graph()) + "SELECT * FROM (" + sql_histogram("deg", "degree", 1) + ")")
