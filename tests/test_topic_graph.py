@@ -154,3 +154,11 @@ def test_histogram_mass_equals_node_count(spark):
     deg = G.degrees(G.build_edges(p))
     mass = sum(v for _, v in hist(G.degree_histogram(deg)) if v >= 1)
     assert mass == deg.count()
+
+
+def test_pages_stream_the_result(spark):
+    from topicgraph.operators.search import pages
+    df = spark.range(25).repartition(3)
+    got = list(pages(df, 10))
+    assert [len(p) for p in got] == [10, 10, 5]
+    assert sorted(r.id for p in got for r in p) == list(range(25))

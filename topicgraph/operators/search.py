@@ -133,6 +133,19 @@ def field_stats(docs: DataFrame, tokens: str = "tokens") -> DataFrame:
         F.count("*").alias("n_docs"), F.avg(F.size(tokens)).alias("avgdl"))
 
 
+def pages(matched: DataFrame, size: int = 9999):
+    """S5 for paged consumers: yields lists of at most ``size`` rows, pulled
+    partition by partition (``toLocalIterator``), never the whole result."""
+    page = []
+    for row in matched.toLocalIterator(prefetchPartitions=True):
+        page.append(row)
+        if len(page) == size:
+            yield page
+            page = []
+    if page:
+        yield page
+
+
 def sample_messages(matched: DataFrame, n: int = 20) -> DataFrame:
     """The first ``n`` hits in a fixed order (top-k, not a full sort)."""
     order = ["time_sended", "actor_id", "target_id", "message"]

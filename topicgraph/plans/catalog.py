@@ -1024,3 +1024,42 @@ def q_stream_topic_trend(spark, sf):
          .trigger(availableNow=True).start())
     q.awaitTermination()
     return fmt_ts(spark.table(name).select("window_start", "payments"), "window_start")
+
+
+@register("edges_at", _with(sql_mg()) +
+          "SELECT e.id FROM mg_edges e JOIN mg_nodes a ON a.id = e.source JOIN mg_nodes b ON b.id = e.target "
+          f"WHERE least(a.x, b.x) - e.size <= {POINT[0]} AND greatest(a.x, b.x) + e.size >= {POINT[0]} "
+          f"AND least(a.y, b.y) - e.size <= {POINT[1]} AND greatest(a.y, b.y) + e.size >= {POINT[1]}")
+def q_edges_at(spark, sf):
+    return SP.edges_at(mg_all(spark, sf), *POINT).select("id")
+
+
+@register("cypher_labels", _with(sql_mg()) + "SELECT DISTINCT 'Customer' AS label FROM payment_lines")
+def q_cypher_labels(spark, sf):
+    return GF.cypher_labels(GF.read_cypher_result(spark, _cypher_path(spark, sf)))
+
+
+_EGO_BATCH_SQL = ",\n".join([
+    "centers AS (SELECT CAST(c_custkey AS VARCHAR) AS center_id FROM customer WHERE c_nationkey = 0)",
+    "bmembers AS (SELECT center_id, center_id AS id FROM centers UNION "
+    "SELECT c.center_id, e.target FROM centers c JOIN mg_edges e ON e.source = c.center_id UNION "
+    "SELECT c.center_id, e.source FROM centers c JOIN mg_edges e ON e.target = c.center_id)",
+])
+
+
+@register("egonet_batch_nodes", _with(sql_mg(topic=True), _EGO_BATCH_SQL) +
+          "SELECT center_id, id, id = center_id AS center FROM bmembers")
+def q_egonet_batch_nodes(spark, sf):
+    centers = table(spark, sf, "customer").filter("c_nationkey = 0").select(
+        F.col("c_custkey").cast("string").alias("id"))
+    return mg_topic(spark, sf).neighborhood(centers).nodes.select("center_id", "id", "center")
+
+
+@register("egonet_batch_edges", _with(sql_mg(topic=True), _EGO_BATCH_SQL) +
+          "SELECT s.center_id, e.id FROM mg_edges e JOIN bmembers s ON s.id = e.source "
+          "JOIN bmembers t ON t.id = e.target AND t.center_id = s.center_id "
+          "WHERE e.source <> e.target OR e.source = s.center_id")
+def q_egonet_batch_edges(spark, sf):
+    centers = table(spark, sf, "customer").filter("c_nationkey = 0").select(
+        F.col("c_custkey").cast("string").alias("id"))
+    return mg_topic(spark, sf).neighborhood(centers).edges.select("center_id", "id")

@@ -135,7 +135,7 @@ def with_index_columns(payments: DataFrame) -> DataFrame:
             .withColumn("day", F.to_date("time_sended")))
 
 
-def ensure_table(spark: SparkSession, name: str, location: str, buckets: int | None = None) -> None:
+def ensure_table(spark: SparkSession, name: str, location: str) -> None:
     """Create the payments table if absent (schema, layout, partitioning)."""
     spark.sql(f"""
         CREATE TABLE IF NOT EXISTS {name} (
