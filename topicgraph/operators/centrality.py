@@ -11,11 +11,13 @@ both directions.  Stop when every relative change is below ``eps`` (or after
 ``max_iter`` rounds).
 
 Per round: two join+aggregate passes over the distinct non-loop pairs (hash
-partitioned by endpoint, map-side combined, AQE splits hub skew), one
-one-row aggregate for the two sums, one for the convergence test.  The
-state (one row per node) is checkpointed every round: ``raw`` reads the
-state three times, so without a cut the plan would triple each round, and
-a lost executor recomputes at most one round.
+partitioned by endpoint, map-side combined, AQE splits hub skew) produce the
+unnormalised values, which are checkpointed (computed once, read by the
+rest of the round); the two sums come back as two driver scalars and the
+convergence test is one more aggregate over the checkpoint.  Cutting
+lineage every round matters twice: the round reads the state three times,
+so the plan would triple per round, and a lost executor recomputes at most
+one round.
 """
 
 from __future__ import annotations
@@ -66,11 +68,17 @@ def hits(nodes: DataFrame, edges: DataFrame, undirected: bool = False, eps: floa
                         .otherwise(F.lit(0.0)).alias("ra"),
                        F.when(F.col("is_hub"), F.lit(1.0) + F.coalesce("sa", F.lit(0.0)))
                         .otherwise(F.lit(0.0)).alias("rh")))
-        sums = raw.agg(F.sum("ra").alias("sum_a"), F.sum("rh").alias("sum_h"))
-        new = (raw.crossJoin(F.broadcast(sums))  # one row
-               .select("id", "is_auth", "is_hub", "a0", "h0",
-                       (F.col("ra") / F.col("sum_a")).alias("authority"),
-                       (F.col("rh") / F.col("sum_h")).alias("hub"))).checkpoint()
+        # the joins run once: raw is checkpointed, and both the sums and the
+        # convergence test read the checkpoint
+        raw = raw.checkpoint()
+        sums = raw.agg(F.sum("ra").alias("sum_a"), F.sum("rh").alias("sum_h")).first()
+        if sums is None or sums["sum_a"] is None:
+            state = raw.select("id", "is_auth", "is_hub", F.lit(0.0).alias("authority"),
+                               F.lit(0.0).alias("hub"))
+            break
+        new = raw.select("id", "is_auth", "is_hub", "a0", "h0",
+                         (F.col("ra") / F.lit(sums["sum_a"])).alias("authority"),
+                         (F.col("rh") / F.lit(sums["sum_h"])).alias("hub"))
         change = new.select(F.greatest(
             F.when(F.col("is_auth"), F.abs((F.col("authority") - F.col("a0")) / F.col("a0")))
              .otherwise(F.lit(0.0)),
