@@ -193,3 +193,22 @@ def test_add_method_rejects_duplicates(g):
     with pytest.raises(ValueError):
         MultiGraph.add_method("degrees", lambda graph: 0)
     assert g.pipe(lambda graph, k: graph.nodes.count() + k, 1) == len(NODES) + 1
+
+
+def test_table_forms_and_appends(spark, g):
+    ids = spark.createDataFrame([("n3",), ("far",)], "id string")
+    assert sorted(r["id"] for r in g.adjacent_edges_of(ids).collect()) == ["e8", "e9"]
+    rows = g.lookup_edges(["e9", "zz"]).collect()
+    assert [r["id"] for r in rows] == ["e9", None]
+    more = g.add_nodes(spark.createDataFrame([("new", "N", 1.0, 1.0, 1.0)],
+                                             "id string, label string, x double, y double, size double"))
+    more = more.add_edges(spark.createDataFrame([("e10", "new", "c", 1.0)],
+                                                "id string, source string, target string, size double"))
+    assert more.validate().count() == 0
+    with pytest.raises(ValueError):
+        more.add_edges(spark.createDataFrame([("e10", "new", "ghost", 1.0)],
+                                             "id string, source string, target string, size double"), check=True)
+    centers = spark.createDataFrame([("c",), ("n3",)], "id string")
+    ego = g.neighborhood(centers)
+    assert sorted((r["center_id"], r["id"]) for r in ego.nodes.collect()) == [
+        ("c", "c"), ("c", "n1"), ("c", "n2"), ("n3", "far"), ("n3", "n1"), ("n3", "n3")]
