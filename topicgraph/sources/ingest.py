@@ -28,7 +28,6 @@ from pyspark.sql import functions as F
 
 from ..functions.text import analyze, parse_iso_time
 
-TIME_FORMAT = "yyyy-MM-dd'T'HH:mm:ss'Z'"
 REASONS = ("bad_json", "no_target", "no_actor", "no_username", "falsy_target",
            "no_message", "no_time")
 
