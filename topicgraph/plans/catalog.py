@@ -881,11 +881,15 @@ def _cypher_path(spark, sf) -> str:
     rel = F.struct(payment_id().alias("id"), F.concat(F.lit("FLAG_"), F.col("l_returnflag")).alias("type"),
                    F.col("actor_id").alias("startNode"), F.col("target_id").alias("endNode"),
                    F.create_map(F.lit("message"), F.col("message")).alias("properties"))
-    data = p.select(F.pmod(F.xxhash64(payment_id()), F.lit(CYPHER_DOCS)).alias("b"),
+    data = p.select(F.pmod(F.xxhash64(payment_id()), F.lit(CYPHER_DOCS)).alias("b"), payment_id().alias("k"),
                     F.struct(F.struct(F.array(node("actor_id", "actor_name"), node("target_id", "target_name"))
                                       .alias("nodes"), F.array(rel).alias("relationships"))
                              .alias("graph")).alias("d"))
-    doc = data.groupBy("b").agg(F.collect_list("d").alias("data")).select("b",
+    # data rows in payment-id order, so "first wins" does not depend on shuffle order
+    by_k = F.array_sort(F.collect_list(F.struct("k", "d")),
+                        lambda a, b: F.when(a["k"] < b["k"], -1).when(a["k"] > b["k"], 1).otherwise(0))
+    ordered = F.transform(by_k, lambda x: x["d"])
+    doc = data.groupBy("b").agg(ordered.alias("data")).select("b",
         F.to_json(F.struct(F.array(F.struct(F.col("data").alias("data"))).alias("results"))).alias("v"))
     path = scratch_path(spark, "cypher")
     doc.write.mode("overwrite").partitionBy("b").text(path)
@@ -901,7 +905,7 @@ def q_cypher_nodes(spark, sf):
 
 
 @register("cypher_edges", _with(sql_mg()) +
-          f"SELECT {PAYMENT_ID_SQL} AS id, actor_id AS source, target_id AS target, "
+          f"SELECT DISTINCT {PAYMENT_ID_SQL} AS id, actor_id AS source, target_id AS target, "
           "'FLAG_' || l_returnflag AS type FROM payment_lines")
 def q_cypher_edges(spark, sf):
     g = GF.read_cypher_result(spark, _cypher_path(spark, sf))
