@@ -789,12 +789,9 @@ def q_graph_json_edges(spark, sf):
     return GF.read_graph_json(spark, path).edges.select("id", "source", "target", "size")
 
 
-GEXF_DOCS = 8
-
-
 def _gexf_path(spark, sf) -> str:
     """GEXF documents written from the payment multigraph, split by a hash of
-    the node/edge id into ``GEXF_DOCS`` complete documents (one per file,
+    the node/edge id into ``_doc_count`` complete documents (one per file,
     each written by its own task): node attributes nation (integer) and
     segment (string, default NONE, given only for segments other than
     BUILDING); lines of flag N carry no edge id and lines of flag A no type."""
@@ -806,7 +803,8 @@ def _gexf_path(spark, sf) -> str:
     seg = F.when(F.col("c_mktsegment") != "BUILDING",
                  F.concat(F.lit('<attvalue for="1" value="'), esc(F.col("c_mktsegment")), F.lit('"/>'))
                  ).otherwise(F.lit(""))
-    bucket = lambda c: F.pmod(F.xxhash64(c), F.lit(GEXF_DOCS))
+    docs = _doc_count(spark)
+    bucket = lambda c: F.pmod(F.xxhash64(c), F.lit(docs))
     node_xml = nodes.select(bucket(F.col("id")).alias("b"), F.lit(2).alias("k"), F.col("id").alias("o"), F.concat(
         F.lit('<node id="'), esc(F.col("id")), F.lit('" label="'), esc(F.col("label")), F.lit('">'),
         F.lit('<attvalues><attvalue for="0" value="'), F.col("c_nationkey").cast("string"), F.lit('"/>'),
@@ -831,9 +829,10 @@ def _gexf_path(spark, sf) -> str:
                  '</attributes><nodes>'),
         (3, "0", "</nodes><edges>"),
         (5, "0", "</edges></graph></gexf>")], "k int, o string, v string")
-    fixed = fixed.crossJoin(spark.range(GEXF_DOCS).select(F.col("id").alias("b")))  # header per document
+    heads = spark.range(docs).select(F.col("id").alias("b"))
+    fixed = fixed.crossJoin(F.broadcast(heads))  # five header/footer lines per document
     doc = (fixed.unionByName(node_xml).unionByName(edge_xml)
-           .repartition(GEXF_DOCS, "b").sortWithinPartitions("b", "k", "o"))
+           .repartition(docs, "b").sortWithinPartitions("b", "k", "o"))
     path = scratch_path(spark, "gexf")
     doc.select("b", "v").write.mode("overwrite").partitionBy("b").text(path)
     return path
@@ -867,13 +866,17 @@ def q_gexf_edges(spark, sf):
                           F.col("id").startswith("e").alias("generated_id"))
 
 
-CYPHER_DOCS = 8
+def _doc_count(spark) -> int:
+    """Documents per generated graph file set: one per shuffle partition, so
+    the document size follows the cluster's partition sizing."""
+    return max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
 
 
 def _cypher_path(spark, sf) -> str:
-    """Cypher result documents, one per file (``CYPHER_DOCS`` files, split
-    by a hash of the payment id): one data row per payment with its two
+    """Cypher result documents, one per file (split by a hash of the payment
+    id, ``_doc_count`` files): one data row per payment with its two
     customers (ids repeat across rows and files) and the relationship."""
+    docs = _doc_count(spark)
     p = payment_lines(spark, sf)
     node = lambda i, n: F.struct(F.col(i).alias("id"),
                                  F.array(F.lit("Customer")).alias("labels"),
@@ -881,7 +884,7 @@ def _cypher_path(spark, sf) -> str:
     rel = F.struct(payment_id().alias("id"), F.concat(F.lit("FLAG_"), F.col("l_returnflag")).alias("type"),
                    F.col("actor_id").alias("startNode"), F.col("target_id").alias("endNode"),
                    F.create_map(F.lit("message"), F.col("message")).alias("properties"))
-    data = p.select(F.pmod(F.xxhash64(payment_id()), F.lit(CYPHER_DOCS)).alias("b"), payment_id().alias("k"),
+    data = p.select(F.pmod(F.xxhash64(payment_id()), F.lit(docs)).alias("b"), payment_id().alias("k"),
                     F.struct(F.struct(F.array(node("actor_id", "actor_name"), node("target_id", "target_name"))
                                       .alias("nodes"), F.array(rel).alias("relationships"))
                              .alias("graph")).alias("d"))
