@@ -43,12 +43,15 @@ def topic_trend_stream(matched_stream: DataFrame, window: str = "7 days", slide:
     micros = F.expr("timestampdiff(MICROSECOND, TIMESTAMP_NTZ'1970-01-01 00:00:00', time_sended)")
     ev = matched_stream.withColumn("event_time", F.timestamp_micros(micros))
     w = (F.window("event_time", window, slide) if slide else F.window("event_time", window))
-    sides = ev.withWatermark("event_time", watermark).select(w.alias("w"), "actor_id", "target_id")
+    sides = (ev.withWatermark("event_time", watermark)
+             .select(w.alias("w"), F.explode(F.array(
+                 F.struct(F.lit(1).alias("first"), F.col("actor_id").alias("u")),
+                 F.struct(F.lit(0).alias("first"), F.col("target_id").alias("u")))).alias("s")))
     return (sides.groupBy("w")
-            .agg(F.count("*").alias("payments"),
-                 F.approx_count_distinct(F.concat_ws("\u0000", "actor_id", "target_id")).alias("pairs"))
+            .agg(F.sum("s.first").cast("long").alias("payments"),
+                 F.approx_count_distinct("s.u").alias("users"))
             .select(_ntz(F.col("w.start")).alias("window_start"), _ntz(F.col("w.end")).alias("window_end"),
-                    "payments", "pairs"))
+                    "payments", "users"))
 
 
 def _ntz(instant):
