@@ -67,8 +67,13 @@ def matched(spark: SparkSession, sf: str, topic: str = TOPIC, t0=T0, t1=T1,
     return S.match_topic(payments(spark, sf), topic, t0, t1, mode, synonyms).select(*PAYMENT_COLUMNS)
 
 
-def graph(spark: SparkSession, sf: str, **kw):
+def graph(spark: SparkSession, sf: str, shared: bool = False, **kw):
+    """``(matched, nodes, edges)``; with ``shared`` the search runs once and
+    is written to the checkpoint folder, for queries that read it several
+    times (nodes, edges, degrees, components)."""
     m = matched(spark, sf, **kw)
+    if shared:
+        m = m.checkpoint()
     return m, G.build_nodes(m), G.build_edges(m)
 
 
@@ -213,21 +218,21 @@ def q_example_messages(spark, sf):
 
 @register("components", _with(sql_graph(), sql_components()) + "SELECT id, component FROM comp")
 def q_components(spark, sf):
-    _, nodes, edges = graph(spark, sf)
+    _, nodes, edges = graph(spark, sf, shared=True)
     return C.connected_components(nodes, edges)
 
 
 @register("component_histogram", _with(sql_graph(), sql_components()) +
           "SELECT * FROM (" + sql_histogram("sizes", "size", 2) + ")")
 def q_component_histogram(spark, sf):
-    _, nodes, edges = graph(spark, sf)
+    _, nodes, edges = graph(spark, sf, shared=True)
     return C.component_histogram(C.component_sizes(C.connected_components(nodes, edges)))
 
 
 @register("top_communities", _with(sql_graph(), sql_components()) +
           "SELECT component, size, \"group\" FROM top")
 def q_top_communities(spark, sf):
-    _, nodes, edges = graph(spark, sf)
+    _, nodes, edges = graph(spark, sf, shared=True)
     return C.top_communities(C.component_sizes(C.connected_components(nodes, edges)))
 
 
@@ -235,7 +240,7 @@ def q_top_communities(spark, sf):
           "SELECT c.id, n.name, t.\"group\", d.degree AS size, c.component FROM comp c "
           "JOIN top t USING (component) JOIN deg d USING (id) JOIN nodes n USING (id)")
 def q_community_nodes(spark, sf):
-    _, nodes, edges = graph(spark, sf)
+    _, nodes, edges = graph(spark, sf, shared=True)
     comp = C.connected_components(nodes, edges)
     top = C.top_communities(C.component_sizes(comp))
     return C.community_nodes(comp, top, G.degrees(edges), nodes)
@@ -245,7 +250,7 @@ def q_community_nodes(spark, sf):
           "SELECT e.source, e.target, e.weight FROM edges e JOIN comp c ON c.id = e.source "
           "JOIN top t USING (component)")
 def q_community_edges(spark, sf):
-    _, nodes, edges = graph(spark, sf)
+    _, nodes, edges = graph(spark, sf, shared=True)
     comp = C.connected_components(nodes, edges)
     top = C.top_communities(C.component_sizes(comp))
     return C.community_edges(edges, C.community_nodes(comp, top, G.degrees(edges), nodes))
@@ -771,7 +776,7 @@ def q_relative_size(spark, sf):
           "SELECT c.id, n.name, t.\"group\", d.degree AS size FROM comp c "
           "JOIN top t USING (component) JOIN deg d USING (id) JOIN nodes n USING (id)")
 def q_node_link(spark, sf):
-    _, nodes, edges = graph(spark, sf)
+    _, nodes, edges = graph(spark, sf, shared=True)
     comp = C.connected_components(nodes, edges)
     top = C.top_communities(C.component_sizes(comp))
     cn = C.community_nodes(comp, top, G.degrees(edges), nodes)
