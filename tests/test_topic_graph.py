@@ -123,6 +123,7 @@ def test_report_on_fixture_window(spark):
     assert sizes[:4] == [13, 5, 4, 3]
     assert rep.examples.count() == 20
     assert rep.top_users.count() == 10
+    rep.release()
 
 
 def test_empty_match_gives_empty_report(spark):

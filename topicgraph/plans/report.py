@@ -54,6 +54,12 @@ class TopicReport:
     community_nodes: DataFrame
     community_edges: DataFrame
     examples: DataFrame
+    shared: tuple = ()
+
+    def release(self) -> None:
+        """Unpersist the frames the parts share (call when done)."""
+        for df in self.shared:
+            df.unpersist()
 
 
 def topic_graph(payments: DataFrame, topic: str, t0, t1, mode: str = "match",
@@ -82,4 +88,5 @@ def topic_report(payments: DataFrame, topic: str, t0, t1, mode: str = "match",
         community_nodes=cnodes,
         community_edges=C.community_edges(g.edges, cnodes),
         examples=S.sample_messages(g.payments),
+        shared=(g.payments, g.nodes, g.edges, deg, comp),
     )
