@@ -212,3 +212,23 @@ def test_table_forms_and_appends(spark, g):
     ego = g.neighborhood(centers)
     assert sorted((r["center_id"], r["id"]) for r in ego.nodes.collect()) == [
         ("c", "c"), ("c", "n1"), ("c", "n2"), ("n3", "far"), ("n3", "n1"), ("n3", "n3")]
+
+
+def test_egonets_of_all_nodes_match_brute_force(spark):
+    import random
+    rnd = random.Random(11)
+    ids = [f"v{i:02d}" for i in range(30)]
+    edges = [(f"e{i}", rnd.choice(ids[:4] + ids), rnd.choice(ids)) for i in range(120)]   # a few hubs
+    nodes = spark.createDataFrame([(i, i, 0.0, 0.0, 1.0) for i in ids],
+                                  "id string, label string, x double, y double, size double")
+    g = MultiGraph(nodes, spark.createDataFrame([(a, b, c, 1.0) for a, b, c in edges],
+                                                "id string, source string, target string, size double"))
+    ego = g.neighborhood(nodes.select("id"))
+    got = {(r["center_id"], r["id"]) for r in ego.edges.collect()}
+    want = set()
+    for c in ids:
+        mem = {c} | {t for _, s, t in edges if s == c} | {s for _, s, t in edges if t == c}
+        for eid, s, t in edges:
+            if s in mem and t in mem and (s != t or s == c):
+                want.add((c, eid))
+    assert got == want

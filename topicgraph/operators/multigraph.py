@@ -182,9 +182,23 @@ class MultiGraph:
         in_n = e.join(c, F.col("target") == F.col("center_id")).select("center_id", F.col("source").alias("id"))
         members = (c.select("center_id", F.col("center_id").alias("id"))
                    .unionByName(out_n).unionByName(in_n).distinct())
-        ms = members.select("center_id", F.col("id").alias("source"))
-        mt = members.select("center_id", F.col("id").alias("target"))
-        sub = e.join(ms, "source").join(mt, ["center_id", "target"])
+        # an edge belongs to the ego-net of c when both ends are members of c.
+        # Probe memberships on the end that belongs to fewer ego-nets (ties by
+        # id), then check the other end with a semi-join: the intermediate is
+        # sum(min(k(u), k(v))) rows, so a hub in many ego-nets is never the
+        # side that fans out (degree-ordered, as in triangle listing).
+        k = members.groupBy("id").agg(F.count("*").alias("k"))
+        ks = k.select(F.col("id").alias("source"), F.col("k").alias("ks"))
+        kt = k.select(F.col("id").alias("target"), F.col("k").alias("kt"))
+        oriented = e.join(ks, "source").join(kt, "target")
+        src_probe = (F.col("ks") < F.col("kt")) | ((F.col("ks") == F.col("kt")) & (F.col("source") <= F.col("target")))
+        oriented = oriented.select(*e.columns,
+                                   F.when(src_probe, F.col("source")).otherwise(F.col("target")).alias("_probe"),
+                                   F.when(src_probe, F.col("target")).otherwise(F.col("source")).alias("_other"))
+        mp = members.select("center_id", F.col("id").alias("_probe"))
+        mo = members.select("center_id", F.col("id").alias("_other"))
+        sub = (oriented.join(mp, "_probe").join(mo, ["center_id", "_other"], "left_semi")
+               .select("center_id", *e.columns))
         keep = (F.col("source") != F.col("target")) | (F.col("source") == F.col("center_id"))
         nodes = (members.join(self.nodes, "id")
                  .withColumn("center", F.col("id") == F.col("center_id")))
