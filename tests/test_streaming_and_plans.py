@@ -49,3 +49,14 @@ def test_entry_and_registry(spark):
     q, o = E.queries(), E.oracle_sql()
     assert set(o) <= set(q)
     assert len(q) >= 50
+
+
+def test_fences_keep_expensive_expressions_single(spark):
+    # BM25: the analyser runs once per branch (statistics, candidates), not per use
+    p = _plan(E.queries()["explained_top10"](spark, SF001))
+    assert p.count("regexp_extract_all(") <= 2, p.count("regexp_extract_all(")
+    # ingest: each line is parsed once, not once per acceptance rule
+    from topicgraph.sources import ingest
+    lines = spark.createDataFrame([('{"a": 1}', "f")], "value string, file_path string")
+    good, _ = ingest.parse_payments(lines)
+    assert _plan(good).count("parseJson(") == 1
