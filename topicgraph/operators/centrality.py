@@ -12,9 +12,9 @@ both directions.  Stop when every relative change is below ``eps`` (or after
 
 Per round: two join+aggregate passes over the distinct non-loop pairs (hash
 partitioned by endpoint, map-side combined, AQE splits hub skew) produce the
-unnormalised values, which are checkpointed (computed once, read by the
-rest of the round); the two sums come back as two driver scalars and the
-convergence test is one more aggregate over the checkpoint.  Cutting
+unnormalised values, which are checkpointed (computed once); one aggregate
+over the checkpoint returns the two sums and the extremes the convergence
+test needs, as six driver scalars.  Cutting
 lineage every round matters twice: the round reads the state three times,
 so the plan would triple per round, and a lost executor recomputes at most
 one round.
@@ -68,22 +68,25 @@ def hits(nodes: DataFrame, edges: DataFrame, undirected: bool = False, eps: floa
                         .otherwise(F.lit(0.0)).alias("ra"),
                        F.when(F.col("is_hub"), F.lit(1.0) + F.coalesce("sa", F.lit(0.0)))
                         .otherwise(F.lit(0.0)).alias("rh")))
-        # the joins run once: raw is checkpointed, and both the sums and the
-        # convergence test read the checkpoint
+        # the joins run once: raw is checkpointed and one aggregate over it
+        # gives the two sums and the convergence test.  The relative change
+        # |raw/S - prev| / prev = |q/S - 1| with q = raw/prev is convex in q,
+        # so its maximum is reached at the smallest or largest q.
         raw = raw.checkpoint()
-        sums = raw.agg(F.sum("ra").alias("sum_a"), F.sum("rh").alias("sum_h")).first()
-        if sums is None or sums["sum_a"] is None:
+        qa = F.when(F.col("is_auth"), F.col("ra") / F.col("a0"))
+        qh = F.when(F.col("is_hub"), F.col("rh") / F.col("h0"))
+        agg = raw.agg(F.sum("ra").alias("sa"), F.sum("rh").alias("sh"),
+                      F.min(qa).alias("qa0"), F.max(qa).alias("qa1"),
+                      F.min(qh).alias("qh0"), F.max(qh).alias("qh1")).first()
+        if agg is None or agg["sa"] is None:
             state = raw.select("id", "is_auth", "is_hub", F.lit(0.0).alias("authority"),
                                F.lit(0.0).alias("hub"))
             break
         new = raw.select("id", "is_auth", "is_hub", "a0", "h0",
-                         (F.col("ra") / F.lit(sums["sum_a"])).alias("authority"),
-                         (F.col("rh") / F.lit(sums["sum_h"])).alias("hub"))
-        change = new.select(F.greatest(
-            F.when(F.col("is_auth"), F.abs((F.col("authority") - F.col("a0")) / F.col("a0")))
-             .otherwise(F.lit(0.0)),
-            F.when(F.col("is_hub"), F.abs((F.col("hub") - F.col("h0")) / F.col("h0")))
-             .otherwise(F.lit(0.0))).alias("c")).agg(F.max("c")).first()[0]
+                         (F.col("ra") / F.lit(agg["sa"])).alias("authority"),
+                         (F.col("rh") / F.lit(agg["sh"])).alias("hub"))
+        ends = [(agg["qa0"], agg["sa"]), (agg["qa1"], agg["sa"]), (agg["qh0"], agg["sh"]), (agg["qh1"], agg["sh"])]
+        change = max((abs(q / tot - 1.0) for q, tot in ends if q is not None), default=0.0)
         state = new.drop("a0", "h0")
         if change is None or change < eps:
             break
