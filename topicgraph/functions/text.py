@@ -247,11 +247,18 @@ def parse_ui_time(text: Column | str) -> Column:
 
 
 def parse_iso_time(text: Column | str) -> Column:
-    """``yyyy-MM-ddTHH:mm:ss[.f]Z`` -> timestamp_ntz (the UTC wall clock)."""
+    """``yyyy-MM-ddTHH:mm:ss[.f]Z`` -> timestamp_ntz (the UTC wall clock).
+
+    One regex validates the fixed layout; the fields are then cut at fixed
+    positions (cheaper than one regex extraction per field)."""
     t = F.col(text) if isinstance(text, str) else text
-    return F.try_make_timestamp_ntz(_part(t, ISO_TIME, 1), _part(t, ISO_TIME, 2), _part(t, ISO_TIME, 3),
-                                    _part(t, ISO_TIME, 4), _part(t, ISO_TIME, 5),
-                                    _part(t, ISO_TIME, 6, "decimal(16,6)"))
+
+    def cut(pos: int, n: int, typ: str = "int") -> Column:
+        return F.substring(t, pos, n).try_cast(typ)
+
+    secs = t.substr(F.lit(18), F.length(t) - 18).try_cast("decimal(16,6)")
+    return F.when(t.rlike(ISO_TIME), F.try_make_timestamp_ntz(
+        cut(1, 4), cut(6, 2), cut(9, 2), cut(12, 2), cut(15, 2), secs))
 
 
 def relative_size(degree: Column | str, initial: float = 1.0) -> Column:
