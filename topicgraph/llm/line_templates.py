@@ -106,25 +106,33 @@ def dropped_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
                     F.struct("docs", -F.col("template").cast("decimal(20,0)")))
     line = met.groupBy("doc_id", "h", "line").agg(best.alias("first"))
     gone = line.filter(~(F.col("first.doc_id").eqNullSafe(F.col("doc_id")) & (F.col("first.h") == F.col("h"))))
-    return gone.groupBy("doc_id", "h").agg(F.collect_set("line").alias("drop"))
+    return gone.groupBy("doc_id", "h").agg(F.array_sort(F.collect_set("line")).alias("drop"))
+
+
+def mask(drop: Column) -> Column:
+    """One flag for each line up to the last in ``drop`` (sorted numbers), so
+    that a line's test takes one step however many lines go."""
+    def upto(x, i):
+        return F.concat(F.repeat(F.lit("0"), x - F.coalesce(F.get(drop, i - 1), F.lit(-1)) - 1), F.lit("1"))
+
+    return F.transform(F.split(F.array_join(F.transform(drop, upto), ""), ""), lambda c: c == "1")
 
 
 def drop_templates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_docs: int = MIN_DOCS,
                    min_tokens: int = MIN_TOKENS, lost: str = "n_dropped") -> DataFrame:
     """``docs`` with the recurring lines taken out of the texts, and the
     column ``lost``: how many."""
-    drop = written(dropped_lines(docs, id_col, text_col, min_docs, min_tokens).select(
-        F.col("doc_id").alias("drop_id"), F.col("h").alias("drop_h"), "drop"), "dropped-lines")
-    h = free_name(docs, "h")
-    tagged = docs.withColumn(h, F.xxhash64(F.col(text_col)))
-    met = tagged.join(drop, F.col(id_col).eqNullSafe(F.col("drop_id")) & (F.col(h) == F.col("drop_h")), "left")
-    # a map makes the test of each line independent of how many go
-    gone = F.map_from_arrays(F.col("drop"), F.col("drop"))
-    kept = F.array_join(F.filter(lines(F.col(text_col)), lambda x, i: ~F.map_contains_key(gone, i)), "\n")
-    text = F.when(F.col("drop").isNull(), F.col(text_col)).otherwise(kept)
-    n = F.coalesce(F.size("drop"), F.lit(0)).cast("bigint")
+    h, other_id, other_h, gone = (free_name(docs, c) for c in ("text_hash", "drop_id", "drop_hash", "dropped"))
+    drop = written(dropped_lines(docs, id_col, text_col, min_docs, min_tokens), "dropped-lines")
+    drop = drop.select(F.col("doc_id").alias(other_id), F.col("h").alias(other_h), mask(F.col("drop")).alias(gone))
+    met = docs.withColumn(h, F.xxhash64(F.col(text_col))).join(
+        drop, F.col(id_col).eqNullSafe(F.col(other_id)) & (F.col(h) == F.col(other_h)), "left")
+    kept = F.array_join(F.filter(lines(F.col(text_col)),
+                                 lambda x, i: ~F.coalesce(F.get(F.col(gone), i), F.lit(False))), "\n")
+    text = F.when(F.col(gone).isNull(), F.col(text_col)).otherwise(kept)
+    n = F.when(F.col(gone).isNull(), 0).otherwise(F.size(F.filter(F.col(gone), lambda g: g)))
     return met.select(*[text.alias(c) if c == text_col else F.col(c) for c in docs.columns],
-                      F.when(F.col("drop").isNull(), 0).otherwise(n).cast("bigint").alias(lost))
+                      n.cast("bigint").alias(lost))
 
 
 def summary(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -226,7 +226,7 @@ class Tree:
             raw = c / occurrences
             rest, rest_below = np.maximum(1 - np.bincount(context, raw, n), 0), np.maximum(1 - kept_below, 1e-12)
             divergence = np.bincount(context, raw * np.log(raw / below), n)
-            divergence += np.where(rest > 0, rest * np.log(np.maximum(rest, 1e-300) / rest_below), 0)
+            divergence = divergence + np.where(rest > 0, rest * np.log(np.maximum(rest, 1e-300) / rest_below), 0)
             cost = 0.5 * math.log(max(2, lv.total)) * np.bincount(context, minlength=n)
             gain.append((counts[d] * divergence > cost) & (np.bincount(context, minlength=n) > 0))
         for d in reversed(range(len(gain))):
