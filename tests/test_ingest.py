@@ -98,7 +98,7 @@ def test_streaming_ingest_equals_batch(spark, tmp_dir):
     out, ck = os.path.join(tmp_dir, "stream-out"), os.path.join(tmp_dir, "ck")
     q = ingest_stream.start_ingest(spark, src, out, ck, trigger_once=True)
     q.awaitTermination(120)
-    got = spark.read.parquet(out)
+    got = ingest.read_index(spark, out)
     good, _ = ingest.parse_payments(ingest.read_lines(spark, src))
     assert got.count() == good.count() == 2 * sum(1 for *_, r in LINES if r is None)
     assert sorted(r[0] for r in got.select("target_id").collect()) == \
@@ -113,3 +113,59 @@ def test_ensure_table_then_write(spark, tmp_dir):
     assert cols[:6] == ["actor_id", "actor_name", "target_id", "target_name", "message", "time_sended"]
     assert "day" in cols and "tokens" in cols
     spark.sql("DROP TABLE payments_idx")
+
+
+def _payment(i, message="m", when='"2017-01-01T10:00:00Z"'):
+    return json.dumps({"actor": {"id": f"a{i}", "username": "A"}, "transactions": [{"target": {"id": "t", "username": "T"}}],
+                       "message": message})[:-1] + f', "updated_time": {when}}}'
+
+
+def _folder(tmp_dir, name, lines):
+    path = os.path.join(tmp_dir, name)
+    os.makedirs(path)
+    with open(os.path.join(path, "f.json"), "w") as f:
+        f.write("\n".join(lines))
+    return path
+
+
+def test_loads_of_one_day_add_up(spark, tmp_dir):
+    a = _folder(tmp_dir, "a", [_payment(1), _payment(2), _payment(3), "broken"])
+    b = _folder(tmp_dir, "b", [_payment(4), "broken", "also broken"])
+    out, bad = os.path.join(tmp_dir, "index"), os.path.join(tmp_dir, "bad")
+    for path in (a, b, a):
+        ingest.ingest(spark, path, out, rejects_location=bad)
+    assert sorted(r.actor_id for r in ingest.read_index(spark, out).collect()) == ["a1", "a2", "a3", "a4"]
+    assert spark.read.json(bad).count() == 3
+    c = _folder(tmp_dir, "c", [_payment(5)])
+    q = ingest_stream.start_ingest(spark, c, out, os.path.join(tmp_dir, "ck"), trigger_once=True)
+    q.awaitTermination(120)
+    assert ingest.read_index(spark, out).count() == 5
+
+
+def test_equal_lines_are_documents_of_their_own(spark, tmp_dir):
+    a = _folder(tmp_dir, "a", [_payment(1)] * 3 + [_payment(2)])
+    out = os.path.join(tmp_dir, "index")
+    ingest.ingest(spark, a, out)
+    first = sorted(r.doc_id for r in ingest.read_index(spark, out).collect())
+    ingest.ingest(spark, a, out)
+    assert len(set(first)) == 4 and first == sorted(r.doc_id for r in ingest.read_index(spark, out).collect())
+
+
+def test_time_forms(spark, tmp_dir):
+    want = {'"2017-01-02T03:04:05Z"': "2017-01-02 03:04:05", '"2017-01-02T03:04:05.25Z"': "2017-01-02 03:04:05.250000",
+            '"2017-01-02T03:04:05+00:00"': "2017-01-02 03:04:05", '"2017-01-02T03:04:05-0530"': "2017-01-02 08:34:05",
+            '"2017-01-01T01:00+02:00"': "2016-12-31 23:00:00", '"2017-01-02T03"': "2017-01-02 03:00:00",
+            '"2017-01-02T03:04:05"': "2017-01-02 03:04:05", '"2017-01-02"': "2017-01-02 00:00:00", '"2017-02"': "2017-02-01 00:00:00",
+            '"2017"': "2017-01-01 00:00:00", "1483326245250": "2017-01-02 03:04:05.250000", '"-1000000"': "1969-12-31 23:43:20",
+            "null": "None", '"2017-13-01"': None, '"2017-01-02T25:00:00Z"': None, '"yesterday"': None, '""': None}
+    src = _folder(tmp_dir, "t", [_payment(i, when=w) for i, w in enumerate(want)])
+    good, bad = ingest.parse_payments(ingest.read_lines(spark, src))
+    got = {r.actor_id: str(r.time_sended) for r in good.collect()}
+    assert got == {f"a{i}": t for i, t in enumerate(want.values()) if t is not None}
+    assert [r.reason for r in bad.collect()] == ["bad_time"] * 4
+
+
+def test_variant_a_stores_standard_tokens(spark, tmp_dir):
+    src, out = _folder(tmp_dir, "a", [_payment(1, "Coffee-time :)")]), os.path.join(tmp_dir, "index")
+    ingest.ingest(spark, src, out, variant="A")
+    assert ingest.read_index(spark, out).first().tokens == ["coffee", "time"]

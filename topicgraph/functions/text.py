@@ -228,6 +228,9 @@ def emoji_to_shortcode(text: Column | str) -> Column:
 
 # fixed values: the search form's time format and the ingest's ISO format
 UI_TIME = r"^\s*(\d{1,2})/(\d{1,2})/(\d{4}) (\d{1,2}):(\d{1,2}) ([AaPp][Mm])\s*$"
+DATE_TIME = (r"^(\d{4})(?:-(\d{2})(?:-(\d{2}))?)?(?:T(\d{2})(?::(\d{2})(?::(\d{2}(?:\.\d{1,9})?))?)?"
+             r"(?:Z|([+-])(\d{2}):?(\d{2})?)?)?$")
+EPOCH_MILLIS = r"^-?\d{5,15}$"
 ISO_TIME = r"^(\d{4})-(\d{2})-(\d{2})T(\d{2}):(\d{2}):(\d{2}(?:\.\d+)?)Z$"
 
 
@@ -247,18 +250,32 @@ def parse_ui_time(text: Column | str) -> Column:
 
 
 def parse_iso_time(text: Column | str) -> Column:
-    """``yyyy-MM-ddTHH:mm:ss[.f]Z`` -> timestamp_ntz (the UTC wall clock).
+    """ISO 8601 date or date and time, or epoch milliseconds -> timestamp_ntz
+    (the UTC wall clock); NULL if it is neither.
 
-    One regex validates the fixed layout; the fields are then cut at fixed
-    positions (cheaper than one regex extraction per field)."""
+    The common form ``yyyy-MM-ddTHH:mm:ss[.f]Z`` is cut at fixed positions
+    after one regex; the others (parts left out from the right, offsets, no
+    zone) take the slower branch."""
     t = F.col(text) if isinstance(text, str) else text
 
     def cut(pos: int, n: int, typ: str = "int") -> Column:
         return F.substring(t, pos, n).try_cast(typ)
 
     secs = t.substr(F.lit(18), F.length(t) - 18).try_cast("decimal(16,6)")
-    return F.when(t.rlike(ISO_TIME), F.try_make_timestamp_ntz(
-        cut(1, 4), cut(6, 2), cut(9, 2), cut(12, 2), cut(15, 2), secs))
+    common = F.try_make_timestamp_ntz(cut(1, 4), cut(6, 2), cut(9, 2), cut(12, 2), cut(15, 2), secs)
+
+    def part(i: int, typ: str, default: int) -> Column:
+        got = F.regexp_extract(t, DATE_TIME, i)
+        return F.when(got == "", F.lit(default).cast(typ)).otherwise(got.try_cast(typ))
+
+    local = F.try_make_timestamp_ntz(part(1, "int", 1970), part(2, "int", 1), part(3, "int", 1), part(4, "int", 0),
+                                     part(5, "int", 0), part(6, "decimal(16,6)", 0))
+    sign = F.when(F.regexp_extract(t, DATE_TIME, 7) == "-", -1).otherwise(1)
+    offset = F.make_dt_interval(F.lit(0), sign * part(8, "int", 0), sign * part(9, "int", 0), F.lit(0))
+    epoch = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz") + F.make_dt_interval(
+        F.lit(0), F.lit(0), F.lit(0), t.try_cast("decimal(18,0)").cast("decimal(21,3)") / 1000)
+    return (F.when(t.rlike(ISO_TIME), common).when(t.rlike(DATE_TIME), local - offset)
+            .when(t.rlike(EPOCH_MILLIS), epoch))
 
 
 def relative_size(degree: Column | str, initial: float = 1.0) -> Column:

@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from ..functions import text
 
 MODES = ("match", "term", "prefix", "match_phrase")
+GRAINS = {"day", "month"}  # partition columns of the stored table
 PHRASE_SEP = "\x1f"  # Java whitespace: never inside a token
 
 
@@ -73,16 +74,16 @@ def _ts(value) -> Column:
 
 def time_between(df: DataFrame, t0, t1, col: str = "time_sended") -> DataFrame:
     """Inclusive on both ends.  On a stored table partitioned by ``day``
-    the derived day predicate prunes partitions."""
-    if "day" in df.columns:
-        df = df.filter(F.col("day").between(F.to_date(_ts(t0)), F.to_date(_ts(t1))))
+    or ``month`` the derived predicate prunes partitions."""
+    for grain in GRAINS & set(df.columns):
+        df = df.filter(F.col(grain).between(*[F.to_date(F.date_trunc(grain, _ts(t))) for t in (t0, t1)]))
     return df.filter(F.col(col).between(_ts(t0), _ts(t1)))
 
 
 def since(df: DataFrame, t0, col: str = "time_sended") -> DataFrame:
     """``col >= t0``."""
-    if "day" in df.columns:
-        df = df.filter(F.col("day") >= F.to_date(_ts(t0)))
+    for grain in GRAINS & set(df.columns):
+        df = df.filter(F.col(grain) >= F.to_date(F.date_trunc(grain, _ts(t0))))
     return df.filter(F.col(col) >= _ts(t0))
 
 

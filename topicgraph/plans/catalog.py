@@ -285,6 +285,87 @@ def q_ingest_rejects(spark, sf):
     return bad.groupBy("reason").agg(F.count("*").alias("n"))
 
 
+def _line_folders(spark, sf) -> tuple[str, str]:
+    """The JSON lines as text files in two folders that share their days."""
+    lines, out = payment_json_lines(spark, sf).select("value"), []
+    for half in (0, 1):
+        out.append(scratch_path(spark, f"lines{half}"))
+        lines.filter(F.pmod(F.xxhash64("value"), F.lit(2)) == half).write.text(out[-1])
+    return tuple(out)
+
+
+def _stored(spark, location):
+    """What the index holds, in the columns of ``ingest_index``'s oracle."""
+    return fmt_ts(ingest.read_index(spark, location).select(*PAYMENT_COLUMNS), "time_sended")
+
+
+INDEX_SQL = (_with(O.payment_lines_cte()) +
+             "SELECT actor_id, actor_name, target_id, target_name, "
+             "CASE WHEN l_linenumber = 5 THEN NULL ELSE message END AS message, "
+             f"{O.ts('time_sended')} AS time_sended FROM payment_lines WHERE l_linenumber IN (1, 2, 5)")
+
+
+@register("ingest_two_loads", INDEX_SQL)
+def q_ingest_two_loads(spark, sf):
+    """Two folders one after the other, then the first again: nothing is lost or doubled."""
+    a, b = _line_folders(spark, sf)
+    out = scratch_path(spark, "index")
+    for src in (a, b, a):
+        ingest.ingest(spark, src, out, grain="month")
+    return _stored(spark, out)
+
+
+@register("ingest_then_stream", INDEX_SQL)
+def q_ingest_then_stream(spark, sf):
+    """A batch load and a stream into one table."""
+    from ..streaming import ingest_stream
+    a, b = _line_folders(spark, sf)
+    out = scratch_path(spark, "index")
+    ingest.ingest(spark, a, out, grain="month")
+    ingest_stream.start_ingest(spark, b, out, scratch_path(spark, "ck"), trigger_once=True,
+                               grain="month").awaitTermination()
+    return _stored(spark, out)
+
+
+@register("index_search", _with(O.payment_lines_cte()) +
+          f"SELECT actor_id, target_id, message, {O.ts('time_sended')} AS time_sended FROM payment_lines "
+          f"WHERE l_linenumber IN (1, 2) AND {_win()} AND list_contains({O.analyze('message')}, {O.q(TOPIC)})")
+def q_index_search(spark, sf):
+    """Files by glob -> table -> stored tokens -> time range."""
+    a, _b = _line_folders(spark, sf)
+    out = scratch_path(spark, "index")
+    ingest.ingest(spark, a.rsplit("/", 1)[0] + "/lines[01]-" + a.rsplit("-", 1)[1], out, grain="month")
+    ingest.ingest(spark, _b, out, path_glob_filter="*.txt", grain="month")
+    hit = S.match_topic(ingest.read_index(spark, out), TOPIC, T0, T1, tokens="tokens")
+    return fmt_ts(hit.select("actor_id", "target_id", "message", "time_sended"), "time_sended")
+
+
+@register("ingest_times",
+          "WITH o AS (SELECT o_orderkey AS k, CAST(o_orderdate AS TIMESTAMP) + to_minutes(o_orderkey % 1440) AS t FROM orders) "
+          "SELECT CAST(k AS VARCHAR) AS actor_id, CASE k % 7 WHEN 6 THEN 'bad_time' ELSE 'ok' END AS state, "
+          "CASE k % 7 WHEN 6 THEN NULL WHEN 3 THEN strftime(t, '%Y-%m-%d 00:00:00') "
+          "WHEN 2 THEN strftime(t - INTERVAL '2 hours', '%Y-%m-%d %H:%M:%S') "
+          "ELSE strftime(t, '%Y-%m-%d %H:%M:%S') END AS time_sended FROM o")
+def q_ingest_times(spark, sf):
+    """The time forms of the index's date type, and one that is none."""
+    o = table(spark, sf, "orders").select(F.col("o_orderkey").alias("k"), F.expr(
+        "cast(o_orderdate AS timestamp_ntz) + make_dt_interval(0, 0, o_orderkey % 1440, 0)").alias("t"))
+    def iso(tail):
+        return F.concat(F.date_format("t", "yyyy-MM-dd'T'HH:mm:ss"), F.lit(tail))
+    forms = [iso("Z"), iso("+00:00"), iso("+02:00"), F.date_format("t", "yyyy-MM-dd"),
+             F.expr("cast(timestampdiff(SECOND, timestamp_ntz'1970-01-01', t) * 1000 AS string)"),
+             F.date_format("t", "yyyy-MM-dd'T'HH:mm"), F.lit("yesterday")]
+    said = F.element_at(F.array(*forms), (F.col("k") % 7 + 1).cast("int"))
+    value = F.format_string('{"actor":{"id":"%d","username":"a"},"transactions":[{"target":{"id":"t","username":"b"}}],'
+                            '"message":"m","updated_time":"%s"}', "k", said)
+    src = scratch_path(spark, "times")
+    o.select(value.alias("value")).write.text(src)
+    good, bad = ingest.parse_payments(ingest.read_lines(spark, src))
+    key = F.get_json_object("value", "$.actor.id").alias("actor_id")
+    return fmt_ts(good.select("actor_id", F.lit("ok").alias("state"), "time_sended"), "time_sended").unionByName(
+        bad.select(key, F.col("reason").alias("state"), F.lit(None).cast("string").alias("time_sended")))
+
+
 # ---------------------------------------------------------------------------
 # Analyser, token table, emoji search, shortcodes
 
@@ -772,26 +853,43 @@ def q_relative_size(spark, sf):
 # Graph files (written from the tables, read back)
 
 
-@register("node_link", _with(sql_graph(), sql_components()) +
-          "SELECT c.id, n.name, t.\"group\", d.degree AS size FROM comp c "
-          "JOIN top t USING (component) JOIN deg d USING (id) JOIN nodes n USING (id)")
-def q_node_link(spark, sf):
+def _node_link(spark, sf):
     _, nodes, edges = graph(spark, sf, shared=True)
     comp = C.connected_components(nodes, edges)
     top = C.top_communities(C.component_sizes(comp))
     cn = C.community_nodes(comp, top, G.degrees(edges), nodes)
-    ce = C.community_edges(edges, cn)
     path = scratch_path(spark, "node_link")
-    GF.write_node_link(cn, ce, path)
-    n, _ = GF.read_node_link(spark, path)
-    return n.select("id", "name", "group", "size")
+    GF.write_node_link(cn, C.community_edges(edges, cn), path)
+    return GF.read_node_link(spark, path)
 
 
-@register("graph_json_edges", _with(sql_mg()) + "SELECT id, source, target, size FROM mg_edges")
-def q_graph_json_edges(spark, sf):
+@register("node_link", _with(sql_graph(), sql_components()) +
+          "SELECT c.id, n.name, t.\"group\", d.degree AS size FROM comp c "
+          "JOIN top t USING (component) JOIN deg d USING (id) JOIN nodes n USING (id)")
+def q_node_link(spark, sf):
+    return _node_link(spark, sf)[0].select("id", "name", "group", "size")
+
+
+@register("node_link_links", _with(sql_graph(), sql_components()) +
+          "SELECT e.source, e.target, e.weight FROM edges e JOIN comp c ON c.id = e.source JOIN top t USING (component)")
+def q_node_link_links(spark, sf):
+    return _node_link(spark, sf)[1].select("source", "target", "weight")
+
+
+def _graph_json(spark, sf):
     path = scratch_path(spark, "graph_json")
     GF.write_graph_json(mg_all(spark, sf), path)
-    return GF.read_graph_json(spark, path).edges.select("id", "source", "target", "size")
+    return GF.read_graph_json(spark, path)
+
+
+@register("graph_json_nodes", _with(sql_mg()) + "SELECT id, label, x, y, size FROM mg_nodes")
+def q_graph_json_nodes(spark, sf):
+    return _graph_json(spark, sf).nodes.select("id", "label", "x", "y", "size")
+
+
+@register("graph_json_edges", _with(sql_mg()) + "SELECT id, source, target, size FROM mg_edges")
+def q_graph_json_edges(spark, sf):
+    return _graph_json(spark, sf).edges.select("id", "source", "target", "size")
 
 
 def _gexf_path(spark, sf) -> str:
@@ -877,11 +975,15 @@ def _doc_count(spark) -> int:
     return max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
 
 
+#: data rows of one Cypher document: documents stay this size as the table grows
+CYPHER_ROWS = 20_000
+
+
 def _cypher_path(spark, sf) -> str:
-    """Cypher result documents, one per file (split by a hash of the payment
-    id, ``_doc_count`` files): one data row per payment with its two
+    """Cypher result documents, one per file of about ``CYPHER_ROWS`` data
+    rows (split by a hash of the payment id): one row per payment with its two
     customers (ids repeat across rows and files) and the relationship."""
-    docs = _doc_count(spark)
+    docs = 1 + table(spark, sf, "lineitem").count() // CYPHER_ROWS
     p = payment_lines(spark, sf)
     node = lambda i, n: F.struct(F.col(i).alias("id"),
                                  F.array(F.lit("Customer")).alias("labels"),
@@ -1013,12 +1115,9 @@ def q_stream_ingest_payments(spark, sf):
     src = scratch_path(spark, "stream_in")
     payment_json_lines(spark, sf).select("value").write.text(src)
     out, ck = scratch_path(spark, "stream_out"), scratch_path(spark, "stream_ck")
-    good, _ = ingest.parse_payments(ingest_stream.read_stream(spark, src), "B",
-                                    extra={"payment_id": "$.payment_id"}, keep_rejects=False)
-    q = (good.select("payment_id", *PAYMENT_COLUMNS).writeStream.format("parquet")
-         .option("path", out).option("checkpointLocation", ck).trigger(availableNow=True).start())
-    q.awaitTermination()
-    return fmt_ts(spark.read.parquet(out), "time_sended")
+    ingest_stream.start_ingest(spark, src, out, ck, trigger_once=True,
+                               extra={"payment_id": "$.payment_id"}, grain="month").awaitTermination()
+    return fmt_ts(ingest.read_index(spark, out).select("payment_id", *PAYMENT_COLUMNS), "time_sended")
 
 
 @register("stream_topic_trend", _with(O.payments_cte(), sql_matched(window=False)) +

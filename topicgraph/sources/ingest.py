@@ -16,20 +16,23 @@ Acceptance (variant "B", six fields) — a record is dropped when:
   * ``actor.username`` or ``transactions[0].target.username`` is missing
     (``no_username``),
   * the target id is falsy: null, "", 0, false, [] or {} (``falsy_target``),
-  * ``message`` or ``updated_time`` is missing (``no_message``/``no_time``).
+  * ``message`` or ``updated_time`` is missing (``no_message``/``no_time``),
+  * ``updated_time`` is there but no time that can be read (``bad_time``).
 Keys present with JSON null are kept as NULL.  Variant "A" (four fields)
 ignores the usernames.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+import hashlib
+
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ..functions.text import analyze, parse_iso_time
+from ..functions.text import analyze, analyze_standard, parse_iso_time
 
 REASONS = ("bad_json", "no_target", "no_actor", "no_username", "falsy_target",
-           "no_message", "no_time")
+           "no_message", "no_time", "bad_time")
 
 
 def read_lines(spark: SparkSession, path: str, path_glob_filter: str | None = None) -> DataFrame:
@@ -111,8 +114,8 @@ def parse_payments(lines: DataFrame, variant: str = "B", extra: dict[str, str] |
         ("message", text_of("r.message")),
         ("time_sended", text_of("r.updated_time")),   # parsed after the fence
         ("file_path", F.col("file_path")),
-        # content hash of the source line: stable across reruns; identical
-        # lines of one file share it (they are indistinguishable documents)
+        # content hash of the source line: stable across reruns; the ordinal
+        # that tells identical lines of a file apart is added when they are stored
         ("doc_id", F.sha2(F.concat_ws("\n", "file_path", "value"), 256).substr(1, 32)),
     ]
     named += [(n, F.try_variant_get(F.col("v"), p, "string")) for n, p in (extra or {}).items()]
@@ -122,19 +125,32 @@ def parse_payments(lines: DataFrame, variant: str = "B", extra: dict[str, str] |
     rec = staged.select(F.inline(F.array(F.struct(
         F.col("value"), reason.alias("reason"), *[c.alias(n) for n, c in named]))))
     # the time is parsed from the fenced text column, so its field cuts read
-    # an attribute instead of re-running the variant extraction
+    # an attribute instead of re-running the variant extraction; a second
+    # fence keeps the parse from being run again by the filter on it
+    rec = rec.select("value", "reason", *names_out, F.inline(F.array(F.struct(
+        parse_iso_time("time_sended").alias("parsed")))))
+    unread = F.col("parsed").isNull() & F.col("time_sended").isNotNull()
+    rec = rec.withColumn("reason", F.coalesce("reason", F.when(unread, F.lit("bad_time"))))
     good = rec.filter(F.col("reason").isNull()).select(
-        *[parse_iso_time("time_sended").alias(n) if n == "time_sended" else n for n in names_out])
+        *[F.col("parsed").alias(n) if n == "time_sended" else n for n in names_out])
     bad = rec.filter(F.col("reason").isNotNull()).select("value", "file_path", "reason") \
         if keep_rejects else None
     return good, bad
 
 
-def with_index_columns(payments: DataFrame) -> DataFrame:
-    """Columns stored with every payment: analysed tokens (X1/X3) and ``day``
-    (partition column for pruning time ranges)."""
-    return (payments.withColumn("tokens", analyze("message"))
-            .withColumn("day", F.to_date("time_sended")))
+def with_index_columns(payments: DataFrame, variant: str = "B", grain: str = "day") -> DataFrame:
+    """Columns stored with every payment: analysed tokens (X1/X3; X2 for the
+    four-field index) and the partition column for pruning time ranges, named
+    after its grain (``day`` or ``month``: a partition should hold enough rows
+    for a file)."""
+    tokens = analyze("message") if variant == "B" else analyze_standard("message")
+    return (payments.withColumn("tokens", tokens)
+            .withColumn(grain, F.to_date(F.date_trunc(grain, "time_sended"))))
+
+
+def load_key(path: str, path_glob_filter: str | None = None) -> str:
+    """The load that the files of a path belong to."""
+    return hashlib.md5(f"{path}|{path_glob_filter or ''}".encode()).hexdigest()[:16]
 
 
 def ensure_table(spark: SparkSession, name: str, location: str) -> None:
@@ -143,38 +159,46 @@ def ensure_table(spark: SparkSession, name: str, location: str) -> None:
         CREATE TABLE IF NOT EXISTS {name} (
           actor_id STRING, actor_name STRING, target_id STRING, target_name STRING,
           message STRING, time_sended TIMESTAMP_NTZ, file_path STRING, doc_id STRING,
-          tokens ARRAY<STRING>, day DATE)
-        USING parquet PARTITIONED BY (day) LOCATION '{location}'""")
-
-
-def write_payments(payments: DataFrame, location: str, max_records_per_file: int = 5_000_000) -> None:
-    """Idempotent append — the days present in ``payments`` are
-    replaced (dynamic partition overwrite), other days are untouched."""
-    spark = payments.sparkSession
-    prev = spark.conf.get("spark.sql.sources.partitionOverwriteMode")
-    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
-    try:
-        (with_index_columns(payments)
-         # range partitioning on (day, doc_id): few days per task (few files)
-         # and a hot day is split across tasks instead of landing on one
-         .repartitionByRange("day", "doc_id")
-         .write.mode("overwrite").partitionBy("day")
-         .option("maxRecordsPerFile", max_records_per_file)
-         .parquet(location))
-    finally:
-        spark.conf.set("spark.sql.sources.partitionOverwriteMode", prev)
+          tokens ARRAY<STRING>, load STRING, day DATE)
+        USING parquet PARTITIONED BY (load, day) LOCATION '{location}'""")
+
+
+def write_payments(payments: DataFrame, location: str, load: str, variant: str = "B", grain: str = "day",
+                   max_records_per_file: int = 5_000_000) -> None:
+    """Writes one load; rows that an earlier run stored under the same
+    ``load`` are replaced, all others stay."""
+    # range partitioning on (day, doc_id): few days per task (few files), a hot
+    # day is split across tasks, and identical lines meet, so that numbering
+    # them needs no further shuffle; a hash is of one line of one file, so a
+    # group is at most the repeats of a line inside a file
+    dealt = with_index_columns(payments, variant, grain).repartitionByRange(grain, "doc_id")
+    n = F.row_number().over(Window.partitionBy(grain, "doc_id").orderBy("doc_id")) - 1
+    doc_id = F.when(F.col("_n") == 0, F.col("doc_id")).otherwise(F.concat_ws("-", "doc_id", "_n"))
+    (dealt.withColumn("_n", n).withColumn("doc_id", doc_id).drop("_n")
+     .write.mode("overwrite").partitionBy(grain)
+     .option("maxRecordsPerFile", max_records_per_file)
+     .parquet(f"{location.rstrip('/')}/load={load}"))
+
+
+def write_rejects(rejects: DataFrame, location: str, load: str) -> None:
+    """The rejected lines of one load, replaced with it."""
+    rejects.write.mode("overwrite").json(f"{location.rstrip('/')}/load={load}")
 
 
 def read_index(spark: SparkSession, location: str) -> DataFrame:
-    """The stored payments (lazy; partition-pruned by ``day`` filters)."""
-    return spark.read.parquet(location)
+    """The stored payments of all loads (lazy; partition-pruned by
+    ``day`` filters)."""
+    return spark.read.parquet(location).drop("load")
 
 
 def ingest(spark: SparkSession, path: str, location: str, variant: str = "B",
-           path_glob_filter: str | None = None, rejects_location: str | None = None) -> None:
-    """S1 -> P1/P2 -> S3 in one job (plus the rejects if asked)."""
+           path_glob_filter: str | None = None, rejects_location: str | None = None,
+           load: str | None = None, grain: str = "day") -> None:
+    """S1 -> P1/P2 -> S3 (plus the rejects if asked); the load is named after
+    the path unless the caller names it."""
     lines = read_lines(spark, path, path_glob_filter)
     good, bad = parse_payments(lines, variant, keep_rejects=rejects_location is not None)
-    write_payments(good, location)
+    load = load or load_key(path, path_glob_filter)
+    write_payments(good, location, load, variant, grain)
     if rejects_location is not None:
-        bad.write.mode("append").json(rejects_location)
+        write_rejects(bad, rejects_location, load)

@@ -1,10 +1,10 @@
-"""K1: streaming ingest — the batch parser applied to arriving files.
+"""K1: streaming ingest — the batch parser and writer applied to arriving files.
 
-``spark.readStream.text(dir)`` feeds ``parse_payments`` unchanged (it is
-only projections and filters), then each micro-batch is appended to the
-``day``-partitioned parquet table with a checkpoint, so a restarted query
-resumes exactly where it stopped (file source + parquet sink are
-exactly-once together).
+``spark.readStream.text(dir)`` feeds ``parse_payments`` unchanged (it is only
+projections and filters); each micro-batch is stored as a load of its own by
+the batch writer.  A batch that is run again after a failure has the same
+number, so it replaces itself: with the checkpoint that is exactly-once, and
+streams and batches can write into one table.
 """
 
 from __future__ import annotations
@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..sources.ingest import parse_payments, with_index_columns
+from ..sources.ingest import load_key, parse_payments, write_payments
 
 
 def read_stream(spark: SparkSession, directory: str, max_files_per_trigger: int | None = None) -> DataFrame:
@@ -22,18 +22,23 @@ def read_stream(spark: SparkSession, directory: str, max_files_per_trigger: int
     return reader.load(directory).select("value", F.col("_metadata.file_path").alias("file_path"))
 
 
-def stream_payments(spark: SparkSession, directory: str, variant: str = "B") -> DataFrame:
-    """Parsed payment stream with index columns (tokens, day)."""
-    good, _ = parse_payments(read_stream(spark, directory), variant, keep_rejects=False)
-    return with_index_columns(good)
+def stream_payments(spark: SparkSession, directory: str, variant: str = "B",
+                    extra: dict[str, str] | None = None) -> DataFrame:
+    """The stream of accepted payments."""
+    return parse_payments(read_stream(spark, directory), variant, extra, keep_rejects=False)[0]
 
 
 def start_ingest(spark: SparkSession, directory: str, location: str, checkpoint: str,
-                 variant: str = "B", trigger_once: bool = False):
-    """Start the K1 query: parquet sink partitioned by ``day``."""
-    q = (stream_payments(spark, directory, variant).writeStream
-         .format("parquet").option("path", location).option("checkpointLocation", checkpoint)
-         .partitionBy("day").outputMode("append"))
+                 variant: str = "B", trigger_once: bool = False, extra: dict[str, str] | None = None,
+                 grain: str = "day"):
+    """Start the K1 query into the table at ``location``."""
+    name = load_key(directory)
+
+    def store(batch: DataFrame, number: int) -> None:
+        write_payments(batch, location, f"stream-{name}-{number:08d}", variant, grain)
+
+    q = (stream_payments(spark, directory, variant, extra).writeStream
+         .foreachBatch(store).option("checkpointLocation", checkpoint))
     if trigger_once:
         q = q.trigger(availableNow=True)
     return q.start()
