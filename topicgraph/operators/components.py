@@ -3,8 +3,9 @@
 Components use the alternating large-star / small-star contraction
 (Kiveris et al., "Connected Components in MapReduce and Beyond", SoCC 2014):
 O(log^2 n) rounds, each a few hash aggregates and joins on node id.  Stars
-shrink a hub's fan-out round by round, aggregates combine map-side, and AQE
-splits skewed join partitions.  Every round's edge set is checkpointed to
+shrink a hub's fan-out round by round, aggregates combine map-side, and the
+minima are written before they are joined back, so that AQE can split the
+partition of a hub.  Every round's edge set is checkpointed to
 the reliable checkpoint directory, so lineage stays one round deep and a lost
 executor recomputes at most one round.  The only value returned to the
 driver per round is a boolean (is the edge set a set of stars?).
@@ -27,7 +28,9 @@ def _large_star(e: DataFrame) -> DataFrame:
     both = e.select(F.col("a").alias("u"), F.col("b").alias("v")).unionByName(
         e.select(F.col("b").alias("u"), F.col("a").alias("v")))
     m = both.groupBy("u").agg(F.min("v").alias("mn"))
-    m = m.select("u", F.least(F.col("u"), F.col("mn")).alias("mu"))
+    # written first: a join of two plain inputs is one whose large partitions AQE splits,
+    # a join with a fresh aggregate is not
+    m = m.select("u", F.least(F.col("u"), F.col("mn")).alias("mu")).checkpoint()
     return (both.join(m, "u").filter(F.col("v") > F.col("u"))
             .select(F.col("v").alias("a"), F.col("mu").alias("b")).distinct())
 
@@ -35,7 +38,7 @@ def _large_star(e: DataFrame) -> DataFrame:
 def _small_star(e: DataFrame) -> DataFrame:
     """Each node links itself and its smaller neighbours to the minimum of
     them."""
-    m = e.groupBy("a").agg(F.min("b").alias("mn"))
+    m = e.groupBy("a").agg(F.min("b").alias("mn")).checkpoint()
     moved = (e.join(m, "a").filter(F.col("b") != F.col("mn"))
              .select(F.col("b").alias("a"), F.col("mn").alias("b")))
     return moved.unionByName(m.select("a", F.col("mn").alias("b"))).distinct()

@@ -14,6 +14,8 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..session import ensure_checkpoint_dir
+
 
 def _ids_df(spark, ids) -> DataFrame:
     """A list of ids (driver value) or a DataFrame with an ``id`` column."""
@@ -72,7 +74,7 @@ class MultiGraph:
               .select(F.lit("duplicate_node").alias("kind"), "id"))
         de = (self.edges.groupBy("id").count().filter("count > 1")
               .select(F.lit("duplicate_edge").alias("kind"), "id"))
-        ids = self.nodes.select(F.col("id").alias("nid")).distinct()
+        ids = self.nodes.select(F.col("id").alias("nid"))  # an anti-join needs no distinct side
         ds = (self.edges.join(ids, F.col("source") == F.col("nid"), "left_anti")
               .select(F.lit("dangling_source").alias("kind"), "id"))
         dt = (self.edges.join(ids, F.col("target") == F.col("nid"), "left_anti")
@@ -120,7 +122,7 @@ class MultiGraph:
     # P15 P16 ------------------------------------------------------------
     def drop_nodes(self, ids, check: bool = True) -> "MultiGraph":
         """Remove nodes and every incident edge; unknown ids are an error."""
-        gone = _ids_df(self.spark, ids).distinct()
+        gone = _ids_df(self.spark, ids)
         if check:
             missing = gone.join(self.nodes.select("id"), "id", "left_anti").limit(1).collect()
             if missing:
@@ -132,7 +134,7 @@ class MultiGraph:
         return MultiGraph(nodes, edges)
 
     def drop_edges(self, ids, check: bool = True) -> "MultiGraph":
-        gone = _ids_df(self.spark, ids).distinct()
+        gone = _ids_df(self.spark, ids)
         if check:
             missing = gone.join(self.edges.select("id"), "id", "left_anti").limit(1).collect()
             if missing:
@@ -153,7 +155,7 @@ class MultiGraph:
 
     def adjacent_edges_of(self, ids: DataFrame) -> DataFrame:
         """Table form: edges touching any id of ``ids`` (one row per edge)."""
-        g = ids.select(F.col(ids.columns[0]).alias("gid")).distinct()
+        g = ids.select(F.col(ids.columns[0]).alias("gid"))
         a = self.edges.join(g, F.col("source") == F.col("gid"), "left_semi")
         b = self.edges.join(g, F.col("target") == F.col("gid"), "left_semi")
         return a.unionByName(b).dropDuplicates(["id"])
@@ -174,6 +176,9 @@ class MultiGraph:
         centre-neighbour and neighbour-neighbour.  A self-loop on the centre
         is kept, one on a neighbour is dropped.  ``centers`` may be one id or
         a table of ids; the result carries ``center_id`` and ``center``."""
+        if isinstance(centers, (str, int)):
+            return self._one_neighborhood(str(centers))
+        ensure_checkpoint_dir(self.spark)
         c = _ids_df(self.spark, centers).select(F.col("id").alias("center_id")).distinct()
         c = c.join(self.nodes.select(F.col("id").alias("center_id")), "center_id", "left_semi")
         e = self.edges
@@ -181,13 +186,13 @@ class MultiGraph:
         out_n = e.join(c, F.col("source") == F.col("center_id")).select("center_id", F.col("target").alias("id"))
         in_n = e.join(c, F.col("target") == F.col("center_id")).select("center_id", F.col("source").alias("id"))
         members = (c.select("center_id", F.col("center_id").alias("id"))
-                   .unionByName(out_n).unionByName(in_n).distinct())
+                   .unionByName(out_n).unionByName(in_n).distinct()).checkpoint()
         # an edge belongs to the ego-net of c when both ends are members of c.
         # Probe memberships on the end that belongs to fewer ego-nets (ties by
         # id), then check the other end with a semi-join: the intermediate is
         # sum(min(k(u), k(v))) rows, so a hub in many ego-nets is never the
         # side that fans out (degree-ordered, as in triangle listing).
-        k = members.groupBy("id").agg(F.count("*").alias("k"))
+        k = members.groupBy("id").agg(F.count("*").alias("k")).checkpoint()  # plain sides: AQE splits a hub's partition
         ks = k.select(F.col("id").alias("source"), F.col("k").alias("ks"))
         kt = k.select(F.col("id").alias("target"), F.col("k").alias("kt"))
         oriented = e.join(ks, "source").join(kt, "target")
@@ -205,5 +210,21 @@ class MultiGraph:
         return MultiGraph(nodes, sub.filter(keep))
 
 
+    def _one_neighborhood(self, center: str) -> "MultiGraph":
+        """The ego-net of one node: two filters and two semi-joins."""
+        here = F.lit(center)
+        touching = self.adjacent_edges(center)
+        ids = (touching.select(F.col("source").alias("id")).unionByName(touching.select(F.col("target").alias("id")))
+               .unionByName(self.nodes.filter(F.col("id") == here).select("id")))
+        known = self.nodes.filter(F.col("id") == here).limit(1).select(here.alias("center_id"))  # no such node: empty
+        nodes = (self.nodes.join(ids, "id", "left_semi").crossJoin(F.broadcast(known))
+                 .withColumn("center", F.col("id") == here))
+        inside = (self.edges.join(ids.select(F.col("id").alias("source")), "source", "left_semi")
+                  .join(ids.select(F.col("id").alias("target")), "target", "left_semi"))
+        keep = (F.col("source") != F.col("target")) | (F.col("source") == here)
+        edges = inside.filter(keep).crossJoin(F.broadcast(known)).select("center_id", *self.edges.columns)
+        return MultiGraph(nodes.select("center_id", "id", *[x for x in self.nodes.columns if x != "id"], "center"), edges)
+
+
 def euclid(x1: Column, y1: Column, x2: Column, y2: Column) -> Column:
     return F.sqrt(F.pow(x1 - x2, 2) + F.pow(y1 - y2, 2))

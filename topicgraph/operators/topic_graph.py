@@ -122,6 +122,6 @@ def degree_histogram(deg: DataFrame) -> DataFrame:
 
 def induced_subgraph(edges: DataFrame, chosen: DataFrame, id_col: str = "id") -> DataFrame:
     """Edges whose two endpoints are both in ``chosen``."""
-    ids = chosen.select(F.col(id_col).alias("_id")).distinct()
+    ids = chosen.select(F.col(id_col).alias("_id"))
     return (edges.join(ids, F.col("source") == F.col("_id"), "left_semi")
                  .join(ids, F.col("target") == F.col("_id"), "left_semi"))
