@@ -55,7 +55,7 @@ def rescale(g: MultiGraph, width: float = 1.0, height: float = 1.0, mode: str =
     ``rsize`` to edges."""
     for w in what:
         if w not in ("nodePosition", "nodeSize", "edgeSize"):
-            raise ValueError(f'The rescale setting "{w}" is not recognized.')
+            raise ValueError(f"cannot rescale {w!r}: expected nodePosition, nodeSize or edgeSize")
     agg = F.greatest if mode == "outside" else F.least
     ex = extent(g.nodes, g.edges)
 
@@ -176,31 +176,46 @@ def overlapping_nodes(nodes: DataFrame, scale_nodes: float = 1.2, node_margin: f
     """Pairs ``(id_a < id_b)`` whose discs overlap: ``dist < r_a + r_b``
     with ``r = size*scale_nodes + node_margin``.
 
-    Grid join: cell edge defaults to twice the 90th-percentile radius (one
-    scalar from an approximate percentile).  A node is exploded into every
-    cell its box ``[x±r] x [y±r]`` covers (4 for typical nodes, more only
-    for the few large ones); two discs that overlap have boxes that share a
-    cell, so the equi-join on cell finds every pair.  A pair is reported
-    only in the cell holding the lower-left corner of the two boxes'
-    intersection (reference-point rule), so no pair is emitted twice and no
-    ``distinct`` shuffle is needed."""
+    Two grids.  The fine cell edge defaults to twice the 90th-percentile
+    radius (one scalar from an approximate percentile); nodes of at most that
+    radius cover a few fine cells each and are joined among themselves there.
+    The larger nodes, and all nodes against them, meet on a coarse grid with
+    twice the largest radius as its edge, so no node covers more than a few
+    cells however large it is.  Two discs that overlap have boxes that share a
+    cell, so the equi-joins find every pair; a pair is reported only in the
+    cell holding the lower-left corner of the boxes' intersection, so no pair
+    comes twice and no ``distinct`` is needed."""
     r = F.col("size") * scale_nodes + node_margin
     pts = nodes.select("id", "x", "y", r.alias("r"))
+    stats = pts.agg(F.percentile_approx("r", 0.9).alias("q"), F.max("r").alias("m")).first()
     if cell is None:
-        q = pts.agg(F.percentile_approx("r", 0.9).alias("q")).first()["q"]
-        cell = 2.0 * float(q) if q else 1.0
-    L = F.lit(float(cell))
-    cx0, cx1 = F.floor((F.col("x") - F.col("r")) / L), F.floor((F.col("x") + F.col("r")) / L)
-    cy0, cy1 = F.floor((F.col("y") - F.col("r")) / L), F.floor((F.col("y") + F.col("r")) / L)
-    cells = pts.select("*", F.explode(F.sequence(cx0, cx1)).alias("cx")).select(
-        "*", F.explode(F.sequence(cy0, cy1)).alias("cy"))
-    a = cells.select(*[F.col(c).alias(f"{c}_a") for c in ("id", "x", "y", "r")], "cx", "cy")
-    b = cells.select(*[F.col(c).alias(f"{c}_b") for c in ("id", "x", "y", "r")], "cx", "cy")
-    ref_x = F.floor(F.greatest(F.col("x_a") - F.col("r_a"), F.col("x_b") - F.col("r_b")) / L)
-    ref_y = F.floor(F.greatest(F.col("y_a") - F.col("r_a"), F.col("y_b") - F.col("r_b")) / L)
-    pairs = (a.join(b, ["cx", "cy"])
-             .filter(F.col("id_a") < F.col("id_b"))
-             .filter((ref_x == F.col("cx")) & (ref_y == F.col("cy")))
-             .filter(F.sqrt(F.pow(F.col("x_a") - F.col("x_b"), 2) + F.pow(F.col("y_a") - F.col("y_b"), 2))
-                     < F.col("r_a") + F.col("r_b")))
-    return pairs.select("id_a", "id_b")
+        cell = 2.0 * float(stats["q"]) if stats["q"] else 1.0
+    coarse = max(2.0 * float(stats["m"] or 0.0), cell)
+    small, large = pts.filter(F.col("r") <= cell), pts.filter(F.col("r") > cell)
+    fine = _meet(small, small, cell).filter(F.col("id_a") < F.col("id_b"))
+    if coarse <= 2.0 * cell:  # no node is larger than a fine cell
+        return fine.select("id_a", "id_b")
+    # each pair with a large node: from its large side, or from the smaller id if both are large
+    wide = _meet(large, pts, coarse).filter(
+        (F.col("r_b") <= cell) | (F.col("id_a") < F.col("id_b")))
+    return fine.select("id_a", "id_b").unionByName(wide.select(
+        F.least("id_a", "id_b").alias("id_a"), F.greatest("id_a", "id_b").alias("id_b")))
+
+
+def _meet(left: DataFrame, right: DataFrame, edge: float) -> DataFrame:
+    """Pairs of different discs that overlap, each in one cell."""
+    size = F.lit(float(edge))
+
+    def spread(pts: DataFrame, tag: str) -> DataFrame:
+        lo = [F.floor((F.col(c) - F.col("r")) / size) for c in ("x", "y")]
+        hi = [F.floor((F.col(c) + F.col("r")) / size) for c in ("x", "y")]
+        cells = pts.select("*", F.explode(F.sequence(lo[0], hi[0])).alias("cx")).select(
+            "*", F.explode(F.sequence(lo[1], hi[1])).alias("cy"))
+        return cells.select(*[F.col(c).alias(f"{c}_{tag}") for c in ("id", "x", "y", "r")], "cx", "cy")
+
+    corner = [F.floor(F.greatest(F.col(f"{c}_a") - F.col("r_a"), F.col(f"{c}_b") - F.col("r_b")) / size)
+              for c in ("x", "y")]
+    distance = F.sqrt(F.pow(F.col("x_a") - F.col("x_b"), 2) + F.pow(F.col("y_a") - F.col("y_b"), 2))
+    return (spread(left, "a").join(spread(right, "b"), ["cx", "cy"])
+            .filter((F.col("id_a") != F.col("id_b")) & (corner[0] == F.col("cx")) & (corner[1] == F.col("cy")))
+            .filter(distance < F.col("r_a") + F.col("r_b")))

@@ -18,21 +18,26 @@ from ..operators.multigraph import MultiGraph
 from .payments import payment_id, payment_lines
 from .tables import table
 
-# fixed values: node layout arithmetic
-X_MUL, Y_MUL, GRID = 7919, 104729, 1000
+# fixed values: node layout arithmetic.  Customers are dealt over the places of a
+# square grid whose side grows with the root of their number: the density is constant
+STEP, SPREAD = 104729, 26
 
 NODE_SQL = (f"SELECT CAST(c_custkey AS VARCHAR) AS id, c_name AS label, "
-            f"CAST((c_custkey * {X_MUL}) % {GRID} AS DOUBLE) / 10.0 AS x, "
-            f"CAST((c_custkey * {Y_MUL}) % {GRID} AS DOUBLE) / 10.0 AS y, "
-            f"1.0 + CAST(c_nationkey % 5 AS DOUBLE) AS size FROM customer")
+            f"CAST((c_custkey * {STEP}) % (side * side) % side AS DOUBLE) / 10.0 AS x, "
+            f"CAST((c_custkey * {STEP}) % (side * side) // side AS DOUBLE) / 10.0 AS y, "
+            f"1.0 + CAST(c_nationkey % 5 AS DOUBLE) AS size FROM customer, "
+            f"(SELECT CAST(ceil({SPREAD} * sqrt(count(*))) AS BIGINT) AS side FROM customer)")
 
 
 def customer_nodes(spark: SparkSession, sf_dir: str) -> DataFrame:
     c = table(spark, sf_dir, "customer")
+    side = c.agg(F.ceil(F.lit(SPREAD) * F.sqrt(F.count("*"))).alias("side"))
+    c = c.crossJoin(F.broadcast(side))  # one row
+    place = (F.col("c_custkey") * STEP) % (F.col("side") * F.col("side"))
     return c.select(
         F.col("c_custkey").cast("string").alias("id"), F.col("c_name").alias("label"),
-        ((F.col("c_custkey") * X_MUL) % GRID).cast("double").__truediv__(10.0).alias("x"),
-        ((F.col("c_custkey") * Y_MUL) % GRID).cast("double").__truediv__(10.0).alias("y"),
+        ((place % F.col("side")).cast("double") / 10.0).alias("x"),
+        (F.floor(place / F.col("side")).cast("double") / 10.0).alias("y"),
         (F.lit(1.0) + (F.col("c_nationkey") % 5).cast("double")).alias("size"))
 
 
