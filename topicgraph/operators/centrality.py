@@ -31,7 +31,10 @@ from ..session import ensure_checkpoint_dir
 
 def hits(nodes: DataFrame, edges: DataFrame, undirected: bool = False, eps: float = 1e-4,
          max_iter: int = 100, return_rounds: bool = False):
-    """``(id, authority, hub)`` for the members of either list."""
+    """``(id, authority, hub)`` for the members of either list.
+
+    Raises if the change is not below ``eps`` after ``max_iter`` rounds; with
+    ``eps`` 0 exactly ``max_iter`` rounds are run."""
     spark = edges.sparkSession
     ensure_checkpoint_dir(spark)
     s, t = F.col("source"), F.col("target")
@@ -90,6 +93,10 @@ def hits(nodes: DataFrame, edges: DataFrame, undirected: bool = False, eps: floa
         state = new.drop("a0", "h0")
         if change is None or change < eps:
             break
+    else:
+        if eps > 0:
+            pairs.unpersist()
+            raise RuntimeError(f"no convergence to {eps} in {max_iter} rounds")
     pairs.unpersist()
     out = state.select("id", "authority", "hub")
     return (out, rounds) if return_rounds else out
