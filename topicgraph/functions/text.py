@@ -125,6 +125,13 @@ def topic_term(search: str) -> str:
     return parts[0].lower()
 
 
+def topic_term_column(search: Column | str) -> Column:
+    """P3 for a column of search texts; NULL where there is no word."""
+    c = F.col(search) if isinstance(search, str) else search
+    word = F.regexp_extract(c, "^" + WS_CLASS + "*(" + TOKEN_RUN + ")", 1)
+    return F.when(word != "", F.lower(word))
+
+
 def synonyms() -> dict[str, list[str]]:
     return {e: w for e, w in emoji.synonym_rows()}
 

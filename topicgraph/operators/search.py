@@ -105,10 +105,11 @@ def match_topic(payments: DataFrame, topic: str, t0=None, t1=None, mode: str = "
 
 
 def build_token_index(token_rows: DataFrame, path: str, partitions: int | None = None) -> None:
-    """X3 stored: token rows hash-partitioned by token and sorted within each
-    file, so a token lookup reads few row groups (parquet min/max skipping)
-    and joins on token need no further shuffle of the index side."""
-    df = token_rows.repartition(partitions, "token") if partitions else token_rows.repartition("token")
+    """X3 stored: token rows in ranges of (token, document), sorted within each
+    file, so a token lookup reads few row groups (parquet min/max skipping)."""
+    # by range of (token, document): a frequent token is spread over several tasks and files
+    order = ["token", *[c for c in token_rows.columns if c not in ("token", "pos", "synonym")]]
+    df = token_rows.repartitionByRange(partitions, *order) if partitions else token_rows.repartitionByRange(*order)
     df.sortWithinPartitions("token").write.mode("overwrite").parquet(path)
 
 
@@ -129,8 +130,8 @@ def index_stats(token_rows: DataFrame, id_col: str = "doc_id") -> DataFrame:
 
 
 def field_stats(docs: DataFrame, tokens: str = "tokens") -> DataFrame:
-    """``(n_docs, avgdl)`` over documents with an indexed field."""
-    return docs.filter(F.col(tokens).isNotNull()).agg(
+    """``(n_docs, avgdl)`` over documents with at least one term."""
+    return docs.filter(F.size(tokens) > 0).agg(
         F.count("*").alias("n_docs"), F.avg(F.size(tokens)).alias("avgdl"))
 
 
@@ -194,7 +195,7 @@ def explained_search(docs: DataFrame, topic: str, t0, k: int = 10, doc_id: str =
            for i, c in enumerate(carriers.values())]
     base = base.select("*", *tfs)
 
-    stats = base.filter(F.col("tokens").isNotNull()).agg(
+    stats = base.filter(F.col("dl") > 0).agg(
         F.count("*").alias("n_docs"), F.avg("dl").alias("avgdl"),
         *[F.sum(F.when(F.col(f"tf{i}") > 0, 1).otherwise(0)).alias(f"df{i}")
           for i in range(len(terms))])
@@ -221,7 +222,6 @@ def explained_search(docs: DataFrame, topic: str, t0, k: int = 10, doc_id: str =
         expl.alias("explanation"))
     scored = scored.withColumn(
         "score", F.aggregate("explanation", F.lit(0.0), lambda acc, s: acc + s["score"]) + F.lit(1.0))
-    scored = scored.withColumn("score", F.round("score", 6))
     return scored.orderBy(F.desc("score"), F.asc("doc_id")).limit(k)
 
 
@@ -232,9 +232,11 @@ _EXPLAIN_SCHEMA = (
 
 
 def explanation_json(result: DataFrame) -> DataFrame:
-    """R2: one JSON document per hit (keys sorted as ``json.dumps(sort_keys)``)."""
+    """R2: one JSON document per hit, keys sorted at every level."""
+    fields = sorted(result.schema["explanation"].dataType.elementType.fieldNames())
+    terms = F.transform("explanation", lambda e: F.struct(*[e[f].alias(f) for f in fields]))
     return result.select("doc_id", "score", F.to_json(F.struct(
-        F.col("doc_id").alias("_id"), F.col("explanation").alias("_explanation"),
+        terms.alias("_explanation"), F.col("doc_id").alias("_id"),
         F.col("score").alias("_score"),
         F.struct("message", "time_sended").alias("_source"))).alias("json"))
 

@@ -285,6 +285,12 @@ def q_ingest_rejects(spark, sf):
     return bad.groupBy("reason").agg(F.count("*").alias("n"))
 
 
+def _tokens(spark, sf, name):
+    """``(name, tokens)`` of all payments; the analyser runs once per message."""
+    p = payment_lines(spark, sf).select(payment_id().alias(name), "message")
+    return text.with_tokens(p, keep=[name])
+
+
 def _line_folders(spark, sf) -> tuple[str, str]:
     """The JSON lines as text files in two folders that share their days."""
     lines, out = payment_json_lines(spark, sf).select("value"), []
@@ -377,8 +383,7 @@ def q_ingest_times(spark, sf):
     "SELECT payment_id, CAST(pos AS INTEGER) AS pos, token, false AS synonym FROM t UNION ALL "
     "SELECT payment_id, CAST(pos AS INTEGER), unnest(words), true FROM t JOIN syn ON syn.emoji = t.token")
 def q_emoji_tokens(spark, sf):
-    p = payment_lines(spark, sf).select(payment_id().alias("payment_id"),
-                                        text.analyze("message").alias("tokens"))
+    p = _tokens(spark, sf, "payment_id")
     return text.token_table(p, ["payment_id"])
 
 
@@ -407,9 +412,9 @@ _CODED = _duck_replace_all("message", text.EMOJI_CHAR_CLASS, emoji.char_to_short
 @register("shortcodes", _with(O.payment_lines_cte()) +
           f"SELECT {PAYMENT_ID_SQL} AS payment_id, message, {_CODED} AS coded, "
           f"{_duck_replace_all(_CODED, text.SHORTCODE.replace(chr(92) + 's', ' '), emoji.shortcode_to_char())} "
-          f"AS decoded FROM payment_lines WHERE {_win()}")
+          "AS decoded FROM payment_lines")
 def q_shortcodes(spark, sf):
-    df = time_between_df(payment_lines(spark, sf))
+    df = payment_lines(spark, sf)
     coded = text.emoji_to_shortcode("message")
     return df.select(payment_id().alias("payment_id"), "message", coded.alias("coded"),
                      text.shortcode_to_emoji(coded).alias("decoded"))
@@ -453,16 +458,16 @@ def _r1_sql() -> str:
         f"docs AS (SELECT {PAYMENT_ID_SQL} AS doc_id, message, time_sended, {O.analyze('message')} AS tokens "
         "FROM payment_lines)",
         f"d AS (SELECT *, len(tokens) AS dl, {tfs} FROM docs)",
-        f"st AS (SELECT count(*) AS n_docs, avg(dl) AS avgdl, {dfs} FROM d WHERE tokens IS NOT NULL)",
+        f"st AS (SELECT count(*) AS n_docs, avg(dl) AS avgdl, {dfs} FROM d WHERE dl > 0)",
         f"c AS (SELECT * FROM d, st WHERE time_sended >= TIMESTAMP '{R1_SINCE}' AND ({hit}))",
-        f"top AS (SELECT *, round(1.0 + {score}, 6) AS score FROM c ORDER BY score DESC, doc_id LIMIT 10)",
+        f"top AS (SELECT *, {score} + 1.0 AS score FROM c ORDER BY score DESC, doc_id LIMIT 10)",
         f"terms AS ({terms_rows})")
 
 
 @register("explained_top10", _r1_sql() +
-          f"SELECT doc_id, message, {O.ts('time_sended')} AS time_sended, score FROM top")
+          f"SELECT doc_id, message, {O.ts('time_sended')} AS time_sended, round(score, 6) AS score FROM top")
 def q_explained_top10(spark, sf):
-    return fmt_ts(_r1(spark, sf).select("doc_id", "message", "time_sended", "score"), "time_sended")
+    return fmt_ts(_r1(spark, sf).select("doc_id", "message", "time_sended", F.round("score", 6).alias("score")), "time_sended")
 
 
 @register("explained_terms", _r1_sql() +
@@ -1075,7 +1080,7 @@ def _emoji_dim_sql() -> str:
     "SELECT d.code, d.ch AS emoji, CAST(d.category AS INTEGER) AS category, count(*) AS n "
     "FROM t JOIN dim d ON d.ch = t.token GROUP BY d.code, d.ch, d.category")
 def q_emoji_usage(spark, sf):
-    toks = payment_lines(spark, sf).select(F.explode(text.analyze("message")).alias("token"))
+    toks = _tokens(spark, sf, "doc_id").select(F.explode("tokens").alias("token"))
     dim = F.broadcast(text.emoji_dim(spark).select("code", F.col("char").alias("emoji"), "category"))
     return (toks.join(dim, toks.token == dim.emoji)
             .groupBy("code", "emoji", "category").agg(F.count("*").alias("n")))
@@ -1085,16 +1090,27 @@ def q_emoji_usage(spark, sf):
           f"SELECT DISTINCT {PAYMENT_ID_SQL} AS payment_id FROM payment_lines "
           f"WHERE list_contains({O.expanded(O.analyze('message'))}, 'hot')")
 def q_token_index_search(spark, sf):
-    p = payment_lines(spark, sf).select(payment_id().alias("payment_id"),
-                                        text.analyze("message").alias("tokens"))
+    p = _tokens(spark, sf, "payment_id")
     path = scratch_path(spark, "token_index")
     S.build_token_index(text.token_table(p, ["payment_id"]), path)
     return S.docs_with_tokens(spark.read.parquet(path), ["hot"], ["payment_id"])
 
 
-@register("explanation_json")
+@register("explanation_json", _r1_sql() +
+          "SELECT doc_id, round(score, 6) AS score, message, '_explanation,_id,_score,_source' AS keys, "
+          "'avgdl,df,dl,idf,n_docs,score,term,tf,tf_norm' AS term_keys, "
+          "(SELECT count(*) FROM terms t WHERE t.doc_id = top.doc_id) AS n_terms FROM top")
 def q_explanation_json(spark, sf):
-    return S.explanation_json(_r1(spark, sf))
+    """The documents read back: ids, scores, and the order of the keys."""
+    j = F.col("json")
+    first = F.get_json_object(j, "$._explanation[0]")
+    return S.explanation_json(_r1(spark, sf)).select(
+        F.get_json_object(j, "$._id").alias("doc_id"),
+        F.round(F.get_json_object(j, "$._score").cast("double"), 6).alias("score"),
+        F.get_json_object(j, "$._source.message").alias("message"),
+        F.array_join(F.json_object_keys(j), ",").alias("keys"),
+        F.array_join(F.json_object_keys(first), ",").alias("term_keys"),
+        F.json_array_length(F.get_json_object(j, "$._explanation")).cast("bigint").alias("n_terms"))
 
 
 # ---------------------------------------------------------------------------
@@ -1105,7 +1121,7 @@ def q_explanation_json(spark, sf):
           f"t AS (SELECT {PAYMENT_ID_SQL} AS doc_id, unnest({O.analyze('message')}) AS token FROM payment_lines)") +
           "SELECT token, count(DISTINCT doc_id) AS df, count(*) AS tf FROM t GROUP BY token")
 def q_index_stats(spark, sf):
-    p = payment_lines(spark, sf).select(payment_id().alias("doc_id"), text.analyze("message").alias("tokens"))
+    p = _tokens(spark, sf, "doc_id")
     return S.index_stats(text.token_table(p, ["doc_id"], with_synonyms=False))
 
 
@@ -1176,6 +1192,53 @@ def q_egonet_batch_edges(spark, sf):
     return mg_topic(spark, sf).neighborhood(centers).edges.select("center_id", "id")
 
 
-# names used by the survey's query table (same plans as the split queries)
-register("filter_chain", ORACLES["filter_chain_edges"])(q_filter_chain_edges)
-register("egonet", ORACLES["egonet_nodes"])(q_egonet_nodes)
+@register("filter_chain", _with(sql_mg(), _CHAIN_SQL) + "SELECT id, hidden FROM fe")
+def q_filter_chain(spark, sf):
+    """A chain exported, imported onto the graph again and applied; a step
+    that was undone is not in it."""
+    g = mg_all(spark, sf)
+    g = MultiGraph(g.nodes.join(g.degrees().select("id", "degree"), "id"), g.edges)
+    chain = (FilterChain(g).nodes_by("degree >= 80", "busy").edges_by("size > 100").edges_by("size <= 3", "early")
+             .undo("_0"))
+    return FilterChain.import_chain(g, chain.export_json()).apply().edges.select("id", "hidden")
+
+
+@register("egonet", _with(sql_mg()) +
+          f"SELECT id, id = '{CENTER}' AS center FROM mg_nodes WHERE id = '{CENTER}' "
+          f"OR id IN (SELECT target FROM mg_edges WHERE source = '{CENTER}') "
+          f"OR id IN (SELECT source FROM mg_edges WHERE target = '{CENTER}')")
+def q_egonet(spark, sf):
+    """One centre asked for by the table form, over the whole graph."""
+    centers = spark.createDataFrame([(CENTER,)], "id string")
+    return mg_all(spark, sf).neighborhood(centers).nodes.select("id", "center")
+
+
+@register("induced_subgraph", _with(sql_mg()) +
+          "SELECT id, source, target FROM mg_edges WHERE "
+          "source IN (SELECT CAST(c_custkey AS VARCHAR) FROM customer WHERE c_nationkey < 10) AND "
+          "target IN (SELECT CAST(c_custkey AS VARCHAR) FROM customer WHERE c_nationkey < 10)")
+def q_induced_subgraph(spark, sf):
+    chosen = table(spark, sf, "customer").filter("c_nationkey < 10").select(F.col("c_custkey").cast("string").alias("id"))
+    return G.induced_subgraph(mg_all(spark, sf).edges, chosen).select("id", "source", "target")
+
+
+@register("add_elements", _with(sql_mg()) +
+          "SELECT 'node' AS kind, id FROM mg_nodes UNION ALL SELECT 'node', 's' || CAST(s_suppkey AS VARCHAR) FROM supplier "
+          "UNION ALL SELECT 'edge', id FROM mg_edges UNION ALL "
+          "SELECT 'edge', 's' || CAST(s_suppkey AS VARCHAR) || '-home' FROM supplier")
+def q_add_elements(spark, sf):
+    """Suppliers and their loops appended to the payment graph, checked."""
+    s = table(spark, sf, "supplier").select(F.concat(F.lit("s"), F.col("s_suppkey").cast("string")).alias("id"),
+                                            F.col("s_name").alias("label"))
+    loops = s.select(F.concat("id", F.lit("-home")).alias("id"), F.col("id").alias("source"), F.col("id").alias("target"))
+    g = mg_all(spark, sf).add_nodes(s).add_edges(loops)
+    bad = g.validate().filter("kind LIKE 'dangling%' OR kind = 'duplicate_node'").select(F.col("kind"), "id")
+    return (g.nodes.select(F.lit("node").alias("kind"), "id")
+            .unionByName(g.edges.select(F.lit("edge").alias("kind"), "id")).unionByName(bad))
+
+
+@register("topic_terms", "SELECT p_partkey, lower(string_split(trim(p_name), ' ')[1]) AS topic FROM part")
+def q_topic_terms(spark, sf):
+    """P3 over a table of search texts."""
+    p = table(spark, sf, "part")
+    return p.select("p_partkey", text.topic_term_column("p_name").alias("topic"))
