@@ -8,3 +8,62 @@ SELECT doc_id, min(doc_id) OVER w AS keep_id, count(*) OVER w AS group_size,
        row_number() OVER (PARTITION BY t ORDER BY doc_id) = 1 AS kept, sha256(t) AS text_sha256
 FROM d WINDOW w AS (PARTITION BY t)
 """
+
+_LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+_WORDS = rf"regexp_extract_all({_LOWER}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
+
+ORACLES["op1_decontamination"] = rf"""
+WITH d AS (SELECT doc_id, {_WORDS} AS w FROM documents),
+     b AS (SELECT coalesce(CAST(item_id AS VARCHAR), '') AS item, {_WORDS} AS w FROM benchmark),
+     p AS (SELECT DISTINCT item, list_slice(w, i, i + 9) AS phrase
+           FROM (SELECT item, w, unnest(range(1, greatest(len(w) - 9, 1) + 1)) AS i FROM b WHERE len(w) > 0)),
+     n AS (SELECT DISTINCT len(phrase) AS n FROM p),
+     s AS (SELECT doc_id, unnest(range(1, len(w) - n + 2)) AS i, n, w FROM d, n WHERE len(w) >= n),
+     h AS (SELECT s.doc_id, s.i, s.n, p.item FROM s JOIN p ON list_slice(s.w, s.i, s.i + s.n - 1) = p.phrase),
+     c AS (SELECT doc_id, count(DISTINCT place) AS n_hit FROM (SELECT doc_id, unnest(range(i, i + n)) AS place FROM h)
+           GROUP BY doc_id),
+     t AS (SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS items
+           FROM (SELECT DISTINCT doc_id, item FROM h) GROUP BY doc_id)
+SELECT d.doc_id, CAST(len(d.w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+       sha256(coalesce(items, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM d LEFT JOIN c USING (doc_id) LEFT JOIN t USING (doc_id)
+"""
+
+_SP = r"[\x20\x09-\x0D]"
+_TRIM = r"trim(raw, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13))"
+_FIELD = r"regexp_replace(" + _TRIM + r", '[^\x20\x09-\x0D]*[0-9][^\x20\x09-\x0D]*', '<*>', 'g')"
+
+ORACLES["op3_line_dedup"] = rf"""
+WITH l AS (SELECT doc_id, text, unnest(string_split(text, chr(10))) AS raw,
+                  unnest(range(len(string_split(text, chr(10))))) AS line FROM documents WHERE text IS NOT NULL),
+     k AS (SELECT doc_id, text, line, string_split_regex({_FIELD}, '{_SP}+') AS t FROM l),
+     v AS (SELECT doc_id, text, line, len(t) AS n, t, unnest(CASE WHEN len(t) >= 12 THEN [0, 1, 2] ELSE [3] END) AS part
+           FROM k WHERE len(t) >= 4),
+     f AS (SELECT doc_id, text, line, n, part,
+                  CASE WHEN part = 3 THEN t ELSE list_slice(t, 1, 3 + (n - 3) * part // 3) END AS head,
+                  CASE WHEN part = 3 THEN [] ELSE list_slice(t, 4 + (n - 3) * (part + 1) // 3, n) END AS tail FROM v),
+     r AS (SELECT n, part, head, tail, count(DISTINCT (doc_id, text)) AS docs, min(doc_id) AS first
+           FROM f GROUP BY n, part, head, tail HAVING count(DISTINCT (doc_id, text)) >= 3),
+     b AS (SELECT f.doc_id, f.text, f.line, arg_max(r.first, r.docs * 4 - r.part) AS first
+           FROM f JOIN r ON f.n = r.n AND f.part = r.part AND f.head = r.head AND f.tail = r.tail
+           GROUP BY f.doc_id, f.text, f.line),
+     g AS (SELECT DISTINCT doc_id, text, line FROM b WHERE first IS NOT NULL AND first IS DISTINCT FROM doc_id),
+     o AS (SELECT l.doc_id, l.text, count(*) FILTER (g.line IS NOT NULL) AS n_dropped,
+                  count(*) FILTER (g.line IS NULL) AS n_kept,
+                  string_agg(l.raw, chr(10) ORDER BY l.line) FILTER (g.line IS NULL) AS kept
+           FROM l LEFT JOIN g ON l.doc_id = g.doc_id AND l.text = g.text AND l.line = g.line GROUP BY l.doc_id, l.text)
+SELECT d.doc_id, coalesce(n_dropped, 0) AS n_dropped, coalesce(n_kept, 0) AS n_kept, sha256(coalesce(kept, '')) AS text_sha256
+FROM documents d LEFT JOIN o ON d.doc_id = o.doc_id AND d.text = o.text
+"""
+
+ORACLES["op5_warc"] = r"""
+WITH p AS (SELECT page_id, coalesce(html, '') AS html FROM pages),
+     g AS (SELECT page_id, html, max(page_id) OVER (PARTITION BY html) AS first, sha1(html) AS hex FROM p),
+     n AS (SELECT *, list_transform(range(4), lambda i: CAST('0x' || substr(hex, 10 * i + 1, 10) AS BIGINT)) AS words FROM g)
+SELECT page_id, octet_length(encode(html)) AS payload_bytes,
+       array_to_string(list_transform(range(32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+           CAST((words[i // 8 + 1] >> (35 - 5 * (i % 8))) & 31 AS INTEGER) + 1, 1)), '') AS payload_digest,
+       CASE WHEN page_id = first THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN page_id <> first THEN first END AS refers_to
+FROM n
+"""
