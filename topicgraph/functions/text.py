@@ -32,8 +32,8 @@ WORD_SPLIT = r"[^\p{L}\p{N}_]+"
 SHORTCODE = r":[^\s:]+:"
 
 
-def _emoticon_regex() -> str:
-    alts = sorted(emoji.emoticon_chars(), key=lambda e: (-len(e), e))
+def _emoticon_regex(emoticons: dict[str, str] | None = None) -> str:
+    alts = sorted(emoji.emoticon_chars() if emoticons is None else emoticons, key=lambda e: (-len(e), e))
     return "^(" + "|".join(re.escape(a) for a in alts) + r")([|?.,!].*)?$"
 
 
@@ -45,13 +45,14 @@ def _literal_map(d: dict) -> Column:
     return F.from_json(F.lit(emoji.as_json(d)), "map<string,string>")
 
 
-def emoticon_token(t: Column) -> Column:
+def emoticon_token(t: Column, emoticons: dict[str, str] | None = None) -> Column:
     """A token that is an emoticon (optionally followed by ``|?.,!`` and
     anything) becomes the emoji plus that rest."""
-    m = F.regexp_extract(t, EMOTICON_RE, 1)
-    rest = F.regexp_extract(t, EMOTICON_RE, 2)
-    return F.when(m != "", F.concat(F.element_at(_literal_map(emoji.emoticon_chars()), m), rest)
-                  ).otherwise(t)
+    table = emoji.emoticon_chars() if emoticons is None else emoticons
+    pattern = EMOTICON_RE if emoticons is None else _emoticon_regex(emoticons)
+    m = F.regexp_extract(t, pattern, 1)
+    rest = F.regexp_extract(t, pattern, 2)
+    return F.when(m != "", F.concat(F.element_at(_literal_map(table), m), rest)).otherwise(t)
 
 
 # runs of non-whitespace (tokens); extracted with a pattern compiled once per
@@ -61,17 +62,19 @@ TOKEN_RUN = "[^" + WS_CLASS[1:-1] + "]+"
 EMOTICON_FIRST = sorted({e[0] for e in emoji.emoticon_chars()})
 
 
-def _token(t: Column) -> Column:
-    guarded = F.when(F.substring(t, 1, 1).isin(*EMOTICON_FIRST), emoticon_token(t)).otherwise(t)
+def _token(t: Column, emoticons: dict[str, str] | None = None) -> Column:
+    first = EMOTICON_FIRST if emoticons is None else sorted({e[0] for e in emoticons})
+    guarded = F.when(F.substring(t, 1, 1).isin(*first), emoticon_token(t, emoticons)).otherwise(t) if first else t
     return F.regexp_replace(F.lower(guarded), PUNCT_CLASS, "")
 
 
-def analyze(message: Column | str) -> Column:
-    """Message -> base tokens (array<string>, NULL for a NULL message)."""
+def analyze(message: Column | str, emoticons: dict[str, str] | None = None) -> Column:
+    """Message -> base tokens (array<string>, NULL for a NULL message);
+    ``emoticons`` replaces the built-in table (``sources.dictionaries``)."""
     msg = F.col(message) if isinstance(message, str) else message
     toks = F.regexp_extract_all(F.replace(msg, F.lit("\u200d"), F.lit("")), F.lit(TOKEN_RUN), 0)
     # array_remove is code-generated; a filter lambda would run interpreted
-    return F.array_remove(F.transform(toks, _token), "")
+    return F.array_remove(F.transform(toks, lambda t: _token(t, emoticons)), "")
 
 
 def with_tokens(df, message: str = "message", out: str = "tokens", keep: list[str] | None = None):
@@ -101,14 +104,15 @@ _PY_EMO = re.compile("^(" + "|".join(re.escape(a) for a in sorted(
     emoji.emoticon_chars(), key=lambda e: (-len(e), e))) + r")([|?.,!].*)?$", re.S)
 
 
-def analyze_text(text: str | None) -> list[str]:
+def analyze_text(text: str | None, emoticons: dict[str, str] | None = None) -> list[str]:
     """Python twin of ``analyze`` for query strings."""
     if text is None:
         return []
-    emo = emoji.emoticon_chars()
+    emo = emoji.emoticon_chars() if emoticons is None else emoticons
+    pattern = _PY_EMO if emoticons is None else re.compile(_emoticon_regex(emoticons), re.S)
     out = []
     for t in _PY_WS.split(text.replace("\u200d", "")):
-        m = _PY_EMO.match(t)
+        m = pattern.match(t) if emo else None
         if m:
             t = emo[m.group(1)] + (m.group(2) or "")
         t = _PY_PUNCT.sub("", t.lower())
@@ -132,13 +136,16 @@ def topic_term_column(search: Column | str) -> Column:
     return F.when(word != "", F.lower(word))
 
 
-def synonyms() -> dict[str, list[str]]:
-    return {e: w for e, w in emoji.synonym_rows()}
+Synonyms = list[tuple[str, list[str]]]
 
 
-def expand(tokens: list[str]) -> list[str]:
+def synonyms(rows: Synonyms | None = None) -> dict[str, list[str]]:
+    return {e: w for e, w in (emoji.synonym_rows() if rows is None else rows)}
+
+
+def expand(tokens: list[str], rows: Synonyms | None = None) -> list[str]:
     """Index-time expansion of a token list (each emoji followed by its words)."""
-    syn = synonyms()
+    syn = synonyms(rows)
     out = []
     for t in tokens:
         out.append(t)
@@ -146,7 +153,7 @@ def expand(tokens: list[str]) -> list[str]:
     return out
 
 
-def match_set(topic_tokens: list[str], use_synonyms: bool = True) -> list[str]:
+def match_set(topic_tokens: list[str], use_synonyms: bool = True, rows: Synonyms | None = None) -> list[str]:
     """Base tokens whose expansion meets the expanded topic.
 
     A document matches iff ``expand(doc) ∩ expand(topic) ≠ ∅``; that holds
@@ -155,17 +162,17 @@ def match_set(topic_tokens: list[str], use_synonyms: bool = True) -> list[str]:
     """
     if not use_synonyms:
         return sorted(set(topic_tokens))
-    e = set(expand(topic_tokens))
+    e = set(expand(topic_tokens, rows))
     m = set(e)
-    for ch, words in emoji.synonym_rows():
+    for ch, words in emoji.synonym_rows() if rows is None else rows:
         if e.intersection(words):
             m.add(ch)
     return sorted(m)
 
 
-def prefix_emoji(prefix: str) -> list[str]:
+def prefix_emoji(prefix: str, rows: Synonyms | None = None) -> list[str]:
     """Emoji one of whose synonym words starts with ``prefix``."""
-    return sorted(ch for ch, words in emoji.synonym_rows()
+    return sorted(ch for ch, words in (emoji.synonym_rows() if rows is None else rows)
                   if any(w.startswith(prefix) for w in words))
 
 
@@ -179,19 +186,14 @@ def emoji_dim(spark: SparkSession) -> DataFrame:
         "code string, char string, short_names array<string>, category int")
 
 
-def synonym_table(spark: SparkSession) -> DataFrame:
+def synonym_table(spark: SparkSession, rows: Synonyms | None = None) -> DataFrame:
     """``synonyms(emoji, word, pos)`` long form."""
-    rows = [(e, w, i) for e, ws in emoji.synonym_rows() for i, w in enumerate(ws)]
+    rows = [(e, w, i) for e, ws in (emoji.synonym_rows() if rows is None else rows) for i, w in enumerate(ws)]
     return spark.createDataFrame(rows, "emoji string, word string, pos int")
 
 
-def emoticon_table(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(
-        [(k, v) for k, v in emoji.emoticon_chars().items()], "text string, emoji string")
-
-
 def token_table(df: DataFrame, id_cols: list[str], tokens: str = "tokens",
-                with_synonyms: bool = True) -> DataFrame:
+                with_synonyms: bool = True, synonym_rows: Synonyms | None = None) -> DataFrame:
     """``(id_cols..., pos, token, synonym)``, the inverted-index rows.
 
     Synonyms are added by a broadcast join against the bounded dictionary
@@ -202,7 +204,7 @@ def token_table(df: DataFrame, id_cols: list[str], tokens: str = "tokens",
     base = base.withColumn("synonym", F.lit(False))
     if not with_synonyms:
         return base
-    syn = F.broadcast(synonym_table(df.sparkSession)
+    syn = F.broadcast(synonym_table(df.sparkSession, synonym_rows)
                       .select(F.col("emoji").alias("token"), F.col("word")))
     extra = (base.join(syn, "token")
                  .select(*id_cols, "pos", F.col("word").alias("token"),

@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import datetime as _dt
 import math
+import re
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -25,34 +26,42 @@ def _lit_array(values: list[str]) -> Column:
 
 
 def topic_predicate(tokens: Column | str, topic: str, mode: str = "match",
-                    synonyms: bool = False) -> Column:
+                    synonyms: bool = False, emoticons: dict[str, str] | None = None,
+                    synonym_rows: text.Synonyms | None = None, standard: bool = False) -> Column:
     """Boolean column, true when the token array matches the topic.
 
     ``match``: analysed topic, OR over its tokens; ``term``: the raw string
     must equal an indexed token; ``prefix``: an indexed token starts with the
     raw string; ``match_phrase``: analysed tokens contiguous in the message.
     With ``synonyms`` the index is taken as expanded (emoji -> words), which
-    is evaluated by expanding the query side.
+    is evaluated by expanding the query side.  ``emoticons`` and
+    ``synonym_rows`` replace the built-in dictionaries; with ``standard`` the
+    topic is analysed like the four-field index (X2).
     """
+    def analysed(t: str) -> list[str]:
+        if standard:
+            return [w for w in re.split(r"[^\w]+", t.lower()) if w]
+        return text.analyze_text(t, emoticons)
+
     tok = F.col(tokens) if isinstance(tokens, str) else tokens
     if mode == "match":
-        q = text.analyze_text(topic)
-        m = text.match_set(q, synonyms)
+        q = analysed(topic)
+        m = text.match_set(q, synonyms, synonym_rows)
     elif mode == "term":
-        m = text.match_set([topic], synonyms)
+        m = text.match_set([topic], synonyms, synonym_rows)
     elif mode == "prefix":
         pred = F.exists(tok, lambda t: t.startswith(topic))
         if synonyms:
-            extra = text.prefix_emoji(topic)
+            extra = text.prefix_emoji(topic, synonym_rows)
             if extra:
                 pred = pred | F.arrays_overlap(tok, _lit_array(extra))
         return F.coalesce(pred, F.lit(False))
     elif mode == "match_phrase":
-        q = text.analyze_text(topic)
+        q = analysed(topic)
         if not q:
             return F.lit(False)
         if len(q) == 1:
-            m = text.match_set(q, synonyms)
+            m = text.match_set(q, synonyms, synonym_rows)
         else:
             needle = PHRASE_SEP + PHRASE_SEP.join(q) + PHRASE_SEP
             hay = F.concat(F.lit(PHRASE_SEP), F.array_join(tok, PHRASE_SEP), F.lit(PHRASE_SEP))
@@ -89,7 +98,8 @@ def since(df: DataFrame, t0, col: str = "time_sended") -> DataFrame:
 
 def match_topic(payments: DataFrame, topic: str, t0=None, t1=None, mode: str = "match",
                 synonyms: bool = False, message: str = "message",
-                tokens: str | None = None) -> DataFrame:
+                tokens: str | None = None, emoticons: dict[str, str] | None = None,
+                synonym_rows: text.Synonyms | None = None, standard: bool = False) -> DataFrame:
     """P4+P6: payments whose message matches ``topic`` within ``[t0, t1]``.
 
     ``tokens`` names a precomputed token column (ingested tables carry one);
@@ -100,8 +110,9 @@ def match_topic(payments: DataFrame, topic: str, t0=None, t1=None, mode: str = "
         df = time_between(df, t0, t1)
     elif t0 is not None:
         df = since(df, t0)
-    tok = F.col(tokens) if tokens else text.analyze(message)
-    return df.filter(topic_predicate(tok, topic, mode, synonyms))
+    own = text.analyze_standard(message) if standard else text.analyze(message, emoticons)
+    tok = F.col(tokens) if tokens else own
+    return df.filter(topic_predicate(tok, topic, mode, synonyms, emoticons, synonym_rows, standard))
 
 
 def build_token_index(token_rows: DataFrame, path: str, partitions: int | None = None) -> None:
