@@ -5,15 +5,17 @@ Fit.  A bounded sample of labelled documents (``TOXIC`` and ``CLEAN``
 examples at most) is the set of examples.  Their terms are words and word
 beginnings of 4, 5 and 6 characters (so that inflected forms meet), and for
 what a text says 2, 4, 8, ... times one more term each (a cosine does not see
-how often a text says the one thing that counts); Spark counts each term's examples of both classes, and at most ``TERMS`` terms that
-tell the classes apart are kept.  How strict that choice is, and the curve
-that turns votes into probabilities, are found by leaving each example out
-once and asking the others.
+how often a text says the one thing that counts).  Spark counts each term's
+examples of both classes, and at most ``TERMS`` terms that tell the classes
+apart are kept.  How strict that choice is, and the curve that turns votes
+into probabilities, are found by leaving each example out once and asking the
+others.
 
 Index.  Examples lie in blocks of ``BLOCK``.  A term's postings are grouped
 by block with the block's largest weight.  For a text, the largest weights
-bound every block's cosine; blocks are read in falling order of that bound
-until it cannot beat the K-th neighbour found, so the K nearest are exact.
+bound every block's cosine; the blocks with the largest bounds are read first,
+and then all others whose bound reaches the K-th neighbour found so far, so
+the K nearest are exact.
 
 Score.  The neighbours vote with weights that fall with their distance, next
 to one vote of the base rate; the vote passes the fitted curve.  The model is
@@ -42,11 +44,12 @@ from .decontamination import words
 
 #: Bounds of the model: examples of each class, and terms.
 TOXIC, CLEAN, TERMS = 2048, 4096, 4096
-#: Neighbours that vote, and examples in an index block.
-K, BLOCK = 16, 64
+#: Neighbours that vote, examples in an index block, and blocks read before
+#: the bounds are compared.
+K, BLOCK, FIRST = 16, 64, 4
 #: A term is in at least so many examples; strictness of the choice (standard
 #: scores of the difference between classes) that are tried.
-LEAST_EXAMPLES, STRICTNESS = 5, (3.0, 4.0, 6.0, 9.0, 12.0)
+LEAST_EXAMPLES, STRICTNESS = 5, (4.0, 6.0, 9.0, 12.0)
 #: Word beginnings that are terms of their own.
 BEGINNINGS = (4, 5, 6)
 #: Counts from which on a text has a term once more.
@@ -84,51 +87,63 @@ def term_counts(text: str | None) -> dict[str, int]:
 
 
 class BlockMaxIndex:
-    """Postings of the examples by term and block."""
+    """Postings of the examples by term and block.  Examples that share their
+    heaviest terms lie side by side, so that blocks are alike inside and their
+    largest weights bound them closely."""
 
     def __init__(self, vectors: list[dict[int, float]], terms: int):
         import numpy as np
 
-        self.n = len(vectors)
-        self.blocks = -(-self.n // BLOCK)
+        heaviest = [tuple(sorted(v, key=lambda t: (-v[t], t))[:3]) for v in vectors]
+        self.example = np.array(sorted(range(len(vectors)), key=lambda e: (heaviest[e], e)), np.int64)
+        self.blocks = -(-len(vectors) // BLOCK)
         by_term: list[list[tuple[int, float]]] = [[] for _ in range(terms)]
-        for e, v in enumerate(vectors):
-            for t, x in v.items():
-                by_term[t].append((e, x))
-        self.postings, self.tops, self.slices = [], [], []
+        for place, e in enumerate(self.example.tolist()):
+            for t, x in vectors[e].items():
+                by_term[t].append((place, x))
+        self.postings, self.tops = [], []
         for plist in by_term:
-            ex = np.array([e for e, _ in plist], np.int32)
+            at = np.array([p for p, _ in plist], np.int64)
             val = np.array([x for _, x in plist], np.float64)
-            first = np.flatnonzero(np.diff(ex // BLOCK, prepend=-1))
-            self.postings.append((ex, val))
-            self.tops.append((ex[first] // BLOCK, np.maximum.reduceat(val, first) if len(ex) else val))
-            self.slices.append(dict(zip((ex[first] // BLOCK).tolist(),
-                                        zip(first.tolist(), [*first[1:].tolist(), len(ex)]))))
+            first = np.flatnonzero(np.diff(at // BLOCK, prepend=-1))
+            self.postings.append((at, val, first, np.diff(first, append=len(at))))
+            self.tops.append((at[first] // BLOCK, np.maximum.reduceat(val, first) if len(at) else val))
 
-    def nearest(self, vector: dict[int, float], k: int, leave: int = -1) -> list[tuple[float, int]]:
+    def _add(self, score, vector: dict[int, float], wanted) -> None:
+        """Adds the query's products with the postings of the wanted blocks."""
+        import numpy as np
+
+        for t, x in vector.items():
+            at, val, first, size = self.postings[t]
+            use = wanted[self.tops[t][0]]
+            if not use.all():
+                start, n = first[use], size[use]
+                cut = np.repeat(start - np.cumsum(n) + n, n) + np.arange(n.sum())
+                at, val = at[cut], val[cut]
+            score[at] += x * val
+
+    def nearest(self, vector: dict[int, float], k: int) -> list[tuple[float, int]]:
         """The ``k`` examples with the largest cosine above zero, as
-        ``(cosine, example)``; ``leave`` is left out."""
+        ``(cosine, example)``."""
         import numpy as np
 
         bound = np.zeros(self.blocks)
         for t, x in vector.items():
             at, top = self.tops[t]
             bound[at] += x * top
-        best: list[tuple[float, int]] = []
-        for b in np.argsort(-bound, kind="stable").tolist():
-            # rounding differs between the bound and the sum: a margin keeps the search exact
-            if bound[b] <= 0 or len(best) == k and bound[b] < best[-1][0] - 1e-9:
-                break
-            score = np.zeros(BLOCK)
-            for t, x in vector.items():
-                if cut := self.slices[t].get(b):
-                    ex, val = self.postings[t]
-                    score[ex[cut[0]:cut[1]] - b * BLOCK] += x * val[cut[0]:cut[1]]
-            best += [(float(score[i]), b * BLOCK + i) for i in np.flatnonzero(score > 0).tolist()
-                     if b * BLOCK + i != leave]
-            best.sort(key=lambda s: (-round(s[0], 9), s[1]))
-            del best[k:]
-        return best
+        score = np.zeros(self.blocks * BLOCK)
+        first = np.zeros(self.blocks, bool)
+        first[np.argsort(-bound, kind="stable")[:FIRST]] = True
+        self._add(score, vector, first)
+        floor = float(np.partition(score, -k)[-k]) if len(score) >= k else 0.0
+        # rounding differs between the bound and the sum: a margin keeps the search exact
+        rest = ~first & (bound > 0) & (bound >= floor - 1e-9)
+        if rest.any():
+            self._add(score, vector, rest)
+            floor = float(np.partition(score, -k)[-k]) if len(score) >= k else 0.0
+        found = np.flatnonzero((score > 0) & (score >= floor - 1e-9))
+        order = np.lexsort((self.example[found], -np.round(score[found], 9)))[:k]
+        return [(float(score[i]), int(self.example[i])) for i in found[order]]
 
 
 class Model:
@@ -180,7 +195,13 @@ class Model:
         weighted loss."""
         import numpy as np
 
-        x = np.array([logit(self.vote(self.index.nearest(v, K, e))) for e, v in enumerate(self.vectors)])
+        near: dict[tuple, list] = {}  # examples with equal vectors have equal neighbours
+        x = np.zeros(len(self.vectors))
+        for e, v in enumerate(self.vectors):
+            key = tuple(v.items())
+            if key not in near:
+                near[key] = self.index.nearest(v, K + 1)
+            x[e] = logit(self.vote([n for n in near[key] if n[1] != e][:K]))
         y = np.array(self.labels, float)
         w = np.array([self.weight[label] for label in self.labels]) * len(self.labels)
         a, b = 1.0, 0.0
