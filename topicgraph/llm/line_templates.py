@@ -11,7 +11,8 @@ documents have.
 
 A template that ``MIN_DOCS`` documents or more have recurs.  Its lines are
 dropped, except in the first document that has it (smallest id), so that a
-text of which there are copies stays once.  Lines of fewer than ``MIN_TOKENS``
+text of which there are copies stays once.  (With equal numbers of documents,
+a line takes the template whose field comes first.)  Lines of fewer than ``MIN_TOKENS``
 tokens say too little and always stay.
 
 All of it is DataFrame functions.  Lines travel as hashes; a template is its
@@ -24,13 +25,16 @@ lines that it loses.
 
 Defined results: a null text has no line and stays null.  Rows that have the
 same id and the same text are one document: they count once and lose the same
-lines.  A template is first in the smallest id, nulls last, and under one id
-in the text with the smallest hash.  Repeats of a line inside its first
-document stay.  An empty table gives an empty result.
+lines.  All rows with the first id keep the line, also if their texts differ.
+A null id is never first: a template that only such rows have stays.  Repeats
+of a line inside its first document stay.  An empty table gives an empty
+result.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -50,17 +54,23 @@ def lines(text: Column) -> Column:
 
 def tokens(line: Column) -> Column:
     """Tokens of a line, each with a digit replaced by the field sign."""
-    trimmed = F.regexp_replace(line, f"^{SPACE}+|{SPACE}+$", "")
-    masked = F.regexp_replace(trimmed, r"[^\x20\x09-\x0D]*[0-9][^\x20\x09-\x0D]*", FIELD)
+    trimmed = F.trim(line, F.lit(" \t\n\x0b\f\r"))
+    # from the start of a token, without stepping back: one pass over the line
+    field = r"(?<![^\x20\x09-\x0D])[^\x20\x09-\x0D0-9]*+[0-9][^\x20\x09-\x0D]*+"
+    masked = F.when(trimmed.rlike("[0-9]"), F.regexp_replace(trimmed, field, FIELD)).otherwise(trimmed)
     return F.split(masked, SPACE + "+")
 
 
+def bound(value: Column, f: Callable[[Column], Column]) -> Column:
+    """``f(value)`` with ``value`` worked out once."""
+    return F.get(F.transform(F.array(value), f), 0)
+
+
 def templates(toks: Column) -> Column:
     """The templates of a line: hashes of its tokens without one part, or of
     all tokens if it is short."""
     n = F.size(toks)
-    rest = n - LEAD
-    start = [(LEAD + 1 + F.floor(rest * i / PARTS)).cast("int") for i in range(PARTS)] + [n + 1]
+    start = [(LEAD + 1 + F.floor((n - LEAD) * i / PARTS)).cast("int") for i in range(PARTS)] + [n + 1]
 
     def without(i):
         a, b = start[i], start[i + 1]
@@ -70,28 +80,24 @@ def templates(toks: Column) -> Column:
         F.array(F.xxhash64(F.lit(PARTS), toks)))
 
 
-def _keyed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """``(doc_id, h)`` name a document: its id and a hash of its text."""
-    return docs.select(F.col(id_col).alias("doc_id"), F.xxhash64(F.col(text_col)).alias("h"),
-                       F.col(text_col).alias("text"))
-
-
 def template_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                    min_tokens: int = MIN_TOKENS) -> DataFrame:
-    """``(doc_id, h, line, n, template)``: one row for each template of each
-    line that may go."""
-    each = _keyed(docs, id_col, text_col).select("doc_id", "h", F.posexplode(lines(F.col("text"))).alias("line", "raw"))
-    toks = each.select("doc_id", "h", "line", tokens(F.col("raw")).alias("toks"))
-    toks = toks.withColumn("n", F.size("toks")).filter(F.col("n") >= min_tokens)
-    return toks.select("doc_id", "h", "line", "n", F.explode(templates(F.col("toks"))).alias("template"))
+    """``(doc_id, h, line, n, part, template)``: one row for each template of
+    each line that may go.  ``(doc_id, h)`` names a document, by its id and a
+    hash of its text."""
+    each = docs.select(F.col(id_col).alias("doc_id"), F.xxhash64(F.col(text_col)).alias("h"),
+                       F.posexplode(lines(F.col(text_col))).alias("line", "raw"))
+    parsed = bound(tokens(F.col("raw")), lambda toks: F.struct(F.size(toks).alias("n"), templates(toks).alias("hashes")))
+    rows = written(each.select("doc_id", "h", "line", parsed.alias("t")), "parsed-lines")
+    return rows.filter(F.col("t.n") >= min_tokens).select(
+        "doc_id", "h", "line", "t.n", F.posexplode("t.hashes").alias("part", "template"))
 
 
 def recurring(rows: DataFrame, min_docs: int = MIN_DOCS) -> DataFrame:
     """``(n, template, docs, first)`` of the templates that recur; ``first``
-    orders by id with nulls last."""
-    per_doc = rows.groupBy("n", "template", "doc_id", "h").agg(F.lit(1).alias("one"))
-    first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "h"))
-    return (per_doc.groupBy("n", "template").agg(F.count("*").alias("docs"), first.alias("first"))
+    is the smallest id."""
+    per_doc = rows.select("n", "template", "doc_id", "h").distinct()
+    return (per_doc.groupBy("n", "template").agg(F.count("*").alias("docs"), F.min("doc_id").alias("first"))
             .filter(F.col("docs") >= min_docs))
 
 
@@ -100,12 +106,11 @@ def dropped_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     """``(doc_id, h, drop)``: the numbers of the lines that a document loses."""
     rows = template_lines(docs, id_col, text_col, min_tokens)
     common = written(recurring(rows, min_docs), "templates")
-    met = rows.join(common, ["n", "template"])
-    # of a line's templates the one with most documents; ties by the smaller hash
-    best = F.max_by(F.struct(F.col("first.doc_id").alias("doc_id"), F.col("first.h").alias("h")),
-                    F.struct("docs", -F.col("template").cast("decimal(20,0)")))
-    line = met.groupBy("doc_id", "h", "line").agg(best.alias("first"))
-    gone = line.filter(~(F.col("first.doc_id").eqNullSafe(F.col("doc_id")) & (F.col("first.h") == F.col("h"))))
+    # of a line's templates the one that most documents have, then the one with the earlier part
+    rank = F.col("docs") * (PARTS + 1) - F.col("part")
+    line = (rows.join(common, ["n", "template"]).withColumn("rank", rank)
+            .groupBy("doc_id", "h", "line").agg(F.max_by("first", "rank").alias("first")))
+    gone = line.filter(F.col("first").isNotNull() & ~F.col("first").eqNullSafe(F.col("doc_id")))
     return gone.groupBy("doc_id", "h").agg(F.array_sort(F.collect_set("line")).alias("drop"))
 
 
