@@ -1252,3 +1252,51 @@ def q_topic_terms(spark, sf):
     """P3 over a table of search texts."""
     p = table(spark, sf, "part")
     return p.select("p_partkey", text.topic_term_column("p_name").alias("topic"))
+
+
+def _labels_sql(rounds: int = 12) -> str:
+    """Smallest id reached in so many steps; more than the graph's diameter."""
+    steps = ["all_adj AS (SELECT DISTINCT actor_id AS a, target_id AS b FROM payments UNION "
+             "SELECT DISTINCT target_id, actor_id FROM payments)",
+             "l0 AS (SELECT DISTINCT a AS id, a AS label FROM all_adj)"]
+    for i in range(rounds):
+        steps.append(f"l{i + 1} AS (SELECT id, min(label) AS label FROM (SELECT id, label FROM l{i} UNION ALL "
+                     f"SELECT b, label FROM l{i} JOIN all_adj ON a = id) GROUP BY id)")
+    return ", ".join(steps)
+
+
+@register("components_all", _with(O.payments_cte(), _labels_sql()) + "SELECT id, label AS component FROM l12")
+def q_components_all(spark, sf):
+    """Components of the whole payment graph, hubs and all."""
+    p = payments(spark, sf).checkpoint()
+    return C.connected_components(G.build_nodes(p), G.build_edges(p)).select("id", "component")
+
+
+@register("egonet_batch_all", _with(sql_mg(), _EGO_BATCH_SQL) +
+          "SELECT s.center_id, count(*) AS edges FROM mg_edges e JOIN bmembers s ON s.id = e.source "
+          "JOIN bmembers t ON t.id = e.target AND t.center_id = s.center_id "
+          "WHERE e.source <> e.target OR e.source = s.center_id GROUP BY s.center_id")
+def q_egonet_batch_all(spark, sf):
+    """Ego-nets of a table of centres over the whole graph: their edges, counted."""
+    centers = table(spark, sf, "customer").filter("c_nationkey = 0").select(
+        F.col("c_custkey").cast("string").alias("id"))
+    return mg_all(spark, sf).neighborhood(centers).edges.groupBy("center_id").agg(F.count("*").alias("edges"))
+
+
+@register("topic_report", _with(sql_graph(), sql_components()) +
+          "SELECT 'nodes' AS part, 'count' AS key, CAST(count(*) AS VARCHAR) AS value FROM nodes UNION ALL "
+          "SELECT 'edges', 'count', CAST(count(*) AS VARCHAR) FROM edges UNION ALL "
+          "SELECT 'top_users', id, CAST(degree AS VARCHAR) FROM (SELECT id, degree FROM deg ORDER BY degree DESC, id LIMIT 10) "
+          "UNION ALL SELECT 'top_communities', component, CAST(size AS VARCHAR) FROM top UNION ALL "
+          "SELECT 'community_nodes', c.id, CAST(t.\"group\" AS VARCHAR) FROM comp c JOIN top t USING (component)")
+def q_topic_report(spark, sf):
+    """Q1 as one table: part, key, value."""
+    from .report import topic_report
+    rep = topic_report(payments(spark, sf), TOPIC, T0, T1)
+    def part(df, name, key, value):
+        return df.select(F.lit(name).alias("part"), key.alias("key"), F.col(value).cast("string").alias("value"))
+    count = F.lit("count")
+    return (part(rep.summary, "nodes", count, "nodes").unionByName(part(rep.summary, "edges", count, "edges"))
+            .unionByName(part(rep.top_users, "top_users", F.col("user_id"), "degrees"))
+            .unionByName(part(rep.top_communities, "top_communities", F.col("component"), "size"))
+            .unionByName(part(rep.community_nodes, "community_nodes", F.col("id"), "group")))
