@@ -163,3 +163,17 @@ def test_pages_stream_the_result(spark):
     got = list(pages(df, 10))
     assert [len(p) for p in got] == [10, 10, 5]
     assert sorted(r.id for p in got for r in p) == list(range(25))
+
+
+def test_explained_search_reads_stored_tokens(spark):
+    from topicgraph.functions import text
+    from topicgraph.operators import search
+    rows = [("1", "hot tea", "2017-01-01"), ("2", "hot hot pot", "2017-01-02"), ("3", "...", "2017-01-03"), ("4", "cold", "2017-01-04")]
+    docs = spark.createDataFrame(rows, "doc_id string, message string, t string").selectExpr(
+        "doc_id", "message", "cast(t AS timestamp_ntz) AS time_sended")
+    stored = docs.withColumn("tokens", text.analyze("message")).withColumn("month", F.lit("2017-01-01").cast("date"))
+    a = search.explained_search(docs, "hot", "2017-01-01").collect()
+    b = search.explained_search(stored, "hot", "2017-01-01", tokens="tokens").collect()
+    assert a == b and [r.doc_id for r in a] == ["2", "1"]
+    # the message without a term is no document of the field
+    assert a[0].explanation[0].n_docs == 3 and a[0].explanation[0].avgdl == 2.0

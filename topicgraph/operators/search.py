@@ -179,7 +179,7 @@ def _member_of(values: list[str]):
 
 
 def explained_search(docs: DataFrame, topic: str, t0, k: int = 10, doc_id: str = "doc_id",
-                     message: str = "message", synonyms: bool = True) -> DataFrame:
+                     message: str = "message", synonyms: bool = True, tokens: str | None = None) -> DataFrame:
     """Top-``k`` documents for ``match(topic) AND time >= t0`` with a
     per-term explanation.
 
@@ -187,6 +187,8 @@ def explained_search(docs: DataFrame, topic: str, t0, k: int = 10, doc_id: str =
     aggregate pass; a document's term frequency counts base tokens equal to
     the term plus emoji whose synonyms contain it (index-time expansion).
     The ``range`` clause is a ``must`` clause and adds a constant 1.0.
+    ``tokens`` names a stored token column, which is then read instead of
+    analysing the messages again.
     """
     q = text.analyze_text(topic)
     terms = list(dict.fromkeys(text.expand(q) if synonyms else q))
@@ -200,7 +202,11 @@ def explained_search(docs: DataFrame, topic: str, t0, k: int = 10, doc_id: str =
             s.update(e for e, ws in syn.items() if t in ws)
         carriers[t] = sorted(s)
 
-    base = text.with_tokens(docs.select(doc_id, message, "time_sended"), message)
+    if tokens:
+        base = docs.select(doc_id, message, "time_sended", F.col(tokens).alias("tokens"),
+                           *sorted(GRAINS & set(docs.columns)))
+    else:
+        base = text.with_tokens(docs.select(doc_id, message, "time_sended"), message)
     base = base.withColumn("dl", F.size("tokens"))
     tfs = [F.size(F.filter("tokens", _member_of(c))).alias(f"tf{i}")
            for i, c in enumerate(carriers.values())]
