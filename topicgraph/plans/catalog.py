@@ -420,10 +420,6 @@ def q_shortcodes(spark, sf):
                      text.shortcode_to_emoji(coded).alias("decoded"))
 
 
-def time_between_df(df):
-    return S.time_between(df, T0, T1)
-
-
 # ---------------------------------------------------------------------------
 # BM25 explained search
 

@@ -73,11 +73,6 @@ def payments(spark: SparkSession, sf_dir: str) -> DataFrame:
         "actor_id", "actor_name", "target_id", "target_name", "message", "time_sended")
 
 
-def payments_cte(name: str = "payments") -> str:
-    """``WITH`` clause body defining the view for oracle SQL."""
-    return f"{name} AS ({PAYMENTS_SQL})"
-
-
 PAYMENT_LINES_SQL = PAYMENTS_SQL.replace(
     "o.o_orderdate AS time_sended",
     "o.o_orderdate AS time_sended, l.l_orderkey, l.l_linenumber, l.l_partkey, l.l_suppkey, "
