@@ -56,8 +56,8 @@ BEGINNINGS = (4, 5, 6)
 GRADES = (2, 4, 8, 16, 32, 64)
 #: Folds of the ids; fold 0 is held out.
 FOLDS = 5
-#: Words and results a worker remembers at most.
-MEMORY = 500_000
+#: Words and neighbour lists that a worker remembers at most.
+WORDS, LISTS = 200_000, 10_000
 
 EVIDENCE = "array<struct<doc_id: string, toxic: int, similarity: double>>"
 
@@ -276,20 +276,23 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
               .agg(F.sum("toxic").alias("a"), F.sum(F.lit(1) - F.col("toxic")).alias("b"))
               .filter(F.col("a") + F.col("b") >= LEAST_EXAMPLES).withColumn("z", F.abs(z))
               .filter(F.col("z") >= min(STRICTNESS)).orderBy(F.desc("z"), "term").limit(TERMS)).collect()
-    strength = {r.term: (r.z, r.a + r.b) for r in chosen}
-    vocabulary = docs.sparkSession.createDataFrame([(t,) for t in strength] or [("",)], "term string")
-    held: dict[str, tuple[int, dict[str, int]]] = {}
-    for r in counted.select("doc_id", "toxic").distinct().collect():
-        held[r.doc_id] = (r.toxic, {})
-    for r in counted.join(F.broadcast(vocabulary), "term", "left_semi").collect():
-        held[r.doc_id][1][r.term] = r.n
+    # one row per example, its terms as numbers
+    numbers = docs.sparkSession.createDataFrame(
+        [(r.term, i) for i, r in enumerate(chosen)] or [("", -1)], "term string, number int")
+    said = counted.join(F.broadcast(numbers), "term").groupBy("doc_id").agg(
+        F.collect_list(F.struct("number", "n")).alias("said"))
+    held = {r.doc_id: (r.toxic, [], []) for r in counted.select("doc_id", "toxic").distinct().collect()}
+    for r in said.select("doc_id", "said.number", "said.n").collect():
+        held[r.doc_id] = (held[r.doc_id][0], r.number, r.n)
 
     best = None
     for least in STRICTNESS:
-        terms = sorted(t for t, (s, _) in strength.items() if s >= least)
-        number = {t: i for i, t in enumerate(terms)}
-        idf = [math.log((n1 + n0 + 1) / (strength[t][1] + 1)) + 1 for t in terms]
-        rows = [(i, y, {number[t]: n for t, n in c.items() if t in number}) for i, (y, c) in sorted(held.items())]
+        used = sorted((i for i, r in enumerate(chosen) if r.z >= least), key=lambda i: chosen[i].term)
+        place = {i: j for j, i in enumerate(used)}
+        terms = [chosen[i].term for i in used]
+        idf = [math.log((n1 + n0 + 1) / (chosen[i].a + chosen[i].b + 1)) + 1 for i in used]
+        rows = [(d, y, {place[i]: n for i, n in zip(terms_, counts) if i in place})
+                for d, (y, terms_, counts) in sorted(held.items())]
         model = Model(terms, idf, rows, rate)
         loss = model.fit_curve()
         if best is None or loss < best[0]:
@@ -304,9 +307,9 @@ class Scorer:
         self.model, self.seen, self.known = model, {}, {}
 
     def __call__(self, text: str | None) -> tuple[float, list]:
-        if len(self.seen) > MEMORY:
+        if len(self.seen) > WORDS:
             self.seen = {}
-        if len(self.known) > MEMORY // 10:
+        if len(self.known) > LISTS:
             self.known = {}
         counts: Counter = Counter()
         seen, steps = self.seen, self.model.steps
@@ -321,9 +324,9 @@ class Scorer:
         key = tuple(sorted(vector.items()))
         if key not in self.known:
             near = m.index.nearest(m.unit(vector), K) if key else []
-            evidence = [{"doc_id": m.ids[e], "toxic": m.labels[e], "similarity": s} for s, e in near]
-            self.known[key] = (m.probability(m.vote(near)) if m.ids else 0.0, evidence)
-        return self.known[key]
+            self.known[key] = (m.probability(m.vote(near)) if m.ids else 0.0, near)
+        score, near = self.known[key]
+        return score, [{"doc_id": m.ids[e], "toxic": m.labels[e], "similarity": s} for s, e in near]
 
 
 def score(docs: DataFrame, model: Model, text_col: str = "text", out: str = "toxicity") -> DataFrame:
