@@ -118,3 +118,14 @@ def test_empty(spark):
     assert sorted((r.n_tokens, r.n_known, r.train_tokens, r.base_score, r.score) for r in got) == [
         (1, 0, 0, 0.0, 0.0), (3, 0, 0, 0.0, 0.0)]
     assert np.isfinite([r.score for r in got]).all()
+
+
+def test_rare_contexts_stay_in_a_large_corpus(spark):
+    ids = [i for i in range(100) if not held_out(i)]
+    alone = next(i for i in range(100, 200) if held_out(i))
+    rows = [(ids[0], "a b c " * 200_000), *((i, "quux zork flib plom") for i in ids[1:6]), (alone, "zork flib plom")]
+    got = L.train_and_score(spark.createDataFrame(rows, SCHEMA)).collect()
+    brute = check(got, rows, L.DEPTH, 0)
+    assert (b"zork",) in brute.stays
+    r = next(r for r in got if r.doc_id == alone)
+    assert r.score > r.base_score + 5

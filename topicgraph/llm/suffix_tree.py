@@ -1,26 +1,28 @@
 """Language-model scores from a probabilistic suffix tree over words.
 
 Tree (Ron, Singer and Tishby, 1996).  The root is the smoothed distribution
-of all training tokens.  A node is a context of 1 to ``DEPTH`` words that makes up
-at least ``SHARE`` of the training tokens; it keeps the counts of the next
-words that follow it at least that often.  A context stays in the tree if its
+of all training tokens.  A node is a context of 1 to ``DEPTH`` words; it keeps
+the counts of all next words that follow it.  A context stays in the tree if its
 distribution differs from that of its parent (the context without its oldest
 word) by more than its parameters cost: occurrences times the divergence
 against half a logarithm for each parameter; the ancestors of a node that
-stays also stay.  Next-word distributions are smoothed: a fixed discount is
-taken from each count, and the mass left over goes to the other words in
-proportion to the parent's distribution.  So every node sums to one over all
-known words and one unknown word.  A token's state is the longest suffix of
-its history that is in the tree.
-
-How it runs.  Every training token is counted: the counts of all words are a
-table that grows with the corpus, made by a group-by after combining in the
-tasks.  Longer contexts are counted level by level; only those whose parts
-are frequent themselves can be frequent.  As shares of one total sum to at
-most one, there are at most ``1 / SHARE`` contexts of a length and
-``1 / COMMON`` common words: these bounded tables are all that is sent to the
-tasks.  Each task scores its texts with them; rarer words always fall to the
-root, and their counts are joined in by word.
+stays also stay.  No count is too small for the test.  Next-word distributions
+are smoothed: a fixed discount is taken from each count, and the mass left over
+goes to the other words in proportion to the parent's distribution.  So every
+node sums to one over all known words and one unknown word.  A token's state is
+the longest suffix of its history that is in the tree.
+
+How it runs.  Words are 64-bit hashes, and so are grams (a context and its next
+word); texts are read once and written as lists of word hashes.  Each task
+combines equal grams before they are counted.  The grams of each length are a
+written table that grows with the corpus, with those of the scored texts (whose
+training count may be 0).  It is joined with the table of the grams one word
+shorter, summed by context for the divergence test, and joined with its
+contexts; each gram then has its probability for every state it can be met in.
+Last, each token is joined with its longest gram and the logarithms are summed
+by text.  All joins are by equality.  The right-hand rows that ``COMMON`` of
+all tokens or more have (at most ``1 / COMMON`` for a length, as shares sum to
+one) are sent to the tasks, so that no key of a shuffled join is hot.
 
 Defined results: a null text counts as empty; an empty text has one token,
 its end.  A null id counts as '' for the folds.  Repeated rows stay as rows
@@ -30,29 +32,27 @@ word alone, and all scores are 0.  Extra columns are not read.
 
 from __future__ import annotations
 
+import hashlib
 import math
-from collections import Counter
 from collections.abc import Iterator
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..session import scratch_path
 from .common import fold, written
 
 #: Longest context.
-DEPTH = 2
-#: Least share of the training tokens of a context and of a next word after
-#: it, and of a word that is sent to the tasks.
-SHARE, COMMON = 1e-5, 1e-6
+DEPTH = 3
+#: Least share of the training tokens of a gram that is kept (0: all are), and
+#: share of all tokens from which a row is sent to the tasks.
+SHARE, COMMON = 0.0, 1e-6
 #: Added to each count at the root, and taken from each in a context.
 ADDED, DISCOUNT = 0.1, 0.5
 #: Folds of the ids; fold 0 is held out.
 FOLDS = 10
-#: The token after the last word of a text; no word is empty.
-END = ""
-#: Entries that a task holds before it hands them on, and tokens it works on
-#: at a time.
+#: Word hashes that a task remembers, and tokens it works on at a time.
 HELD, STEP = 1 << 19, 1 << 20
 
 
@@ -61,304 +61,257 @@ def tokens(text: str | None) -> list[bytes]:
     return (text or "").encode("utf-8", "surrogatepass").lower().split()
 
 
-def word_counts(texts: DataFrame) -> DataFrame:
-    """``(word, c)`` over all texts, the end included."""
-    def run(batches: Iterator):
-        import pyarrow as pa
-
-        def rows(counts):
-            return pa.RecordBatch.from_arrays(
-                [pa.array([w.decode("utf-8", "replace") for w in counts], pa.string()),
-                 pa.array(list(counts.values()), pa.int64())], ["word", "c"])
-
-        counts: Counter = Counter()
-        for b in batches:
-            for t in b.column(0):
-                counts.update(tokens(t.as_py()))
-                counts[b""] += 1
-                if len(counts) >= HELD:
-                    yield rows(counts)
-                    counts = Counter()
-        yield rows(counts)
-
-    return texts.select("text").mapInArrow(run, "word string, c bigint").groupBy("word").agg(F.sum("c").alias("c"))
+class Hashes(dict):
+    """The hash of each word; the end is the empty word."""
 
+    def __missing__(self, word: bytes) -> int:
+        if len(self) >= HELD:
+            self.clear()
+        h = self[word] = int.from_bytes(hashlib.blake2b(word, digest_size=8).digest(), "little", signed=True)
+        return h
 
-class Levels:
-    """The common words, and the frequent grams of each length as sorted keys
-    with counts.  A gram's key is (number of the gram without its last word)
-    times the number of words, plus the last word."""
-
-    def __init__(self, words: list[tuple[str, int]], total: int, share: float, common: float):
-        import numpy as np
-
-        self.number = {w.encode("utf-8"): i for i, (w, _) in enumerate(words)}
-        self.counts = np.array([c for _, c in words], np.int64)
-        self.size = len(words) + 1
-        self.total = total
-        self.least, self.common = share * total, common * total
-        # words come in falling order, so the frequent ones have the first numbers
-        self.first = int((self.counts >= self.least).sum())
-        self.grams: list[tuple] = []  # (keys, counts) of lengths 2, 3, ...
-
-    def encoded(self, texts: Iterator) -> Iterator[tuple[list, list, object]]:
-        """``(sizes, rare words, numbers)`` of some texts at a time: numbers
-        of all tokens, each text ended by its end and -1; a word that is not
-        common is -1 and is in the list of its text."""
-        import numpy as np
-
-        get = self.number.get
-        sizes, rare, parts, held = [], [], [], 0
-        for t in texts:
-            ws = tokens(t)
-            ws.append(b"")
-            nums = np.fromiter((get(w, -1) for w in ws), np.int64, len(ws))
-            rare.append([ws[i] for i in np.flatnonzero(nums < 0).tolist()])
-            parts += [nums, [-1]]
-            sizes.append(len(ws))
-            held += len(ws) + 1
-            if held >= STEP:
-                yield sizes, rare, np.concatenate(parts)
-                sizes, rare, parts, held = [], [], [], 0
-        if sizes:
-            yield sizes, rare, np.concatenate(parts)
-
-    def states(self, nums) -> list:
-        """For each length, the number of the frequent gram that ends at each
-        place, or -1."""
-        import numpy as np
 
-        out = [np.where(nums < self.first, nums, -1)]
-        for keys, _ in self.grams:
-            out.append(self.lookup(keys, self.follow(out[-1], nums)))
-        return out
+def longer(context, word):
+    """Hashes of the grams made of contexts and their next words."""
+    import numpy as np
 
-    def follow(self, state, nums):
-        """Keys of the grams made of a gram and the word after it; -1 where
-        there is none."""
-        import numpy as np
+    x = context.view(np.uint64) * np.uint64(0x9E3779B97F4A7C15) + word.view(np.uint64)
+    x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+    return (x ^ (x >> np.uint64(31))).view(np.int64)
 
-        key = np.full(len(nums), -1, np.int64)
-        ok = (state[:-1] >= 0) & (nums[1:] >= 0)
-        key[1:][ok] = state[:-1][ok] * self.size + nums[1:][ok]
-        return key
 
-    @staticmethod
-    def lookup(keys, key):
-        """Place of each key among the sorted keys, or -1."""
+def hashed(docs: DataFrame) -> DataFrame:
+    """``(doc_id, held_out, row, words)`` of ``(doc_id, held_out, row, text)``:
+    the hashes of a text's words and of its end."""
+    def run(batches: Iterator):
         import numpy as np
+        import pyarrow as pa
 
-        if not len(keys):
-            return np.full(len(key), -1, np.int64)
-        at = np.minimum(np.searchsorted(keys, key), len(keys) - 1)
-        return np.where((keys[at] == key) & (key >= 0), at, -1)
-
-
-def count_next(texts: DataFrame, levels: Levels) -> DataFrame:
-    """``(key, c)`` of the grams one word longer than the last level whose
-    two parts are frequent, if frequent themselves."""
-    sent = texts.sparkSession.sparkContext.broadcast(levels)
+        known = Hashes()
+        for b in batches:
+            lists, sizes, held, first = [], [], 0, 0
+            for i, t in enumerate(b.column(3)):
+                ws = tokens(t.as_py())
+                ws.append(b"")
+                lists.append(np.fromiter((known[w] for w in ws), np.int64, len(ws)))
+                sizes.append(len(ws))
+                held += len(ws)
+                if held >= STEP or i == b.num_rows - 1:
+                    ends = pa.array(np.concatenate(([0], np.cumsum(sizes))), pa.int32())
+                    words = pa.ListArray.from_arrays(ends, pa.array(np.concatenate(lists)))
+                    part = b.slice(first, len(sizes))
+                    yield pa.RecordBatch.from_arrays([*part.columns[:3], words], ["doc_id", "held_out", "row", "words"])
+                    lists, sizes, held, first = [], [], 0, i + 1
+
+    schema = T.StructType([*docs.schema.fields[:3], T.StructField("words", T.ArrayType(T.LongType()))])
+    return written(docs.mapInArrow(run, schema), "word-hashes")
+
+
+def grams_of(words, depth: int) -> tuple:
+    """Of a column of lists: the number of the list and the place in it of
+    each word, and for each length the hash of the gram that ends there (of no
+    meaning if the place is too early)."""
+    import numpy as np
 
+    flat = words.flatten().to_numpy(zero_copy_only=False)
+    sizes = words.value_lengths().to_numpy(zero_copy_only=False)
+    owner = np.repeat(np.arange(len(sizes)), sizes)
+    place = np.arange(len(flat)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+    keys = [flat]
+    for _ in range(depth):
+        keys.append(longer(np.concatenate((flat[:1], keys[-1][:-1])), flat))
+    return owner, place, keys
+
+
+def pieces(b) -> Iterator:
+    """A batch in slices of about ``STEP`` words."""
+    first, held = 0, 0
+    for i, n in enumerate(b.column("words").value_lengths().to_pylist()):
+        held += n
+        if held >= STEP:
+            yield b.slice(first, i + 1 - first)
+            first, held = i + 1, 0
+    if first < b.num_rows:
+        yield b.slice(first)
+
+
+def count_grams(texts: DataFrame, depth: int) -> list[DataFrame]:
+    """For 0 to ``depth`` words before the last, the grams ``(g, s, low, m, c,
+    top)``: hashes of the gram, of its context and of the gram without its
+    oldest word; counts in all and in the training texts; whether a text
+    begins with it, so that a token has no longer one."""
     def run(batches: Iterator):
         import numpy as np
         import pyarrow as pa
 
-        def combined(parts):
-            keys = np.concatenate([k for k, _ in parts])
-            counts = np.concatenate([c for _, c in parts])
-            keys, at = np.unique(keys, return_inverse=True)
-            return keys, np.bincount(at, counts, len(keys)).astype(np.int64)
-
-        def batch(keys, counts):
-            return pa.RecordBatch.from_arrays([pa.array(keys), pa.array(counts)], ["key", "c"])
-
-        lv, parts = sent.value, []
-        for b in batches:
-            for _, _, nums in lv.encoded(t.as_py() for t in b.column(0)):
-                state = lv.states(nums)[-1]
-                key = lv.follow(state, np.where(state >= 0, nums, -1))
-                parts.append(np.unique(key[key >= 0], return_counts=True))
-                if sum(len(k) for k, _ in parts) >= 8 * HELD:
-                    parts = [combined(parts)]
-                    if len(parts[0][0]) >= 4 * HELD:
-                        yield batch(*parts[0])
-                        parts = []
-        if parts:
-            yield batch(*combined(parts))
-
-    return (texts.select("text").mapInArrow(run, "key bigint, c bigint")
-            .groupBy("key").agg(F.sum("c").alias("c")).filter(F.col("c") >= levels.least))
+        for whole in batches:
+            for b in pieces(whole):
+                owner, place, keys = grams_of(b.column("words"), depth)
+                train = ~b.column("held_out").to_numpy(zero_copy_only=False).astype(bool)[owner]
+                for d in range(depth + 1):
+                    at = np.flatnonzero(place >= d)
+                    g, first, back = np.unique(keys[d][at], return_index=True, return_inverse=True)
+                    one = at[first]
+                    s, low = (keys[d - 1][one - 1], keys[d - 1][one]) if d else (np.zeros(len(g), np.int64),) * 2
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(np.full(len(g), d, np.int32)), pa.array(g), pa.array(s), pa.array(low),
+                         pa.array(np.bincount(back, minlength=len(g)).astype(np.int64)),
+                         pa.array(np.bincount(back, train[at], len(g)).astype(np.int64)),
+                         pa.array(np.bincount(back, place[at] == d, len(g)) > 0)],
+                        ["d", "g", "s", "low", "m", "c", "top"])
+
+    counted = (texts.select("held_out", "words")
+               .mapInArrow(run, "d int, g bigint, s bigint, low bigint, m bigint, c bigint, top boolean")
+               .groupBy("d", "g").agg(F.max("s").alias("s"), F.max("low").alias("low"), F.sum("m").alias("m"),
+                                      F.sum("c").alias("c"), F.max("top").alias("top")))
+    path = scratch_path(texts.sparkSession, "grams")
+    counted.write.partitionBy("d").parquet(path)
+    schema = T.StructType([f for f in counted.schema if f.name != "d"])
+    read = texts.sparkSession.read.schema(T.StructType([*schema, T.StructField("d", T.IntegerType())])).parquet(path)
+    return [read.filter(F.col("d") == d).drop("d") for d in range(depth + 1)]
+
+
+def met(left: DataFrame, right: DataFrame, key: str, least: float) -> DataFrame:
+    """``left`` with the row of ``right`` that has the same key.  Rows of
+    ``right`` with ``m`` of at least ``least`` are sent to the tasks."""
+    hot = F.broadcast(right.filter(F.col("m") >= least).drop("m"))
+    rest = left.join(F.broadcast(right.filter(F.col("m") >= least).select(key)), key, "left_anti")
+    return left.join(hot, key).unionByName(rest.join(right.filter(F.col("m") < least).drop("m"), key))
 
 
 class Tree:
-    """The suffix tree: which contexts stay, and the logarithms (base 10) of
-    the probabilities of their next words and of the mass passed on."""
-
-    def __init__(self, levels: Levels, vocabulary: int):
-        import numpy as np
-
-        self.levels, self.vocabulary = levels, vocabulary
-        lv = levels
-        self.floor = lv.total + ADDED * (vocabulary + 1)
-        self.root = np.log10((lv.counts + ADDED) / self.floor)
-        # level 0: the word itself; P of the last word of each gram after the rest
-        counts = [lv.counts[:lv.first]] + [c for _, c in lv.grams]
-        self.stays = [np.zeros(len(c), bool) for c in counts[:-1]]
-        parent_p = [10.0 ** self.root]
-        self.next_p, self.passed = [], []
-        suffix = self._suffixes()
-        gain = []
-        for d, (keys, c) in enumerate(lv.grams):
-            context, word = keys // lv.size, keys % lv.size
-            occurrences = counts[d][context].astype(float)
-            p = (c - DISCOUNT) / occurrences
-            # the same word after the parent: an entry of the level below, or what the parent passes on
-            if d == 0:
-                below = parent_p[0][word]
+    """The suffix tree as tables.  ``grams[d]`` has for each gram of ``d + 1``
+    words its probability ``p`` after its context and the logarithms (base 10)
+    ``v0`` to ``vd`` of what it gets if that many words of its context are in
+    the tree; ``contexts[d]`` has how many (``deep``)."""
+
+    def __init__(self, grams: list[DataFrame], share: float, common: float):
+        words = grams[0]
+        n = words.agg(F.coalesce(F.sum("c"), F.lit(0)).alias("c"), F.coalesce(F.sum("m"), F.lit(0)).alias("m"),
+                      F.count(F.when(F.col("c") > 0, 1)).alias("v")).first()
+        self.total, self.hot, self.least = n.c, common * n.m, max(1.0, share * n.c)
+        self.depth = len(grams) - 1
+        root = (F.col("c") + F.lit(ADDED)) / F.lit(n.c + ADDED * (n.v + 1))
+        self.grams = [words.select("g", "s", "m", "top", (F.col("c") > 0).cast("bigint").alias("known"),
+                                   root.alias("p"), F.log10(root).alias("v0"))]
+        contexts: list = [None]
+        for d in range(1, self.depth + 1):
+            vs = [f"v{i}" for i in range(d)]
+            below = self.grams[-1].select(F.col("g").alias("low"), F.col("s").alias("parent"), "m", "known",
+                                          F.col("p").alias("below"), *vs)
+            rows = written(met(grams[d], below, "low", self.hot).drop("low"), f"grams-{d}")
+            contexts.append(written(self.tested(rows), f"contexts-{d}"))
+            # the last table is joined with its contexts when these know how deep they are
+            if d < self.depth:
+                self.grams.append(written(self.valued(rows, contexts[d].select("s", "m", "n", "passed"), d), f"valued-{d}"))
             else:
-                below = self._after(d - 1, suffix[d][context], word)
-            n = len(counts[d])
-            kept = np.bincount(context, p, n)
-            kept_below = np.bincount(context, below, n)
-            left = np.maximum(1 - kept, 1e-12)
-            self.passed.append(np.log10(left / np.maximum(1 - kept_below, 1e-12)))
-            self.next_p.append(np.log10(p))
-            raw = c / occurrences
-            rest, rest_below = np.maximum(1 - np.bincount(context, raw, n), 0), np.maximum(1 - kept_below, 1e-12)
-            divergence = np.bincount(context, raw * np.log(raw / below), n)
-            divergence = divergence + np.where(rest > 0, rest * np.log(np.maximum(rest, 1e-300) / rest_below), 0)
-            cost = 0.5 * math.log(max(2, lv.total)) * np.bincount(context, minlength=n)
-            gain.append((counts[d] * divergence > cost) & (np.bincount(context, minlength=n) > 0))
-        for d in reversed(range(len(gain))):
-            self.stays[d] |= gain[d]
-            if d:
-                self.stays[d - 1][suffix[d][self.stays[d]]] = True
-
-    def _suffixes(self) -> list:
-        """For the contexts of each length, the number of the context without
-        its oldest word."""
-        import numpy as np
-
-        lv = self.levels
-        out = [None]
-        for d in range(1, len(lv.grams)):
-            keys = lv.grams[d - 1][0]
-            if d == 1:
-                out.append(keys % lv.size)
+                self.grams.append(rows)
+        self.contexts = self.settled(contexts)
+
+    def tested(self, rows: DataFrame) -> DataFrame:
+        """``(s, parent, m, n, passed, gain)`` of the contexts: occurrences
+        in all and in training, the logarithm of the mass passed on, and
+        whether the distribution is worth its parameters."""
+        is_kept = F.col("c") >= F.lit(self.least)
+        sums = rows.groupBy("s").agg(
+            F.max("parent").alias("parent"), F.sum("m").alias("m"), F.sum("c").alias("n"),
+            F.count(F.when(is_kept, 1)).alias("k"),
+            F.coalesce(F.sum(F.when(is_kept, F.col("c"))), F.lit(0)).alias("kc"),
+            F.coalesce(F.sum(F.when(is_kept, F.col("below"))), F.lit(0.0)).alias("kb"),
+            F.coalesce(F.sum(F.when(is_kept, F.col("c") * (F.log("c") - F.log("below")))), F.lit(0.0)).alias("x"))
+        rest_below = F.greatest(1 - F.col("kb"), F.lit(1e-12))
+        left = F.greatest(1 - (F.col("kc") - DISCOUNT * F.col("k")) / F.col("n"), F.lit(1e-12))
+        rest = F.col("n") - F.col("kc")
+        gain = (F.col("x") - F.col("kc") * F.log("n")
+                + F.when(rest > 0, rest * F.log(rest / F.col("n") / rest_below)).otherwise(0.0))
+        cost = 0.5 * math.log(max(2, self.total)) * F.col("k")
+        some = F.col("k") > 0
+        return sums.select("s", "parent", "m", "n", F.when(some, F.log10(left / rest_below)).alias("passed"),
+                           F.coalesce(some & (gain > cost), F.lit(False)).alias("gain"))
+
+    def valued(self, rows: DataFrame, contexts: DataFrame, d: int) -> DataFrame:
+        """``rows`` with ``p`` and ``vd``, and the other columns of their contexts."""
+        p = F.when(F.col("c") >= F.lit(self.least), (F.col("c") - DISCOUNT) / F.col("n"))
+        got = met(rows, contexts, "s", self.hot)
+        more = [c for c in contexts.columns if c not in ("s", "m", "n", "passed")]
+        return got.select("g", "s", "m", "top", "known", p.alias("p"), *(f"v{i}" for i in range(d)),
+                          F.coalesce(F.log10(p), F.col("passed") + F.col(f"v{d - 1}")).alias(f"v{d}"), *more)
+
+    def settled(self, contexts: list) -> list:
+        """The contexts with ``deep``: the ancestors of those that stay also
+        stay, and a context that does not stay is as deep as its parent."""
+        stay: list = [None] * len(contexts)
+        after = None
+        for d in range(self.depth, 0, -1):
+            t = contexts[d]
+            if after is not None:
+                t = (t.join(after, "s", "left").withColumn("gain", F.col("gain") | F.col("child").isNotNull())
+                     .drop("child"))
+                t = written(t, f"stay-{d}")
+            stay[d] = t
+            after = (t.filter("gain").select(F.col("parent").alias("s")).distinct().withColumn("child", F.lit(True)))
+        for d in range(1, self.depth + 1):
+            t, deep = stay[d], F.lit(0)
+            if d > 1:
+                above = stay[d - 1].select(F.col("s").alias("parent"), "m", F.col("deep").alias("up"))
+                t, deep = met(t, above, "parent", self.hot), F.col("up")
+            stay[d] = written(t.select("s", "m", "n", "passed", F.when(F.col("gain"), d).otherwise(deep).alias("deep")),
+                              f"deep-{d}")
+        return stay
+
+    def values(self) -> DataFrame:
+        """``(g, m, known, base, log)`` of the grams that are the longest of
+        some token."""
+        out = []
+        for d, rows in enumerate(self.grams):
+            if d == self.depth and d:
+                rows = self.valued(rows, self.contexts[d], d)
             else:
-                out.append(lv.lookup(lv.grams[d - 2][0], out[d - 1][keys // lv.size] * lv.size + keys % lv.size))
-        return out if lv.grams else [np.zeros(0, np.int64)]
-
-    def _after(self, d: int, context, word):
-        """P(word | context) for contexts of length d + 1 whose distributions
-        are known already."""
-        import numpy as np
-
-        lv = self.levels
-        at = lv.lookup(lv.grams[d][0], context * lv.size + word)
-        low = 10.0 ** self.root[word] if d == 0 else self._after(d - 1, self._suffixes()[d][context], word)
-        return np.where(at >= 0, 10.0 ** self.next_p[d][at], 10.0 ** self.passed[d][context] * low)
-
-    def log_probabilities(self, nums):
-        """For each place, the logarithm of what the contexts give, and
-        whether the root has still to be added (for the word there)."""
-        import numpy as np
-
-        lv = self.levels
-        states = lv.states(nums)
-        logs, open_ = np.zeros(len(nums)), np.ones(len(nums), bool)
-        for d in reversed(range(len(lv.grams))):
-            before = np.concatenate(([-1], states[d][:-1]))
-            inside = open_ & (before >= 0)
-            inside[inside] = self.stays[d][before[inside]]
-            at = np.full(len(nums), -1, np.int64)
-            here = inside & (nums >= 0)
-            at[here] = lv.lookup(lv.grams[d][0], before[here] * lv.size + nums[here])
-            hit = at >= 0
-            logs[hit] += self.next_p[d][at[hit]]
-            miss = inside & ~hit
-            logs[miss] += self.passed[d][before[miss]]
-            open_ &= ~hit
-        return logs, open_
-
-
-def train(texts: DataFrame, depth: int = DEPTH, share: float = SHARE, common: float = COMMON) -> tuple[Tree, DataFrame]:
-    """The tree, and the table of all word counts ``(word, c)``."""
-    import numpy as np
-
-    words = written(word_counts(texts), "word-counts")
-    total, vocabulary = words.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count("*")).first()
-    # shares sum to one: at most 1 / common rows
-    frequent = words.filter(F.col("c") >= F.lit(common * total)).orderBy(F.desc("c"), "word").collect()
-    levels = Levels([(r.word, r.c) for r in frequent], total, share, common)
-    for _ in range(depth):
-        rows = count_next(texts, levels).orderBy("key").toPandas()  # at most 1 / share rows
-        levels.grams.append((rows["key"].to_numpy(np.int64), rows["c"].to_numpy(np.int64)))
-    return Tree(levels, vocabulary), words
-
-
-LOCAL = ("row bigint, n_tokens bigint, known bigint, base double, log double, "
-         "rare array<struct<word: string, n: bigint>>")
-
-
-def score(docs: DataFrame, tree: Tree, words: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-          held_out: Column | None = None) -> DataFrame:
-    """``(doc_id, held_out, n_tokens, n_known, train_tokens, base_score,
-    score)``, one row per document."""
-    flag = F.lit(None).cast("boolean") if held_out is None else held_out
-    numbered = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text"),
-                           flag.alias("held_out"), F.monotonically_increasing_id().alias("row"))
-    sent = docs.sparkSession.sparkContext.broadcast(tree)
-
+                rows = rows.filter("top")
+                if d:
+                    rows = met(rows, self.contexts[d].select("s", "m", "deep"), "s", self.hot)
+            log = F.col("v0")
+            for i in range(1, d + 1):
+                log = F.when(F.col("deep") == i, F.col(f"v{i}")).otherwise(log)
+            # without contexts each word is the longest gram of its tokens
+            out.append(rows.select("g", "m", "known", F.col("v0").alias("base"), log.alias("log")))
+        values = out[0]
+        for t in out[1:]:
+            values = values.unionByName(t)
+        return written(values, "gram-values")
+
+
+def longest(texts: DataFrame, depth: int) -> DataFrame:
+    """``(row, g)``: the longest gram of each token."""
     def run(batches: Iterator):
         import numpy as np
         import pyarrow as pa
 
-        tr = sent.value
-        lv = tr.levels
-        entry = pa.list_(pa.struct([("word", pa.string()), ("n", pa.int64())]))
-        for b in batches:
-            ids, first = b.select([0, 2, 3]), 0
-            for sizes, rare, nums in lv.encoded(t.as_py() for t in b.column(1)):
-                logs, open_ = tr.log_probabilities(nums)
-                common = nums >= 0
-                base = np.where(common, tr.root[np.maximum(nums, 0)] if len(tr.root) else 0.0, 0.0)
-                logs += np.where(open_, base, 0.0)
-                starts = np.concatenate(([0], np.cumsum(np.array(sizes) + 1)[:-1]))
-                # the place after each end is a separator: it gives nothing
-                logs[starts + np.array(sizes)] = 0.0
-                known = np.add.reduceat(common.astype(np.int64), starts)
-                out = [pa.array(sizes, pa.int64()), pa.array(known), pa.array(np.add.reduceat(base, starts)),
-                       pa.array(np.add.reduceat(logs, starts)),
-                       pa.array([[{"word": w.decode("utf-8", "replace"), "n": n} for w, n in Counter(r).items()]
-                                 for r in rare], entry)]
-                part = ids.slice(first, len(sizes))
-                first += len(sizes)
+        for whole in batches:
+            for b in pieces(whole):
+                owner, place, keys = grams_of(b.column("words"), depth)
+                g = keys[0]
+                for d in range(1, depth + 1):
+                    g = np.where(place >= d, keys[d], g)
                 yield pa.RecordBatch.from_arrays(
-                    [*part.columns, *out],
-                    ["doc_id", "held_out", "row", "n_tokens", "known", "base", "log", "rare"])
-
-    local = T._parse_datatype_string(LOCAL)
-    schema = T.StructType([numbered.schema["doc_id"], numbered.schema["held_out"], *local])
-    scored = written(numbered.mapInArrow(run, schema), "scored")
-    uses = scored.select("row", F.explode("rare").alias("r")).select("row", "r.word", "r.n")
-    rarer = words.filter(F.col("c") < F.lit(tree.levels.common))
-    log = F.log10((F.coalesce("c", F.lit(0)) + F.lit(ADDED)) / F.lit(tree.floor))
-    root = (uses.join(rarer, "word", "left")
-            .select("row", (F.col("n") * log).alias("log"), F.when(F.col("c") > 0, F.col("n")).otherwise(0).alias("n"))
-            .groupBy("row").agg(F.sum("log").alias("more"), F.sum("n").alias("more_known")))
-    more = F.coalesce("more", F.lit(0.0))
-    return (scored.drop("rare").join(root, "row", "left")
-            .select("doc_id", "held_out", "n_tokens",
-                    (F.col("known") + F.coalesce("more_known", F.lit(0))).alias("n_known"),
-                    F.lit(tree.levels.total).cast("bigint").alias("train_tokens"),
-                    (F.col("base") + more).alias("base_score"), (F.col("log") + more).alias("score")))
+                    [pa.array(b.column("row").to_numpy(zero_copy_only=False)[owner]), pa.array(g)], ["row", "g"])
+
+    return texts.select("row", "words").mapInArrow(run, "row bigint, g bigint")
 
 
 def train_and_score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", folds: int = FOLDS,
                     depth: int = DEPTH, share: float = SHARE, common: float = COMMON) -> DataFrame:
-    """Learns from the documents outside of fold 0 and scores all."""
-    outside = fold(F.col(id_col), folds) == 0
-    texts = docs.filter(~outside).select(F.col(text_col).cast("string").alias("text"))
-    tree, words = train(texts, depth, share, common)
-    return score(docs, tree, words, id_col, text_col, outside)
+    """Learns from the documents outside of fold 0 and scores all: ``(doc_id,
+    held_out, n_tokens, n_known, train_tokens, base_score, score)``, one row
+    per document."""
+    held_out = fold(F.col(id_col), folds) == 0
+    texts = hashed(docs.select(F.col(id_col).alias("doc_id"), held_out.alias("held_out"),
+                               F.monotonically_increasing_id().alias("row"),
+                               F.col(text_col).cast("string").alias("text")))
+    tree = Tree(count_grams(texts, depth), share, common)
+    sums = (met(longest(texts, depth), tree.values(), "g", tree.hot).groupBy("row")
+            .agg(F.sum("known").alias("n_known"), F.sum("base").alias("base_score"), F.sum("log").alias("score")))
+    return (texts.select("doc_id", "held_out", "row", F.size("words").cast("bigint").alias("n_tokens")).join(sums, "row")
+            .select("doc_id", "held_out", "n_tokens", "n_known", F.lit(tree.total).cast("bigint").alias("train_tokens"),
+                    "base_score", "score"))
