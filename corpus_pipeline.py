@@ -41,7 +41,7 @@ def reject_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 def drop_recurring_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Lines of recurring templates go; so do documents that lose all their words."""
     lost = free_name(docs, "n_dropped")
-    out = line_templates.drop_templates(docs, lost=lost)
+    out = line_templates.drop_templates(docs, lost=lost, exact=True)
     empty = F.regexp_replace(F.coalesce("text", F.lit("")), SPACE + "+", "") == ""
     return recounted(out.filter((F.col(lost) == 0) | ~empty), docs)
 

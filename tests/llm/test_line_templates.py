@@ -87,3 +87,15 @@ def test_empty_table(spark):
     assert T.drop_templates(spark.createDataFrame([], SCHEMA)).collect() == []
     assert T.summary(spark.createDataFrame([(1, None), (2, "")], SCHEMA)).select("doc_id", "n_dropped", "n_kept").orderBy(
         "doc_id").collect() == [(1, 0, 0), (2, 0, 1)]
+
+
+def test_long_exact_line_recurs_from_two_documents(spark):
+    import corpus_pipeline
+
+    line = " ".join(f"{c}word" for c in "abcdefghijklmnopqrst")
+    rows = [(1, "own one\n" + line), (2, "own two\n " + line + " "), (3, "two docs have this line\nx"),
+            (4, "two docs have this line\ny"), (5, line.replace("cword", "other", 1) + "\nz")]
+    docs = spark.createDataFrame(rows, SCHEMA)
+    got = {r.doc_id: r.text for r in corpus_pipeline.drop_recurring_lines(spark, docs, "").collect()}
+    assert got == dict(rows) | {2: "own two"}
+    assert run(spark, rows) == brute(rows) == Counter(rows)  # the query as its SQL twin has it

@@ -15,6 +15,9 @@ text of which there are copies stays once.  (With equal numbers of documents,
 a line takes the template whose field comes first.)  Lines of fewer than ``MIN_TOKENS``
 tokens say too little and always stay.
 
+With ``exact``, a line of ``PAIR_TOKENS`` tokens or ``PAIR_CHARS`` characters or
+more also recurs as it is, without fields, from ``PAIR_DOCS`` documents.
+
 All of it is DataFrame functions.  Lines travel as hashes; a template is its
 token count and a hash of its tokens and field places.  (template, document) is
 combined before templates are counted, so a line that a third of the
@@ -44,7 +47,11 @@ from .common import SPACE, free_name, written
 LEAD, LONG = 3, 12
 #: Documents of a template that recurs, and tokens of a line that may go.
 MIN_DOCS, MIN_TOKENS = 3, 4
+#: Documents of an exact line that recurs, and tokens or characters that it has.
+PAIR_DOCS, PAIR_TOKENS, PAIR_CHARS = 2, 20, 120
 FIELD = "<*>"
+#: White space around a line.
+ENDS = " \t\n\x0b\f\r"
 PARTS = 3
 
 
@@ -54,7 +61,7 @@ def lines(text: Column) -> Column:
 
 def tokens(line: Column) -> Column:
     """Tokens of a line, each with a digit replaced by the field sign."""
-    trimmed = F.trim(line, F.lit(" \t\n\x0b\f\r"))
+    trimmed = F.trim(line, F.lit(ENDS))
     # from the start of a token, without stepping back: one pass over the line
     field = r"(?<![^\x20\x09-\x0D])[^\x20\x09-\x0D0-9]*+[0-9][^\x20\x09-\x0D]*+"
     masked = F.when(trimmed.rlike("[0-9]"), F.regexp_replace(trimmed, field, FIELD)).otherwise(trimmed)
@@ -80,32 +87,47 @@ def templates(toks: Column) -> Column:
         F.array(F.xxhash64(F.lit(PARTS), toks)))
 
 
+def exact_line(toks: Column, trimmed: Column) -> tuple[Column, Column]:
+    """The templates of a line with the line itself as the last, and the
+    documents that this one needs; null if the line is not counted as it is."""
+    need = F.when((F.size(toks) >= PAIR_TOKENS) | (F.length(trimmed) >= PAIR_CHARS), PAIR_DOCS)
+    itself = F.array(F.xxhash64(F.lit(PARTS + 1), trimmed))
+    return F.when(need.isNull(), templates(toks)).otherwise(F.concat(templates(toks), itself)), need
+
+
 def template_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-                   min_tokens: int = MIN_TOKENS) -> DataFrame:
-    """``(doc_id, h, line, n, part, template)``: one row for each template of
-    each line that may go.  ``(doc_id, h)`` names a document, by its id and a
-    hash of its text."""
+                   min_tokens: int = MIN_TOKENS, min_docs: int = MIN_DOCS, exact: bool = False) -> DataFrame:
+    """``(doc_id, h, line, n, part, template, need)``: one row for each template of
+    each line that may go, with the documents it needs.  ``(doc_id, h)`` names a
+    document, by its id and a hash of its text."""
     each = docs.select(F.col(id_col).alias("doc_id"), F.xxhash64(F.col(text_col)).alias("h"),
                        F.posexplode(lines(F.col(text_col))).alias("line", "raw"))
-    parsed = bound(tokens(F.col("raw")), lambda toks: F.struct(F.size(toks).alias("n"), templates(toks).alias("hashes")))
-    rows = written(each.select("doc_id", "h", "line", parsed.alias("t")), "parsed-lines")
-    return rows.filter(F.col("t.n") >= min_tokens).select(
-        "doc_id", "h", "line", "t.n", F.posexplode("t.hashes").alias("part", "template"))
+
+    def fields(toks):
+        hashes, need = exact_line(toks, F.trim(F.col("raw"), F.lit(ENDS))) if exact else (templates(toks), F.lit(None))
+        return F.struct(F.size(toks).alias("n"), hashes.alias("hashes"), need.cast("int").alias("need"))
+
+    rows = written(each.select("doc_id", "h", "line", bound(tokens(F.col("raw")), fields).alias("t")), "parsed-lines")
+    rows = rows.filter(F.col("t.n") >= min_tokens).select(
+        "doc_id", "h", "line", "t.n", F.posexplode("t.hashes").alias("part", "template"),
+        (F.size("t.hashes") - 1).alias("last"), "t.need")
+    need = F.coalesce(F.when(F.col("part") == F.col("last"), F.col("need")), F.lit(min_docs))
+    return rows.withColumn("need", need).drop("last")
 
 
-def recurring(rows: DataFrame, min_docs: int = MIN_DOCS) -> DataFrame:
+def recurring(rows: DataFrame) -> DataFrame:
     """``(n, template, docs, first)`` of the templates that recur; ``first``
     is the smallest id."""
-    per_doc = rows.select("n", "template", "doc_id", "h").distinct()
-    return (per_doc.groupBy("n", "template").agg(F.count("*").alias("docs"), F.min("doc_id").alias("first"))
-            .filter(F.col("docs") >= min_docs))
+    per_doc = rows.select("n", "template", "need", "doc_id", "h").distinct()
+    return (per_doc.groupBy("n", "template", "need").agg(F.count("*").alias("docs"), F.min("doc_id").alias("first"))
+            .filter(F.col("docs") >= F.col("need")).drop("need"))
 
 
 def dropped_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_docs: int = MIN_DOCS,
-                  min_tokens: int = MIN_TOKENS) -> DataFrame:
+                  min_tokens: int = MIN_TOKENS, exact: bool = False) -> DataFrame:
     """``(doc_id, h, drop)``: the numbers of the lines that a document loses."""
-    rows = template_lines(docs, id_col, text_col, min_tokens)
-    common = written(recurring(rows, min_docs), "templates")
+    rows = template_lines(docs, id_col, text_col, min_tokens, min_docs, exact)
+    common = written(recurring(rows), "templates")
     # of a line's templates the one that most documents have, then the one with the earlier part
     rank = F.col("docs") * (PARTS + 1) - F.col("part")
     line = (rows.join(common, ["n", "template"]).withColumn("rank", rank)
@@ -124,11 +146,11 @@ def mask(drop: Column) -> Column:
 
 
 def drop_templates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_docs: int = MIN_DOCS,
-                   min_tokens: int = MIN_TOKENS, lost: str = "n_dropped") -> DataFrame:
+                   min_tokens: int = MIN_TOKENS, lost: str = "n_dropped", exact: bool = False) -> DataFrame:
     """``docs`` with the recurring lines taken out of the texts, and the
-    column ``lost``: how many."""
+    column ``lost``: how many.  ``exact``: also lines that recur as they are."""
     h, other_id, other_h, gone = (free_name(docs, c) for c in ("text_hash", "drop_id", "drop_hash", "dropped"))
-    drop = written(dropped_lines(docs, id_col, text_col, min_docs, min_tokens), "dropped-lines")
+    drop = written(dropped_lines(docs, id_col, text_col, min_docs, min_tokens, exact), "dropped-lines")
     drop = drop.select(F.col("doc_id").alias(other_id), F.col("h").alias(other_h), mask(F.col("drop")).alias(gone))
     met = docs.withColumn(h, F.xxhash64(F.col(text_col))).join(
         drop, F.col(id_col).eqNullSafe(F.col(other_id)) & (F.col(h) == F.col(other_h)), "left")
