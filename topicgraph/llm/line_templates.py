@@ -16,7 +16,10 @@ a line takes the template whose field comes first.)  Lines of fewer than ``MIN_T
 tokens say too little and always stay.
 
 With ``exact``, a line of ``PAIR_TOKENS`` tokens or ``PAIR_CHARS`` characters or
-more also recurs as it is, without fields, from ``PAIR_DOCS`` documents.
+more also recurs as it is, without fields, from ``PAIR_DOCS`` documents.  Lines of
+fewer than ``MIN_TOKENS`` tokens then count as they are: from ``MIN_DOCS`` documents
+if they have ``SOME_CHARS`` characters, as lines of scripts without spaces do, and
+from ``SHORT_DOCS`` if they have fewer.  Blank lines stay.
 
 All of it is DataFrame functions.  Lines travel as hashes; a template is its
 token count and a hash of its tokens and field places.  (template, document) is
@@ -49,6 +52,8 @@ LEAD, LONG = 3, 12
 MIN_DOCS, MIN_TOKENS = 3, 4
 #: Documents of an exact line that recurs, and tokens or characters that it has.
 PAIR_DOCS, PAIR_TOKENS, PAIR_CHARS = 2, 20, 120
+#: Documents of a line that recurs though it has few tokens and fewer characters.
+SHORT_DOCS, SOME_CHARS = 10, 20
 FIELD = "<*>"
 #: White space around a line.
 ENDS = " \t\n\x0b\f\r"
@@ -87,12 +92,16 @@ def templates(toks: Column) -> Column:
         F.array(F.xxhash64(F.lit(PARTS), toks)))
 
 
-def exact_line(toks: Column, trimmed: Column) -> tuple[Column, Column]:
+def exact_line(toks: Column, trimmed: Column, min_tokens: int, min_docs: int) -> tuple[Column, Column]:
     """The templates of a line with the line itself as the last, and the
     documents that this one needs; null if the line is not counted as it is."""
-    need = F.when((F.size(toks) >= PAIR_TOKENS) | (F.length(trimmed) >= PAIR_CHARS), PAIR_DOCS)
+    long = (F.size(toks) >= PAIR_TOKENS) | (F.length(trimmed) >= PAIR_CHARS)
+    short = F.size(toks) < min_tokens
+    need = F.when(long, PAIR_DOCS).when(
+        short, F.when(F.length(trimmed) >= SOME_CHARS, min_docs).otherwise(max(min_docs, SHORT_DOCS)))
     itself = F.array(F.xxhash64(F.lit(PARTS + 1), trimmed))
-    return F.when(need.isNull(), templates(toks)).otherwise(F.concat(templates(toks), itself)), need
+    hashes = F.when(trimmed == "", F.array().cast("array<bigint>")).when(short, itself)
+    return hashes.when(need.isNull(), templates(toks)).otherwise(F.concat(templates(toks), itself)), need
 
 
 def template_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
@@ -104,11 +113,13 @@ def template_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
                        F.posexplode(lines(F.col(text_col))).alias("line", "raw"))
 
     def fields(toks):
-        hashes, need = exact_line(toks, F.trim(F.col("raw"), F.lit(ENDS))) if exact else (templates(toks), F.lit(None))
+        hashes, need = templates(toks), F.lit(None)
+        if exact:
+            hashes, need = exact_line(toks, F.trim(F.col("raw"), F.lit(ENDS)), min_tokens, min_docs)
         return F.struct(F.size(toks).alias("n"), hashes.alias("hashes"), need.cast("int").alias("need"))
 
     rows = written(each.select("doc_id", "h", "line", bound(tokens(F.col("raw")), fields).alias("t")), "parsed-lines")
-    rows = rows.filter(F.col("t.n") >= min_tokens).select(
+    rows = rows.filter(F.lit(exact) | (F.col("t.n") >= min_tokens)).select(
         "doc_id", "h", "line", "t.n", F.posexplode("t.hashes").alias("part", "template"),
         (F.size("t.hashes") - 1).alias("last"), "t.need")
     need = F.coalesce(F.when(F.col("part") == F.col("last"), F.col("need")), F.lit(min_docs))
