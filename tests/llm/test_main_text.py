@@ -56,3 +56,16 @@ def test_empty_and_null(spark):
     assert sorted((r.page_id, r.text, r.n_chars) for r in M.extract(pages.filter("page_id = 1")).collect()) == [(1, "", 0)] * 2
     assert [r.text for r in M.extract(pages.filter("page_id IS NULL")).collect()] == ["x y"]
     assert M.extract(pages.limit(0)).collect() == []
+
+
+def test_long_attributes():
+    for n in (9_999, 10_000, 300_000):
+        value = "x>" * (n // 2)
+        for q in "\"'":
+            page = (f"<body><article data-a={q}{value}{q}><p>One<div class=advert style={q}{value}{q}>no</div><p>two"
+                    f"<script data-b={q}{value}{q}>var no;</script><aside title={q}{value}{q}>no</aside></article><p>beside")
+            assert M.main_text(page, W) == "One two"
+            assert M.label_counts(page) == M.label_counts(page.replace(value, ""))
+    # a quote that never closes ends at the first '>'
+    assert M.main_text("<article><p title=\"x>One two</p><p>three</p></article>", W) == "One two three"
+    assert M.main_text("<article>" + "<p>word</p>" * 50_000 + "<p title='>end</article>", W).endswith("word end")

@@ -58,7 +58,7 @@ BESIDE = frozenset(
 #: Words of a class or id by which a box belongs to the text all the same.
 WITHIN = frozenset("article post entry story content main".split())
 
-TAG = re.compile(r"""<(/?)([A-Za-z][^\s/>]*)((?:[^>"']|"[^"]{0,9999}"|'[^']{0,9999}')*+)>""")
+TAG = re.compile(r"""<(/?)([A-Za-z][^\s/>]*)((?:[^>"']|"[^"]*+"|'[^']*+')*+)>""")
 ATTRIBUTE = re.compile(r"""\b(class|id|role)\s*=\s*("[^"]*"|'[^']*'|[^\s>]+)""", re.I)
 NAME_WORD = re.compile(r"[a-z]+")
 CAMEL = re.compile(r"(?<=[a-z])(?=[A-Z])")
@@ -91,7 +91,7 @@ def events(page: str | None) -> Iterator[tuple[str, str, str]]:
         m = TAG.match(page, lt)
         if m is None:
             nxt = page[lt + 1:lt + 2]
-            if nxt.isalpha() or nxt == "/":  # a tag with a stray quote or without an end
+            if nxt.isalpha() or nxt == "/":  # a tag with a quote that never closes, or without an end
                 end = page.find(">", lt)
                 at = n if end < 0 else end + 1
             else:
