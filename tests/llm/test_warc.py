@@ -3,6 +3,7 @@ import os
 import random
 
 import pytest
+from pyspark.sql import functions as F
 
 from topicgraph.llm import warc as R
 
@@ -71,3 +72,14 @@ def test_false_magic_is_no_record(spark, tmp_dir):
 def test_empty_table(spark, tmp_dir):
     archives = R.write_archives(spark.createDataFrame([], SCHEMA), f"file://{tmp_dir}/e")
     assert R.read_archives(archives).collect() == []
+
+
+def test_long_headers_are_read_and_records_counted(spark, tmp_dir):
+    rows = [(1, "data:," + "é" * 40_000, "one"), (2, "http://b/" + "x" * 1_000_000, "two"), (3, "http://c", "one")]
+    archives = R.write_archives(spark.createDataFrame(rows, SCHEMA), f"file://{tmp_dir}/w")
+    for size in (1 << 22, 999):
+        got = R.counted(archives, R.read_archives(archives, size)).collect()
+        assert sorted((int(r.page_id), r.url) for r in got) == [(p, u.replace("é", "%C3%A9")) for p, u, _ in rows]
+    short = archives.withColumn("records", F.col("records") + 1)
+    with pytest.raises(ValueError, match="were read"):
+        R.counted(short, R.read_archives(archives))

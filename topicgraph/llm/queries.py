@@ -70,7 +70,7 @@ def op4(spark: SparkSession, sf: str) -> DataFrame:
 @register("op5_warc")
 def op5(spark: SparkSession, sf: str) -> DataFrame:
     archives = warc.write_archives(table(spark, sf, "pages"), scratch_path(spark, "warc"))
-    return warc.read_archives(archives, payloads=False).select(
+    return warc.counted(archives, warc.read_archives(archives, payloads=False)).select(
         F.col("page_id").cast("bigint").alias("page_id"), "payload_bytes", "payload_digest", "record_type",
         F.col("refers_to").cast("bigint").alias("refers_to"))
 

@@ -41,8 +41,8 @@ from .common import written
 #: Bytes of an archive file after which the next one begins, and of a range.
 FILE_BYTES, RANGE_BYTES = 256 << 20, 4 << 20
 MAGIC = b"\x1f\x8b\x08"
-#: Bytes read at a time, and the longest record header that is accepted.
-CHUNK, HEADER = 1 << 16, 1 << 16
+#: Bytes read at a time.
+CHUNK = 1 << 16
 #: Fixed values of the WARC 1.1 format.
 VERSION, DATE = "WARC/1.1", "2000-01-01T00:00:00Z"
 REVISIT = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
@@ -151,7 +151,7 @@ class _File:
 
 def inflate(file: _File, at: int) -> tuple[dict, bytes, int]:
     """Header, block and end of the record that starts at ``at``."""
-    z, data, pos, head = zlib.decompressobj(31), bytearray(), at, None
+    z, data, pos, head, looked = zlib.decompressobj(31), bytearray(), at, None, 0
     while not z.eof:
         raw = file.read(pos)
         if not raw:
@@ -164,9 +164,8 @@ def inflate(file: _File, at: int) -> tuple[dict, bytes, int]:
         if head is None:
             if not data.startswith(b"WARC/1."[:len(data)]):
                 raise NotARecord("no WARC header")
-            end = data.find(b"\r\n\r\n", 0, HEADER)
-            if end < 0 and len(data) >= HEADER:
-                raise NotARecord("the header does not end")
+            end = data.find(b"\r\n\r\n", looked)
+            looked = max(0, len(data) - 3)
             if end >= 0:
                 head = parse_header(bytes(data[:end]))
                 length = int(head["content-length"])
@@ -224,6 +223,19 @@ def decoded(head: dict, block: bytes) -> tuple:
             payload)
 
 
+def counted(archives: DataFrame, records: DataFrame) -> DataFrame:
+    """``records`` written and read again; an error if a file of the manifest
+    has not given as many as it says."""
+    records = written(records, "warc-records")
+    got = records.groupBy(F.col("path").alias("got")).agg(F.count("*").alias("n"))
+    n = F.coalesce(F.col("n"), F.lit(0))
+    wrong = archives.join(got, F.col("path") == F.col("got"), "left").filter(n != F.col("records")).select(
+        "path", "records", n.alias("n")).head(1)
+    if wrong:
+        raise ValueError(f"{wrong[0].path} has {wrong[0].records} records, {wrong[0].n} were read")
+    return records
+
+
 def read_archives(archives: DataFrame, range_bytes: int = RANGE_BYTES, payloads: bool = True) -> DataFrame:
     """The records of the files ``(path, bytes)``; without ``payloads`` that
     column is null."""
