@@ -90,25 +90,21 @@ def test_empty_table(spark):
 
 
 def test_long_exact_line_recurs_from_two_documents(spark):
-    import corpus_pipeline
-
     line = " ".join(f"{c}word" for c in "abcdefghijklmnopqrst")
     rows = [(1, "own one\n" + line), (2, "own two\n " + line + " "), (3, "two docs have this line\nx"),
             (4, "two docs have this line\ny"), (5, line.replace("cword", "other", 1) + "\nz")]
     docs = spark.createDataFrame(rows, SCHEMA)
-    got = {r.doc_id: r.text for r in corpus_pipeline.drop_recurring_lines(spark, docs, "").collect()}
+    got = {r.doc_id: r.text for r in T.drop_templates(docs, exact=True).collect()}
     assert got == dict(rows) | {2: "own two"}
     assert run(spark, rows) == brute(rows) == Counter(rows)  # the query as its SQL twin has it
 
 
 def test_short_lines_and_scripts_without_spaces(spark):
-    import corpus_pipeline
-
     many, few, script = "All rights reserved.", "Go on.", "\u9019\u662f\u4e00" * 9
     rows = [(i, f"{many}\n\nown {'abcdefghijkl'[i]}" + (f"\n{few}" if i < 9 else "") + (f"\n{script}" if i < 3 else ""))
             for i in range(12)]
     docs = spark.createDataFrame(rows, SCHEMA)
-    got = {r.doc_id: r.text for r in corpus_pipeline.drop_recurring_lines(spark, docs, "").collect()}
+    got = {r.doc_id: r.text for r in T.drop_templates(docs, exact=True).collect()}
     assert got[0] == rows[0][1]
     assert got == {i: t if i == 0 else t.replace(many + "\n", "").replace("\n" + script, "") for i, t in rows}
     assert run(spark, rows) == brute(rows) == Counter(rows)  # the query as its SQL twin has it
