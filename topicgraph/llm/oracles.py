@@ -67,3 +67,33 @@ SELECT page_id, octet_length(encode(html)) AS payload_bytes,
        CASE WHEN page_id <> first THEN first END AS refers_to
 FROM n
 """
+
+_TERMS = r"regexp_extract_all(coalesce(text, ''), '[^\x00-\x40\x5B-\x60\x7B-\x7F]+')"
+
+ORACLES["op13_source_divergence"] = rf"""
+WITH d AS (SELECT row_number() OVER () AS row, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+                  {_TERMS} AS w FROM documents),
+     t AS (SELECT row, lang, source, translate(unnest(w), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS term
+           FROM d),
+     k AS (SELECT lang, term, count(*) AS n FROM t GROUP BY ALL HAVING count(DISTINCT row) >= 3),
+     v AS (SELECT lang, count(*) AS v, CAST(sum(n) AS HUGEINT) AS total FROM k GROUP BY lang),
+     g AS (SELECT DISTINCT lang, source FROM d),
+     c AS (SELECT lang, source, term, count(*) AS n FROM t SEMI JOIN k USING (lang, term) GROUP BY ALL),
+     s AS (SELECT lang, source, sum(n) AS total FROM c GROUP BY ALL),
+     -- every kept term in every group
+     p AS (SELECT g.lang, g.source, k.term, coalesce(c.n, 0) AS n,
+                  CAST(1 + CAST(1000000000 AS HUGEINT) * (coalesce(c.n, 0) + 1) // (coalesce(s.total, 0) + v.v) AS BIGINT) AS p,
+                  CAST(1 + CAST(1000000000 AS HUGEINT) * (k.n + 1) // (v.total + v.v) AS BIGINT) AS q
+           FROM g JOIN k USING (lang) JOIN v USING (lang) LEFT JOIN c USING (lang, source, term)
+           LEFT JOIN s USING (lang, source)),
+     pairs AS (SELECT a.lang, a.source, b.source AS item, CAST(sum((a.p - b.p) * (a.p - b.p) // b.p) AS BIGINT) AS value
+               FROM p a JOIN p b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY ALL),
+     r AS (SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(value, 0) AS value
+           FROM g a JOIN g b ON a.lang = b.lang AND a.source <> b.source
+           LEFT JOIN pairs x ON x.lang = a.lang AND x.source = a.source AND x.item = b.source
+           UNION ALL
+           SELECT lang, source, 'term', term, (p - q) * (p - q) // q FROM p WHERE n > 0 AND p > q)
+SELECT lang, source, part, item, CAST(value AS BIGINT) AS value,
+       CAST(row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS INTEGER) AS rank
+FROM r QUALIFY part = 'pair' OR rank <= 200
+"""

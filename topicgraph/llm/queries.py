@@ -10,8 +10,8 @@ from pyspark.sql import functions as F
 
 from ..session import scratch_path
 from ..sources.tables import table
-from . import (block_naming, decontamination, line_templates, main_text, mixing, secret_scan, simhash, suffix_tree,
-               toxicity, warc)
+from . import (block_naming, decontamination, divergence, line_templates, main_text, mixing, secret_scan, simhash,
+               suffix_tree, toxicity, warc)
 from .oracles import ORACLES
 
 __all__ = ["ORACLES", "QUERIES"]
@@ -100,3 +100,8 @@ def op9(spark: SparkSession, sf: str) -> DataFrame:
 def op10(spark: SparkSession, sf: str) -> DataFrame:
     docs = table(spark, sf, "documents").select("doc_id", "text", "lang", "source").withColumn("domain", domain())
     return mixing.mix(docs, weights=MIX_WEIGHTS).select("doc_id", "domain", "lang", "source", "n_tokens", "epoch")
+
+
+@register("op13_source_divergence")
+def op13(spark: SparkSession, sf: str) -> DataFrame:
+    return divergence.audit(table(spark, sf, "documents"))
