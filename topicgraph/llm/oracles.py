@@ -97,3 +97,40 @@ SELECT lang, source, part, item, CAST(value AS BIGINT) AS value,
        CAST(row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS INTEGER) AS rank
 FROM r QUALIFY part = 'pair' OR rank <= 200
 """
+
+_LINE = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ' || chr(9), 'abcdefghijklmnopqrstuvwxyz ')"
+
+ORACLES["op12_collocations"] = rf"""
+WITH d AS (SELECT row_number() OVER () AS row, coalesce(lang, 'und') AS lang,
+                  regexp_split_to_array({_LINE}, '[.,;:!?\x0A-\x0D]') AS pieces FROM documents),
+     p AS (SELECT row, lang, unnest(pieces) AS piece, unnest(range(len(pieces))) AS at FROM d),
+     s AS (SELECT lang, list_filter(string_split(piece, ' '), lambda x: x <> '') AS w FROM p),
+     t AS (SELECT lang, w, unnest(range(1, len(w) + 1)) AS i FROM s),
+     g AS (SELECT lang, w[i] AS w1, w[i + 1] AS w2, w[i + 2] AS w3, len(w) - i AS more FROM t),
+     f1 AS (SELECT lang, w1, count(*) AS n FROM g GROUP BY ALL),
+     f2 AS (SELECT lang, w1, w2, count(*) AS n FROM g WHERE more >= 1 GROUP BY ALL),
+     f3 AS (SELECT lang, w1, w2, w3, count(*) AS n FROM g WHERE more >= 2 GROUP BY ALL HAVING count(*) >= 10),
+     n AS (SELECT lang, CAST(sum(n) AS BIGINT) AS n FROM f1 GROUP BY lang),
+     cuts AS (
+       SELECT f2.lang, f2.w1 || ' ' || f2.w2 AS phrase, f2.n AS a, 1 AS k, x.n AS l, y.n AS r, f2.w1, f2.w2, NULL AS w3
+       FROM f2 JOIN f1 x ON x.lang = f2.lang AND x.w1 = f2.w1 JOIN f1 y ON y.lang = f2.lang AND y.w1 = f2.w2
+       WHERE f2.n >= 10
+       UNION ALL
+       SELECT f3.lang, f3.w1 || ' ' || f3.w2 || ' ' || f3.w3, f3.n, 1, x.n, y.n, f3.w1, f3.w2, f3.w3
+       FROM f3 JOIN f1 x ON x.lang = f3.lang AND x.w1 = f3.w1
+       JOIN f2 y ON y.lang = f3.lang AND y.w1 = f3.w2 AND y.w2 = f3.w3
+       UNION ALL
+       SELECT f3.lang, f3.w1 || ' ' || f3.w2 || ' ' || f3.w3, f3.n, 2, x.n, y.n, f3.w1, f3.w2, f3.w3
+       FROM f3 JOIN f2 x ON x.lang = f3.lang AND x.w1 = f3.w1 AND x.w2 = f3.w2
+       JOIN f1 y ON y.lang = f3.lang AND y.w1 = f3.w3),
+     scored AS (SELECT *, CAST(CAST(1000000 AS HUGEINT) * a * a // (CAST(l AS HUGEINT) * r) AS BIGINT) AS score FROM cuts),
+     best AS (SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1),
+     around AS (SELECT lang, w1, w2, max(n) AS n FROM (SELECT lang, w1, w2, n FROM f3
+                UNION ALL SELECT lang, w2, w3, n FROM f3) GROUP BY ALL),
+     kept AS (SELECT b.* FROM best b LEFT JOIN around o
+              ON b.w3 IS NULL AND o.lang = b.lang AND o.w1 = b.w1 AND o.w2 = b.w2
+              WHERE o.n IS NULL OR 100 * o.n < 50 * b.a)
+SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank,
+       phrase, a, l, r, n.n, score
+FROM kept JOIN n USING (lang) QUALIFY rank <= 2000
+"""
