@@ -10,8 +10,8 @@ from pyspark.sql import functions as F
 
 from ..session import scratch_path
 from ..sources.tables import table
-from . import (block_naming, collocations, decontamination, divergence, line_templates, main_text, mixing, secret_scan,
-               simhash, suffix_tree, toxicity, warc)
+from . import (block_naming, collocations, decontamination, divergence, license_notices, line_templates, main_text,
+               mixing, secret_scan, simhash, suffix_tree, toxicity, warc)
 from .oracles import ORACLES
 
 __all__ = ["ORACLES", "QUERIES"]
@@ -102,6 +102,11 @@ def op10(spark: SparkSession, sf: str) -> DataFrame:
     return mixing.mix(docs, weights=MIX_WEIGHTS).select("doc_id", "domain", "lang", "source", "n_tokens", "epoch")
 
 
+@register("op11_license_scan")
+def op11(spark: SparkSession, sf: str) -> DataFrame:
+    return license_notices.report(license_notices.scan(table(spark, sf, "documents")))
+
+
 @register("op12_collocations")
 def op12(spark: SparkSession, sf: str) -> DataFrame:
     return collocations.mine(table(spark, sf, "documents"))
