@@ -12,8 +12,8 @@ per *cell*, a pair of counts with the number of terms that have it:
   the first ``top`` distinct values are enough; only their cells are expanded
   into terms;
 * a group against another: cells (count here, count there).  Only terms that
-  both have are paired, after terms of equal counts in all sources were merged;
-  the terms that one or both lack follow from the groups' own counts, since
+  both have are paired, and a task merges the cells of many terms before they
+  are shuffled; the terms that one or both lack follow from the groups' own counts, since
   ``sum f = V f(0,0) + sum_i (f(c,0) - f(0,0)) + sum_j (f(0,d) - f(0,0))
   + sum_both (f(c,d) - f(c,0) - f(0,d) + f(0,0))``.
 
@@ -47,7 +47,11 @@ TOP = 200
 #: A share of one, in units.
 SCALE = 1_000_000_000
 #: Counters that a task holds before it passes them on.
-HELD = 1 << 18
+HELD = 1 << 19
+#: Pairs of counts that a task works on at a time.
+STEP = 1 << 21
+#: A term's documents are counted above its occurrences in one integer.
+DOC = 1 << 44
 
 COUNTS = "lang string, source string, term string, n bigint, docs bigint"
 
@@ -73,32 +77,31 @@ def count(docs: DataFrame, lang_col: str = "lang", source_col: str = "source", t
         return F.coalesce(F.col(c).cast("string"), F.lit(""))
 
     def run(batches):
+        import numpy as np
         import pyarrow as pa
 
-        groups: dict[tuple, tuple[Counter, Counter]] = {}
+        groups: dict[tuple, dict] = {}
 
         def rows():
-            for (lang, source), (n, d) in groups.items():
-                words = list(n)
+            for (lang, source), seen in groups.items():
+                both = np.fromiter(seen.values(), np.int64, len(seen))
+                same = np.zeros(len(seen), np.int32)
                 yield pa.record_batch({
-                    "lang": pa.array([lang] * len(words), pa.string()),
-                    "source": pa.array([source] * len(words), pa.string()),
-                    "term": pa.array(words, pa.binary()).cast(pa.string()),
-                    "n": pa.array([n[w] for w in words], pa.int64()),
-                    "docs": pa.array([d[w] for w in words], pa.int64())})
+                    "lang": pa.DictionaryArray.from_arrays(same, pa.array([lang], pa.string())).cast(pa.string()),
+                    "source": pa.DictionaryArray.from_arrays(same, pa.array([source], pa.string())).cast(pa.string()),
+                    "term": pa.array(list(seen), pa.binary()).cast(pa.string()),
+                    "n": pa.array(both % DOC), "docs": pa.array(both // DOC)})
             groups.clear()
 
         size = 0
         for b in batches:
             for lang, source, t in zip(*b.columns):
-                found = Counter(terms(t.as_py()))
-                n, d = groups.setdefault((lang.as_py(), source.as_py()), (Counter(), Counter()))
-                size -= len(n)
-                n.update(found)
-                n[None] = 0
-                d.update(found.keys())
-                d[None] += 1
-                size += len(n)
+                seen = groups.setdefault((lang.as_py(), source.as_py()), {})
+                get, before = seen.get, len(seen)
+                for w, n in Counter(terms(t.as_py())).items():
+                    seen[w] = get(w, 0) + n + DOC
+                seen[None] = get(None, 0) + DOC
+                size += len(seen) - before
                 if size > held:
                     yield from rows()
                     size = 0
@@ -110,10 +113,13 @@ def count(docs: DataFrame, lang_col: str = "lang", source_col: str = "source", t
 
 
 def share(n: Column | str, total: str, kept: str, scale: int = SCALE) -> Column:
-    """``p`` of a count; null where no term is kept."""
+    """``p`` of a count; null where no term is kept.  Decimals only where the
+    product passes 64 bits."""
     n = F.col(n) if isinstance(n, str) else n
-    unit = F.lit(scale).cast("decimal(10,0)") * (n + 1).cast("decimal(19,0)")
-    return 1 + F.call_function("div", unit, F.nullif(F.col(total) + F.col(kept), F.lit(0)).cast("decimal(19,0)"))
+    every = F.nullif(F.col(total) + F.col(kept), F.lit(0))
+    small = F.call_function("div", F.lit(scale).cast("bigint") * (n + 1), every)
+    large = F.call_function("div", F.lit(scale).cast("decimal(10,0)") * (n + 1).cast("decimal(19,0)"), every.cast("decimal(19,0)"))
+    return 1 + F.when(n < (1 << 62) // scale, small).otherwise(large)
 
 
 def divergence(p: Column, q: Column) -> Column:
@@ -121,10 +127,6 @@ def divergence(p: Column, q: Column) -> Column:
     return F.call_function("div", (p - q) * (p - q), q)
 
 
-def _exact(c: Column) -> Column:
-    return c.cast("decimal(38,0)")
-
-
 def _terms(rows: DataFrame, groups: DataFrame, top: int, scale: int) -> DataFrame:
     """Each group's terms of the largest values above the language's share."""
     by = ["lang", "source"]
@@ -143,6 +145,46 @@ def _terms(rows: DataFrame, groups: DataFrame, top: int, scale: int) -> DataFram
             .withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= top))
 
 
+def _cells(rows: DataFrame, step: int = STEP) -> DataFrame:
+    """``(lang, source, item, n, m, many)``: how many terms have the counts
+    ``n`` and ``m``, above 0, in two sources of which the first is smaller."""
+    def run(batches):
+        import numpy as np
+        import pyarrow as pa
+
+        for batch in batches:
+            langs, counts = batch.column("lang"), batch.column("counts")
+            size = counts.value_lengths().to_numpy().astype(np.int64)
+            flat = counts.flatten()
+            lang = langs.dictionary_encode()
+            source = flat.field("source").dictionary_encode()
+            names = source.dictionary
+            s, n = source.indices.to_numpy().astype(np.int64), flat.field("n").to_numpy()
+            la = np.repeat(lang.indices.to_numpy().astype(np.int64), size)
+            # each entry is paired with those after it in its own list
+            after = np.repeat(np.cumsum(size), size) - np.arange(len(s)) - 1
+            cut = np.searchsorted(np.cumsum(after), np.arange(0, int(after.sum()), step)).tolist() + [len(s)]
+            for lo, hi in zip(cut, cut[1:]):
+                k = after[lo:hi]
+                x = np.repeat(np.arange(lo, hi), k)
+                y = x + 1 + np.arange(len(x)) - np.repeat(np.cumsum(k) - k, k)
+                keys = n[y], n[x], s[y], s[x], la[x]
+                order = np.lexsort(keys)
+                new = np.ones(len(order), bool)
+                new[1:] = np.any([np.diff(c[order]) != 0 for c in keys], axis=0)
+                at = np.flatnonzero(new)
+                x, y = x[order[at]], y[order[at]]
+                yield pa.record_batch({
+                    "lang": lang.dictionary.take(pa.array(la[x])).cast(pa.string()), "source": names.take(pa.array(s[x])),
+                    "item": names.take(pa.array(s[y])), "n": pa.array(n[x]), "m": pa.array(n[y]),
+                    "many": pa.array(np.diff(np.append(at, len(order))))})
+
+    counts = F.array_sort(F.collect_list(F.struct("source", "n"))).alias("counts")
+    return (rows.groupBy("lang", "term").agg(counts).select("lang", "counts")
+            .mapInArrow(run, "lang string, source string, item string, n bigint, m bigint, many bigint")
+            .groupBy("lang", "source", "item", "n", "m").agg(F.sum("many").alias("many")))
+
+
 def _pairs(rows: DataFrame, groups: DataFrame, scale: int) -> DataFrame:
     """``f`` of each group against each other of its language, summed."""
     def f(n: str | int, m: str | int) -> Column:
@@ -152,29 +194,23 @@ def _pairs(rows: DataFrame, groups: DataFrame, scale: int) -> DataFrame:
     other = groups.select("lang", F.col("source").alias("item"), F.col("total").alias("other_total"))
     pairs = written(groups.select("lang", "source", "total", "kept").join(other, "lang")
                     .filter("source != item"), "source-pairs")
-    none = pairs.select("lang", "source", "item", _exact(F.coalesce(F.col("kept") * f(0, 0), F.lit(0))).alias("value"))
-
     own = written(rows.groupBy("lang", "source", "n").agg(F.count("*").alias("many")), "own-counts")
     here = pairs.join(own, ["lang", "source"])
     there = pairs.join(own.withColumnRenamed("source", "item"), ["lang", "item"])
-
-    # terms that have the same counts everywhere are one row
-    counts = F.array_sort(F.collect_list(F.struct("source", "n")))
-    alike = rows.groupBy("lang", "term").agg(counts.alias("counts")).groupBy("lang", "counts").agg(F.count("*").alias("many"))
-    both = (alike.select("lang", "many", "counts", F.explode("counts").alias("a"))
-            .select("lang", "many", "a", F.explode(F.filter("counts", lambda c: c["source"] > F.col("a.source"))).alias("b"))
-            .groupBy("lang", F.col("a.source").alias("s"), F.col("b.source").alias("t"),
-                     F.col("a.n").alias("n"), F.col("b.n").alias("m")).agg(F.sum("many").alias("many")))
+    both = written(_cells(rows), "count-cells")
     both = both.select("lang", "many", F.inline(F.array(
-        F.struct(F.col("s").alias("source"), F.col("t").alias("item"), "n", "m"),
-        F.struct(F.col("t").alias("source"), F.col("s").alias("item"), F.col("m").alias("n"), F.col("n").alias("m")))))
-    both = written(both, "count-cells").join(pairs, ["lang", "source", "item"])
+        F.struct("source", "item", "n", "m"),
+        F.struct(F.col("item").alias("source"), F.col("source").alias("item"), F.col("m").alias("n"), F.col("n").alias("m")))))
+    both = both.join(pairs, ["lang", "source", "item"])
 
-    parts = [(here, f("n", 0) - f(0, 0)), (there, f(0, "n") - f(0, 0)),
+    parts = [(pairs.withColumn("many", F.col("kept")), f(0, 0)), (here, f("n", 0) - f(0, 0)), (there, f(0, "n") - f(0, 0)),
              (both, f("n", "m") - f("n", 0) - f(0, "m") + f(0, 0))]
-    parts = [d.select("lang", "source", "item", (_exact(F.col("many")) * _exact(v)).cast("decimal(38,0)").alias("value"))
-             for d, v in parts]
-    total = reduce(DataFrame.unionByName, parts, none).groupBy("lang", "source", "item").agg(F.sum("value").alias("value"))
+    # summed in two halves: a value has up to 60 bits, and with its multiplicity more
+    parts = [d.select("lang", "source", "item", "many", F.coalesce(v, F.lit(0)).alias("f"))
+             .select("lang", "source", "item", (F.col("many") * F.shiftright("f", 32)).alias("high"),
+                     (F.col("many") * F.col("f").bitwiseAND(0xFFFFFFFF)).alias("low")) for d, v in parts]
+    value = F.sum("high").cast("decimal(20,0)") * F.lit(1 << 32).cast("decimal(10,0)") + F.sum("low").cast("decimal(20,0)")
+    total = (reduce(DataFrame.unionByName, parts).groupBy("lang", "source", "item").agg(value.alias("value")))
     order = Window.partitionBy("lang", "source").orderBy(F.desc("value"), "item")
     return total.select("lang", "source", F.lit("pair").alias("part"), "item", F.col("value").cast("bigint").alias("value"),
                         F.row_number().over(order).alias("rank"))
