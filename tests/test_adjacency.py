@@ -1,0 +1,166 @@
+import random
+from collections import defaultdict
+
+import pytest
+from pyspark.sql import functions as F
+
+from topicgraph.operators import adjacency
+from topicgraph.operators.centrality import hits, hits_stored
+from topicgraph.operators.multigraph import MultiGraph
+from topicgraph.operators.paths import expand_paths, shortest_path, shortest_paths, shortest_tree
+from topicgraph.session import scratch_path
+
+from test_hubs import CONF
+
+
+def graph(spark, n=40, m=160, seed=3, step=2.0):
+    """A random multigraph on a grid, with loops, parallel edges, nodes at one
+    place, a hub and isolated nodes."""
+    rnd = random.Random(seed)
+    nodes = [(f"n{i:02d}", step * rnd.randrange(5), step * rnd.randrange(5), 1.0) for i in range(n)]
+    ends = [(rnd.choice([0, 0, rnd.randrange(n - 4)]), rnd.randrange(n - 4)) for _ in range(m)]
+    edges = [(f"e{k}", f"n{i:02d}", f"n{j:02d}", rnd.choice([None, 0.0, 1.0, 2.5])) for k, (i, j) in enumerate(ends)]
+    return MultiGraph(spark.createDataFrame(nodes, "id string, x double, y double, size double"),
+                      spark.createDataFrame(edges, "id string, source string, target string, cost double"))
+
+
+@pytest.fixture(scope="module")
+def stored(spark):
+    g = graph(spark)
+    g = MultiGraph(g.nodes.cache(), g.edges.cache())
+    return g, adjacency.build(g, scratch_path(spark, "adj"), buckets=4, limit=7)
+
+
+def test_tables(spark, stored):
+    g, adj = stored
+    again = adjacency.open_adjacency(spark, adj.path)
+    for side in ("out", "in"):
+        want = sorted(map(tuple, g.edges.select("id", "source", "target", "cost").collect()))
+        assert sorted(map(tuple, again.edges(side).select("id", "source", "target", "cost").collect())) == want
+        assert again.edges(side).agg(F.max("part")).first()[0] > 0   # the hub has several parts
+        end = "source" if side == "out" else "target"
+        assert again.edges(side).groupBy(end, "part").count().agg(F.max("count")).first()[0] < 30
+    assert sorted(map(tuple, again.nodes.select("id", "in_degree", "out_degree", "degree").collect())) == sorted(
+        map(tuple, g.degrees().collect()))
+
+
+@pytest.mark.parametrize("ids", ["n00", ["n00", "n07", "n00", "none"], ["n39"], []])
+def test_lookups(spark, stored, ids):
+    g, adj = stored
+    rows = [r.asDict() for r in g.edges.collect()]
+    chosen = {ids} if isinstance(ids, str) else set(ids)
+    touching = [r for r in rows if chosen & {r["source"], r["target"]}]
+    assert sorted(r.id for r in adj.adjacent_edges(ids).collect()) == sorted(r["id"] for r in touching)
+    near = {(a, b) for r in touching for a, b in ((r["source"], r["target"]), (r["target"], r["source"])) if a in chosen}
+    assert {tuple(r) for r in adj.adjacent_ids(ids).collect()} == near
+    assert {r.id for r in adj.adjacent_nodes(ids).collect()} == {b for _, b in near}
+    seen = {b for _, b in near} | chosen
+    assert {r.id: r.hidden for r in adj.neighbors_of(ids).collect()} == {r.id: r.id not in seen for r in g.nodes.collect()}
+    if isinstance(ids, str):
+        assert sorted(r.id for r in g.adjacent_edges(ids).collect()) == sorted(r["id"] for r in touching)
+
+
+@pytest.mark.parametrize("undirected", [False, True])
+def test_hits(spark, stored, undirected):
+    g, adj = stored
+    want, n = hits(g.nodes, g.edges, undirected, return_rounds=True)
+    got, k = hits_stored(adj, scratch_path(spark, "pairs"), undirected, return_rounds=True)
+    assert n == k
+    want = {r.id: (r.authority, r.hub) for r in want.collect()}
+    got = {r.id: (r.authority, r.hub) for r in got.collect()}
+    assert got.keys() == want.keys()
+    assert all(abs(x - y) < 1e-12 for i in got for x, y in zip(got[i], want[i]))
+
+
+def brute_tree(edges, source):
+    """Distances by repeated relaxing, then the smallest nearer node."""
+    dist = {source: 0.0}
+    while True:
+        new = dict(dist)
+        for s, t, w in edges:
+            if s in dist and dist[s] + w < new.get(t, float("inf")):
+                new[t] = dist[s] + w
+        if new == dist:
+            break
+        dist = new
+    prev = {source: None}
+    for v in dist:
+        near = [s for s, t, w in edges if t == v and s in dist and dist[s] + w == dist[v] and dist[s] < dist[v]]
+        if near and v != source:
+            prev[v] = min(near)
+    while len(prev) < len(dist):
+        late = {}
+        for s, t, w in edges:
+            if t in dist and t not in prev and s in prev and dist[s] + w == dist[s] == dist[t]:
+                late[t] = min(late.get(t, s), s)
+        prev |= late
+    out = {}
+    for v in dist:
+        path = [v]
+        while prev[path[-1]] is not None:
+            path.append(prev[path[-1]])
+        out[v] = (dist[v], len(path) - 1, prev[v], path[::-1])
+    return out
+
+
+@pytest.mark.parametrize("weight,undirected,delta", [
+    (None, False, None), (None, True, 0.5), ("euclidean", True, None), ("euclidean", False, 100.0),
+    ("cost", True, 0.7), ("cost", False, None)])
+def test_trees_and_paths(spark, stored, weight, undirected, delta):
+    g, adj = stored
+    at = {r.id: (r.x, r.y) for r in g.nodes.collect()}
+    edges = []
+    for r in g.edges.collect():
+        (a, b), (c, d) = at[r.source], at[r.target]
+        w = 1.0 if weight is None else r.cost if weight == "cost" else ((a - c) ** 2 + (b - d) ** 2) ** 0.5
+        if w is not None:
+            edges += [(r.source, r.target, w)] + ([(r.target, r.source, w)] if undirected else [])
+    want = brute_tree(edges, "n03")
+    tree = shortest_tree(g, "n03", weight, undirected, delta=delta)
+    assert {r.id: (r.dist, r.hops, r.previous) for r in tree.collect()} == {v: x[:3] for v, x in want.items()}
+    assert {r.id: (r.dist, r.hops, r.path) for r in expand_paths(tree).collect()} == {
+        v: (x[0], x[1], x[3]) for v, x in want.items()}
+    far = max(want, key=lambda v: (want[v][0], v))
+    assert shortest_path(g, "n03", far, weight, undirected) == want[far][3]
+    if weight == "cost" and undirected:
+        links = adj.links(scratch_path(spark, "links"), "cost", undirected)
+        got = shortest_tree(links, "n03", delta=delta)
+        assert {r.id: (r.dist, r.hops, r.previous) for r in got.collect()} == {v: x[:3] for v, x in want.items()}
+
+
+def test_stop_at_the_target(spark):
+    n = 60
+    nodes = spark.range(n).select(F.format_string("p%03d", "id").alias("id"))
+    edges = spark.range(n - 1).select(F.col("id").cast("string"), F.format_string("p%03d", "id").alias("source"),
+                                      F.format_string("p%03d", F.col("id") + 1).alias("target"), F.lit(1.0).alias("w"))
+    g = MultiGraph(nodes.cache(), edges.cache())
+    assert shortest_path(g, "p000", "p009") == [f"p{i:03d}" for i in range(10)]
+    tree = shortest_tree(g, "p000", target="p009")
+    assert sorted(r.id for r in tree.collect())[-1] <= "p010"
+    assert len(shortest_paths(g, "p040").collect()) == 20
+    assert shortest_tree(g, "nowhere").count() == 0 and shortest_path(g, "nowhere", "p001") is None
+    assert shortest_path(g, "p009", "p000") is None
+    with pytest.raises(ValueError):
+        shortest_tree(g, "p000", F.lit(-1.0))
+    with pytest.raises(RuntimeError):
+        shortest_tree(g, "p000", max_rounds=3)
+
+
+def test_rounds_move_no_edges(spark, stored):
+    _, adj = stored
+    old = {k: spark.conf.get(k, None) for k in CONF}
+    try:
+        for k, v in CONF.items():
+            spark.conf.set(k, v)
+        spark.conf.set("spark.sql.shuffle.partitions", "4")
+        state = adj.nodes.select("id", F.lit(1.0).alias("hub"))
+        for side, end in (("out", "source"), ("in", "target")):
+            plan = adj.meet(state, side)._jdf.queryExecution().executedPlan().toString()
+            scan = next(i for i, line in enumerate(plan.splitlines()) if f"adjacency_{side}" in line)
+            above = [line for line in plan.splitlines()[:scan]]
+            join = max(i for i, line in enumerate(above) if "SortMergeJoin" in line and end in line)
+            assert not any("Exchange" in line for line in above[join:]), plan
+            assert "Bucketed: true" in plan
+    finally:
+        for k, v in old.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)

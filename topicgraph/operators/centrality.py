@@ -10,14 +10,15 @@ out.  Undirected: every node is in both lists and neighbours are taken in
 both directions.  Stop when every relative change is below ``eps`` (or after
 ``max_iter`` rounds).
 
-Per round: two join+aggregate passes over the distinct non-loop pairs (hash
-partitioned by endpoint, map-side combined, AQE splits hub skew) produce the
-unnormalised values, which are checkpointed (computed once); one aggregate
+Per round: the distinct non-loop pairs meet the scores at either end and one
+map-side combined aggregate sums them; the unnormalised values are
+checkpointed (computed once); one aggregate
 over the checkpoint returns the two sums and the extremes the convergence
 test needs, as six driver scalars.  Cutting
 lineage every round matters twice: the round reads the state three times,
 so the plan would triple per round, and a lost executor recomputes at most
-one round.
+one round.  ``hits`` takes any edges; ``hits_stored`` reads a stored adjacency
+whose pairs lie by endpoint, so that no round exchanges them.
 """
 
 from __future__ import annotations
@@ -27,6 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import ensure_checkpoint_dir
+from .adjacency import Adjacency
 
 
 def hits(nodes: DataFrame, edges: DataFrame, undirected: bool = False, eps: float = 1e-4,
@@ -35,8 +37,7 @@ def hits(nodes: DataFrame, edges: DataFrame, undirected: bool = False, eps: floa
 
     Raises if the change is not below ``eps`` after ``max_iter`` rounds; with
     ``eps`` 0 exactly ``max_iter`` rounds are run."""
-    spark = edges.sparkSession
-    ensure_checkpoint_dir(spark)
+    ensure_checkpoint_dir(edges.sparkSession)
     s, t = F.col("source"), F.col("target")
     pairs = edges.filter(s != t).select("source", "target")
     if undirected:
@@ -52,20 +53,56 @@ def hits(nodes: DataFrame, edges: DataFrame, undirected: bool = False, eps: floa
         members = (ids.join(has_in, "id", "left").join(has_out, "id", "left")
                    .fillna(False, ["is_auth", "is_hub"])
                    .filter(F.col("is_auth") | F.col("is_hub")))
-    members = members.checkpoint()
+
+    def met(state: DataFrame, side: str, *cols: str) -> DataFrame:
+        end = "source" if side == "out" else "target"
+        return pairs.join(state.select(F.col("id").alias(end), *cols), end)
+
+    try:
+        return _settled(members, met, undirected, eps, max_iter, return_rounds)
+    finally:
+        pairs.unpersist()
+
+
+def hits_stored(adjacency: Adjacency, path: str, undirected: bool = False, eps: float = 1e-4, max_iter: int = 100,
+                return_rounds: bool = False):
+    """``hits`` on a stored adjacency.  The distinct pairs are written once
+    to ``path``, bucketed at both ends; a round moves scores and sums of the
+    nodes, never the edges, and a hub's edges stay in several parts."""
+    ensure_checkpoint_dir(adjacency.spark)
+    links = adjacency.links(path, undirected=undirected)
+    is_auth, is_hub = (F.lit(True), F.lit(True)) if undirected else (F.col("in_degree") > 0, F.col("out_degree") > 0)
+    members = (adjacency.nodes.select("id", is_auth.alias("is_auth"), is_hub.alias("is_hub"))
+               .filter(F.col("is_auth") | F.col("is_hub")))
+
+    def met(state: DataFrame, side: str, *cols: str) -> DataFrame:
+        return links.meet(state.select("id", *cols), side)
+
+    return _settled(members, met, undirected, eps, max_iter, return_rounds)
+
+
+def _sums(state: DataFrame, met, undirected: bool) -> DataFrame:
+    """``(id, sh, sa)``: sums of the hub scores of in-neighbours and of the
+    authorities of out-neighbours, in one aggregate."""
+    if undirected:  # pairs both ways: one side gives both sums
+        rows = met(state, "out", "hub", "authority").select(F.col("target").alias("id"), F.col("hub").alias("h"),
+                                                            F.col("authority").alias("a"))
+    else:
+        none = F.lit(None).cast("double")
+        rows = met(state, "out", "hub").select(F.col("target").alias("id"), F.col("hub").alias("h"), none.alias("a"))
+        rows = rows.unionByName(met(state, "in", "authority").select(
+            F.col("source").alias("id"), none.alias("h"), F.col("authority").alias("a")))
+    return rows.groupBy("id").agg(F.sum("h").alias("sh"), F.sum("a").alias("sa"))
+
+
+def _settled(members: DataFrame, met, undirected: bool, eps: float, max_iter: int, return_rounds: bool):
     # round 0: every node starts at 1/1 (isolated nodes only matter as a
     # neighbour, and they have none)
-    state = members.select("id", "is_auth", "is_hub", F.lit(1.0).alias("authority"),
-                           F.lit(1.0).alias("hub"))
+    state = members.checkpoint().select("id", "is_auth", "is_hub", F.lit(1.0).alias("authority"), F.lit(1.0).alias("hub"))
     rounds = 0
     for rounds in range(1, max_iter + 1):
-        hub_in = (pairs.join(state.select(F.col("id").alias("source"), F.col("hub").alias("h")), "source")
-                  .groupBy(F.col("target").alias("id")).agg(F.sum("h").alias("sh")))
-        auth_out = (pairs.join(state.select(F.col("id").alias("target"), F.col("authority").alias("a")),
-                               "target")
-                    .groupBy(F.col("source").alias("id")).agg(F.sum("a").alias("sa")))
         raw = (state.select("id", "is_auth", "is_hub", F.col("authority").alias("a0"), F.col("hub").alias("h0"))
-               .join(hub_in, "id", "left").join(auth_out, "id", "left")
+               .join(_sums(state, met, undirected), "id", "left")
                .select("id", "is_auth", "is_hub", "a0", "h0",
                        F.when(F.col("is_auth"), F.lit(1.0) + F.coalesce("sh", F.lit(0.0)))
                         .otherwise(F.lit(0.0)).alias("ra"),
@@ -85,18 +122,14 @@ def hits(nodes: DataFrame, edges: DataFrame, undirected: bool = False, eps: floa
             state = raw.select("id", "is_auth", "is_hub", F.lit(0.0).alias("authority"),
                                F.lit(0.0).alias("hub"))
             break
-        new = raw.select("id", "is_auth", "is_hub", "a0", "h0",
-                         (F.col("ra") / F.lit(agg["sa"])).alias("authority"),
-                         (F.col("rh") / F.lit(agg["sh"])).alias("hub"))
+        state = raw.select("id", "is_auth", "is_hub", (F.col("ra") / F.lit(agg["sa"])).alias("authority"),
+                           (F.col("rh") / F.lit(agg["sh"])).alias("hub"))
         ends = [(agg["qa0"], agg["sa"]), (agg["qa1"], agg["sa"]), (agg["qh0"], agg["sh"]), (agg["qh1"], agg["sh"])]
         change = max((abs(q / tot - 1.0) for q, tot in ends if q is not None), default=0.0)
-        state = new.drop("a0", "h0")
-        if change is None or change < eps:
+        if change < eps:
             break
     else:
         if eps > 0:
-            pairs.unpersist()
             raise RuntimeError(f"no convergence to {eps} in {max_iter} rounds")
-    pairs.unpersist()
     out = state.select("id", "authority", "hub")
     return (out, rounds) if return_rounds else out

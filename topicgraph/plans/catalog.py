@@ -14,14 +14,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import emoji, text
+from ..operators import adjacency, postings
 from ..operators import components as C
 from ..operators import search as S
 from ..operators import spatial as SP
 from ..operators import topic_graph as G
-from ..operators.centrality import hits
+from ..operators.centrality import hits, hits_stored
 from ..operators.filters import FilterChain
 from ..operators.multigraph import MultiGraph
-from ..operators.paths import shortest_paths
+from ..operators.paths import shortest_paths, shortest_tree
 from ..schemas import PAYMENT_COLUMNS
 from ..sources import ingest
 from ..sources.payments import (PAYMENT_ID_SQL, payment_id, payment_json_lines, payment_lines,
@@ -432,6 +433,18 @@ def _r1(spark, sf):
     return S.explained_search(docs, R1_TOPIC, R1_SINCE)
 
 
+_INDEXES: dict = {}
+
+
+def search_index(spark, sf) -> postings.SearchIndex:
+    """The stored index of all payments; written once by a session."""
+    key = spark.sparkContext.applicationId, sf
+    if key not in _INDEXES:
+        docs = payment_lines(spark, sf).select(payment_id().alias("doc_id"), "message", "time_sended")
+        _INDEXES[key] = postings.build(docs, scratch_path(spark, "search-index"))
+    return _INDEXES[key]
+
+
 def _r1_sql() -> str:
     terms = list(dict.fromkeys(text.expand(text.analyze_text(R1_TOPIC))))
     syn = text.synonyms()
@@ -463,7 +476,8 @@ def _r1_sql() -> str:
 @register("explained_top10", _r1_sql() +
           f"SELECT doc_id, message, {O.ts('time_sended')} AS time_sended, round(score, 6) AS score FROM top")
 def q_explained_top10(spark, sf):
-    return fmt_ts(_r1(spark, sf).select("doc_id", "message", "time_sended", F.round("score", 6).alias("score")), "time_sended")
+    top = search_index(spark, sf).top(R1_TOPIC, R1_SINCE)
+    return fmt_ts(top.select("doc_id", "message", "time_sended", F.round("score", 6).alias("score")), "time_sended")
 
 
 @register("explained_terms", _r1_sql() +
@@ -650,7 +664,8 @@ def q_egonet_edges(spark, sf):
 HITS_ROUNDS = 12
 
 
-def _hits_sql(undirected: bool) -> str:
+def _hits_sql(undirected: bool, topic: bool = True, rounds: int = HITS_ROUNDS, eps: float | None = None) -> str:
+    """``rounds`` rounds; with ``eps`` the first whose scores changed by less."""
     if undirected:
         pairs = ("pairs AS (SELECT source, target FROM mg_edges WHERE source <> target UNION "
                  "SELECT target, source FROM mg_edges WHERE source <> target)")
@@ -659,9 +674,9 @@ def _hits_sql(undirected: bool) -> str:
         pairs = "pairs AS (SELECT DISTINCT source, target FROM mg_edges WHERE source <> target)"
         mem = ("mem AS (SELECT * FROM (SELECT id, id IN (SELECT target FROM mg_edges) AS is_auth, "
                "id IN (SELECT source FROM mg_edges) AS is_hub FROM mg_nodes) WHERE is_auth OR is_hub)")
-    ctes = [sql_mg(topic=True), pairs, mem,
+    ctes = [sql_mg(topic=topic), pairs, mem,
             "s0 AS (SELECT id, is_auth, is_hub, 1.0::DOUBLE AS a, 1.0::DOUBLE AS h FROM mem)"]
-    for r in range(1, HITS_ROUNDS + 1):
+    for r in range(1, rounds + 1):
         p = f"s{r - 1}"
         ctes.append(
             f"raw{r} AS (SELECT s.id, s.is_auth, s.is_hub, "
@@ -673,8 +688,15 @@ def _hits_sql(undirected: bool) -> str:
             f"GROUP BY q.source) ao USING (id))")
         ctes.append(f"s{r} AS (SELECT id, is_auth, is_hub, ra / (SELECT sum(ra) FROM raw{r}) AS a, "
                     f"rh / (SELECT sum(rh) FROM raw{r}) AS h FROM raw{r})")
-    return _with(*ctes) + (f"SELECT id, round(a, 6) AS authority, round(h, 6) AS hub "
-                           f"FROM s{HITS_ROUNDS}")
+        ctes.append(f"c{r} AS (SELECT {r} AS r, greatest(coalesce(max(abs(n.a / o.a - 1)) FILTER (o.is_auth), 0), "
+                    f"coalesce(max(abs(n.h / o.h - 1)) FILTER (o.is_hub), 0)) AS change FROM s{r} n JOIN {p} o USING (id))")
+    if eps is None:
+        return _with(*ctes) + f"SELECT id, round(a, 6) AS authority, round(h, 6) AS hub FROM s{rounds}"
+    ctes.append("settled AS (SELECT min(r) AS r FROM (" + " UNION ALL ".join(
+        f"FROM c{r}" for r in range(1, rounds + 1)) + f") WHERE change < {eps})")
+    each = " UNION ALL ".join(f"SELECT {r} AS r, id, a, h FROM s{r}" for r in range(1, rounds + 1))
+    return _with(*ctes) + (f"SELECT id, round(a, 6) AS authority, round(h, 6) AS hub FROM ({each}) "
+                           "WHERE r = (SELECT r FROM settled)")
 
 
 def _hits(spark, sf, undirected):
@@ -696,29 +718,31 @@ def q_hits_undirected(spark, sf):
 # ---------------------------------------------------------------------------
 # Shortest paths from the busiest node of the topic multigraph
 
-PATH_DEPTH = 40  # oracle recursion bound (>= largest topic component at sf0.01)
-
 
 def _source(g: MultiGraph) -> str | None:
     row = g.degrees().orderBy(F.desc("degree"), F.asc("id")).select("id").first()
     return row["id"] if row else None
 
 
-def _paths_sql(weighted: bool) -> str:
+def _paths_sql(weighted: bool, topic: bool = True) -> str:
+    """Rounds of relaxing until nothing improves (``USING KEY``: one row a
+    node), then the smallest nearer node on a shortest path as the previous one."""
     w = ("sqrt(pow(a.x - b.x, 2) + pow(a.y - b.y, 2))" if weighted else "1.0")
     return _with(
-        sql_mg(topic=True),
+        sql_mg(topic=topic),
         "src AS (SELECT id FROM mg_deg ORDER BY degree DESC, id LIMIT 1)",
         f"und AS (SELECT e.source AS s, e.target AS t, min({w}) AS w FROM (SELECT source, target FROM mg_edges "
         "UNION ALL SELECT target, source FROM mg_edges) e JOIN mg_nodes a ON a.id = e.source "
         "JOIN mg_nodes b ON b.id = e.target GROUP BY 1, 2)",
-        "walk(id, dist, path) AS (SELECT id, 0.0::DOUBLE, [id] FROM src UNION ALL "
-        "SELECT u.t, walk.dist + u.w, list_append(walk.path, u.t) FROM walk JOIN und u ON u.s = walk.id "
-        f"WHERE NOT list_contains(walk.path, u.t) AND len(walk.path) < {PATH_DEPTH})",
-        "best AS (SELECT id, min(dist) AS dist FROM walk GROUP BY id)") + (
-        "SELECT b.id, round(b.dist, 6) AS dist, CAST(len(min(w.path)) - 1 AS INTEGER) AS hops, "
-        "min(w.path) AS path FROM best b JOIN walk w ON w.id = b.id AND abs(w.dist - b.dist) < 1e-9 "
-        "GROUP BY b.id, b.dist")
+        "sp(id, dist) USING KEY (id) AS (SELECT id, 0.0::DOUBLE FROM src UNION "
+        "SELECT c.id, c.d FROM (SELECT u.t AS id, min(sp.dist + u.w) AS d FROM sp JOIN und u ON u.s = sp.id "
+        "GROUP BY u.t) c LEFT JOIN recurring.sp AS r ON r.id = c.id WHERE r.id IS NULL OR c.d < r.dist)",
+        "tree AS (SELECT b.id, b.dist, min(a.id) AS previous FROM sp b LEFT JOIN (und u JOIN sp a ON a.id = u.s) "
+        "ON u.t = b.id AND a.dist + u.w = b.dist AND a.dist < b.dist GROUP BY ALL)",
+        "lists(id, path) AS (SELECT id, [id] FROM src UNION ALL "
+        "SELECT t.id, list_append(l.path, t.id) FROM lists l JOIN tree t ON t.previous = l.id)",
+        "found AS (SELECT t.id, round(t.dist, 6) AS dist, CAST(len(l.path) - 1 AS INTEGER) AS hops, t.previous, l.path "
+        "FROM tree t JOIN lists l USING (id))")
 
 
 def _paths(spark, sf, weight):
@@ -730,16 +754,88 @@ def _paths(spark, sf, weight):
     return sp.select("id", F.round("dist", 6).alias("dist"), "hops", "path")
 
 
-@register("shortest_hops", _paths_sql(False))
+@register("shortest_hops", _paths_sql(False) + "SELECT id, dist, hops, path FROM found")
 def q_shortest_hops(spark, sf):
     return _paths(spark, sf, None)
 
 
-@register("shortest_euclidean", _paths_sql(True))
+@register("shortest_euclidean", _paths_sql(True) + "SELECT id, dist, hops, path FROM found")
 def q_shortest_euclidean(spark, sf):
     return _paths(spark, sf, "euclidean")
 
 
+# the whole graph, from its stored adjacency
+
+_ADJACENCIES: dict = {}
+
+
+def stored_adjacency(spark, sf) -> adjacency.Adjacency:
+    """All payments, bucketed at both ends; written once by a session."""
+    key = spark.sparkContext.applicationId, sf
+    if key not in _ADJACENCIES:
+        g = mg_all(spark, sf)
+        edges = g.edges_with_coords().select("id", "source", "target", "size", "length")
+        _ADJACENCIES[key] = adjacency.build(MultiGraph(g.nodes, edges), scratch_path(spark, "adjacency"))
+    return _ADJACENCIES[key]
+
+
+@register("shortest_all", _paths_sql(True, topic=False) +
+          "SELECT id, dist, hops, previous FROM found")
+def q_shortest_all(spark, sf):
+    adj = stored_adjacency(spark, sf)
+    source = adj.nodes.orderBy(F.desc("degree"), "id").select("id").first()
+    if source is None:
+        return spark.createDataFrame([], "id string, dist double, hops int, previous string")
+    links = adj.links(scratch_path(spark, "links"), "length", undirected=True)
+    tree = shortest_tree(links, source.id)
+    return tree.select("id", F.round("dist", 6).alias("dist"), "hops", "previous")
+
+
+HITS_EPS, HITS_MOST = 1e-4, 14
+
+
+@register("hits_all", _hits_sql(False, topic=False, rounds=HITS_MOST, eps=HITS_EPS))
+def q_hits_all(spark, sf):
+    h = hits_stored(stored_adjacency(spark, sf), scratch_path(spark, "pairs"), eps=HITS_EPS)
+    return h.select("id", F.round("authority", 6).alias("authority"), F.round("hub", 6).alias("hub"))
+
+
+@register("hits_all_undirected", _hits_sql(True, topic=False, rounds=HITS_MOST, eps=HITS_EPS))
+def q_hits_all_undirected(spark, sf):
+    h = hits_stored(stored_adjacency(spark, sf), scratch_path(spark, "pairs"), undirected=True, eps=HITS_EPS)
+    return h.select("id", F.round("authority", 6).alias("authority"), F.round("hub", 6).alias("hub"))
+
+
+BUSY_SQL = "busy AS (SELECT id FROM mg_deg ORDER BY degree DESC, id LIMIT 20)"
+
+
+def _busy(adj) -> DataFrame:
+    return adj.nodes.orderBy(F.desc("degree"), "id").limit(20).select("id")
+
+
+@register("stored_adjacent_edges", _with(sql_mg(), BUSY_SQL) +
+          "SELECT id, source, target FROM mg_edges WHERE source IN (FROM busy) OR target IN (FROM busy)")
+def q_stored_adjacent_edges(spark, sf):
+    adj = stored_adjacency(spark, sf)
+    return adj.adjacent_edges(_busy(adj)).select("id", "source", "target")
+
+
+@register("stored_adjacent_ids", _with(sql_mg(), BUSY_SQL) +
+          "SELECT source AS id, target AS neighbour FROM mg_edges WHERE source IN (FROM busy) UNION "
+          "SELECT target, source FROM mg_edges WHERE target IN (FROM busy)")
+def q_stored_adjacent_ids(spark, sf):
+    adj = stored_adjacency(spark, sf)
+    return adj.adjacent_ids(_busy(adj))
+
+
+@register("stored_neighbors_of", _with(sql_mg(), BUSY_SQL) +
+          "SELECT id, id NOT IN (SELECT id FROM busy UNION ALL SELECT target FROM mg_edges WHERE source IN (FROM busy) "
+          "UNION ALL SELECT source FROM mg_edges WHERE target IN (FROM busy)) AS hidden FROM mg_nodes")
+def q_stored_neighbors_of(spark, sf):
+    adj = stored_adjacency(spark, sf)
+    return adj.neighbors_of(_busy(adj))
+
+
 # ---------------------------------------------------------------------------
 # Layout space
 
@@ -1092,6 +1188,39 @@ def q_token_index_search(spark, sf):
     return S.docs_with_tokens(spark.read.parquet(path), ["hot"], ["payment_id"])
 
 
+# the stored index: nothing of the messages is read
+
+@register("index_match", _with(O.payment_lines_cte()) +
+          f"SELECT DISTINCT {PAYMENT_ID_SQL} AS payment_id, {O.ts('time_sended')} AS time_sended FROM payment_lines "
+          f"WHERE {_win()} AND list_has_any({O.expanded(O.analyze('message'))}, "
+          f"{O.str_list(text.expand(text.analyze_text(EMOJI_TOPIC)))})")
+def q_index_match(spark, sf):
+    found = search_index(spark, sf).match(EMOJI_TOPIC, T0, T1)
+    return fmt_ts(found.withColumnRenamed("doc_id", "payment_id"), "time_sended")
+
+
+@register("index_phrase", ORACLES["topic_phrase"].replace(" AS payment_id, message FROM", " AS payment_id FROM"))
+def q_index_phrase(spark, sf):
+    return search_index(spark, sf).phrase(PHRASE, T0, T1).select(F.col("doc_id").alias("payment_id"))
+
+
+INDEX_PREFIX = "ho"
+
+
+@register("index_prefix", _with(O.payment_lines_cte()) +
+          f"SELECT DISTINCT {PAYMENT_ID_SQL} AS payment_id FROM payment_lines "
+          f"WHERE len(list_filter({O.expanded(O.analyze('message'))}, lambda t: starts_with(t, '{INDEX_PREFIX}'))) > 0")
+def q_index_prefix(spark, sf):
+    return search_index(spark, sf).prefix(INDEX_PREFIX).select(F.col("doc_id").alias("payment_id"))
+
+
+@register("index_terms", _with(O.payment_lines_cte(),
+          f"t AS (SELECT {PAYMENT_ID_SQL} AS doc_id, unnest({O.expanded(O.analyze('message'))}) AS token FROM payment_lines)") +
+          "SELECT token, count(DISTINCT doc_id) AS df, count(*) AS tf FROM t GROUP BY token")
+def q_index_terms(spark, sf):
+    return search_index(spark, sf).terms.select("token", "df", "tf")
+
+
 @register("explanation_json", _r1_sql() +
           "SELECT doc_id, round(score, 6) AS score, message, '_explanation,_id,_score,_source' AS keys, "
           "'avgdl,df,dl,idf,n_docs,score,term,tf,tf_norm' AS term_keys, "
