@@ -3,6 +3,7 @@ import re
 from collections import Counter
 
 import numpy as np
+from pyspark.sql import functions as F
 
 from topicgraph.llm import collocations as co
 
@@ -92,21 +93,35 @@ def test_empty(spark):
 
 def test_tiles():
     rnd = np.random.default_rng(3)
-    a, b = (np.minimum(rnd.zipf(1.3, 4000), 5000).astype(np.int64) for _ in "ab")
+    a, b = (np.minimum(rnd.zipf(1.3, 4000), 5000).astype(np.int64) + 1000 for _ in "ab")
     tiles = co.Tiles(side=8, most=3)
     got: Counter = Counter()
     for i in range(0, 4000, 1000):
-        for x, y, n in zip(*tiles.add("en", a[i:i + 1000], b[i:i + 1000])):
+        for x, y, n in zip(*tiles.add(a[i:i + 1000], b[i:i + 1000])):
             got[int(x), int(y)] += int(n)
     assert 0 < len(tiles.dense) <= 3
-    for _, x, y, n in tiles.rest():
+    for x, y, n in tiles.rest():
         got.update({(int(i), int(j)): int(k) for i, j, k in zip(x, y, n)})
     assert got == Counter(zip(a.tolist(), b.tolist()))
 
 
-def test_ids_by_falling_frequency(spark):
-    counts = spark.createDataFrame([(la, f"w{i}", (i * 7) % 5) for la in "ab" for i in range(40)], "lang string, word string, n bigint")
-    got = {(r.lang, r.word): r.id for r in co.ranked(counts, "word").collect()}
-    for la in "ab":
-        order = sorted((-((i * 7) % 5), f"w{i}") for i in range(40))
-        assert [got[la, w] for _, w in order] == list(range(1, 41))
+def test_distinct_pairs_of_any_size():
+    rnd = np.random.default_rng(4)
+    small = [rnd.integers(1, 9, 500) for _ in "ab"]
+    large = [x * (1 << 40) for x in small]
+    for inverse in (False, True):
+        x, y, more = co._distinct(*small, inverse)
+        u, v, same = co._distinct(*large, inverse)
+        assert (x << 40 == u).all() and (y << 40 == v).all() and (more == same).all()
+    assert co._ids(co._packed(large[0]), 500).tolist() == large[0].tolist()
+    assert co._ids(co._packed(small[0]), 500).tolist() == small[0].tolist()
+
+
+def test_numbers_by_group(spark):
+    rows = [(la, f"w{i}", (i * 7) % 5) for la in "ab" for i in range(40)]
+    counts = spark.createDataFrame(rows, "lang string, word string, n bigint")
+    got = {(r.lang, r.word): r.id for r in co.numbered(counts, [F.desc("n"), "word"], "id", by=("lang",)).collect()}
+    whole = {(r.lang, r.word): r.id for r in co._ranked(counts, "word").collect()}
+    order = sorted((la, -n, w) for la, w, n in rows)
+    assert [whole[la, w] for la, _, w in order] == list(range(1, 81))
+    assert [got[la, w] for la, _, w in order] == list(range(40)) * 2

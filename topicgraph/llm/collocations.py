@@ -1,10 +1,11 @@
 """Phrase collocation mining by direct-address tiling.
 
-Words of a language get ids by falling frequency, texts become sequences of
+Words get ids by language and falling frequency, texts become sequences of
 ids, and adjacent ids are counted in tiles of ``SIDE x SIDE`` pairs.  As
-frequent words have small ids, few tiles hold most of the pairs: a task counts
-those in dense arrays addressed by the pair itself (``numpy.bincount``), at
-most ``DENSE`` of them, and the others as sorted coordinates.  Frequent pairs
+frequent words have a language's smallest ids, few tiles hold most of the pairs:
+a task counts those in dense arrays addressed by the pair itself
+(``numpy.bincount``), at most ``DENSE`` of them, and the others as sorted
+coordinates.  Frequent pairs
 are ranked again, each text becomes the sequence of its pairs' ids, and the same
 count of adjacent ids gives the phrases of three words, and so on: a phrase of
 ``k + 1`` words is frequent only if both of its parts of ``k`` words are.
@@ -27,16 +28,20 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import partitions, written
+from ..functions.numbering import numbered
+from .common import written
 
 #: Words of the longest phrase, occurrences of a candidate, percent of a
 #: candidate's occurrences that a longer phrase takes over, phrases a language.
 LONGEST, LEAST, SHARE, TOP = 3, 10, 50, 2000
-#: Tokens in a chunk, ids along a tile, dense tiles in a task.
-CHUNK, SIDE, DENSE = 1 << 19, 512, 32
+#: Tokens in a chunk, ids along a tile, dense tiles in a task, tiles along the
+#: square of the smallest ids in which dense ones are sought.
+CHUNK, SIDE, DENSE, HEAD = 1 << 20, 512, 32, 32
+#: Rows that a task passes on at a time.
+ROWS = 1 << 16
 
 
 def _table() -> bytes:
@@ -65,15 +70,15 @@ def chunks(docs: DataFrame, lang_col: str, text_col: str, size: int) -> DataFram
         from pyspark import TaskContext
 
         held: dict[str, tuple] = {}
-        done = 0
+        chunk = TaskContext.get().partitionId() << 32
 
         def row(lang):
-            nonlocal done
+            nonlocal chunk
             number, codes = held.pop(lang)
             codes = np.frombuffer(codes, np.int32)
-            done += 1
+            chunk += 1
             return pa.record_batch({
-                "chunk": pa.array([f"{TaskContext.get().partitionId()}-{done}"]), "lang": pa.array([lang], pa.string()),
+                "chunk": pa.array([chunk], pa.int64()), "lang": pa.array([lang], pa.string()),
                 "words": pa.array([pa.array(list(number)[1:], pa.binary()).cast(pa.string())], pa.list_(pa.string())),
                 "counts": pa.array([np.bincount(codes, minlength=len(number))[1:]], pa.list_(pa.int64())),
                 "codes": pa.array([codes.tobytes()], pa.binary())})
@@ -96,180 +101,171 @@ def chunks(docs: DataFrame, lang_col: str, text_col: str, size: int) -> DataFram
 
     narrow = docs.select(F.coalesce(F.col(lang_col).cast("string"), F.lit("und")).alias("lang"),
                          F.col(text_col).cast("string").alias("text"))
-    return narrow.mapInArrow(run, "chunk string, lang string, words array<string>, counts array<bigint>, codes binary")
-
-
-def ranked(counts: DataFrame, *by: str) -> DataFrame:
-    """``id`` from 1 in each language, by falling ``n``, then ``by``: sorted
-    by range, so that a language is spread over tasks, and numbered by the
-    sizes of the ranges before."""
-    order = ["lang", F.desc("n"), *by]
-    rows = counts.repartitionByRange(partitions(counts.sparkSession), *order).sortWithinPartitions(*order)
-    rows = written(rows.withColumn("at", F.monotonically_increasing_id()), "sorted")
-    part = F.shiftright("at", 33)
-    before = F.sum("size").over(Window.partitionBy("lang").orderBy("part").rowsBetween(Window.unboundedPreceding, -1))
-    starts = (rows.groupBy("lang", part.alias("part")).agg(F.count("*").alias("size"), F.min("at").alias("first"))
-              .select("lang", "part", "first", F.coalesce(before, F.lit(0)).alias("before")))
-    # a row for each range and each language in it: no more than ranges + languages
-    return (rows.withColumn("part", part).join(F.broadcast(starts), ["lang", "part"])
-            .withColumn("id", F.col("before") + F.col("at") - F.col("first") + 1).drop("part", "at", "first", "before"))
-
-
-def _wide(a) -> bytes:
+    return narrow.mapInArrow(run, "chunk bigint, lang string, words array<string>, counts array<bigint>, codes binary")
+
+
+def _packed(a) -> bytes:
     """Ids as 4 bytes each where they fit, else 8."""
     import numpy as np
 
-    return a.astype(np.int32 if not len(a) or a.max() < 1 << 31 else np.int64).tobytes()
+    return a.astype(np.int32 if not len(a) or a.max() < 1 << 31 else np.int64, copy=False).tobytes()
 
 
 def _ids(seq: bytes, n: int):
     import numpy as np
 
-    return np.frombuffer(seq, np.int32 if len(seq) == 4 * n else np.int64).astype(np.int64)
+    return np.frombuffer(seq, np.int32 if len(seq) == 4 * n else np.int64)
 
 
 def _adjacent(seq):
-    """Places of two ids side by side: 0 is none."""
+    """Ids side by side, and their places: 0 is none."""
     import numpy as np
 
-    return np.flatnonzero((seq[:-1] > 0) & (seq[1:] > 0))
+    at = np.flatnonzero((seq[:-1] > 0) & (seq[1:] > 0))
+    return seq[at].astype(np.int64), seq[at + 1].astype(np.int64), at
+
+
+def _distinct(a, b, inverse: bool = False) -> tuple:
+    """Distinct pairs in sorted order, and how often each occurs or (with
+    ``inverse``) the number of each pair."""
+    import numpy as np
+
+    if not len(a) or max(a.max(), b.max()) < 1 << 31:
+        key, more = np.unique(a << 32 | b, return_counts=not inverse, return_inverse=inverse)
+        return key >> 32, key & 0xFFFFFFFF, more
+    order = np.lexsort((b, a))
+    new = np.ones(len(a), bool)
+    new[1:] = (np.diff(a[order]) != 0) | (np.diff(b[order]) != 0)
+    first = order[new]
+    if not inverse:
+        return a[first], b[first], np.diff(np.append(np.flatnonzero(new), len(a)))
+    number = np.empty(len(a), np.int64)
+    number[order] = np.cumsum(new) - 1
+    return a[first], b[first], number
 
 
 class Tiles:
     """Counts of pairs in a task: dense tiles are held to its end, the others
     come out chunk by chunk."""
 
-    def __init__(self, side: int = SIDE, most: int = DENSE):
-        self.side, self.most, self.dense = side, most, {}
+    def __init__(self, side: int = SIDE, most: int = DENSE, head: int = HEAD):
+        self.side, self.most, self.head, self.dense = side, most, head, {}
 
-    def add(self, key, a, b):
-        """Counts the pairs ``(a, b)`` of ``key``; those outside of dense
+    def add(self, a, b):
+        """Counts the pairs ``(a, b)`` of one language; those outside of dense
         tiles are returned as ``(a, b, n)``."""
         import numpy as np
 
-        side = self.side
-        columns = int(b.max()) // side + 1 if len(b) else 1
-        tile, cell = a // side * columns + b // side, a % side * side + b % side
-        order = np.lexsort((cell, tile))
-        tile, cell = tile[order], cell[order]
-        first = np.flatnonzero(np.concatenate(([True], tile[1:] != tile[:-1]))) if len(tile) else np.empty(0, np.int64)
-        size = np.diff(np.append(first, len(tile)))
-        sparse = np.ones(len(tile), bool)
+        if not len(a):
+            return a, b, a
+        side, head = self.side, self.head
+        # the square of tiles at the smallest id: the most frequent words of the language
+        base = int(min(a.min(), b.min())) // side
+        row, column = a // side - base, b // side - base
+        tile = np.where((row < head) & (column < head), row * head + column, head * head)
         # a tile is worth an array if its pairs fill a sixteenth of it
-        for i in np.flatnonzero(size * 16 >= side * side):
-            at = key, int(tile[first[i]]) // columns, int(tile[first[i]]) % columns
+        size = np.bincount(tile, minlength=head * head + 1)[:-1]
+        sparse = np.ones(len(a), bool)
+        for t in np.flatnonzero(size * 16 >= side * side).tolist():
+            at = base + t // head, base + t % head
             if at in self.dense or len(self.dense) < self.most:
-                part = slice(first[i], first[i] + size[i])
-                counts = np.bincount(cell[part], minlength=side * side)
+                part = tile == t
+                counts = np.bincount(a[part] % side * side + b[part] % side, minlength=side * side)
                 self.dense[at] = self.dense[at] + counts if at in self.dense else counts
-                sparse[part] = False
-        tile, cell = tile[sparse], cell[sparse]
-        new = np.concatenate(([True], (tile[1:] != tile[:-1]) | (cell[1:] != cell[:-1]))) if len(tile) else sparse[:0]
-        at = np.flatnonzero(new)
-        n = np.diff(np.append(at, len(tile)))
-        tile, cell = tile[at], cell[at]
-        return tile // columns * side + cell // side, tile % columns * side + cell % side, n
+                sparse &= ~part
+        return _distinct(a[sparse], b[sparse])
 
     def rest(self):
-        """``(key, a, b, n)`` of each dense tile."""
+        """``(a, b, n)`` of each dense tile."""
         import numpy as np
 
-        for (key, i, j), counts in self.dense.items():
+        for (i, j), counts in self.dense.items():
             cell = np.flatnonzero(counts)
-            yield key, i * self.side + cell // self.side, j * self.side + cell % self.side, counts[cell]
+            yield i * self.side + cell // self.side, j * self.side + cell % self.side, counts[cell]
 
 
 def count_adjacent(coded: DataFrame, least: int, side: int = SIDE, dense: int = DENSE) -> DataFrame:
-    """``(lang, a, b, n)``: adjacent ids that occur ``least`` times."""
+    """``(a, b, n)``: adjacent ids that occur ``least`` times."""
     def run(batches):
-        import numpy as np
         import pyarrow as pa
 
-        def rows(lang, a, b, n):
-            return pa.record_batch({
-                "lang": pa.DictionaryArray.from_arrays(np.zeros(len(a), np.int32), pa.array([lang], pa.string())).cast(pa.string()),
-                "a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64()), "n": pa.array(n, pa.int64())})
+        def rows(a, b, n):
+            for i in range(0, len(a), ROWS):
+                yield pa.record_batch({"a": pa.array(a[i:i + ROWS], pa.int64()), "b": pa.array(b[i:i + ROWS], pa.int64()),
+                                       "n": pa.array(n[i:i + ROWS], pa.int64())})
 
         tiles = Tiles(side, dense)
         for batch in batches:
-            for lang, n, seq in zip(*batch.columns):
-                seq = _ids(seq.as_py(), n.as_py())
-                at = _adjacent(seq)
-                a, b, n = tiles.add(lang.as_py(), seq[at], seq[at + 1])
-                for i in range(0, len(a), 1 << 16):
-                    yield rows(lang.as_py(), a[i:i + (1 << 16)], b[i:i + (1 << 16)], n[i:i + (1 << 16)])
+            for n, seq in zip(*batch.columns):
+                yield from rows(*tiles.add(*_adjacent(_ids(seq.as_py(), n.as_py()))[:2]))
         for part in tiles.rest():
-            yield rows(*part)
+            yield from rows(*part)
 
-    return (coded.select("lang", "n", "seq").mapInArrow(run, "lang string, a bigint, b bigint, n bigint")
-            .groupBy("lang", "a", "b").agg(F.sum("n").alias("n")).filter(F.col("n") >= least))
+    return (coded.select("n", "seq").mapInArrow(run, "a bigint, b bigint, n bigint")
+            .groupBy("a", "b").agg(F.sum("n").alias("n")).filter(F.col("n") >= least))
 
 
-def _given(chunk_rows: DataFrame, keys: DataFrame, on: list[str], ids: DataFrame) -> DataFrame:
-    """``chunk_rows`` with ``places`` and ``ids`` of those of a chunk's
-    ``keys`` that have an id.  Chunks without any go: no phrase is there."""
-    found = (keys.join(ids, ["lang", *on]).groupBy("chunk")
+def _given(coded: DataFrame, keys: DataFrame, on: list[str], ids: DataFrame) -> DataFrame:
+    """``coded`` with ``places`` and ``ids`` of those of a chunk's ``keys``
+    that have an id.  Chunks without any go: no phrase is there."""
+    # the frequent ones are few beside all: they are hashed, the keys need no sort
+    found = (keys.join(ids.hint("shuffle_hash"), on).groupBy("chunk")
              .agg(F.collect_list(F.struct("place", "id")).alias("found"))
              .select("chunk", F.col("found.place").alias("places"), F.col("found.id").alias("ids")))
-    return chunk_rows.join(found, "chunk")
+    return coded.join(found, "chunk")
 
 
 def _recoded(given: DataFrame, code) -> DataFrame:
-    """``(chunk, lang, n, seq)``: the new sequence of each chunk; ``code``
-    numbers the places of the present one."""
+    """``(chunk, n, seq)``: the new sequence of each chunk; ``code`` numbers
+    the places of the present one."""
     def run(batches):
         import numpy as np
         import pyarrow as pa
 
         for b in batches:
-            out = []
-            for n, seq, places, ids in zip(b.column("n"), b.column("seq"), b.column("places"), b.column("ids")):
-                code_of = code(_ids(seq.as_py(), n.as_py()))
-                name = np.zeros(int(code_of.max(initial=0)) + 1, np.int64)
+            for chunk, n, seq, places, ids in zip(*(b.column(c) for c in ("chunk", "n", "seq", "places", "ids"))):
+                numbers = code(_ids(seq.as_py(), n.as_py()))
+                name = np.zeros(int(numbers.max(initial=0)) + 1, np.int64)
                 name[places.values.to_numpy()] = ids.values.to_numpy()
-                out.append(name[code_of])
-            yield pa.record_batch({"chunk": b.column("chunk"), "lang": b.column("lang"),
-                                   "n": pa.array([len(s) for s in out], pa.int64()),
-                                   "seq": pa.array([_wide(s) for s in out], pa.binary())})
+                yield pa.record_batch({"chunk": pa.array([chunk.as_py()], pa.int64()), "n": pa.array([len(numbers)], pa.int64()),
+                                       "seq": pa.array([_packed(name[numbers])], pa.binary())})
 
-    return given.mapInArrow(run, "chunk string, lang string, n bigint, seq binary")
+    return given.mapInArrow(run, "chunk bigint, n bigint, seq binary")
 
 
-def _numbered_pairs(seq):
-    """Distinct adjacent ids of a sequence, and the number (from 1) of the
-    pair that starts at each place but the last, 0 for none."""
+def _pair_numbers(seq):
+    """The number (from 1, in sorted order) of the pair that starts at each
+    place but the last, 0 for none."""
     import numpy as np
 
-    at = _adjacent(seq)
-    a, b = seq[at], seq[at + 1]
-    order = np.lexsort((b, a))
-    new = np.concatenate(([True], (np.diff(a[order]) != 0) | (np.diff(b[order]) != 0))) if len(at) else np.empty(0, bool)
-    code = np.zeros(max(0, len(seq) - 1), np.int64)
-    code[at[order]] = np.cumsum(new)
-    first = order[new]
-    return a[first], b[first], code
+    a, b, at = _adjacent(seq)
+    out = np.zeros(max(0, len(seq) - 1), np.int64)
+    out[at] = _distinct(a, b, inverse=True)[2] + 1
+    return out
 
 
 def _pairs_of(coded: DataFrame) -> DataFrame:
-    """``(chunk, lang, place, a, b)``: the distinct adjacent ids of a chunk."""
+    """``(chunk, place, a, b)``: the distinct adjacent ids of a chunk."""
     def run(batches):
         import numpy as np
         import pyarrow as pa
 
         for batch in batches:
-            for chunk, lang, n, seq in zip(*batch.columns):
-                a, b, _ = _numbered_pairs(_ids(seq.as_py(), n.as_py()))
-                for i in range(0, len(a), 1 << 16):
-                    k = min(len(a), i + (1 << 16)) - i
-                    same = np.zeros(k, np.int32)
+            for chunk, n, seq in zip(*batch.columns):
+                a, b, _ = _distinct(*_adjacent(_ids(seq.as_py(), n.as_py()))[:2])
+                for i in range(0, len(a), ROWS):
+                    k = len(a[i:i + ROWS])
                     yield pa.record_batch({
-                        "chunk": pa.DictionaryArray.from_arrays(same, pa.array([chunk.as_py()])).cast(pa.string()),
-                        "lang": pa.DictionaryArray.from_arrays(same, pa.array([lang.as_py()])).cast(pa.string()),
+                        "chunk": pa.array(np.full(k, chunk.as_py(), np.int64)),
                         "place": pa.array(np.arange(i + 1, i + k + 1, dtype=np.int32)),
                         "a": pa.array(a[i:i + k], pa.int64()), "b": pa.array(b[i:i + k], pa.int64())})
 
-    return coded.select("chunk", "lang", "n", "seq").mapInArrow(
-        run, "chunk string, lang string, place int, a bigint, b bigint")
+    return coded.select("chunk", "n", "seq").mapInArrow(run, "chunk bigint, place int, a bigint, b bigint")
+
+
+def _ranked(rows: DataFrame, *by: str) -> DataFrame:
+    """``rows`` with ``id`` from 1: by language, falling ``n``, and ``by``."""
+    return numbered(rows, ["lang", F.desc("n"), *by], "id").withColumn("id", F.col("id") + 1)
 
 
 def phrases(docs: DataFrame, lang_col: str = "lang", text_col: str = "text", longest: int = LONGEST,
@@ -280,28 +276,26 @@ def phrases(docs: DataFrame, lang_col: str = "lang", text_col: str = "text", lon
     but the first word."""
     cut = written(chunks(docs, lang_col, text_col, chunk), "chunks")
     words = cut.select("chunk", "lang", F.posexplode(F.arrays_zip("words", "counts")).alias("at", "w"))
-    counts = (words.groupBy("lang", F.col("w.words").alias("word")).agg(F.sum("w.counts").alias("n")))
-    counts = written(counts, "word-counts")
+    counts = written(words.groupBy("lang", F.col("w.words").alias("word")).agg(F.sum("w.counts").alias("n")), "word-counts")
     total = counts.groupBy("lang").agg(F.sum("n").alias("n"))
-    levels = [written(ranked(counts.filter(F.col("n") >= least), "word").select(
+    levels = [written(_ranked(counts.filter(F.col("n") >= least), "word").select(
         "lang", "id", "n", F.col("word").alias("phrase"), F.col("word").alias("last"),
         F.array("n").alias("firsts"), F.array("n").alias("lasts")), "phrases-1")]
     keys = words.select("chunk", "lang", (F.col("at") + 1).cast("int").alias("place"), F.col("w.words").alias("phrase"))
-    given = _given(cut.select("chunk", "lang", (F.length("codes") / 4).cast("bigint").alias("n"), F.col("codes").alias("seq")),
-                   keys, ["phrase"], levels[0].select("lang", "phrase", "id"))
+    given = _given(cut.select("chunk", (F.length("codes") / 4).cast("bigint").alias("n"), F.col("codes").alias("seq")),
+                   keys, ["lang", "phrase"], levels[0].select("lang", "phrase", "id"))
     coded = written(_recoded(given, lambda seq: seq), "coded-1")
     for k in range(2, longest + 1):
-        found = written(ranked(written(count_adjacent(coded, least, side, dense), "counts"), "a", "b"), f"ranked-{k}")
+        found = written(count_adjacent(coded, least, side, dense), "counts")
+        front = levels[-1].select(F.col("id").alias("a"), "lang", F.col("phrase").alias("front"), "firsts")
+        back = levels[-1].select(F.col("id").alias("b"), F.col("last").alias("last"), "lasts")
+        joined = found.join(front, "a").join(back, "b").select(
+            "lang", "n", F.concat_ws(" ", "front", "last").alias("phrase"), "last",
+            F.concat("firsts", F.array("n")).alias("firsts"), F.concat("lasts", F.array("n")).alias("lasts"), "a", "b")
+        levels.append(written(_ranked(joined, "a", "b"), f"phrases-{k}"))
         if k < longest:
-            given = _given(coded, _pairs_of(coded), ["a", "b"], found.select("lang", "a", "b", "id"))
-            coded = written(_recoded(given, lambda seq: _numbered_pairs(seq)[2]), f"coded-{k}")
-        front, back = (levels[-1].select("lang", *[F.col(c).alias(f"{s}_{c}" if c != "id" else s)
-                                                   for c in ("id", "phrase", "last", "firsts", "lasts")]) for s in "ab")
-        joined = found.join(front, ["lang", "a"]).join(back, ["lang", "b"])
-        levels.append(written(joined.select(
-            "lang", "id", "n", F.concat_ws(" ", "a_phrase", "b_last").alias("phrase"), F.col("b_last").alias("last"),
-            F.concat("a_firsts", F.array("n")).alias("firsts"), F.concat("b_lasts", F.array("n")).alias("lasts"),
-            "a", "b"), f"phrases-{k}"))
+            given = _given(coded, _pairs_of(coded), ["a", "b"], levels[-1].select("a", "b", "id"))
+            coded = written(_recoded(given, _pair_numbers), f"coded-{k}")
     return levels, total
 
 
@@ -325,19 +319,14 @@ def mine(docs: DataFrame, lang_col: str = "lang", text_col: str = "text", longes
                          F.col("firsts")[i - 1].alias("l"), F.col("lasts")[k - i - 1].alias("r")) for i in range(1, k)]
         if k < longest:
             # the most frequent longer phrase around it is longer by one word
-            longer = levels[k].select("lang", "n", F.explode(F.array("a", "b")).alias("id"))
-            longer = longer.groupBy("lang", "id").agg(F.max("n").alias("longer"))
-            own = own.join(longer, ["lang", "id"], "left").filter(
+            longer = levels[k].select("n", F.explode(F.array("a", "b")).alias("id"))
+            longer = longer.groupBy("id").agg(F.max("n").alias("longer"))
+            own = own.join(longer, "id", "left").filter(
                 F.coalesce(F.lit(100) * F.col("longer") < F.lit(share) * F.col("n"), F.lit(True)))
         best = cuts[0] if len(cuts) == 1 else F.least(*cuts)
         kept.append(own.select("lang", "phrase", F.col("n").alias("a"), best.alias("best"))
                     .select("lang", "phrase", "a", "best.l", "best.r", "best.score"))
-    rows = reduce(DataFrame.unionByName, kept) if kept else levels[0].limit(0)
-    # the first of each share of a language, then of the language
-    order = [F.desc("score"), F.desc("a"), "phrase"]
-    rows = rows.withColumn("share", F.pmod(F.xxhash64("phrase"), F.lit(partitions(docs.sparkSession))))
-    rank = F.row_number().over(Window.partitionBy("lang", "share").orderBy(*order))
-    rows = rows.withColumn("rank", rank).filter(F.col("rank") <= top).drop("rank", "share")
-    rank = F.row_number().over(Window.partitionBy("lang").orderBy(*order))
-    rows = rows.withColumn("rank", rank.cast("bigint")).filter(F.col("rank") <= top)
+    rows = reduce(DataFrame.unionByName, kept)
+    rows = numbered(rows, [F.desc("score"), F.desc("a"), "phrase"], "rank", by=("lang",))
+    rows = rows.withColumn("rank", F.col("rank") + 1).filter(F.col("rank") <= top)
     return rows.join(total, "lang").select("lang", "rank", "phrase", "a", "l", "r", "n", "score")
