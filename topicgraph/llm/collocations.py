@@ -32,7 +32,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.numbering import numbered
-from .common import written
+from .common import release, written
 
 #: Words of the longest phrase, occurrences of a candidate, percent of a
 #: candidate's occurrences that a longer phrase takes over, phrases a language.
@@ -274,7 +274,7 @@ def phrases(docs: DataFrame, lang_col: str = "lang", text_col: str = "text", lon
     of all words.  ``firsts`` and ``lasts`` of a phrase are the counts of its
     first and last 1, 2, ... words; ``a`` and ``b`` its parts but the last and
     but the first word."""
-    cut = written(chunks(docs, lang_col, text_col, chunk), "chunks")
+    cut = written(chunks(docs, lang_col, text_col, chunk), "chunks", compression="zstd")
     words = cut.select("chunk", "lang", F.posexplode(F.arrays_zip("words", "counts")).alias("at", "w"))
     counts = written(words.groupBy("lang", F.col("w.words").alias("word")).agg(F.sum("w.counts").alias("n")), "word-counts")
     total = counts.groupBy("lang").agg(F.sum("n").alias("n"))
@@ -284,7 +284,8 @@ def phrases(docs: DataFrame, lang_col: str = "lang", text_col: str = "text", lon
     keys = words.select("chunk", "lang", (F.col("at") + 1).cast("int").alias("place"), F.col("w.words").alias("phrase"))
     given = _given(cut.select("chunk", (F.length("codes") / 4).cast("bigint").alias("n"), F.col("codes").alias("seq")),
                    keys, ["lang", "phrase"], levels[0].select("lang", "phrase", "id"))
-    coded = written(_recoded(given, lambda seq: seq), "coded-1")
+    coded = written(_recoded(given, lambda seq: seq), "coded-1", compression="zstd")
+    release(cut)
     for k in range(2, longest + 1):
         found = written(count_adjacent(coded, least, side, dense), "counts")
         front = levels[-1].select(F.col("id").alias("a"), "lang", F.col("phrase").alias("front"), "firsts")
@@ -295,7 +296,9 @@ def phrases(docs: DataFrame, lang_col: str = "lang", text_col: str = "text", lon
         levels.append(written(_ranked(joined, "a", "b"), f"phrases-{k}"))
         if k < longest:
             given = _given(coded, _pairs_of(coded), ["a", "b"], levels[-1].select("a", "b", "id"))
-            coded = written(_recoded(given, _pair_numbers), f"coded-{k}")
+            last, coded = coded, written(_recoded(given, _pair_numbers), f"coded-{k}", compression="zstd")
+            release(last)
+    release(coded)
     return levels, total
 
 

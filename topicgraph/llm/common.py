@@ -12,12 +12,22 @@ UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 SPACE = r"[\x20\x09-\x0D]"
 
 
-def written(df: DataFrame, name: str) -> DataFrame:
+def written(df: DataFrame, name: str, **options) -> DataFrame:
     """``df`` written once to the shared scratch folder and read back: its
     lineage ends there, and what is not deterministic (row numbers) is fixed."""
     path = scratch_path(df.sparkSession, name)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    df.write.options(**options).parquet(path)
+    out = df.sparkSession.read.schema(df.schema).parquet(path)
+    out.scratch = path
+    return out
+
+
+def release(*tables: DataFrame) -> None:
+    """Deletes written tables that nothing reads any more."""
+    for df in tables:
+        jvm = df.sparkSession._jvm
+        path = jvm.org.apache.hadoop.fs.Path(df.scratch)
+        path.getFileSystem(df.sparkSession._jsparkSession.sessionState().newHadoopConf()).delete(path, True)
 
 
 def ascii_lower(c: Column) -> Column:
