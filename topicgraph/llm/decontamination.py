@@ -14,9 +14,11 @@ or longer.  A shard holds at most ``SHARD`` words; a longer run is cut with
 an overlap of one phrase, so that memory is bounded for texts of any length
 and no occurrence is lost.
 
-The phrases are sent to the tasks in blocks of at most ``BLOCK`` item words;
-a larger benchmark takes several passes over the documents, one after the
-other in the same job.
+The phrases are sent to the tasks in blocks of at most ``BLOCK`` item words,
+as plain arrays and dictionaries.  A larger benchmark takes several passes over
+the documents, each a job of its own that writes what it found, so a task never
+holds more than one block.  A task holds one text at a time besides the words
+that its shard has gathered; the last pass also cuts.
 
 Defined results: null and wordless texts have no words and are clean; an item
 without words has no phrase; a null item id counts as ''.  Repeated items
@@ -33,7 +35,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import free_name
+from .common import free_name, written
 
 #: Words of a phrase.
 WINDOW = 10
@@ -208,6 +210,14 @@ class Phrases:
         self.owners = [sorted(o) for o in owners.values()]
         self.shortest = int(self.lengths.min()) if len(owners) else 0
 
+    @classmethod
+    def received(cls, state: dict) -> "Phrases":
+        """From the plain values of another one (``vars``): a broadcast is
+        unpickled where this package may be missing."""
+        out = cls.__new__(cls)
+        out.__dict__.update(state)
+        return out
+
 
 def _blocks(items: DataFrame, window: int, block: int) -> Iterator[Phrases]:
     """The items' phrases in blocks of bounded size; the items come to the
@@ -239,8 +249,9 @@ def merge(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
     return out
 
 
-def _search_texts(texts: Iterator, phrases: Phrases, shard: int) -> list[tuple[int, list, set]]:
-    """``(words, spans, items)`` of each text."""
+def _search_texts(texts: Iterator, phrases: Phrases, shard: int) -> Iterator[tuple[int, list, set]]:
+    """``(words, spans, items)`` of each text, in order; a shard's texts come
+    out when it is full."""
     import numpy as np
 
     out: list[tuple[int, list, set]] = []
@@ -262,58 +273,74 @@ def _search_texts(texts: Iterator, phrases: Phrases, shard: int) -> list[tuple[i
             out[doc][2].update(phrases.owners[p])
 
     get = phrases.number.get
-    for doc, text in enumerate(texts):
+    for text in texts:
         ws = words(text)
+        doc = len(out)
         out.append((len(ws), [], set()))
         nums = np.fromiter((get(w, 0) for w in ws), np.int64, len(ws))
+        del ws
         edge = np.flatnonzero(np.diff(np.concatenate(([0], (nums > 0).astype(np.int8), [0]))))
         for a, b in zip(edge[::2].tolist(), edge[1::2].tolist()):
             if b - a < phrases.shortest:
                 continue
             for i in range(a, max(a + 1, b - phrases.width + 1), shard):
                 j = min(b, i + shard + phrases.width - 1)
-                runs.append(nums[i:j])
+                runs.append(nums[i:j].copy())
                 origin.append((doc, i))
                 held += j - i
                 if held >= shard:
                     flush()
                     runs, origin, held = [], [], 0
+        if not runs:
+            yield from out
+            out = []
     flush()
-    return out
+    yield from out
 
 
-def _scan(docs: DataFrame, text: str, found: str, phrases: Phrases, shard: int) -> DataFrame:
-    """One pass: the column ``found`` grows by the hits of these phrases."""
-    sent = docs.sparkSession.sparkContext.broadcast(phrases)
+def _scan(docs: DataFrame, text: str, found: str, phrases: Phrases, shard: int, cutting: bool = False) -> DataFrame:
+    """One pass: the column ``found`` grows by the hits of these phrases.
+    ``cutting``: instead, the texts are returned without what was found."""
+    sent = docs.sparkSession.sparkContext.broadcast(vars(phrases))
 
     def run(batches):
         import pyarrow as pa
 
+        block = Phrases.received(sent.value)
         for b in batches:
-            at = b.schema.get_field_index(found)
-            rows = []
-            hits = _search_texts((t.as_py() for t in b.column(text)), sent.value, shard)
-            for (n, spans, items), old in zip(hits, b.column(at)):
+            hits = _search_texts((t.as_py() for t in b.column(text)), block, shard)
+            rows, texts, keep = [], [], []
+            for (n, spans, items), old, t in zip(hits, b.column(found), b.column(text)):
                 old = old.as_py()
                 if old:
                     spans += [(s["start"], s["end"]) for s in old["spans"]]
                     items |= set(old["items"])
-                rows.append({"n_words": n, "spans": [{"start": x, "end": y} for x, y in merge(spans)],
-                             "items": sorted(items)})
-            yield b.set_column(at, b.schema.field(at), pa.array(rows, b.schema.field(at).type))
-
-    return docs.mapInArrow(run, docs.schema)
-
-
-def _with_found(docs: DataFrame, items: DataFrame, text: str, found: str, window: int, shard: int,
-                block: int) -> DataFrame:
+                spans = merge(spans)
+                if cutting:
+                    keep.append(not spans or n > sum(y - x for x, y in spans))
+                    texts.append(cut(t.as_py(), spans) if spans and keep[-1] else t.as_py())
+                else:
+                    rows.append({"n_words": n, "spans": [{"start": x, "end": y} for x, y in spans], "items": sorted(items)})
+            if cutting:
+                at = b.schema.get_field_index(text)
+                b = b.set_column(at, b.schema.field(at), pa.array(texts, b.schema.field(at).type))
+                yield b.filter(pa.array(keep, pa.bool_())).drop_columns([found])
+            else:
+                at = b.schema.get_field_index(found)
+                yield b.set_column(at, b.schema.field(at), pa.array(rows, b.schema.field(at).type))
+
+    return docs.mapInArrow(run, T.StructType([f for f in docs.schema if not cutting or f.name != found]))
+
+
+def _passes(docs: DataFrame, items: DataFrame, text: str, found: str, window: int, shard: int, block: int,
+            cutting: bool = False) -> DataFrame:
     docs = docs.withColumn(text, F.col(text).cast("string")).withColumn(found, F.lit(None).cast(FOUND))
-    none = True
-    for phrases in _blocks(items, window, block):
-        docs, none = _scan(docs, text, found, phrases, shard), False
-    if none:  # no phrase at all: one pass that counts the words
-        docs = _scan(docs, text, found, Phrases([("", [b""])], window), shard)
-    return docs
+    blocks = _blocks(items, window, block)
+    # without any phrase one pass counts the words
+    phrases, more = next(blocks, None) or Phrases([("", [b""])], window), None
+    while (more := next(blocks, None)) is not None:
+        docs, phrases = written(_scan(docs, text, found, phrases, shard), "decontamination"), more
+    return _scan(docs, text, found, phrases, shard, cutting)
 
 
 def _items(items: DataFrame, id_col: str, text_col: str) -> DataFrame:
@@ -326,7 +353,7 @@ def find(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: st
     """``(doc_id, n_words, spans, items)`` of every document: merged word
     spans that occur in the items, and the ids of those items as strings."""
     narrow = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
-    out = _with_found(narrow, _items(items, item_col, item_text_col), "text", "found", window, shard, block)
+    out = _passes(narrow, _items(items, item_col, item_text_col), "text", "found", window, shard, block)
     return out.select("doc_id", "found.n_words", "found.spans", "found.items")
 
 
@@ -337,23 +364,8 @@ def decontaminate(docs: DataFrame, items: DataFrame, text_col: str = "text", ite
     Documents without a hit are returned as they are; those of which no word
     is left go."""
     found = free_name(docs, "found")
-    out = _with_found(docs, _items(items, item_col, item_text_col), text_col, found, window, shard, block)
-
-    def run(batches):
-        import pyarrow as pa
-
-        for b in batches:
-            texts, keep = [], []
-            for t, f in zip(b.column(text_col), b.column(found)):
-                t, f = t.as_py(), f.as_py()
-                left = f["n_words"] - sum(s["end"] - s["start"] for s in f["spans"])
-                keep.append(not f["spans"] or left > 0)
-                texts.append(cut(t, [(s["start"], s["end"]) for s in f["spans"]]) if f["spans"] else t)
-            at = b.schema.get_field_index(text_col)
-            yield (b.set_column(at, b.schema.field(at), pa.array(texts, b.schema.field(at).type))
-                   .filter(pa.array(keep, pa.bool_())).drop_columns([found]))
-
-    return out.mapInArrow(run, T.StructType([f for f in out.schema if f.name != found])).select(*docs.columns)
+    out = _passes(docs, _items(items, item_col, item_text_col), text_col, found, window, shard, block, cutting=True)
+    return out.select(*docs.columns)
 
 
 def cut(text: str, spans: list[tuple[int, int]]) -> str:
