@@ -167,6 +167,18 @@ class Model:
         # examples of a class stand for that class's share of all documents
         self.weight = {1: base_rate / positives, 0: (1 - base_rate) / max(1, len(examples) - positives)}
 
+    def plain(self) -> dict:
+        """What it is made of, as plain values: a broadcast is unpickled where
+        this package may be missing."""
+        return {**vars(self), "index": vars(self.index)}
+
+    @classmethod
+    def received(cls, state: dict) -> "Model":
+        out, index = cls.__new__(cls), BlockMaxIndex.__new__(BlockMaxIndex)
+        index.__dict__.update(state["index"])
+        out.__dict__.update({**state, "index": index})
+        return out
+
     def unit(self, counts: dict[int, int]) -> dict[int, float]:
         """TF-IDF vector of length 1."""
         v = {t: (1 + math.log(n)) * self.idf[t] for t, n in sorted(counts.items())}
@@ -335,12 +347,12 @@ def score(docs: DataFrame, model: Model, text_col: str = "text", out: str = "tox
     docs = docs.withColumn(text_col, F.col(text_col).cast("string"))
     kind = f"struct<score: double, evidence: {EVIDENCE}>"
     schema = T.StructType([*docs.schema, T.StructField(out, T._parse_datatype_string(kind))])
-    sent = docs.sparkSession.sparkContext.broadcast(model)
+    sent = docs.sparkSession.sparkContext.broadcast(model.plain())
 
     def run(batches):
         import pyarrow as pa
 
-        scorer = Scorer(sent.value)
+        scorer = Scorer(Model.received(sent.value))
         entry = pa.struct([("doc_id", pa.string()), ("toxic", pa.int32()), ("similarity", pa.float64())])
         for b in batches:
             got = [scorer(t.as_py()) for t in b.column(text_col)]
