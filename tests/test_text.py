@@ -114,3 +114,50 @@ def test_hand_written_tokens(spark):
     bad = {m: (got[m], w) for m, w in cases.items() if got[m] != w and m != "coffee :) :D"}
     assert not bad, bad
     assert len(got["coffee :) :D"]) == 3 and got["coffee :) :D"][0] == "coffee"
+
+
+SEQUENCES = [
+    ("go 🇨🇳🇬🇧!", "go :cn::gb:!"), ("1️⃣2⃣ #️⃣", ":one::two: :hash:"), ("1 2 #", "1 2 #"), ("🇨🇨🇳", "🇨:cn:"),
+    ("🇿🇿 ☕", "🇿🇿 :hot_beverage:"), ("", ""), (None, None), ("a\n😊\n", "a\n:blush:\n")]
+
+
+def test_sequences_have_names(spark):
+    df = spark.createDataFrame([(m, c) for m, c in SEQUENCES], "m string, c string")
+    for r in df.select("m", "c", text.emoji_to_shortcode("m").alias("got"), text.shortcode_to_emoji("c").alias("back")).collect():
+        assert r.got == r.c
+        assert r.back == (r.m and r.m.replace("️", ""))
+
+
+@pytest.mark.parametrize("coded,want", [
+    (":uk::gb:", "🇬🇧🇬🇧"), (":a:blush:", ":a😊"), (":blush:blush:", "😊blush:"), ("blush:blush", "blush:blush"),
+    ("::blush::", ":😊:"), (":blush", ":blush"), (":", ":"), ("a:b:c:d", "a:b:c:d"), (":one:two:", "1⃣two:")])
+def test_names_from_left_to_right(spark, coded, want):
+    df = spark.createDataFrame([(coded,)], "m string")
+    assert df.select(text.shortcode_to_emoji("m")).first()[0] == want
+
+
+def test_sequences_in_the_analyser(spark):
+    cases = [("🇨🇳 1️⃣ #️⃣ 👩‍💻!", ["🇨🇳", "1⃣", "⃣", "👩💻"]), ("👩‍👩‍👧‍👦👍🏽", ["👩👩👧👦👍"])]
+    df = spark.createDataFrame([(m,) for m, _ in cases], "m string")
+    for (m, want), r in zip(cases, df.select(text.analyze("m").alias("t")).collect()):
+        assert r.t == want == text.analyze_text(m)
+
+
+def test_names_and_synonyms_from_files(spark, tmp_dir):
+    import os
+
+    from topicgraph.sources import dictionaries as D
+    with open(os.path.join(tmp_dir, "names.txt"), "w") as f:
+        f.write("# names\n\n1f468-200d-1f469-200d-1f467 => family_mwg, trio\n1F468 => man\n➡ => arrow_right\n2615=>coffee\n")
+    names = D.read_short_names(spark, os.path.join(tmp_dir, "names.txt"))
+    df = spark.createDataFrame([("👨‍👩‍👧 👨 ➡ ☕😊 1⃣",)], "m string")
+    coded = df.select(text.emoji_to_shortcode("m", names).alias("c"))
+    assert coded.first().c == ":family_mwg: :man: :arrow_right: :coffee::blush: :one:"
+    assert coded.select(text.shortcode_to_emoji("c", names)).first()[0] == "👨‍👩‍👧 👨 ➡ ☕😊 1⃣"
+    assert spark.createDataFrame([(":trio::hot_beverage:",)], "m string").select(
+        text.shortcode_to_emoji("m", names)).first()[0] == "👨‍👩‍👧☕"
+    with open(os.path.join(tmp_dir, "syn.txt"), "w") as f:
+        f.write("👨‍👩‍👧 => family, parents\n🇨🇳, china\n")
+    rows = D.read_synonyms(spark, os.path.join(tmp_dir, "syn.txt"))
+    assert rows == [("👨👩👧", ["family", "parents"]), ("🇨🇳", ["china"])]
+    assert text.match_set(["parents"], True, rows) == ["parents", "👨👩👧"]

@@ -96,6 +96,14 @@ EMOJI_BLOCKS = [
     (0x2700, 0x27BF, 4),    # dingbats
 ]
 
+# fixed values: flags that have a short name (that of their two letters), other
+# names of a flag, and the name of the one keycap that is no digit
+FLAGS = ("cn", "de", "es", "fr", "gb", "it", "jp", "kr", "ru", "us")
+FLAG_ALIASES = {"gb": "uk"}
+KEYCAP_NAMES = {"#": "hash"}
+FLAG_CATEGORY, KEYCAP_CATEGORY = 3, 4
+KEYCAP, VARIATION, REGIONAL_A = "\u20e3", "\ufe0f", 0x1F1E6
+
 # fixed values: skin tone modifiers (removed by the analyser, not emoji)
 SKIN_TONES = (0x1F3FB, 0x1F3FC, 0x1F3FD, 0x1F3FE, 0x1F3FF)
 
@@ -131,6 +139,22 @@ def emoji_rows() -> list[tuple[str, str, list[str], int]]:
     return rows
 
 
+@lru_cache(maxsize=1)
+def sequence_rows() -> list[tuple[str, str, list[str], int]]:
+    """``(code, chars, short_names, category)`` of the emoji that are more than
+    one character: flags are two regional letters, keycaps a key and U+20E3
+    (a digit's name is that of its Unicode character)."""
+    rows = []
+    for key in "#0123456789":
+        name = KEYCAP_NAMES.get(key) or unicodedata.name(key).lower().removeprefix("digit ")
+        rows.append((f"{ord(key):04x}-20e3", key + KEYCAP, [name], KEYCAP_CATEGORY))
+    for flag in FLAGS:
+        letters = [REGIONAL_A + ord(c) - ord("a") for c in flag]
+        names = [flag] + ([FLAG_ALIASES[flag]] if flag in FLAG_ALIASES else [])
+        rows.append(("-".join(f"{c:04x}" for c in letters), "".join(map(chr, letters)), names, FLAG_CATEGORY))
+    return rows
+
+
 @lru_cache(maxsize=1)
 def synonym_rows() -> list[tuple[str, list[str]]]:
     """``(emoji, words)``: words of the Unicode name plus alias short names."""
@@ -151,20 +175,33 @@ def emoticon_chars() -> dict[str, str]:
     return {emo: chr(SHORT_NAME_CODES[short]) for emo, short in EMOTICONS}
 
 
-@lru_cache(maxsize=1)
-def shortcode_to_char() -> dict[str, str]:
-    """``:name:`` -> character for every short name of the dimension."""
-    out = {}
-    for _code, ch, shorts, _cat in emoji_rows():
+Names = list[tuple[str, list[str]]]
+
+
+def _named(names: Names | None) -> Names:
+    """A deployment's own names first, then those of the dimension."""
+    return list(names or []) + [(ch, shorts) for _code, ch, shorts, _cat in sequence_rows() + emoji_rows()]
+
+
+def shortcode_to_char(names: Names | None = None) -> dict[str, str]:
+    """``:name:`` -> character (or characters) for every short name."""
+    out: dict[str, str] = {}
+    for ch, shorts in _named(names):
         for s in shorts:
             out.setdefault(f":{s}:", ch)
     return out
 
 
-@lru_cache(maxsize=1)
-def char_to_shortcode() -> dict[str, str]:
-    """Character -> its first short name as ``:name:``."""
-    return {ch: f":{shorts[0]}:" for _code, ch, shorts, _cat in emoji_rows()}
+def char_to_shortcode(names: Names | None = None) -> dict[str, str]:
+    """Character (or characters) -> its first short name as ``:name:``.  A
+    keycap may have a variation selector inside."""
+    out: dict[str, str] = {}
+    for ch, shorts in _named(names):
+        if shorts:
+            out.setdefault(ch, f":{shorts[0]}:")
+            if ch.endswith(KEYCAP) and VARIATION not in ch:
+                out.setdefault(ch[:-1] + VARIATION + KEYCAP, f":{shorts[0]}:")
+    return out
 
 
 def as_json(d: dict) -> str:

@@ -215,24 +215,59 @@ def token_table(df: DataFrame, id_cols: list[str], tokens: str = "tokens",
 # ---------------------------------------------------------------------------
 # shortcodes (X5/X6) and small scalar helpers
 
-def shortcode_to_emoji(text: Column | str) -> Column:
-    """Replace every known ``:name:`` by its character."""
+def shortcode_to_emoji(text: Column | str, names: emoji.Names | None = None) -> Column:
+    """Replace every known ``:name:`` by its character(s); ``names`` adds
+    names of a deployment's own (``sources.dictionaries.read_short_names``).
+
+    The text is cut at its colons; from left to right, a part between two that
+    are both still there is replaced, with them, if it is a known name."""
     t = F.col(text) if isinstance(text, str) else text
-    lut = _literal_map(emoji.shortcode_to_char())
-    found = F.array_distinct(F.regexp_extract_all(t, F.lit(SHORTCODE), 0))
-    return F.aggregate(found, t, lambda acc, c: F.replace(acc, c, F.coalesce(F.element_at(lut, c), c)))
+    lut = _literal_map({k[1:-1]: v for k, v in emoji.shortcode_to_char(names).items()})
+    parts = F.split(t, ":")
+    start = F.struct(F.element_at(parts, 1).alias("out"), F.lit(True).alias("colon"))
+
+    def step(acc, part):
+        known = F.when(acc["colon"], F.element_at(lut, part))
+        kept = F.concat(acc["out"], F.when(acc["colon"], ":").otherwise(""), part)
+        return F.struct(F.coalesce(F.concat(acc["out"], known), kept).alias("out"), known.isNull().alias("colon"))
+
+    inner = F.slice(parts, F.lit(2), F.greatest(F.size(parts) - 2, F.lit(0)))
+    done = F.aggregate(inner, start, step)
+    end = F.concat(done["out"], F.when(done["colon"], ":").otherwise(""), F.element_at(parts, -1))
+    return F.when(F.size(parts) > 2, end).otherwise(t)
 
 
 EMOJI_CHAR_CLASS = "[" + "".join(
     f"\\x{{{lo:X}}}-\\x{{{hi:X}}}" for lo, hi, _ in emoji.EMOJI_BLOCKS) + "]"
 
 
-def emoji_to_shortcode(text: Column | str) -> Column:
-    """Replace every emoji character of the dimension by ``:name:``."""
+def _code_points(chars) -> str:
+    return "".join(f"\\x{{{ord(c):X}}}" for c in chars)
+
+
+def emoji_pattern(names: emoji.Names | None = None) -> tuple[str, str]:
+    """A pattern of every known emoji, longer sequences first, and the class of
+    characters that one can begin with."""
+    known = emoji.char_to_shortcode(names)
+    single = {c for c in known if len(c) == 1 and not re.match(EMOJI_PYTHON_CLASS, c)}
+    longer = sorted((c for c in known if len(c) > 1), key=lambda c: (-len(c), c))
+    alternatives = [_code_points(c) for c in longer] + ["[" + EMOJI_CHAR_CLASS[1:-1] + _code_points(sorted(single)) + "]"]
+    first = EMOJI_CHAR_CLASS[1:-1] + _code_points(sorted({c[0] for c in longer} | single))
+    return "|".join(alternatives), first
+
+
+EMOJI_PYTHON_CLASS = "[" + "".join(f"{chr(lo)}-{chr(hi)}" for lo, hi, _ in emoji.EMOJI_BLOCKS) + "]"
+
+
+def emoji_to_shortcode(text: Column | str, names: emoji.Names | None = None) -> Column:
+    """Replace every emoji of the dimension by ``:name:``; of sequences
+    (flags, keycaps, those of ``names``) the longest that stands there."""
     t = F.col(text) if isinstance(text, str) else text
-    lut = _literal_map(emoji.char_to_shortcode())
-    found = F.array_distinct(F.regexp_extract_all(t, F.lit(EMOJI_CHAR_CLASS), 0))
-    return F.aggregate(found, t, lambda acc, c: F.replace(acc, c, F.coalesce(F.element_at(lut, c), c)))
+    lut = _literal_map(emoji.char_to_shortcode(names))
+    known, first = emoji_pattern(names)
+    pieces = F.regexp_extract_all(t, F.lit(f"(?s){known}|[^{first}]+|."), 0)
+    coded = F.array_join(F.transform(pieces, lambda p: F.coalesce(F.element_at(lut, p), p)), "")
+    return F.when(t.rlike(known), coded).otherwise(t)
 
 
 # fixed values: the search form's time format and the ingest's ISO format

@@ -8,6 +8,7 @@ tables), then one ``arrays_overlap`` against a bounded literal set.
 from __future__ import annotations
 
 import datetime as _dt
+import json
 import math
 import re
 
@@ -159,6 +160,34 @@ def pages(matched: DataFrame, size: int = 9999):
         yield page
 
 
+def page(matched: DataFrame, size: int = 9999, after: str | None = None, time: str = "time_sended",
+         doc_id: str = "doc_id") -> tuple[list, str | None]:
+    """One page of a result in the order of (time, document), and the
+    cursor of the next one (None after the last page).
+
+    A page is a job of its own that keeps nothing between calls: the cursor
+    says where the last page ended, as text, so reading can go on later or in
+    another session.  On a stored table partitioned by ``day`` the days before it
+    are pruned.  Rows without a time come first.  ``doc_id`` must be unique."""
+    df = matched
+    if after is not None:
+        t, d = json.loads(after)
+        last = F.lit(d)
+        if t is None:
+            df = df.filter(F.col(time).isNotNull() | (F.col(doc_id) > last))
+        else:
+            at = F.lit(t).cast("timestamp_ntz")
+            for grain in GRAINS & set(df.columns):
+                df = df.filter(F.col(grain) >= F.to_date(F.date_trunc(grain, at)))
+            df = df.filter((F.col(time) > at) | ((F.col(time) == at) & (F.col(doc_id) > last)))
+    # one row more than the page shows whether there is another
+    rows = df.orderBy(F.asc_nulls_first(time), doc_id).limit(size + 1).collect()
+    if len(rows) <= size:
+        return rows, None
+    last = rows[size - 1]
+    return rows[:size], json.dumps([None if last[time] is None else last[time].isoformat(), last[doc_id]])
+
+
 def sample_messages(matched: DataFrame, n: int = 20) -> DataFrame:
     """The first ``n`` hits in a fixed order (top-k, not a full sort)."""
     order = ["time_sended", "actor_id", "target_id", "message"]

@@ -5,8 +5,11 @@ lineage.  P1/P2 ``parse_payments``: one ``try_parse_json`` per line and
 ``try_variant_get`` per field; Variant tells a missing key from a JSON null,
 which decides whether a record is kept.  Everything is a Catalyst projection
 and filter — no Python worker.  S2/S3 ``ensure_table``/``write_payments``:
-parquet partitioned by ``day``, rewritten with dynamic partition overwrite so
-a rerun replaces the days it touches instead of duplicating them.
+parquet folders by load and ``day`` with a ledger (``ledger.py``): a file is
+stored once however often and by whatever path it is loaded, a write counts when
+it is whole, ``compact`` merges small folders.  With ``aggregates`` each folder
+keeps its share of A1, A3 and A14, so degrees and document frequencies are sums
+over folders that read no message.
 
 Acceptance (variant "B", six fields) — a record is dropped when:
   * the line is not JSON (reason ``bad_json``; routed to rejects),
@@ -30,12 +33,13 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions.text import analyze, analyze_standard, parse_iso_time
+from . import ledger as L
 
 REASONS = ("bad_json", "no_target", "no_actor", "no_username", "falsy_target",
            "no_message", "no_time", "bad_time")
 
 
-def read_lines(spark: SparkSession, path: str, path_glob_filter: str | None = None) -> DataFrame:
+def read_lines(spark: SparkSession, path: str | list[str], path_glob_filter: str | None = None) -> DataFrame:
     """``(value, file_path)`` for every line of the files under ``path``."""
     reader = spark.read.format("text")
     if path_glob_filter:
@@ -153,52 +157,182 @@ def load_key(path: str, path_glob_filter: str | None = None) -> str:
     return hashlib.md5(f"{path}|{path_glob_filter or ''}".encode()).hexdigest()[:16]
 
 
-def ensure_table(spark: SparkSession, name: str, location: str) -> None:
+def ensure_table(spark: SparkSession, name: str, location: str, grain: str = "day") -> None:
     """Create the payments table if absent (schema, layout, partitioning)."""
     spark.sql(f"""
         CREATE TABLE IF NOT EXISTS {name} (
           actor_id STRING, actor_name STRING, target_id STRING, target_name STRING,
           message STRING, time_sended TIMESTAMP_NTZ, file_path STRING, doc_id STRING,
-          tokens ARRAY<STRING>, load STRING, day DATE)
-        USING parquet PARTITIONED BY (load, day) LOCATION '{location}'""")
+          tokens ARRAY<STRING>, load STRING, {grain} DATE)
+        USING parquet PARTITIONED BY (load, {grain}) LOCATION '{location}'""")
 
 
-def write_payments(payments: DataFrame, location: str, load: str, variant: str = "B", grain: str = "day",
-                   max_records_per_file: int = 5_000_000) -> None:
-    """Writes one load; rows that an earlier run stored under the same
-    ``load`` are replaced, all others stay."""
+def sync_table(spark: SparkSession, name: str, location: str) -> None:
+    """The table's partitions become those of the live folders."""
+    ledger = L.Ledger(spark, location)
+    alive = {f.name for f in ledger.live()}
+    held = {r.partition for r in spark.sql(f"SHOW PARTITIONS {name}").collect()}
+    want = {f"load={n}/{d}" for n in alive for d in L.children(spark, ledger.data(n)) if "=" in d}
+
+    def spec(p: str) -> str:
+        return "PARTITION (" + ", ".join("{}='{}'".format(*x.split("=", 1)) for x in p.split("/")) + ")"
+
+    for p in sorted(held - want):
+        spark.sql(f"ALTER TABLE {name} DROP {spec(p)}")
+    if want - held:
+        spark.sql(f"ALTER TABLE {name} ADD " + " ".join(spec(p) for p in sorted(want - held)))
+    spark.catalog.refreshTable(name)
+
+
+def _numbered(payments: DataFrame, grain: str) -> DataFrame:
+    """Dealt by (day, document), with equal lines of a file told apart."""
     # range partitioning on (day, doc_id): few days per task (few files), a hot
     # day is split across tasks, and identical lines meet, so that numbering
     # them needs no further shuffle; a hash is of one line of one file, so a
     # group is at most the repeats of a line inside a file
-    dealt = with_index_columns(payments, variant, grain).repartitionByRange(grain, "doc_id")
+    dealt = payments.repartitionByRange(grain, "doc_id")
     n = F.row_number().over(Window.partitionBy(grain, "doc_id").orderBy("doc_id")) - 1
     doc_id = F.when(F.col("_n") == 0, F.col("doc_id")).otherwise(F.concat_ws("-", "doc_id", "_n"))
-    (dealt.withColumn("_n", n).withColumn("doc_id", doc_id).drop("_n")
-     .write.mode("overwrite").partitionBy(grain)
-     .option("maxRecordsPerFile", max_records_per_file)
-     .parquet(f"{location.rstrip('/')}/load={load}"))
+    return dealt.withColumn("_n", n).withColumn("doc_id", doc_id).drop("_n")
+
+
+def _write(rows: DataFrame, path: str, grain: str, max_records_per_file: int) -> None:
+    (rows.write.mode("overwrite").partitionBy(grain).option("maxRecordsPerFile", max_records_per_file).parquet(path))
+
+
+#: Partial aggregates of a folder, by kind: they add up over folders.
+AGGREGATES = {"edges": "source string, target string, weight bigint", "terms": "token string, df bigint, tf bigint",
+              "field": "n_docs bigint, length bigint"}
+
+
+def _aggregate(rows: DataFrame, ledger: L.Ledger, name: str) -> None:
+    a, t = F.col("actor_id"), F.col("target_id")
+    edges = rows.groupBy(F.least(a, t).alias("source"), F.greatest(a, t).alias("target")).agg(F.count("*").alias("weight"))
+    once = rows.select(F.explode(F.array_distinct("tokens")).alias("token"), F.lit(1).alias("df"), F.lit(0).alias("tf"))
+    each = rows.select(F.explode("tokens").alias("token"), F.lit(0).alias("df"), F.lit(1).alias("tf"))
+    terms = once.unionByName(each).groupBy("token").agg(F.sum("df").alias("df"), F.sum("tf").alias("tf"))
+    field = rows.filter(F.size("tokens") > 0).agg(F.count("*").alias("n_docs"),
+                                                  F.coalesce(F.sum(F.size("tokens").cast("bigint")), F.lit(0)).alias("length"))
+    for kind, df in (("edges", edges), ("terms", terms), ("field", field)):
+        df.write.mode("overwrite").parquet(ledger.aggregate(kind, name))
+
+
+def write_payments(payments: DataFrame, location: str, load: str, variant: str = "B", grain: str = "day",
+                   max_records_per_file: int = 5_000_000, files: DataFrame | None = None, name: str | None = None,
+                   removes: list[str] | None = None, aggregates: bool = False) -> None:
+    """Writes one folder and makes it live.  It replaces the folders
+    ``removes`` names (default: those that an earlier run stored under the same
+    ``load``); all others stay.  ``files`` are its source files."""
+    spark = payments.sparkSession
+    ledger = L.Ledger(spark, location)
+    removes = [f.name for f in ledger.live() if f.load == load] if removes is None else removes
+    name = ledger.fresh(name or load)
+    _write(_numbered(with_index_columns(payments, variant, grain), grain), ledger.data(name), grain, max_records_per_file)
+    if aggregates:
+        _aggregate(spark.read.parquet(ledger.data(name)), ledger, name)
+    ledger.commit(name, load, spark.createDataFrame([], L.FILES) if files is None else files, removes)
 
 
 def write_rejects(rejects: DataFrame, location: str, load: str) -> None:
-    """The rejected lines of one load, replaced with it."""
+    """The rejected lines of one folder, replaced with it."""
     rejects.write.mode("overwrite").json(f"{location.rstrip('/')}/load={load}")
 
 
 def read_index(spark: SparkSession, location: str) -> DataFrame:
-    """The stored payments of all loads (lazy; partition-pruned by
+    """The stored payments of all live folders (lazy; partition-pruned by
     ``day`` filters)."""
-    return spark.read.parquet(location).drop("load")
+    ledger = L.Ledger(spark, location)
+    rows = ledger.read() if ledger.exists() else spark.read.parquet(location)
+    if rows is None:
+        return spark.createDataFrame([], "actor_id string, actor_name string, target_id string, target_name string, "
+                                         "message string, time_sended timestamp_ntz, file_path string, doc_id string, "
+                                         "tokens array<string>, day date")
+    return rows.drop("load")
+
+
+def _without(spark: SparkSession, ledger: L.Ledger, gone: DataFrame, grain: str, aggregates: bool) -> None:
+    """Rewrites the folders that hold files of ``gone`` (file, name) without
+    those files: each as a new folder that replaces the old one."""
+    live = {f.name: f for f in ledger.live()}
+    for r in gone.select("name").distinct().collect():
+        old = live[r.name]
+        files = gone.filter(F.col("name") == old.name).select("file")
+        rows = ledger.read([old]).join(files.withColumnRenamed("file", "file_path"), "file_path", "left_anti").drop("load")
+        kept = ledger.files([old]).join(files, "file", "left_anti")
+        name = ledger.fresh(f"{old.load}-{L.digest(old.name, sorted(f.file for f in files.collect()))}")
+        _write(rows, ledger.data(name), grain, 5_000_000)
+        if aggregates:
+            _aggregate(spark.read.schema(rows.schema).parquet(ledger.data(name)), ledger, name)
+        ledger.commit(name, old.load, kept, [old.name])
 
 
 def ingest(spark: SparkSession, path: str, location: str, variant: str = "B",
            path_glob_filter: str | None = None, rejects_location: str | None = None,
-           load: str | None = None, grain: str = "day") -> None:
-    """S1 -> P1/P2 -> S3 (plus the rejects if asked); the load is named after
-    the path unless the caller names it."""
-    lines = read_lines(spark, path, path_glob_filter)
-    good, bad = parse_payments(lines, variant, keep_rejects=rejects_location is not None)
+           load: str | None = None, grain: str = "day", aggregates: bool = False) -> int:
+    """S1 -> P1/P2 -> S3 (plus the rejects if asked) for the files that are not
+    stored yet; returns their number.
+
+    A file that is stored as it is now (path, size and time) is not read
+    again.  One that has changed is stored anew and taken out of the folder
+    that held it.  The folders are named after the path unless the caller
+    names the load."""
+    ledger = L.Ledger(spark, location)
     load = load or load_key(path, path_glob_filter)
-    write_payments(good, location, load, variant, grain)
+    held = ledger.files()
+    found = L.listing(spark, path, path_glob_filter)
+    new = found.join(held, ["file", "size", "time"], "left_anti").collect()  # the listing is the driver's already
+    if not new:
+        return 0
+    files = spark.createDataFrame([(r.file, r.size, r.time) for r in new], L.FILES)
+    changed = held.join(files.select("file"), "file", "left_semi").select("file", "name").collect()
+    name = f"{load}-{L.digest(sorted((r.file, r.size, r.time) for r in new))}"
+    lines = read_lines(spark, [L.literal(r.path) for r in new])
+    good, bad = parse_payments(lines, variant, keep_rejects=rejects_location is not None)
+    if changed:
+        _without(spark, ledger, spark.createDataFrame(changed, "file string, name string"), grain, aggregates)
+    write_payments(good, location, load, variant, grain, files=files, name=name, removes=[], aggregates=aggregates)
     if rejects_location is not None:
-        write_rejects(bad, rejects_location, load)
+        write_rejects(bad, rejects_location, name)
+    return len(new)
+
+
+def compact(spark: SparkSession, location: str, smaller_than: int = 1 << 30, grain: str = "day",
+            max_records_per_file: int = 5_000_000) -> list[str]:
+    """Merges the live folders of fewer bytes into one, which replaces them in
+    one step; returns their names.  Their aggregates are added up as well."""
+    ledger = L.Ledger(spark, location)
+    small = [f for f in ledger.live() if f.bytes < smaller_than]
+    if len(small) < 2:
+        return []
+    name = ledger.fresh(f"merged-{L.digest([f.name for f in small])}")
+    rows = ledger.read(small).drop("load")
+    _write(rows.repartitionByRange(grain, "doc_id"), ledger.data(name), grain, max_records_per_file)
+    for kind, schema in AGGREGATES.items():
+        parts = [ledger.aggregate(kind, f.name) for f in small]
+        if all(L.exists(spark, p) for p in parts):
+            _summed(spark.read.schema(schema).parquet(*parts), kind).write.mode("overwrite").parquet(ledger.aggregate(kind, name))
+    ledger.commit(name, "merged", ledger.files(small), [f.name for f in small])
+    return [f.name for f in small]
+
+
+def _summed(parts: DataFrame, kind: str) -> DataFrame:
+    keys = {"edges": ["source", "target"], "terms": ["token"], "field": []}[kind]
+    return parts.groupBy(*keys).agg(*[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in parts.columns if c not in keys])
+
+
+def stored_edges(spark: SparkSession, location: str) -> DataFrame:
+    """A1 from the folders' aggregates: ``(source, target, weight)``.  (For
+    A3: ``topic_graph.degrees``.)"""
+    return _summed(L.Ledger(spark, location).aggregates("edges", AGGREGATES["edges"]), "edges")
+
+
+def stored_terms(spark: SparkSession, location: str) -> DataFrame:
+    """A14 from the folders' aggregates: ``(token, df, tf)``; documents lie in
+    one folder each, so their frequencies add up."""
+    return _summed(L.Ledger(spark, location).aggregates("terms", AGGREGATES["terms"]), "terms")
+
+
+def stored_field_stats(spark: SparkSession, location: str) -> DataFrame:
+    """``(n_docs, avgdl)`` over documents with at least one term."""
+    s = _summed(L.Ledger(spark, location).aggregates("field", AGGREGATES["field"]), "field")
+    return s.select("n_docs", F.try_divide("length", "n_docs").alias("avgdl"))
