@@ -1128,6 +1128,14 @@ def q_graph_json_edges(spark, sf):
     return _graph_json(spark, sf).edges.select("id", "source", "target", "size")
 
 
+@register("graph_json_ranges_edges", ORACLES["graph_json_edges"])
+def q_graph_json_ranges_edges(spark, sf):
+    """One document of the whole graph, read by ranges."""
+    path, g = scratch_path(spark, "graph-document"), mg_all(spark, sf)
+    GF.write_graph_json_document(MultiGraph(g.nodes, g.edges.withColumn("label", F.lit(None).cast("string"))), path)
+    return GF.read_graph_json(spark, path, **RANGE).edges.select("id", "source", "target", "size")
+
+
 def _gexf_path(spark, sf) -> str:
     """GEXF documents written from the payment multigraph, split by a hash of
     the node/edge id into ``_doc_count`` complete documents (one per file,
@@ -1205,6 +1213,22 @@ def q_gexf_edges(spark, sf):
                           F.col("id").startswith("e").alias("generated_id"))
 
 
+# the same documents read by byte ranges, as one too large for a task would be
+RANGE = dict(split=0, ranges=1 << 18)
+
+
+@register("gexf_ranges_nodes", ORACLES["gexf_nodes"])
+def q_gexf_ranges_nodes(spark, sf):
+    g = GF.gexf_to_graph(GF.read_gexf(spark, _gexf_path(spark, sf), **RANGE))
+    return g.nodes.select("id", "label", "x", "y", "size")
+
+
+@register("gexf_ranges_edges", ORACLES["gexf_edges"])
+def q_gexf_ranges_edges(spark, sf):
+    g = GF.gexf_to_graph(GF.read_gexf(spark, _gexf_path(spark, sf), **RANGE))
+    return g.edges.select("source", "target", "size", "direction", F.col("id").startswith("e").alias("generated_id"))
+
+
 def _doc_count(spark) -> int:
     """Documents per generated graph file set: one per shuffle partition, so
     the document size follows the cluster's partition sizing."""
@@ -1258,6 +1282,12 @@ def q_cypher_edges(spark, sf):
     return g.edges.select("id", "source", "target", "type")
 
 
+@register("cypher_ranges_edges", ORACLES["cypher_edges"])
+def q_cypher_ranges_edges(spark, sf):
+    g = GF.read_cypher_result(spark, _cypher_path(spark, sf), **RANGE)
+    return g.edges.select("id", "source", "target", "type")
+
+
 @register("cypher_types", _with(sql_mg()) + "SELECT DISTINCT 'FLAG_' || l_returnflag AS type FROM payment_lines")
 def q_cypher_types(spark, sf):
     return GF.cypher_types(GF.read_cypher_result(spark, _cypher_path(spark, sf)))
