@@ -36,18 +36,33 @@ _FIELD = r"regexp_replace(" + _TRIM + r", '[^\x20\x09-\x0D]*[0-9][^\x20\x09-\x0D
 ORACLES["op3_line_dedup"] = rf"""
 WITH l AS (SELECT doc_id, text, unnest(string_split(text, chr(10))) AS raw,
                   unnest(range(len(string_split(text, chr(10))))) AS line FROM documents WHERE text IS NOT NULL),
-     k AS (SELECT doc_id, text, line, string_split_regex({_FIELD}, '{_SP}+') AS t FROM l),
-     v AS (SELECT doc_id, text, line, len(t) AS n, t, unnest(CASE WHEN len(t) >= 12 THEN [0, 1, 2] ELSE [3] END) AS part
-           FROM k WHERE len(t) >= 4),
-     f AS (SELECT doc_id, text, line, n, part,
-                  CASE WHEN part = 3 THEN t ELSE list_slice(t, 1, 3 + (n - 3) * part // 3) END AS head,
-                  CASE WHEN part = 3 THEN [] ELSE list_slice(t, 4 + (n - 3) * (part + 1) // 3, n) END AS tail FROM v),
-     r AS (SELECT n, part, head, tail, count(DISTINCT (doc_id, text)) AS docs, min(doc_id) AS first
-           FROM f GROUP BY n, part, head, tail HAVING count(DISTINCT (doc_id, text)) >= 3),
-     b AS (SELECT f.doc_id, f.text, f.line, arg_max(r.first, r.docs * 4 - r.part) AS first
-           FROM f JOIN r ON f.n = r.n AND f.part = r.part AND f.head = r.head AND f.tail = r.tail
-           GROUP BY f.doc_id, f.text, f.line),
-     g AS (SELECT DISTINCT doc_id, text, line FROM b WHERE first IS NOT NULL AND first IS DISTINCT FROM doc_id),
+     k AS (SELECT doc_id, text, line, {_TRIM} AS s, string_split_regex({_FIELD}, '{_SP}+') AS t FROM l
+           WHERE {_TRIM} <> ''),
+     -- what a line counts as: itself up to digits, and as it is
+     a AS (SELECT doc_id, text, line, 0 AS kind, len(t) AS n, CASE WHEN len(t) >= 12 THEN list_slice(t, 1, 3) ELSE t END AS lead,
+                  CASE WHEN len(t) >= 12 THEN list_transform(range(8), lambda i:
+                       list_slice(t, 4 + (len(t) - 3) * i // 8, 3 + (len(t) - 3) * (i + 1) // 8)) ELSE [] END AS parts, 3 AS need
+           FROM k WHERE len(t) >= 4
+           UNION ALL
+           SELECT doc_id, text, line, 1, len(t), [s], [], CASE WHEN len(t) >= 20 OR length(s) >= 120 THEN 2
+                  WHEN length(s) >= 20 THEN 3 ELSE 10 END
+           FROM k WHERE len(t) < 4 OR len(t) >= 20 OR length(s) >= 120),
+     p AS (SELECT kind, n, lead, parts, need, count(DISTINCT (doc_id, text)) AS docs, min(doc_id) AS first,
+                  min([CASE WHEN doc_id IS NULL THEN 1 ELSE 0 END, coalesce(doc_id, 0), line]) AS place FROM a GROUP BY ALL),
+     b AS (SELECT n, lead, parts, docs, place, grp, list_slice(parts, x, y) AS key
+           FROM p, (VALUES (0, 1, 3), (1, 4, 6), (2, 7, 8)) v(grp, x, y) WHERE kind = 0 AND n >= 12),
+     r AS (SELECT n, lead, grp, key, first(parts ORDER BY docs DESC, place) AS rep FROM b GROUP BY n, lead, grp, key
+           HAVING count(*) > 1),
+     m AS (SELECT DISTINCT b.n, b.lead, b.parts, r.rep FROM b JOIN r USING (n, lead, grp, key)
+           WHERE len(list_filter(range(1, 9), lambda i: b.parts[i] = r.rep[i])) >= 6),
+     e AS (SELECT m.n, m.lead, m.rep, count(DISTINCT (doc_id, text)) AS docs, min(doc_id) AS first
+           FROM m JOIN a ON a.kind = 0 AND a.n = m.n AND a.lead = m.lead AND a.parts = m.parts
+           GROUP BY m.n, m.lead, m.rep HAVING count(DISTINCT (doc_id, text)) >= 3),
+     c AS (SELECT kind, n, lead, parts, docs, first, kind * 2 AS rank FROM p WHERE docs >= need
+           UNION ALL SELECT 0, m.n, m.lead, m.parts, e.docs, e.first, 1 FROM m JOIN e USING (n, lead, rep)),
+     z AS (SELECT a.doc_id, a.text, a.line, first(c.first ORDER BY c.docs DESC, c.rank, c.first NULLS LAST) AS first
+           FROM a JOIN c USING (kind, n, lead, parts) GROUP BY a.doc_id, a.text, a.line),
+     g AS (SELECT DISTINCT doc_id, text, line FROM z WHERE first IS NOT NULL AND first IS DISTINCT FROM doc_id),
      o AS (SELECT l.doc_id, l.text, count(*) FILTER (g.line IS NOT NULL) AS n_dropped,
                   count(*) FILTER (g.line IS NULL) AS n_kept,
                   string_agg(l.raw, chr(10) ORDER BY l.line) FILTER (g.line IS NULL) AS kept
