@@ -9,7 +9,8 @@ from ..session import scratch_path
 
 
 def numbered(df: DataFrame, order: list[str | Column], name: str = "number", by: tuple[str, ...] = ()) -> DataFrame:
-    """``df`` with ``name`` = 0, 1, 2, ... by ``order``: sorted by range,
+    """``df`` with ``name`` = 0, 1, 2, ... by ``order``, whatever its
+    partitions (ties of ``order`` may take each other's): sorted by range,
     written once (so that the numbers are fixed), then numbered by the sizes
     of the ranges before.  With ``by``, the numbers start anew for each group;
     a large group is still spread over ranges.  The sizes are a row for each
