@@ -31,6 +31,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.numbering import numbered
 from .common import SPACE, written
 
 #: Characters in a block.
@@ -53,20 +54,21 @@ def _blocks(text: Column, size: int) -> Column:
 
 
 def _named(values: DataFrame, *by: str) -> DataFrame:
-    """The distinct rows with ``name``: sorted inside the partitions that the
-    aggregate made, numbered by partition and place."""
-    return values.distinct().sortWithinPartitions(*by).withColumn("name", F.monotonically_increasing_id())
+    """The distinct rows with ``name``: their place in the order of ``by``,
+    so that names do not depend on partitions."""
+    return numbered(values.distinct(), list(by), "name")
 
 
 def _block_names(texts: DataFrame, size: int, key: Callable[[Column, int], Column]) -> tuple[DataFrame, int]:
     """``(key, name)`` of the distinct blocks, and the salt under which no
-    key stands for two blocks."""
+    key stands for two blocks.  Blocks are sorted by their keys: 32 bytes, not
+    the block, move for it."""
     for salt in range(64):
         blocks = texts.select(F.explode(_blocks(F.col("text"), size)).alias("block"))
         blocks = blocks.select(key(F.col("block"), salt).alias("key"), "block")
-        names = written(_named(blocks, "block").select("key", "name"), "block-names")
-        if names.groupBy("key").count().filter("count > 1").isEmpty():
-            return names, salt
+        keys = written(blocks.distinct().select("key"), "block-keys")
+        if keys.groupBy("key").count().filter("count > 1").isEmpty():
+            return written(_named(keys, "key"), "block-names"), salt
     raise RuntimeError("no digest separates the blocks")
 
 
@@ -109,6 +111,12 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     ids = written(identities(docs, id_col, text_col, size, key), "identities")
     first = F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "row"))
     groups = ids.groupBy("n_blocks", "name").agg(first.alias("first"), F.count("*").alias("group_size"))
+    return _told(ids, written(groups, "groups"))
+
+
+def _told(ids: DataFrame, groups: DataFrame) -> DataFrame:
+    """Every document with its group: two written tables, so that Spark splits
+    the partition of a large group."""
     return (ids.join(groups, ["n_blocks", "name"])
             .select("doc_id", F.col("first.doc_id").alias("keep_id"), "group_size",
                     (F.col("first.row") == F.col("row")).alias("kept"), "text_sha256"))

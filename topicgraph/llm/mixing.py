@@ -164,9 +164,12 @@ def mix(docs: DataFrame, tree: list[str] = list(TREE), weights: dict[tuple, floa
     prefix = written(_meet(plan, cuts, leaf, "left").select(
         *leaf, "_whole", F.coalesce("_cut", F.lit(-1)).alias("_cut")), "prefixes")
 
-    at = docs.join(prefix, [F.col(c).eqNullSafe(F.col(x)) for c, x in zip(tree, leaf)])
-    place = order_key(seed, F.col("_whole"), F.col(id_col).cast("string"), text_hash(text))
-    times = F.col("_whole") + F.when(place <= F.col("_cut"), 1).otherwise(0)
-    picked = at.withColumn("_n", times).filter("_n > 0").withColumn(tok, n_tokens(text))
-    picked = picked.withColumn(ep, F.explode(F.sequence(F.lit(0), F.col("_n") - 1)))
+    # names that the documents' own columns do not have
+    mine = {c: free_name(docs, c) for c in [*leaf, "_whole", "_cut", "_n"]}
+    prefix = prefix.select(*[F.col(c).alias(mine[c]) for c in [*leaf, "_whole", "_cut"]])
+    whole, cut, n = F.col(mine["_whole"]), F.col(mine["_cut"]), mine["_n"]
+    at = docs.join(prefix, [F.col(c).eqNullSafe(F.col(mine[x])) for c, x in zip(tree, leaf)])
+    place = order_key(seed, whole, F.col(id_col).cast("string"), text_hash(text))
+    picked = at.withColumn(n, whole + F.when(place <= cut, 1).otherwise(0)).filter(F.col(n) > 0).withColumn(tok, n_tokens(text))
+    picked = picked.withColumn(ep, F.explode(F.sequence(F.lit(0), F.col(n) - 1)))
     return picked.select(*docs.columns, tok, ep)

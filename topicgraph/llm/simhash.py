@@ -221,6 +221,12 @@ def components(nodes: DataFrame, k: int = BITS, bucket: int = BUCKET) -> DataFra
     named = comp.join(nodes, comp["id"] == nodes["fp"]).select("fp", "component", "first")
     named = written(named, "components")
     least = named.groupBy("component").agg(F.min("first").alias("component_id"))
+    return _told(named, written(least, "least-ids"))
+
+
+def _told(named: DataFrame, least: DataFrame) -> DataFrame:
+    """Every fingerprint with its component's id: two written tables, so that
+    Spark splits the partition of a large component."""
     return named.join(least, "component").select("fp", "component_id")
 
 

@@ -85,6 +85,15 @@ def member(data: bytes) -> bytes:
     return z.compress(data) + z.flush()
 
 
+def _referred(rows: DataFrame, groups: DataFrame) -> DataFrame:
+    """``(page_id, url, payload, refers_to)``.  The repeated payloads' keys are a
+    written table: sent to the tasks if they are few, and if not, Spark splits
+    the partition of a payload that many pages have."""
+    refers = F.when(F.col("page_id").eqNullSafe(F.col("first")), None).otherwise(F.col("first").cast("string"))
+    return rows.join(groups, "key", "left").select(
+        F.col("page_id").cast("string").alias("page_id"), "url", "payload", refers.alias("refers_to"))
+
+
 def write_archives(pages: DataFrame, folder: str, id_col: str = "page_id", url_col: str = "url",
                    payload_col: str = "html", min_bytes: int = 0, file_bytes: int = FILE_BYTES) -> DataFrame:
     """Writes the pages below ``folder`` (shared storage); returns the
@@ -96,9 +105,7 @@ def write_archives(pages: DataFrame, folder: str, id_col: str = "page_id", url_c
     groups = (rows.filter(F.octet_length("payload") >= min_bytes)
               .groupBy("key").agg(F.max("page_id").alias("first"), F.count("*").alias("n"))
               .filter("n > 1").drop("n"))
-    refers = F.when(F.col("page_id").eqNullSafe(F.col("first")), None).otherwise(F.col("first").cast("string"))
-    told = rows.join(groups, "key", "left").select(
-        F.col("page_id").cast("string").alias("page_id"), "url", "payload", refers.alias("refers_to"))
+    told = _referred(rows, written(groups, "repeated-payloads"))
 
     def run(batches: Iterator):
         import pyarrow as pa
