@@ -6,16 +6,20 @@ sum: the region of the main text (Pasternack and Roth, WWW 2009).
 
 The weights come from the labelled pages: those that mark their main text
 with ``article`` or ``main``.  One pass counts, over all of them, how often
-each kind of tag, and a word in each kind of place, lies inside and outside
-of that mark; a weight is the log ratio, kept below zero for tags and above
-zero for words in the text or on pages without a mark.  The counts are a few
-hundred numbers; they are summed by Spark and sent to the second pass, which
-cuts every page.
-
-Boxes that never belong to an article (menus, sidebars, forms, adverts,
-reader comments, ...) are known by their element or by a word of their
-class, id or role; as a whole they count as one tag, and their text is left
-out if the region surrounds them.
+each kind of tag, a word in each kind of place (its block, and whether it is in
+a link), and each word of a class, id or role lies inside and outside of that
+mark; a weight is the log ratio, kept above zero for words and below zero for
+tags.  The mark is the label and nothing else: its tags are no features and add
+nothing to a score, so a page without it is cut in the same way.  The features
+come from fixed lists, so the counts are a few hundred numbers; they are summed
+by Spark and sent to the second pass, which cuts every page.
+
+Elements that never belong to an article (scripts, menus, sidebars, forms, ...)
+are boxes: as a whole they count as one tag, and their text is left out if the
+region surrounds them.  So is an element whose class, id or role words say in
+sum that it lies outside (adverts, notices, reader comments).  The words looked
+for are a fixed list, their weights are learnt; what no labelled page has keeps
+the list's own guess (``GUESS`` counts).
 
 Defined results: a null or empty page has the empty text.  White space (as
 Unicode has it) inside a block becomes one space; blocks are joined by one
@@ -48,23 +52,26 @@ HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 KNOWN = MARKS | RAW | BOXES | INLINE | VOID | HEADINGS | frozenset(
     "address blockquote body caption center dd details div dl dt figcaption figure hgroup html li ol p pre section "
     "summary table tbody td tfoot th thead tr ul".split())
-#: Words of a class, id or role that name a box beside the text.
+#: Words of a class, id or role that may name a box beside the text.
 BESIDE = frozenset(
     "ad ads adv advert adverts advertisement advertising alert banner breadcrumb breadcrumbs byline comment comments "
     "consent cookie cookies copyright disclaimer discussion disqus footer form gdpr header hidden legal login masthead "
     "menu modal nav navbar navigation newsletter notice notification pagination pager popup promo promotion "
     "recommended recommendations related replies reply search share sharing sidebar signup social sponsor sponsored "
     "subscribe tags toolbar widget".split())
-#: Words of a class or id by which a box belongs to the text all the same.
+#: Words of a class or id that may name the text or a part of it.
 WITHIN = frozenset("article post entry story content main".split())
 
 TAG = re.compile(r"""<(/?)([A-Za-z][^\s/>]*)((?:[^>"']|"[^"]*+"|'[^']*+')*+)>""")
+NAME = re.compile(r"<(/?)([A-Za-z][^\s/>]*)")
 ATTRIBUTE = re.compile(r"""\b(class|id|role)\s*=\s*("[^"]*"|'[^']*'|[^\s>]+)""", re.I)
 NAME_WORD = re.compile(r"[a-z]+")
 CAMEL = re.compile(r"(?<=[a-z])(?=[A-Z])")
 
 #: Added to each count, so that weights exist without any labelled page.
 PRIOR = 1.0
+#: Counts that the lists of class words stand for.
+GUESS = 3.0
 #: The least a word adds and a tag takes.
 LEAST = 0.25
 
@@ -89,53 +96,49 @@ def events(page: str | None) -> Iterator[tuple[str, str, str]]:
             at = n if end < 0 else end + 1
             continue
         m = TAG.match(page, lt)
-        if m is None:
-            nxt = page[lt + 1:lt + 2]
-            if nxt.isalpha() or nxt == "/":  # a tag with a quote that never closes, or without an end
-                end = page.find(">", lt)
-                at = n if end < 0 else end + 1
-            else:
-                yield "text", "", "<"
-                at = lt + 1
-            continue
-        at, name = m.end(), m[2].lower()
-        if m[1]:
+        if m is not None:
+            at, closes, name, rest = m.end(), m[1], m[2].lower(), m[3]
+        else:
+            m = NAME.match(page, lt)
+            end = page.find(">", lt)
+            if m is None or end < 0:
+                if m is None and page[lt + 1:lt + 2] != "/":
+                    yield "text", "", "<"
+                    at = lt + 1
+                else:
+                    at = n if end < 0 else end + 1
+                continue
+            # a quote that never closes: the tag ends at the first '>'
+            at, closes, name, rest = end + 1, m[1], m[2].lower(), ""
+        if closes:
             yield "close", name, ""
             continue
-        yield "open", name, m[3]
-        if name in RAW and not m[3].endswith("/"):
+        yield "open", name, rest
+        if name in RAW and not rest.endswith("/"):
             end = re.compile(rf"</{re.escape(name)}\s*>", re.I).search(page, at)
             at = end.end() if end else n
             yield "close", name, ""
 
 
-def is_box(name: str, attributes: str, in_mark: bool) -> bool:
-    """Whether the element is a box beside the text."""
-    if name in RAW or name in BOXES:
-        return not (name == "header" and in_mark)  # a header inside the article holds its title
-    if name in HEADINGS or name in MARKS and not attributes or name in ("body", "html"):
-        return False
+def class_words(attributes: str) -> set[str]:
+    """The listed words in the class, id and role of an element."""
     if "=" not in attributes:
-        return False
+        return set()
     found: set[str] = set()
     for _, value in ATTRIBUTE.findall(attributes):
         found |= set(NAME_WORD.findall(CAMEL.sub(" ", value).lower()))
-    if "hidden" in found and "visually" in found:
-        return True
-    beside = found & BESIDE
-    return bool(beside) and not (found & WITHIN and beside <= {"header", "byline", "tags"})
+    return found & (BESIDE | WITHIN)
 
 
-def tokens(page: str | None) -> list[tuple[str, str, object]]:
-    """``(kind, feature, value)``: words (a count and the raw text), tags and
-    whole boxes.  A feature names what the weights are learnt for."""
-    evs = list(events(page))
-    marked = any(k == "open" and name in MARKS and not is_box(name, rest, False) for k, name, rest in evs)
+def tokens(page: str | None, weight: dict[str, float] | None = None) -> list[tuple[str, str, object]]:
+    """``(kind, feature, value)``: words (a count and the raw text), tags,
+    boxes, and (without weights) marks and classes.  A feature names what the
+    weights are learnt for; with ``weight``, elements whose class words weigh
+    less than nothing are boxes too."""
     out: list[tuple[str, str, object]] = []
     stack: list[str] = []
     box: list[str] = []  # open elements from the box inwards
-    marks = 0
-    for kind, name, rest in evs:
+    for kind, name, rest in events(page):
         box_ended = False
         if box == ["p"] and kind == "open" and name not in INLINE and name not in VOID:
             box = []  # the next block ends a paragraph
@@ -152,27 +155,33 @@ def tokens(page: str | None) -> list[tuple[str, str, object]]:
                 continue
         known = name if name in KNOWN else "other"
         if kind == "text":
-            words = len(rest.split())
-            place = "text" if marks else "beside" if marked else "unmarked"
-            out.append(("word", f"word:{place}", (words, rest)))
+            block = next((e for e in reversed(stack) if e not in INLINE and e not in MARKS), "body")
+            place = f"word:{block if block in KNOWN else 'other'}" + (":a" if "a" in stack else "")
+            out.append(("word", place, (len(rest.split()), rest)))
         elif kind == "open":
-            if is_box(name, rest, marks > 0):
-                out.append(("box", f"box:{known}", name))
+            # a header in another element than the body holds a title of the text
+            inner = any(e not in INLINE and e not in ("body", "html") for e in stack)
+            plain = name in RAW or name in BOXES and not (name == "header" and inner)
+            said = class_words(rest) if not plain and name not in ("body", "html") else set()
+            against = sum(weight.get(f"class:{w}", 0.0) for w in said) if weight is not None else 0.0
+            if plain or against < 0 and name not in HEADINGS and name not in MARKS:
+                out.append(("box", f"box:{known}" if plain else "box:class", name))
                 if name not in VOID and not rest.endswith("/"):
                     box = [name]
                 continue
-            out.append(("tag", f"<{known}>", name))
+            if weight is None:
+                out += [("class", f"class:{w}", "") for w in sorted(said)]
+            if name in MARKS:
+                out.append(("mark", "open", name))
+            else:
+                out.append(("tag", f"<{known}>", name))
             if name not in VOID:
                 stack.append(name)
-                marks += name in MARKS
         else:
             if name in stack:
-                while stack:
-                    top = stack.pop()
-                    marks -= top in MARKS
-                    if top == name:
-                        break
-            out.append(("tag", f"</{known}>", name))
+                while stack and stack.pop() != name:
+                    pass
+            out.append(("mark", "close", name) if name in MARKS else ("tag", f"</{known}>", name))
     return out
 
 
@@ -180,31 +189,35 @@ def label_counts(page: str | None) -> Counter:
     """How often each feature lies inside (True) and outside of the marked
     text; empty for a page without a mark."""
     toks = tokens(page)
-    opens = [i for i, (k, _, v) in enumerate(toks) if k == "tag" and toks[i][1] in ("<article>", "<main>")]
-    closes = [i for i, (k, _, v) in enumerate(toks) if k == "tag" and toks[i][1] in ("</article>", "</main>")]
+    opens = [i for i, t in enumerate(toks) if t[:2] == ("mark", "open")]
+    closes = [i for i, t in enumerate(toks) if t[:2] == ("mark", "close")]
     counts: Counter = Counter()
     if not opens:
         return counts
     first, last = opens[0], closes[-1] if closes and closes[-1] > opens[0] else len(toks)
     for i, (kind, feature, value) in enumerate(toks):
-        counts[feature, first < i < last] += value[0] if kind == "word" else 1
+        if kind != "mark":
+            counts[feature, first < i < last] += value[0] if kind == "word" else 1
     return counts
 
 
 def weights(counts: dict[tuple[str, bool], int]) -> dict[str, float]:
-    """Log ratios of the counts, below zero for tags and boxes."""
-    inside = sum(n for (_, side), n in counts.items() if side) + PRIOR
-    outside = sum(n for (_, side), n in counts.items() if not side) + PRIOR
+    """Log ratios of the counts: above zero for words, below zero for tags and
+    boxes, either for classes.  Each kind is compared with its own total."""
     out = {}
-    for feature in {f for f, _ in counts} | {"word:text", "word:beside", "word:unmarked"}:
-        ratio = math.log((counts.get((feature, True), 0) + PRIOR) / inside
-                         / ((counts.get((feature, False), 0) + PRIOR) / outside))
-        if feature in ("word:text", "word:unmarked"):
-            out[feature] = max(ratio, LEAST)
-        elif feature == "word:beside":
-            out[feature] = min(ratio, -LEAST)
-        else:
-            out[feature] = min(ratio, -LEAST)
+    kinds = {"word": lambda f: f.startswith("word:"), "class": lambda f: f.startswith("class:"),
+             "tag": lambda f: f[0] == "<" or f.startswith("box:")}
+    for kind, of in kinds.items():
+        held = {f: [counts.get((f, side), 0) + PRIOR for side in (True, False)] for f in {f for f, _ in counts} if of(f)}
+        if kind == "class":
+            for words, side in ((BESIDE, 1), (WITHIN, 0)):
+                for w in words:
+                    held.setdefault(f"class:{w}", [PRIOR, PRIOR])[side] += GUESS
+        # elements with any class at all say nothing: classes are compared with each other's prior
+        inside, outside = (1.0, 1.0) if kind == "class" else [sum(v[i] for v in held.values()) or 1.0 for i in (0, 1)]
+        for f, (x, y) in held.items():
+            ratio = math.log(x / inside / (y / outside))
+            out[f] = max(ratio, LEAST) if kind == "word" else min(ratio, -LEAST) if kind == "tag" else ratio
     return out
 
 
@@ -223,8 +236,8 @@ def best_region(scores: list[float]) -> tuple[int, int]:
 
 
 def main_text(page: str | None, weight: dict[str, float]) -> str:
-    toks = tokens(page)
-    scores = [weight.get(f, -LEAST) * (v[0] if k == "word" else 1) for k, f, v in toks]
+    toks = tokens(page, weight)
+    scores = [0.0 if k == "mark" else weight.get(f, LEAST) * v[0] if k == "word" else weight.get(f, -LEAST) for k, f, v in toks]
     start, end = best_region(scores)
     blocks: list[str] = []
     line: list[str] = []
@@ -234,7 +247,7 @@ def main_text(page: str | None, weight: dict[str, float]) -> str:
         elif kind == "tag" and value in INLINE:
             if value in ("br", "img"):
                 line.append(" ")
-        elif kind == "tag" or value not in INLINE:
+        elif kind != "box" or value not in INLINE:
             blocks.append("".join(line))
             line = []
     blocks.append("".join(line))
