@@ -147,8 +147,7 @@ class MultiGraph:
         through a self-loop)."""
         e = self.edges.filter((F.col("source") == node_id) | (F.col("target") == node_id))
         other = F.when(F.col("source") == node_id, F.col("target")).otherwise(F.col("source"))
-        ids = e.select(other.alias("id")).distinct()
-        return self.nodes.join(ids, "id", "left_semi")
+        return self.nodes.join(e.select(other.alias("id")), "id", "left_semi")  # a semi-join needs no distinct side
 
     def adjacent_edges(self, node_id: str) -> DataFrame:
         return self.edges.filter((F.col("source") == node_id) | (F.col("target") == node_id))

@@ -29,6 +29,7 @@ from __future__ import annotations
 
 import hashlib
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -93,6 +94,20 @@ def parse_payments(lines: DataFrame, variant: str = "B", extra: dict[str, str] |
     struct of sub-variants (top level, actor, first target) and every rule
     and field reads those.
     """
+    good, bad = split_records(parse_records(lines, variant, extra))
+    return good, bad if keep_rejects else None
+
+
+def split_records(records: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The accepted and the rejected ones."""
+    good = records.filter(F.col("reason").isNull()).select(
+        *[F.col("parsed").alias(n) if n == "time_sended" else n for n in records.columns if n not in ("value", "reason", "parsed")])
+    bad = records.filter(F.col("reason").isNotNull()).select("value", "file_path", "reason")
+    return good, bad
+
+
+def parse_records(lines: DataFrame, variant: str = "B", extra: dict[str, str] | None = None) -> DataFrame:
+    """Every line with its fields, and the ``reason`` if it is rejected."""
     if variant not in ("A", "B"):
         raise ValueError("variant is 'A' (four fields) or 'B' (six fields)")
     v = F.try_parse_json(F.col("value"))
@@ -134,12 +149,7 @@ def parse_payments(lines: DataFrame, variant: str = "B", extra: dict[str, str] |
     rec = rec.select("value", "reason", *names_out, F.inline(F.array(F.struct(
         parse_iso_time("time_sended").alias("parsed")))))
     unread = F.col("parsed").isNull() & F.col("time_sended").isNotNull()
-    rec = rec.withColumn("reason", F.coalesce("reason", F.when(unread, F.lit("bad_time"))))
-    good = rec.filter(F.col("reason").isNull()).select(
-        *[F.col("parsed").alias(n) if n == "time_sended" else n for n in names_out])
-    bad = rec.filter(F.col("reason").isNotNull()).select("value", "file_path", "reason") \
-        if keep_rejects else None
-    return good, bad
+    return rec.withColumn("reason", F.coalesce("reason", F.when(unread, F.lit("bad_time"))))
 
 
 def with_index_columns(payments: DataFrame, variant: str = "B", grain: str = "day") -> DataFrame:
@@ -287,12 +297,18 @@ def ingest(spark: SparkSession, path: str, location: str, variant: str = "B",
     changed = held.join(files.select("file"), "file", "left_semi").select("file", "name").collect()
     name = f"{load}-{L.digest(sorted((r.file, r.size, r.time) for r in new))}"
     lines = read_lines(spark, [L.literal(r.path) for r in new])
-    good, bad = parse_payments(lines, variant, keep_rejects=rejects_location is not None)
+    records = parse_records(lines, variant)
+    if rejects_location is not None:
+        records = records.persist(StorageLevel.DISK_ONLY)  # read and parsed once for both
+    good, bad = split_records(records)
     if changed:
         _without(spark, ledger, spark.createDataFrame(changed, "file string, name string"), grain, aggregates)
-    write_payments(good, location, load, variant, grain, files=files, name=name, removes=[], aggregates=aggregates)
-    if rejects_location is not None:
-        write_rejects(bad, rejects_location, name)
+    try:
+        if rejects_location is not None:
+            write_rejects(bad, rejects_location, name)
+        write_payments(good, location, load, variant, grain, files=files, name=name, removes=[], aggregates=aggregates)
+    finally:
+        records.unpersist()
     return len(new)
 
 
