@@ -30,6 +30,14 @@ def release(*tables: DataFrame) -> None:
         path.getFileSystem(df.sparkSession._jsparkSession.sessionState().newHadoopConf()).delete(path, True)
 
 
+def slices(batches, rows: int = 1024):
+    """Arrow batches in parts of so many rows: what a task makes of a part is
+    passed on before the next one, so it never holds a whole batch twice."""
+    for b in batches:
+        for i in range(0, b.num_rows, rows):
+            yield b.slice(i, rows)
+
+
 def ascii_lower(c: Column) -> Column:
     return F.translate(c, UPPER, UPPER.lower())
 

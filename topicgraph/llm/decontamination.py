@@ -35,12 +35,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import free_name, written
+from .common import free_name, slices, written
 
 #: Words of a phrase.
 WINDOW = 10
 #: Words in the index of one shard, and item words in one block of phrases.
-SHARD, BLOCK = 1 << 19, 1 << 20
+SHARD, BLOCK = 1 << 17, 1 << 20
+#: Documents that a task passes on at a time.
+ROWS = 2048
 #: Every so many positions of a run one suffix position is kept.
 SAMPLE = 16
 
@@ -307,7 +309,7 @@ def _scan(docs: DataFrame, text: str, found: str, phrases: Phrases, shard: int,
         import pyarrow as pa
 
         block = Phrases.received(sent.value)
-        for b in batches:
+        for b in slices(batches, ROWS):
             hits = _search_texts((t.as_py() for t in b.column(text)), block, shard)
             rows, texts, keep = [], [], []
             for (n, spans, items), old, t in zip(hits, b.column(found), b.column(text)):

@@ -39,7 +39,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import fold, free_name
+from .common import fold, free_name, slices
 from .decontamination import words
 
 #: Bounds of the model: examples of each class, and terms.
@@ -57,7 +57,7 @@ GRADES = (2, 4, 8, 16, 32, 64)
 #: Folds of the ids; fold 0 is held out.
 FOLDS = 5
 #: Words and neighbour lists that a worker remembers at most.
-WORDS, LISTS = 200_000, 10_000
+WORDS, LISTS = 100_000, 5_000
 
 EVIDENCE = "array<struct<doc_id: string, toxic: int, similarity: double>>"
 
@@ -354,7 +354,7 @@ def score(docs: DataFrame, model: Model, text_col: str = "text", out: str = "tox
 
         scorer = Scorer(Model.received(sent.value))
         entry = pa.struct([("doc_id", pa.string()), ("toxic", pa.int32()), ("similarity", pa.float64())])
-        for b in batches:
+        for b in slices(batches, 512):
             got = [scorer(t.as_py()) for t in b.column(text_col)]
             rows = pa.array([{"score": s, "evidence": e} for s, e in got],
                             pa.struct([("score", pa.float64()), ("evidence", pa.list_(entry))]))
