@@ -70,9 +70,9 @@ def lines(text: Column) -> Column:
     return F.split(text, "\n")
 
 
-def tokens(line: Column) -> Column:
-    """Tokens of a line, each with a digit replaced by the field sign."""
-    trimmed = F.trim(line, F.lit(ENDS))
+def tokens(trimmed: Column) -> Column:
+    """Tokens of a line without white space around it, each with a digit
+    replaced by the field sign."""
     # from the start of a token, without stepping back: one pass over the line
     field = r"(?<![^\x20\x09-\x0D])[^\x20\x09-\x0D0-9]*+[0-9][^\x20\x09-\x0D]*+"
     masked = F.when(trimmed.rlike("[0-9]"), F.regexp_replace(trimmed, field, FIELD)).otherwise(trimmed)
@@ -115,9 +115,9 @@ def shape_rows(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     as.  ``(doc_id, h)`` names a document, by its id and a hash of its text."""
     each = docs.select(F.col(id_col).alias("doc_id"), F.xxhash64(F.col(text_col)).alias("h"),
                        F.posexplode(lines(F.col(text_col))).alias("line", "raw"))
-    trimmed = F.trim(F.col("raw"), F.lit(ENDS))
-    found = bound(tokens(F.col("raw")), lambda toks: shapes_of(toks, trimmed, min_tokens, min_docs))
-    return written(each.select("doc_id", "h", "line", F.inline(found)), "parsed-lines")
+    found = bound(F.trim(F.col("raw"), F.lit(ENDS)), lambda trimmed: bound(
+        tokens(trimmed), lambda toks: shapes_of(toks, trimmed, min_tokens, min_docs)))
+    return written(each.filter(F.trim("raw", F.lit(ENDS)) != "").select("doc_id", "h", "line", F.inline(found)), "parsed-lines")
 
 
 def recurring(rows: DataFrame, min_docs: int = MIN_DOCS) -> DataFrame:
