@@ -16,6 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import text
+from ..functions.numbering import numbered
 
 MODES = ("match", "term", "prefix", "match_phrase")
 GRAINS = {"day", "month"}  # partition columns of the stored table
@@ -188,6 +189,14 @@ def page(matched: DataFrame, size: int = 9999, after: str | None = None, time: s
     return rows[:size], json.dumps([None if last[time] is None else last[time].isoformat(), last[doc_id]])
 
 
+def all_pages(matched: DataFrame, size: int = 9999, time: str = "time_sended", doc_id: str = "doc_id") -> DataFrame:
+    """S5 for a whole result: every row with the number of its ``page``, as
+    ``page`` gives them one by one.  The pages are counted where the rows lie:
+    none of them goes through the driver."""
+    rows = numbered(matched, [time, doc_id], "number")
+    return rows.select(F.expr(f"number div {int(size)}").alias("page"), *matched.columns)
+
+
 def sample_messages(matched: DataFrame, n: int = 20) -> DataFrame:
     """The first ``n`` hits in a fixed order (top-k, not a full sort)."""
     order = ["time_sended", "actor_id", "target_id", "message"]
