@@ -26,6 +26,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -56,7 +57,11 @@ def build(docs: DataFrame, path: str, doc_id: str = "doc_id", message: str = "me
     if not tokens:
         base = base.select("*", F.inline(F.array(F.struct(text.analyze("message", emoticons).alias("tokens")))))
     base = base.withColumn("tokens", F.coalesce("tokens", F.array().cast("array<string>"))).withColumn("dl", F.size("tokens"))
-    rows = numbered(base, ["dl", "doc_id"], "number")
+    base = base.persist(StorageLevel.DISK_ONLY)  # analysed once: dealing by ranges reads its rows twice
+    try:
+        rows = numbered(base, ["dl", "doc_id"], "number")
+    finally:
+        base.unpersist()
     # numbered rows lie in ranges of their number already: a map-side write keeps them sorted
     rows = rows.withColumn("block", F.expr(f"number div {int(block)}")).drop("number")
     rows.sortWithinPartitions("block", "doc_id").write.parquet(f"{path}/documents")
