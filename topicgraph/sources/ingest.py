@@ -237,7 +237,12 @@ def write_payments(payments: DataFrame, location: str, load: str, variant: str =
     ledger = L.Ledger(spark, location)
     removes = [f.name for f in ledger.live() if f.load == load] if removes is None else removes
     name = ledger.fresh(name or load)
-    _write(_numbered(with_index_columns(payments, variant, grain), grain), ledger.data(name), grain, max_records_per_file)
+    # parsed and analysed once: dealing by ranges reads its rows twice
+    rows = with_index_columns(payments, variant, grain).persist(StorageLevel.DISK_ONLY)
+    try:
+        _write(_numbered(rows, grain), ledger.data(name), grain, max_records_per_file)
+    finally:
+        rows.unpersist()
     if aggregates:
         _aggregate(spark.read.parquet(ledger.data(name)), ledger, name)
     ledger.commit(name, load, spark.createDataFrame([], L.FILES) if files is None else files, removes)
