@@ -17,6 +17,7 @@ from __future__ import annotations
 import math
 from dataclasses import dataclass
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -41,6 +42,14 @@ def _cell(c: Column, low: float, side: float) -> Column:
 def _build(rows: DataFrame, path: str, cx: Column, cy: Column, half: Column, row_group: int) -> None:
     """``rows`` with ``key``, sorted by it; ``half`` is half an element's size."""
     rows = rows.filter(cx.isNotNull() & cy.isNotNull() & ~F.isnan(cx) & ~F.isnan(cy) & half.isNotNull() & ~F.isnan(half))
+    rows = rows.persist(StorageLevel.DISK_ONLY)  # made once: the extent, the ranges of the key and the table are read from it
+    try:
+        _store(rows, path, cx, cy, half, row_group)
+    finally:
+        rows.unpersist()
+
+
+def _store(rows: DataFrame, path: str, cx: Column, cy: Column, half: Column, row_group: int) -> None:
     e = rows.agg(F.min(cx), F.max(cx), F.min(cy), F.max(cy)).first()
     low_x, low_y = (e[0] or 0.0), (e[2] or 0.0)
     side = max((e[1] or 0.0) - low_x, (e[3] or 0.0) - low_y) or 1.0
