@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from topicgraph.operators import adjacency, postings, spatial_store
 from topicgraph.operators import search as S
 from topicgraph.operators.multigraph import MultiGraph
+from topicgraph.plans import catalog
 from topicgraph.session import scratch_path
 from topicgraph.sources import byte_ranges as BR
 from topicgraph.sources import graph_files as GF
@@ -131,6 +132,23 @@ def test_cypher_moves_what_is_asked_for(spark, tmp_dir):
     assert sorted(map(tuple, g.edges.select("id", "type").collect())) == [("r", "A"), ("s", "C")]
 
 
+def test_cypher_documents_meet_as_rows_in_tasks_of_a_bounded_size(spark, tmp_dir, monkeypatch):
+    for name, rows in {
+            "customer": "SELECT id AS c_custkey, concat('c', id) AS c_name FROM range(5)",
+            "part": "SELECT id AS p_partkey, 'hot gear' AS p_name FROM range(3)",
+            "orders": "SELECT id AS o_orderkey, id % 5 AS o_custkey, date'1997-01-01' AS o_orderdate FROM range(200)",
+            "lineitem": "SELECT id AS l_orderkey, id % 3 AS l_partkey, id % 2 AS l_suppkey, 1 AS l_linenumber, 'N' AS l_returnflag "
+                        "FROM range(200)"}.items():
+        spark.sql(rows).write.parquet(f"{tmp_dir}/{name}.parquet")
+    monkeypatch.setattr(catalog, "CYPHER_ROWS", 10)
+    docs = catalog._cypher_documents(spark, tmp_dir)
+    plan = docs._jdf.queryExecution().executedPlan().toString()
+    assert plan.index("partial_collect_list") < plan.index("Exchange")  # lists are made behind the shuffle
+    assert "REPARTITION_BY_NUM" in plan and docs.rdd.getNumPartitions() == 1 + 21 // catalog.CYPHER_TASK
+    assert 1 < docs.count() <= 21 and docs.select("b").distinct().count() == docs.count()
+    assert catalog.q_cypher_edges(spark, tmp_dir).count() == 200 and catalog.q_cypher_nodes(spark, tmp_dir).count() == 5
+
+
 def test_graph_of_several_documents(spark, tmp_dir):
     g, path = graph(spark), os.path.join(tmp_dir, "docs")
     GF.write_graph_json_documents(MultiGraph(g.nodes, g.edges.withColumn("label", F.lit(None).cast("string"))), path, size=100)
