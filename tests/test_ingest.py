@@ -169,3 +169,25 @@ def test_variant_a_stores_standard_tokens(spark, tmp_dir):
     src, out = _folder(tmp_dir, "a", [_payment(1, "Coffee-time :)")]), os.path.join(tmp_dir, "index")
     ingest.ingest(spark, src, out, variant="A")
     assert ingest.read_index(spark, out).first().tokens == ["coffee", "time"]
+
+
+def test_fields_are_taken_at_once_and_say_why_a_line_is_rejected(spark):
+    def line(target='{"id":7,"username":"t"}', actor='{"id":1,"username":"a"}', rest=',"message":"m","updated_time":"1997-01-01T00:00:00Z"'):
+        return f'{{"actor":{actor},"transactions":[{{"target":{target}}}]{rest}}}'
+
+    def to(value):
+        return line(f'{{"id":{value},"username":"t"}}')
+
+    cases = {line()[:40]: "bad_json", "": "bad_json", "[1]": "no_target", '{"transactions":{}}': "no_target", '{"transactions":[null]}': "no_target",
+             '{"transactions":[]}': "no_target", line('"t"'): "no_target", line('{"username":"t"}'): "no_target", line(actor="5"): "no_actor",
+             line(actor='{"username":"a"}'): "no_actor", line(actor='{"id":1}'): "no_username", line('{"id":7}'): "no_username",
+             line(rest=',"updated_time":null'): "no_message", line(rest=',"message":null'): "no_time",
+             line(rest=',"message":"m","updated_time":"x"'): "bad_time", line(rest=',"message":null,"updated_time":null'): None,
+             line('{"id":7,"username":null}', '{"id":null,"username":null}'): None}
+    cases |= {to(v): "falsy_target" for v in ("null", '""', "0", "-0.0", "0e5", "false", "[]", "{}", "[ ]")}
+    cases |= {to(v): None for v in ('"0"', '"false"', '"[]"', "10", "0.5", "-1", "true", "[0]", '{"a":0}', '"é"', '" "', "1e3")}
+    lines = spark.createDataFrame([(v, "f") for v in cases], "value string, file_path string")
+    records = ingest.parse_records(lines)
+    assert {r.value: r.reason for r in records.collect()} == cases
+    plan = records._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("try_parse_json(") <= 1 and "StructField(id,VariantType" not in plan, plan

@@ -48,38 +48,52 @@ def read_lines(spark: SparkSession, path: str | list[str], path_glob_filter: str
     return reader.load(path).select("value", F.col("_metadata.file_path").alias("file_path"))
 
 
-_TOP = "struct<actor variant, transactions variant, message variant, updated_time variant>"
-_PARTY = "struct<id variant, username variant>"
-
-
-def _truthy(x: Column) -> Column:
-    """Python truthiness of a JSON value held in a variant (null, "", 0,
-    false, [] and {} are falsy)."""
+def _truthy(s: Column, x: Column) -> Column:
+    """Python truthiness of a JSON value, as text and as a variant (null, "",
+    0, false, [] and {} are falsy).  Its type is asked for only if the text
+    does not settle it: what begins with 1 to 9 is no falsy value."""
     typ = F.schema_of_variant(x)
-    s = F.try_variant_get(x, "$", "string")
-    return (F.when(x.isNull() | F.is_variant_null(x), F.lit(False))
+    return (F.when(s.isNull(), F.lit(False))  # missing or null
+            .when(s.substr(1, 1).between("1", "9"), F.lit(True))
             .when(typ == "STRING", s != "")
             .when(typ == "BOOLEAN", s == "true")
             .when(typ.startswith("ARRAY") | typ.startswith("OBJECT"), ~s.isin("[]", "{}"))
             .otherwise(F.coalesce(s.try_cast("double") != 0, F.lit(True))))
 
 
+_PARTY = "struct<id string, username string>"
+_TEXTS = f"struct<actor {_PARTY}, transactions array<struct<target {_PARTY}>>, message string, updated_time string>"
+#: Where the fields of a record are.
+_PATHS = {"actor_id": "$.actor.id", "actor_name": "$.actor.username", "target_id": "$.transactions[0].target.id",
+          "target_name": "$.transactions[0].target.username", "message": "$.message", "time_sended": "$.updated_time"}
+
+
+def _value(field: str) -> Column:
+    """The field as a variant, NULL only if its key is missing."""
+    return F.try_variant_get("v", _PATHS[field], "variant")
+
+
+def _present(field: str) -> Column:
+    """Whether the key is there.  A value with a text is; only a JSON null has
+    none, and is told from a missing key by its variant."""
+    return F.when(F.col(field).isNotNull(), F.lit(True)).otherwise(_value(field).isNotNull())
+
+
 def _checks(variant: str) -> list[tuple[str, Column]]:
     """Ordered (reason, keep-condition) over the staged columns ``v`` (the
-    parsed line), ``r`` (top-level fields), ``a`` (actor), ``t`` (first
-    transaction's target); a field is present when it is not SQL NULL (a
-    JSON null is a variant null, which is present)."""
+    parsed line) and the texts of the fields; a field is present when its
+    variant is not SQL NULL (a JSON null is a variant null, which is present)."""
     checks = [
         ("bad_json", F.col("v").isNotNull()),
-        ("no_target", F.col("t.id").isNotNull()),
-        ("no_actor", F.col("a.id").isNotNull()),
+        ("no_target", _present("target_id")),
+        ("no_actor", _present("actor_id")),
     ]
     if variant == "B":
-        checks.append(("no_username", F.col("a.username").isNotNull() & F.col("t.username").isNotNull()))
+        checks.append(("no_username", _present("actor_name") & _present("target_name")))
     checks += [
-        ("falsy_target", _truthy(F.col("t.id"))),
-        ("no_message", F.col("r.message").isNotNull()),
-        ("no_time", F.col("r.updated_time").isNotNull()),
+        ("falsy_target", _truthy(F.col("target_id"), _value("target_id"))),
+        ("no_message", _present("message")),
+        ("no_time", _present("time_sended")),
     ]
     return checks
 
@@ -110,28 +124,19 @@ def parse_records(lines: DataFrame, variant: str = "B", extra: dict[str, str] |
     """Every line with its fields, and the ``reason`` if it is rejected."""
     if variant not in ("A", "B"):
         raise ValueError("variant is 'A' (four fields) or 'B' (six fields)")
-    v = F.try_parse_json(F.col("value"))
-    staged = lines.select("value", "file_path", v.alias("v"))
-    staged = staged.select("value", "file_path", "v",
-                           F.try_variant_get("v", "$", _TOP).alias("r"))
-    staged = staged.select("value", "file_path", "v", "r",
-                           F.try_variant_get("r.actor", "$", _PARTY).alias("a"),
-                           F.try_variant_get("r.transactions", "$[0].target", _PARTY).alias("t"))
+    # the texts are taken out of the parsed line at once; a sub-variant, which
+    # is a copy, is made only of a field that has no text
+    staged = lines.select("value", "file_path", F.try_parse_json(F.col("value")).alias("v"))
+    staged = staged.select("value", "file_path", "v", F.try_variant_get("v", "$", _TEXTS).alias("r"))
+    party = F.get(F.col("r.transactions"), F.lit(0))["target"]
+    staged = staged.select("value", "file_path", "v", F.col("r.actor.id").alias("actor_id"),
+                           F.col("r.actor.username").alias("actor_name"), party["id"].alias("target_id"),
+                           party["username"].alias("target_name"), "r.message", F.col("r.updated_time").alias("time_sended"))
     reason = F.coalesce(*[F.when(~F.coalesce(ok, F.lit(False)), F.lit(name))
                           for name, ok in _checks(variant)])
-
-    def text_of(c: str) -> Column:
-        return F.try_variant_get(F.col(c), "$", "string")
-
-    names = (text_of("a.username"), text_of("t.username")) if variant == "B" \
-        else (F.lit(None).cast("string"), F.lit(None).cast("string"))
-    named = [
-        ("actor_id", text_of("a.id")),
-        ("actor_name", names[0]),
-        ("target_id", text_of("t.id")),
-        ("target_name", names[1]),
-        ("message", text_of("r.message")),
-        ("time_sended", text_of("r.updated_time")),   # parsed after the fence
+    unnamed = () if variant == "B" else ("actor_name", "target_name")
+    named = [(n, F.lit(None).cast("string") if n in unnamed else F.col(n)) for n in _PATHS]  # the time is parsed after the fence
+    named += [
         ("file_path", F.col("file_path")),
         # content hash of the source line: stable across reruns; the ordinal
         # that tells identical lines of a file apart is added when they are stored
