@@ -1,4 +1,5 @@
 import math
+import os
 import random
 import zlib
 from collections import Counter
@@ -7,6 +8,7 @@ import numpy as np
 from pyspark.sql import functions as F
 
 from topicgraph.llm import suffix_tree as L
+from topicgraph.session import ensure_checkpoint_dir
 
 SCHEMA = "doc_id bigint, text string"
 
@@ -129,3 +131,55 @@ def test_rare_contexts_stay_in_a_large_corpus(spark):
     assert (b"zork",) in brute.stays
     r = next(r for r in got if r.doc_id == alone)
     assert r.score > r.base_score + 5
+
+
+def on_disk(spark):
+    """Bytes in the scratch folder and in the shuffle files."""
+    scratch = ensure_checkpoint_dir(spark).removeprefix("file:")
+    blocks = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+    tables = sum(os.path.getsize(os.path.join(d, f)) for d, _, names in os.walk(scratch) for f in names)
+    return tables, sum(blocks.apply(i).length() for i in range(blocks.size()))
+
+
+def test_little_is_left_on_disk(spark):
+    rnd = random.Random(5)
+    words = [f"word{i}" for i in range(3000)]
+    weights = [1 / (i + 1) for i in range(3000)]
+    rows = [(i, " ".join(rnd.choices(words, weights, k=1000))) for i in range(400)]
+    tables, shuffles = on_disk(spark)
+    got = L.train_and_score(spark.createDataFrame(rows, SCHEMA))
+    more = on_disk(spark)
+    size = sum(len(t) for _, t in rows)
+    assert more[0] - tables < size and more[1] - shuffles < size, (size, tables, shuffles, more)
+    assert spark.conf.get("spark.sql.classic.shuffleDependency.fileCleanup.enabled") == "false"
+    assert got.count() == len(rows)
+
+
+def test_divided_contexts(spark):
+    rnd = random.Random(6)
+    rows = [(i, " ".join(["the", "same", "start", *rnd.choices("pqrs", (80, 10, 5, 5), k=rnd.randrange(40))])) for i in range(60)]
+    rows += [(i, "the") for i in range(60, 90)]
+    rows += [(i, " ".join(w + " " + rnd.choice("uv") for w in rnd.choices("xyz", k=9))) for i in range(90, 120)]
+    docs = spark.createDataFrame(rows, SCHEMA)
+    whole = L.train_and_score(docs).collect()
+    check(whole, rows, L.DEPTH, 0)
+    for part, chunk in ((60, 150), (300, 1000)):
+        check(L.train_and_score(docs, part=part, chunk=chunk).collect(), rows, L.DEPTH, 0)
+    check(L.train_and_score(docs, depth=0, part=60).collect(), rows, 0, 0)
+
+
+def test_divided_context_that_stays_for_a_child(spark):
+    # "b" says nothing about the next word, but "a b" and "c b" do
+    rnd = random.Random(7)
+    rows = [(i, " ".join(w for _ in range(20) for w in rnd.choice((("a", "b", "x"), ("c", "b", "y"))))) for i in range(40)]
+    rows += [(i, " ".join(rnd.choices("xy", k=20))) for i in range(40, 50)]
+    docs = spark.createDataFrame(rows, SCHEMA)
+    for depth in (1, 2):
+        check(L.train_and_score(docs, depth=depth, part=400).collect(), rows, depth, 0)
+
+
+def test_packed():
+    for columns in ([np.arange(0)] * 2, [np.array([0, 0]), np.array([1, 1 << 40])], [np.array([3, 255, 256])]):
+        assert all((a == b).all() for a, b in zip(L.unpacked(L.packed(*columns)), columns))
+    x = np.array([-1.5, 0.0, 2.0 ** -30])
+    assert (L.unpacked(L.packed(x))[0].view(np.float64) == x).all()
