@@ -169,13 +169,19 @@ def test_divided_contexts(spark):
 
 
 def test_divided_context_that_stays_for_a_child(spark):
-    # "b" says nothing about the next word, but "a b" and "c b" do
+    # "b" says nothing about the next word, but "x b", "y b" and "b b" do
     rnd = random.Random(7)
-    rows = [(i, " ".join(w for _ in range(20) for w in rnd.choice((("a", "b", "x"), ("c", "b", "y"))))) for i in range(40)]
-    rows += [(i, " ".join(rnd.choices("xy", k=20))) for i in range(40, 50)]
+    rows = []
+    for i in range(25):
+        ws = []
+        for _ in range(60):
+            after_b = len(ws) > 1 and ws[-1] == "b"
+            ws.append({"x": "x", "y": "b", "b": "y"}[ws[-2]] if after_b else rnd.choice("xyb"))
+        rows.append((i, " ".join(ws)))
     docs = spark.createDataFrame(rows, SCHEMA)
-    for depth in (1, 2):
-        check(L.train_and_score(docs, depth=depth, part=400).collect(), rows, depth, 0)
+    for depth, stays in ((1, False), (2, True)):
+        brute = check(L.train_and_score(docs, depth=depth, part=300).collect(), rows, depth, 0)
+        assert ((b"b",) in brute.stays) == stays
 
 
 def test_packed():
