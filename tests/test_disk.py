@@ -62,6 +62,21 @@ def test_a_written_table_goes_with_what_made_it(spark):
     assert scratch(spark) == files
 
 
+def test_adjacency_and_rounds(spark):
+    g = graph(spark)
+    before = shuffled(spark)
+    adj = adjacency.build(g, scratch_path(spark, "adj"))
+    assert shuffled(spark) - before < 20_000
+    assert adj.edges("out").count() == adj.edges("in").count() == N
+    between = shuffled(spark)
+    scores = hits_stored(adj, scratch_path(spark, "pairs"), undirected=True)
+    assert shuffled(spark) - between < 20_000 and scores.count() == 500
+    between = shuffled(spark)
+    tree = shortest_tree(adj.links(scratch_path(spark, "links"), "length", undirected=True), "0")
+    assert shuffled(spark) - between < 20_000 and tree.count() == 500
+    assert spark.conf.get("spark.sql.classic.shuffleDependency.fileCleanup.enabled") == "false"
+
+
 def test_payments_do_not_move_again_to_their_targets(spark, tables):
     keys = ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.enabled")
     old = {k: spark.conf.get(k) for k in keys}

@@ -27,7 +27,7 @@ from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..session import ensure_checkpoint_dir
+from ..session import ensure_checkpoint_dir, shuffles_deleted
 from .adjacency import Adjacency
 
 
@@ -78,7 +78,8 @@ def hits_stored(adjacency: Adjacency, path: str, undirected: bool = False, eps:
     def met(state: DataFrame, side: str, *cols: str) -> DataFrame:
         return links.meet(state.select("id", *cols), side)
 
-    return _settled(members, met, undirected, eps, max_iter, return_rounds)
+    with shuffles_deleted(adjacency.spark):  # each round is checkpointed
+        return _settled(members, met, undirected, eps, max_iter, return_rounds)
 
 
 def _sums(state: DataFrame, met, undirected: bool) -> DataFrame:
