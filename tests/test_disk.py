@@ -94,3 +94,13 @@ def test_payments_do_not_move_again_to_their_targets(spark, tables):
     want = {r.id: (r.x, r.y) for r in g.nodes.collect()}
     rows = edges.collect()
     assert len(rows) == 2000 and all((r.x1, r.y1) == want[r.source] and (r.x2, r.y2) == want[r.target] for r in rows)
+
+
+def test_search_index(spark):
+    docs = spark.range(N).selectExpr("cast(id AS string) AS doc_id", "concat('hot gear ', id % 7) AS message",
+                                     "timestamp_ntz'1997-01-01 00:00:00' AS time_sended")
+    spark.range(1).write.parquet(scratch_path(spark, "first"))
+    before, files, path = shuffled(spark), scratch(spark), scratch_path(spark, "index")
+    index = postings.build(docs, path)
+    assert shuffled(spark) - before < 20_000 and scratch(spark) - files == {os.path.basename(path)}
+    assert index.prefix("ho").count() == N

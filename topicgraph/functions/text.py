@@ -198,18 +198,19 @@ def token_table(df: DataFrame, id_cols: list[str], tokens: str = "tokens",
 
     Synonyms are added by a broadcast join against the bounded dictionary
     (no per-row map lookup and no regrouping shuffle); a synonym row carries
-    the position of the emoji it expands.
+    the position of the emoji it expands.  The documents are read once.
     """
     base = df.select(*id_cols, F.posexplode(tokens).alias("pos", "token"))
-    base = base.withColumn("synonym", F.lit(False))
     if not with_synonyms:
-        return base
-    syn = F.broadcast(synonym_table(df.sparkSession, synonym_rows)
-                      .select(F.col("emoji").alias("token"), F.col("word")))
-    extra = (base.join(syn, "token")
-                 .select(*id_cols, "pos", F.col("word").alias("token"),
-                         F.lit(True).alias("synonym")))
-    return base.unionByName(extra)
+        return base.withColumn("synonym", F.lit(False))
+    words: dict[str, list[str]] = {}
+    for e, ws in emoji.synonym_rows() if synonym_rows is None else synonym_rows:
+        words.setdefault(e, []).extend(ws)
+    syn = F.broadcast(df.sparkSession.createDataFrame(list(words.items()), "_emoji string, _words array<string>"))
+    own = F.array(F.struct("token", F.lit(False).alias("synonym")))
+    more = F.transform("_words", lambda w: F.struct(w.alias("token"), F.lit(True).alias("synonym")))
+    said = F.when(F.col("_words").isNull(), own).otherwise(F.concat(own, more))
+    return base.join(syn, F.col("token") == F.col("_emoji"), "left").select(*id_cols, "pos", F.inline(said))
 
 
 # ---------------------------------------------------------------------------

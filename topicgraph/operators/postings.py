@@ -26,12 +26,12 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import text
 from ..functions.numbering import numbered
+from ..session import delete, scratch_path, shuffles_deleted, written
 from .search import _EXPLAIN_SCHEMA, B, K1, _ts
 
 #: Documents in a block, and blocks that ``top`` reads before bounds decide.
@@ -57,14 +57,19 @@ def build(docs: DataFrame, path: str, doc_id: str = "doc_id", message: str = "me
     if not tokens:
         base = base.select("*", F.inline(F.array(F.struct(text.analyze("message", emoticons).alias("tokens")))))
     base = base.withColumn("tokens", F.coalesce("tokens", F.array().cast("array<string>"))).withColumn("dl", F.size("tokens"))
-    base = base.persist(StorageLevel.DISK_ONLY)  # analysed once: dealing by ranges reads its rows twice
-    try:
-        rows = numbered(base, ["dl", "doc_id"], "number")
-    finally:
-        base.unpersist()
-    # numbered rows lie in ranges of their number already: a map-side write keeps them sorted
-    rows = rows.withColumn("block", F.expr(f"number div {int(block)}")).drop("number")
-    rows.sortWithinPartitions("block", "doc_id").write.parquet(f"{path}/documents")
+    ranges = scratch_path(spark, "numbered")
+    with written(base, "analysed") as base, shuffles_deleted(spark):  # analysed once: dealing by ranges reads its rows twice
+        rows = numbered(base, ["dl", "doc_id"], "number", path=ranges)
+    with shuffles_deleted(spark):
+        # numbered rows lie in ranges of their number already: a map-side write keeps them sorted
+        rows = rows.withColumn("block", F.expr(f"number div {int(block)}")).drop("number")
+        rows.sortWithinPartitions("block", "doc_id").write.option("compression", "zstd").parquet(f"{path}/documents")
+        delete(spark, ranges)
+        _write_postings(spark, path, synonyms, synonym_rows)
+    return SearchIndex(spark, path, synonyms, emoticons, synonym_rows)
+
+
+def _write_postings(spark: SparkSession, path: str, synonyms: bool, synonym_rows: text.Synonyms | None) -> None:
     stored = spark.read.parquet(f"{path}/documents")
     (stored.filter("dl > 0").agg(F.count("*").alias("n_docs"), F.avg("dl").alias("avgdl"))
      .write.parquet(f"{path}/stats"))
@@ -82,11 +87,11 @@ def build(docs: DataFrame, path: str, doc_id: str = "doc_id", message: str = "me
     (each.groupBy("token", "block").agg(
         F.count("*").cast("int").alias("n"), F.max("norm").alias("max_norm"), F.min("doc_id").alias("min_doc"),
         F.max("time_sended").alias("max_time"), F.sum("tf").alias("tf"), F.collect_list(doc).alias("docs"))
-     .sortWithinPartitions("token", "block").write.option("parquet.block.size", 8 << 20).parquet(f"{path}/postings"))
+     .sortWithinPartitions("token", "block").write.option("parquet.block.size", 8 << 20).option("compression", "zstd")
+     .parquet(f"{path}/postings"))
     heads = spark.read.parquet(f"{path}/postings")
     (heads.groupBy("token").agg(F.sum("n").alias("df"), F.sum("tf").alias("tf"), F.count("*").alias("blocks"))
      .repartitionByRange("token").sortWithinPartitions("token").write.parquet(f"{path}/terms"))
-    return SearchIndex(spark, path, synonyms, emoticons, synonym_rows)
 
 
 def _after(prefix: str) -> str | None:
