@@ -104,3 +104,9 @@ def test_search_index(spark):
     index = postings.build(docs, path)
     assert shuffled(spark) - before < 20_000 and scratch(spark) - files == {os.path.basename(path)}
     assert index.prefix("ho").count() == N
+
+
+def test_token_index(spark, tables):
+    before = shuffled(spark)
+    found = catalog.q_token_index_search(spark, tables)
+    assert shuffled(spark) - before < 1000 and found.count() == found.distinct().count() == 2000

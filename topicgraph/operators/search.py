@@ -123,7 +123,7 @@ def build_token_index(token_rows: DataFrame, path: str, partitions: int | None =
     # by range of (token, document): a frequent token is spread over several tasks and files
     order = ["token", *[c for c in token_rows.columns if c not in ("token", "pos", "synonym")]]
     df = token_rows.repartitionByRange(partitions, *order) if partitions else token_rows.repartitionByRange(*order)
-    df.sortWithinPartitions("token").write.mode("overwrite").parquet(path)
+    df.sortWithinPartitions("token").write.mode("overwrite").option("compression", "zstd").parquet(path)
 
 
 def docs_with_tokens(index: DataFrame, tokens: list[str], id_cols: list[str]) -> DataFrame:
