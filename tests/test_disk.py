@@ -110,3 +110,15 @@ def test_token_index(spark, tables):
     before = shuffled(spark)
     found = catalog.q_token_index_search(spark, tables)
     assert shuffled(spark) - before < 1000 and found.count() == found.distinct().count() == 2000
+
+
+def test_rejects_of_a_stream(spark, tables, monkeypatch):
+    at = {}
+    monkeypatch.setattr(catalog, "scratch_path", lambda s, name: at.setdefault(name, scratch_path(s, name)))
+    before = shuffled(spark)
+    counts = {r.reason: r.n for r in catalog.q_stream_rejects(spark, tables).collect()}
+    assert sum(counts.values()) == 2000 - 3 * 286 and counts["bad_json"] == 285
+    assert shuffled(spark) - before < 20_000
+    bad = at["stream_bad"].removeprefix("file:")
+    files = [os.path.join(d, f) for d, _, names in os.walk(bad) for f in names if not f.startswith((".", "_"))]
+    assert files and all(f.endswith(".gz") for f in files)

@@ -28,12 +28,14 @@ ignores the usernames.
 from __future__ import annotations
 
 import hashlib
+from collections.abc import Iterator
+from contextlib import contextmanager, nullcontext
 
-from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions.text import analyze, analyze_standard, parse_iso_time
+from ..session import shuffles_deleted, written
 from . import ledger as L
 
 REASONS = ("bad_json", "no_target", "no_actor", "no_username", "falsy_target",
@@ -120,6 +122,17 @@ def split_records(records: DataFrame) -> tuple[DataFrame, DataFrame]:
     return good, bad
 
 
+@contextmanager
+def parsed_once(records: DataFrame) -> Iterator[tuple[DataFrame, DataFrame]]:
+    """``split_records`` of lines that are read and parsed once for both: of a
+    line either its fields or its text is kept until the end."""
+    ok = F.col("reason").isNull()
+    slim = records.select(*[n if n in ("file_path", "reason") else F.when(~ok if n == "value" else ok, F.col(n)).alias(n)
+                            for n in records.columns])
+    with written(slim, "records") as kept:
+        yield split_records(kept)
+
+
 def parse_records(lines: DataFrame, variant: str = "B", extra: dict[str, str] | None = None) -> DataFrame:
     """Every line with its fields, and the ``reason`` if it is rejected."""
     if variant not in ("A", "B"):
@@ -162,9 +175,17 @@ def with_index_columns(payments: DataFrame, variant: str = "B", grain: str = "da
     four-field index) and the partition column for pruning time ranges, named
     after its grain (``day`` or ``month``: a partition should hold enough rows
     for a file)."""
+    return _with_tokens(_dated(payments, grain), variant, grain)
+
+
+def _dated(payments: DataFrame, grain: str) -> DataFrame:
+    return payments.withColumn(grain, F.to_date(F.date_trunc(grain, "time_sended")))
+
+
+def _with_tokens(dated: DataFrame, variant: str, grain: str) -> DataFrame:
     tokens = analyze("message") if variant == "B" else analyze_standard("message")
-    return (payments.withColumn("tokens", tokens)
-            .withColumn(grain, F.to_date(F.date_trunc(grain, "time_sended"))))
+    rest = [c for c in dated.columns if c not in (grain, "tokens")]
+    return dated.select(*rest, tokens.alias("tokens"), grain)
 
 
 def load_key(path: str, path_glob_filter: str | None = None) -> str:
@@ -212,7 +233,8 @@ def _numbered(payments: DataFrame, grain: str) -> DataFrame:
 
 
 def _write(rows: DataFrame, path: str, grain: str, max_records_per_file: int) -> None:
-    (rows.write.mode("overwrite").partitionBy(grain).option("maxRecordsPerFile", max_records_per_file).parquet(path))
+    (rows.write.mode("overwrite").partitionBy(grain).option("maxRecordsPerFile", max_records_per_file)
+     .option("compression", "zstd").parquet(path))
 
 
 #: Partial aggregates of a folder, by kind: they add up over folders.
@@ -234,28 +256,38 @@ def _aggregate(rows: DataFrame, ledger: L.Ledger, name: str) -> None:
 
 def write_payments(payments: DataFrame, location: str, load: str, variant: str = "B", grain: str = "day",
                    max_records_per_file: int = 5_000_000, files: DataFrame | None = None, name: str | None = None,
-                   removes: list[str] | None = None, aggregates: bool = False) -> None:
+                   removes: list[str] | None = None, aggregates: bool = False, made: bool = False) -> None:
     """Writes one folder and makes it live.  It replaces the folders
     ``removes`` names (default: those that an earlier run stored under the same
-    ``load``); all others stay.  ``files`` are its source files."""
+    ``load``); all others stay.  ``files`` are its source files.  Payments that
+    are read from a table (``made``) are not written down before they are dealt."""
     spark = payments.sparkSession
     ledger = L.Ledger(spark, location)
     removes = [f.name for f in ledger.live() if f.load == load] if removes is None else removes
     name = ledger.fresh(name or load)
-    # parsed and analysed once: dealing by ranges reads its rows twice
-    rows = with_index_columns(payments, variant, grain).persist(StorageLevel.DISK_ONLY)
-    try:
-        _write(_numbered(rows, grain), ledger.data(name), grain, max_records_per_file)
-    finally:
-        rows.unpersist()
+    # made once: dealing by ranges reads its rows twice
+    with nullcontext(payments) if made else written(payments, "payments") as rows, shuffles_deleted(spark):
+        # analysed where they come to lie: what moves are the payments
+        _write(_with_tokens(_numbered(_dated(rows, grain), grain), variant, grain), ledger.data(name), grain, max_records_per_file)
     if aggregates:
-        _aggregate(spark.read.parquet(ledger.data(name)), ledger, name)
+        with shuffles_deleted(spark):
+            _aggregate(spark.read.parquet(ledger.data(name)), ledger, name)
     ledger.commit(name, load, spark.createDataFrame([], L.FILES) if files is None else files, removes)
 
 
 def write_rejects(rejects: DataFrame, location: str, load: str) -> None:
     """The rejected lines of one folder, replaced with it."""
-    rejects.write.mode("overwrite").json(f"{location.rstrip('/')}/load={load}")
+    rejects.write.mode("overwrite").option("compression", "gzip").json(f"{location.rstrip('/')}/load={load}")
+
+
+def store(records: DataFrame, location: str, load: str, variant: str, grain: str, rejects_location: str | None, name: str, **kw) -> None:
+    """Writes one folder of parsed lines, and the rejected ones if asked."""
+    if rejects_location is None:
+        write_payments(split_records(records)[0], location, load, variant, grain, name=name, **kw)
+        return
+    with parsed_once(records) as (good, bad):
+        write_rejects(bad, rejects_location, name)
+        write_payments(good, location, load, variant, grain, name=name, made=True, **kw)
 
 
 def read_index(spark: SparkSession, location: str) -> DataFrame:
@@ -308,17 +340,9 @@ def ingest(spark: SparkSession, path: str, location: str, variant: str = "B",
     name = f"{load}-{L.digest(sorted((r.file, r.size, r.time) for r in new))}"
     lines = read_lines(spark, [L.literal(r.path) for r in new])
     records = parse_records(lines, variant)
-    if rejects_location is not None:
-        records = records.persist(StorageLevel.DISK_ONLY)  # read and parsed once for both
-    good, bad = split_records(records)
     if changed:
         _without(spark, ledger, spark.createDataFrame(changed, "file string, name string"), grain, aggregates)
-    try:
-        if rejects_location is not None:
-            write_rejects(bad, rejects_location, name)
-        write_payments(good, location, load, variant, grain, files=files, name=name, removes=[], aggregates=aggregates)
-    finally:
-        records.unpersist()
+    store(records, location, load, variant, grain, rejects_location, files=files, name=name, removes=[], aggregates=aggregates)
     return len(new)
 
 

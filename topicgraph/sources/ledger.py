@@ -28,6 +28,8 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..session import delete
+
 FILES = "file string, size bigint, time timestamp"
 
 
@@ -51,11 +53,6 @@ def bytes_of(spark: SparkSession, path: str) -> int:
     return fs.getContentSummary(p).getLength() if fs.exists(p) else 0
 
 
-def delete(spark: SparkSession, path: str) -> None:
-    p, fs = _path(spark, path)
-    fs.delete(p, True)
-
-
 def _put(spark: SparkSession, path: str, text: str) -> None:
     """A file that is there whole or not at all."""
     tmp, fs = _path(spark, path + ".tmp")

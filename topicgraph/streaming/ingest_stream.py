@@ -10,13 +10,12 @@ batches can write into one table: the ledger has the stream's files too.
 
 from __future__ import annotations
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..sources import ingest
 from ..sources import ledger as L
-from ..sources.ingest import (load_key, parse_payments, parse_records, split_records, write_payments,
-                              write_rejects)
+from ..sources.ingest import load_key, parse_payments, parse_records
 
 
 def read_stream(spark: SparkSession, directory: str, max_files_per_trigger: int | None = None) -> DataFrame:
@@ -47,16 +46,8 @@ def start_ingest(spark: SparkSession, directory: str, location: str, checkpoint:
         if any(f.name == name for f in L.Ledger(session, location).live()):
             return
         files = lines.groupBy(F.col("file_path").alias("file")).agg(F.first("size").alias("size"), F.first("time").alias("time"))
-        records = parse_records(lines, variant, extra)
-        if rejects_location is not None:
-            records = records.persist(StorageLevel.DISK_ONLY)  # read and parsed once for both
-        good, bad = split_records(records)
-        try:
-            if rejects_location is not None:
-                write_rejects(bad, rejects_location, name)
-            write_payments(good, location, load, variant, grain, files=files, name=name, removes=[], aggregates=aggregates)
-        finally:
-            records.unpersist()
+        ingest.store(parse_records(lines, variant, extra), location, load, variant, grain, rejects_location,
+                     files=files, name=name, removes=[], aggregates=aggregates)
 
     lines = read_stream(spark, directory)
     q = lines.writeStream.foreachBatch(store).option("checkpointLocation", checkpoint)
