@@ -227,3 +227,8 @@ def test_compacted_loads_after_the_merge(spark, tables, monkeypatch):
     assert catalog.q_ingest_compacted(spark, tables).count() == 300
     assert [live for _, live, _ in commits] == [1, 2, 1, 2]     # the last one is of the folder that was not loaded before
     assert commits[2][0] == "merged" and commits[2][2] == 2 and commits[3][2] == 0
+
+
+def test_compacted_merges_folders_of_any_size(spark, tables, monkeypatch):
+    monkeypatch.setattr(L, "bytes_of", lambda *a: 3 << 30)      # as on large tables
+    assert catalog.q_ingest_compacted(spark, tables).count() == 300

@@ -346,21 +346,22 @@ def ingest(spark: SparkSession, path: str, location: str, variant: str = "B",
     return len(new)
 
 
-def compact(spark: SparkSession, location: str, smaller_than: int = 1 << 30, grain: str = "day",
+def compact(spark: SparkSession, location: str, smaller_than: int | None = 1 << 30, grain: str = "day",
             max_records_per_file: int = 5_000_000) -> list[str]:
-    """Merges the live folders of fewer bytes into one, which replaces them in
-    one step; returns their names.  Their aggregates are added up as well."""
+    """Merges the live folders of fewer bytes (None: all) into one, which replaces
+    them in one step; returns their names.  Their aggregates are added up as well."""
     ledger = L.Ledger(spark, location)
-    small = [f for f in ledger.live() if f.bytes < smaller_than]
+    small = [f for f in ledger.live() if smaller_than is None or f.bytes < smaller_than]
     if len(small) < 2:
         return []
     name = ledger.fresh(f"merged-{L.digest([f.name for f in small])}")
     rows = ledger.read(small).drop("load")
-    _write(rows.repartitionByRange(grain, "doc_id"), ledger.data(name), grain, max_records_per_file)
-    for kind, schema in AGGREGATES.items():
-        parts = [ledger.aggregate(kind, f.name) for f in small]
-        if all(L.exists(spark, p) for p in parts):
-            _summed(spark.read.schema(schema).parquet(*parts), kind).write.mode("overwrite").parquet(ledger.aggregate(kind, name))
+    with shuffles_deleted(spark):
+        _write(rows.repartitionByRange(grain, "doc_id"), ledger.data(name), grain, max_records_per_file)
+        for kind, schema in AGGREGATES.items():
+            parts = [ledger.aggregate(kind, f.name) for f in small]
+            if all(L.exists(spark, p) for p in parts):
+                _summed(spark.read.schema(schema).parquet(*parts), kind).write.mode("overwrite").parquet(ledger.aggregate(kind, name))
     ledger.commit(name, "merged", ledger.files(small), [f.name for f in small])
     return [f.name for f in small]
 
