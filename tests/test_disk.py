@@ -122,3 +122,66 @@ def test_rejects_of_a_stream(spark, tables, monkeypatch):
     bad = at["stream_bad"].removeprefix("file:")
     files = [os.path.join(d, f) for d, _, names in os.walk(bad) for f in names if not f.startswith((".", "_"))]
     assert files and all(f.endswith(".gz") for f in files)
+
+
+ROWS = [{"id": str(i), "t": "x" * (i * 37 % 300) + 'é"\\{}[]'} for i in range(700)]
+
+
+def test_ranges_of_packed_documents(spark, tmp_dir, monkeypatch):
+    monkeypatch.setattr(BR, "STEP", 1000)   # also what is unpacked at once
+    text = json.dumps({"a": [1, {"k": 2}], "nodes": ROWS, "edges": []}, ensure_ascii=False).encode()
+    for folder, put in (("plain", lambda f: open(f + ".json", "wb")), ("packed", lambda f: gzip.open(f + ".json.gz", "wb"))):
+        os.mkdir(os.path.join(tmp_dir, folder))
+        for name in ("f", "g"):
+            with put(os.path.join(tmp_dir, folder, name)) as f:
+                f.write(text)
+    with open(os.path.join(tmp_dir, "packed", "g.json.gz"), "wb") as f:   # of several members
+        f.write(gzip.compress(text[:5000]) + gzip.compress(text[5000:]))
+    open(os.path.join(tmp_dir, "packed", "none.json.gz"), "wb").close()
+    with gzip.open(os.path.join(tmp_dir, "packed", "empty.json.gz"), "wb"):
+        pass
+    for size in (700, 5000, 1 << 20):
+        got, want = ([(os.path.basename(r.file).split(".")[0], r.offset, r.path, r.element) for r in BR.json_elements(
+            spark, os.path.join(tmp_dir, folder), 2, size).collect()] for folder in ("packed", "plain"))
+        assert sorted(got) == sorted(want) and len(got) == 2 * 701
+        cut = BR.ranges(spark, os.path.join(tmp_dir, "packed"), size)
+        assert cut.count() == 2 * -(-len(text) // size)
+        tasks = cut.withColumn("task", F.spark_partition_id()).groupBy("file").agg(F.count_distinct("task").alias("n"))
+        assert {r.n for r in tasks.collect()} == {1}    # a packed document is unpacked by one task
+
+
+def test_packed_bytes(tmp_dir, monkeypatch):
+    monkeypatch.setattr(BR, "STEP", 100)
+    text, path = bytes(range(256)) * 40, os.path.join(tmp_dir, "f.gz")
+    with gzip.open(path, "wb") as f:
+        f.write(text)
+    f = BR.Unpacked("file:" + path)
+    assert f.read(50, 70) == text[50:70] and f.read(9_000, 9_010) == text[9_000:9_010] and f.read(10, 12) == text[10:12]
+    f.forget(5_000)
+    assert f.read(6_000, 20_000) == text[6_000:] and f.size == f.end() == len(text) and len(f.held) < 5_500
+    assert f.read(3, 300) == text[3:300] and f.next(1, lambda d, i: d.find(b"\x05", i)) == 5
+    assert f.read(20_000, 20_010) == b"" and f.next(20_000, lambda d, i: d.find(b"\x05", i)) == len(text)
+    assert BR.Unpacked("file:" + path).end() == len(text)
+
+
+def test_packed_gexf(spark, tmp_dir):
+    body = "".join(f'<node id="{i}" label="é&lt;{"x" * (i % 50)}"/><!-- <node id="no"/> -->' for i in range(300))
+    text = f'<gexf version="1.2"><meta lastmodifieddate="2017"/><graph defaultedgetype="directed"><nodes>{body}</nodes><edges/></graph></gexf>'
+    for name, put in (("f.gexf", open), ("f.gexf.gz", gzip.open)):
+        os.mkdir(os.path.join(tmp_dir, name))
+        with put(os.path.join(tmp_dir, name, name), "wt", encoding="utf-8") as f:
+            f.write(text)
+    got, want = (GF.read_gexf(spark, os.path.join(tmp_dir, x), split=0, ranges=500) for x in ("f.gexf.gz", "f.gexf"))
+    assert sorted((r.id, r.label) for r in got.nodes.collect()) == sorted((r.id, r.label) for r in want.nodes.collect())
+    assert got.nodes.count() == 300
+
+
+def test_cypher_documents_are_read_packed_by_ranges(spark, tables, monkeypatch):
+    monkeypatch.setattr(catalog, "CYPHER_ROWS", 500)
+    monkeypatch.setattr(catalog, "RANGE", dict(split=0, ranges=1 << 12))
+    at = []
+    monkeypatch.setattr(catalog, "scratch_path", lambda s, name: at.append(scratch_path(s, name)) or at[-1])
+    got = catalog.q_cypher_ranges_edges(spark, tables)
+    files = [f for _, _, names in os.walk(at[0].removeprefix("file:")) for f in names if f.startswith("part")]
+    assert len(files) == 5 and all(f.endswith(".gz") for f in files)
+    assert sorted(got.collect()) == sorted(catalog.q_cypher_edges(spark, tables).collect()) and got.count() == 2000
