@@ -8,6 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from topicgraph.operators import adjacency, postings
+from topicgraph.operators import search as S
 from topicgraph.operators.centrality import hits_stored
 from topicgraph.operators.multigraph import MultiGraph
 from topicgraph.operators.paths import shortest_tree
@@ -106,6 +107,18 @@ def test_search_index(spark):
     assert index.prefix("ho").count() == N
 
 
+def test_token_rows_are_dealt_to_tasks_of_a_bounded_size(spark, tables, monkeypatch):
+    monkeypatch.setattr(S, "TOKENS", 1000)
+    docs = spark.range(3000).selectExpr("cast(id AS string) AS doc_id", "concat('hot gear ', id % 7) AS message",
+                                        "timestamp_ntz'1997-01-01 00:00:00' AS time_sended")
+    index = postings.build(docs, scratch_path(spark, "index"), block=100)
+    at = []
+    monkeypatch.setattr(catalog, "scratch_path", lambda s, name: at.append(scratch_path(s, name)) or at[-1])
+    assert index.prefix("ho").count() == 3000 and catalog.q_token_index_search(spark, tables).count() == 2000
+    for path, least in ((f"{index.path}/postings", 7), (at[-1], 6)):     # shuffle partitions: 4
+        assert sum(f.startswith("part") for f in os.listdir(path.removeprefix("file:"))) >= least
+
+
 def test_token_index(spark, tables):
     before = shuffled(spark)
     found = catalog.q_token_index_search(spark, tables)

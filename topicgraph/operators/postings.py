@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 from ..functions import text
 from ..functions.numbering import numbered
 from ..session import delete, scratch_path, shuffles_deleted, written
-from .search import _EXPLAIN_SCHEMA, B, K1, _ts
+from .search import _EXPLAIN_SCHEMA, B, K1, _ts, token_tasks
 
 #: Documents in a block, and blocks that ``top`` reads before bounds decide.
 BLOCK, FIRST = 4096, 8
@@ -78,7 +78,8 @@ def _write_postings(spark: SparkSession, path: str, synonyms: bool, synonym_rows
     key = ["block", "doc_id", "dl", "time_sended"]
     said = text.token_table(stored, key, "tokens", synonyms, synonym_rows)
     # ranges of (token, block): a frequent token is spread over tasks, each of its rows has at most one block
-    said = said.repartitionByRange("token", "block")
+    tasks = token_tasks(stored)
+    said = said.repartitionByRange(tasks, "token", "block") if tasks else said.repartitionByRange("token", "block")
     place = F.collect_list(F.when(~F.col("synonym"), F.col("pos")))
     each = said.groupBy("token", *key).agg(F.count("*").cast("int").alias("tf"), F.array_sort(place).alias("positions"))
     each = each.crossJoin(F.broadcast(stats))  # one row

@@ -117,6 +117,17 @@ def match_topic(payments: DataFrame, topic: str, t0=None, t1=None, mode: str = "
     return df.filter(topic_predicate(tok, topic, mode, synonyms, emoticons, synonym_rows, standard))
 
 
+#: Token rows that one task sorts or groups, about: it then holds them in its memory.
+TOKENS = 1 << 20
+
+
+def token_tasks(docs: DataFrame, tokens: str = "tokens") -> int | None:
+    """Tasks to deal the token rows of the documents to, if these need more
+    than the shuffle partitions."""
+    n = -(-(docs.agg(F.sum(F.size(tokens)).alias("n")).first().n or 0) // TOKENS)
+    return n if n > int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")) else None
+
+
 def build_token_index(token_rows: DataFrame, path: str, partitions: int | None = None) -> None:
     """X3 stored: token rows in ranges of (token, document), sorted within each
     file, so a token lookup reads few row groups (parquet min/max skipping)."""
